@@ -60,7 +60,7 @@ def format_day(day: ColumnLike, fmt: str) -> Column:
 
 def as_day(c: ColumnLike) -> Column:
     """A date from a date, a timestamp or ISO text; null when the text is no date."""
-    return F.try_to_date(F.substring(col(c).cast("string"), 1, 10), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(F.substring(col(c).cast("string"), 1, 10), "yyyy-MM-dd")
 
 
 def shift_days(day: ColumnLike, n: int) -> Column:
@@ -86,7 +86,10 @@ def round_to_int(v: ColumnLike) -> Column:
 
 
 def round_half_even(v: ColumnLike, digits: int = 2) -> Column:
-    return F.bround(col(v), digits)
+    """Rounds the scaled double, as array libraries do. ``bround`` would round the printed decimal,
+    which differs where the double lies a hair beside a half."""
+    scale = 10.0 ** digits
+    return F.rint(col(v) * scale) / scale
 
 
 def ratio(a: ColumnLike, b: ColumnLike) -> Column:

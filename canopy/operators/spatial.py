@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from canopy.constants import LATTICE_X, LATTICE_Y
 from canopy.functions import geo
+from canopy.functions.scalars import round_half_even
 from canopy.operators.relational import only_new
 
 _EDGES = {"ring": geo.edges, "polygon": geo.polygon_edges, "multi": geo.multi_edges}
@@ -148,7 +149,7 @@ def sample_nearest(points: DataFrame, cells: DataFrame, transform: DataFrame, ke
 def shading_index(samples: DataFrame, daylight: DataFrame, seasons: Sequence[str],
                   key: str = "tree_id") -> DataFrame:
     """1 - sun hours / daylight per season, rounded before and after, as four season columns."""
-    sun = F.bround(F.col("value") * 3600 / F.col("daylight_s"), 2)
+    sun = round_half_even(F.col("value") * 3600 / F.col("daylight_s"))
     return (samples.join(daylight, samples["raster_id"] == daylight["season"])
-            .select(key, "season", F.bround(1 - sun, 2).alias("_i"))
+            .select(key, "season", round_half_even(1 - sun).alias("_i"))
             .groupBy(key).pivot("season", list(seasons)).agg(F.max("_i")))
