@@ -18,6 +18,7 @@ from canopy.operators.relational import (
     attach_group_feature, distinct_union, labelled, restrict, select_present, spine, union_all)
 from canopy.operators.windows import (
     add_lags, last_group_mean, mean_yesterday, resample_ffill, rolling_weather)
+from canopy.session import cut_lineage
 
 
 def monthly_long(df: DataFrame, key: str = "tree_id", months: Sequence[str] = MONTHS) -> DataFrame:
@@ -127,13 +128,6 @@ def weather_features(mode: str, station: DataFrame | None = None, tiles: DataFra
 
 # --- ordinal codes ----------------------------------------------------------------------------
 
-def _ordered_values(df: DataFrame, c: str) -> DataFrame:
-    values = df.select(F.col(c).alias("value")).where(F.col(c).isNotNull()).distinct()
-    w = Window.orderBy("value")
-    return values.select(F.lit(c).alias("column"), F.col("value").cast("string").alias("value"),
-                         (F.row_number().over(w) - 1).cast("double").alias("code"))
-
-
 class OrdinalCodes:
     """Ordinal encoding by a fitted table (column, value, code).
 
@@ -148,7 +142,16 @@ class OrdinalCodes:
 
     @classmethod
     def fit(cls, df: DataFrame, cols: Sequence[str]) -> "OrdinalCodes":
-        return cls(union_all(*[_ordered_values(df, c) for c in cols]))
+        """One pass over the rows for all columns; numbers sort as numbers, text as text."""
+        numeric = {f.name for f in df.schema if f.dataType.typeName() not in ("string", "date", "timestamp")}
+        values = F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"),
+                     (F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias("number"))
+            for c in cols]))
+        distinct = df.select(values.alias("_v")).select("_v.*").where(F.col("value").isNotNull()).distinct()
+        # One partition per column: as many rows as the column has categories.
+        w = Window.partitionBy("column").orderBy("number", "value")
+        return cls(distinct.select("column", "value", (F.row_number().over(w) - 1).cast("double").alias("code")))
 
     def transform(self, df: DataFrame, cols: Sequence[str]) -> DataFrame:
         names = df.columns
@@ -284,8 +287,10 @@ class Preprocessor:
     def fit(self, df: DataFrame) -> "Preprocessor":
         self.cat_columns = [c for c in df.columns if c in CATEGORICAL]
         self.num_columns = [c for c in df.columns if c in NUMERIC + self.weather]
-        self.codes = OrdinalCodes.fit(df, self.cat_columns)
-        self.last_mean = last_group_mean(df)
+        # Small results that every later plan reads, so they are computed once. The frame itself is read
+        # several times as well: hand in a materialised one (see ``cut_lineage``).
+        self.codes = OrdinalCodes(cut_lineage(OrdinalCodes.fit(df, self.cat_columns).codes))
+        self.last_mean = cut_lineage(last_group_mean(df))
         return self
 
     def _impute(self, df: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Model
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import (
     GBTRegressionModel, GBTRegressor, LinearRegression, LinearRegressionModel,
     RandomForestRegressionModel, RandomForestRegressor)
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from canopy.constants import (
     DEPTH_MEAN_TYPE, DEPTHS, FORECAST_FEATURES, FORECAST_FOREST, HORIZON_DAYS, LAG_FEATURES,
     MODEL_ID, NOWCAST_FEATURES, NOWCAST_FOREST, SEASON_START_LAG)
-from canopy.functions.scalars import literal_day
+from canopy.functions.scalars import literal_day, round_half_even
 from canopy.operators.aggregates import fold_summary, regression_metrics
 from canopy.operators.features import fold_frames
 from canopy.operators.relational import union_all, window_split
@@ -65,19 +66,21 @@ def train_auxiliary(df: DataFrame, params: Mapping = NOWCAST_FOREST) -> dict[int
     return train_per_type(df, FORECAST_FEATURES, params)
 
 
-def score(df: DataFrame, model: Model, inputs: Mapping[str, Column], name: str) -> DataFrame:
-    """Add one prediction column. ``inputs`` maps model features to columns of the frame.
+def predict(df: DataFrame, model: Model, inputs: Sequence[Column], name: str) -> DataFrame:
+    """Add one raw prediction column for complete inputs, in the order the model was fitted on."""
+    values = F.array(*[F.coalesce(c.cast("double"), F.lit(float("nan"))) for c in inputs])
+    step = model.copy().setFeaturesCol(_VECTOR).setPredictionCol(name)
+    return step.transform(df.withColumn(_VECTOR, array_to_vector(values)))
 
-    A row with a missing input gets a null prediction.
-    """
-    temp = {f"_in_{f}": c.cast("double") for f, c in inputs.items()}
-    complete = F.lit(True)
-    for f in temp:
-        complete = complete & F.col(f).isNotNull() & ~F.isnan(f)
-    wide = _assembler(list(temp)).transform(df.withColumns(temp))
-    return (model.transform(wide)
-            .withColumn(name, F.when(complete, F.col(_SCORE)))
-            .drop(_VECTOR, _SCORE, *temp))
+
+def score(df: DataFrame, model: Model, inputs: Sequence[Column], name: str) -> DataFrame:
+    """The same, but a row with a missing input gets a null prediction."""
+    known = F.lit(True)
+    for c in inputs:
+        known = known & c.isNotNull() & ~F.isnan(c.cast("double"))
+    df = df.withColumn("_known", known)
+    return (predict(df, model, inputs, _SCORE)
+            .withColumn(name, F.when(F.col("_known"), F.col(_SCORE))).drop(_VECTOR, _SCORE, "_known"))
 
 
 def _means(last_mean: Mapping[int, float], kind: int) -> Column:
@@ -108,8 +111,7 @@ def nowcast(models: Mapping[int, Model], frame: DataFrame, last_mean: Mapping[in
     """All depths of all trees in one pass over the frame, plus the mean over the depths."""
     df = frame
     for k, model in models.items():
-        inputs = {f: F.col(f) for f in NOWCAST_FEATURES if f != "mean_yesterday"}
-        inputs = {f: inputs.get(f, _means(last_mean, k)) for f in NOWCAST_FEATURES}
+        inputs = [_means(last_mean, k) if f == "mean_yesterday" else F.col(f) for f in NOWCAST_FEATURES]
         df = score(df, model, inputs, f"_y{k}")
     return _long(df, {k: F.col(f"_y{k}") for k in models}, literal_day(date).cast("timestamp"),
                  F.lit(created_at))
@@ -142,33 +144,35 @@ def forecast(models: Mapping[int, Model], auxiliary: Mapping[int, Model], base:
     the weather forecast of its day and the three predictions before it. A day without weather gives
     no prediction, and none after it that needs one.
     """
-    def inputs(kind: int, weather: Mapping[str, float] | None, lags: Sequence[str]) -> dict[str, Column]:
-        cols = {f: F.col(f) for f in FORECAST_FEATURES if f not in _WEATHER and f != "mean_yesterday"}
-        cols["mean_yesterday"] = _means(last_mean, kind)
-        cols |= {c: F.lit((weather or {}).get(c)).cast("double") for c in _WEATHER}
-        names = FORECAST_FEATURES + (LAG_FEATURES if lags else [])
-        cols |= {n: F.col(l) for n, l in zip(LAG_FEATURES, lags)}
-        return {n: cols[n] for n in names}
-
     static = [f for f in FORECAST_FEATURES if f not in _WEATHER and f != "mean_yesterday"]
     df = base.select("tree_id", *static).na.drop("any", subset=static)
-    predicted: dict[int, list[str]] = {}
+    # Rows are complete here, so whether a step can be predicted depends on driver values alone.
+    nothing = F.lit(None).cast("double")
+
+    def step(df: DataFrame, model: Model, kind: int, weather, lags: Sequence[str | None], name: str):
+        weather = weather or {}
+        fixed = {**{c: weather.get(c) for c in _WEATHER}, "mean_yesterday": last_mean.get(kind)}
+        if None in fixed.values() or None in lags:
+            return df, None
+        cols = [F.lit(fixed[f]).cast("double") if f in fixed else F.col(f) for f in FORECAST_FEATURES]
+        return predict(df, model, cols + [F.col(c) for c in lags], name), name
+
+    predicted: dict[int, list[Column]] = {}
     for k in models:
-        lags = []
+        lags: list[str | None] = []
         for i in range(len(LAG_FEATURES)):
             day = last_date - dt.timedelta(days=i)
-            lags.append(f"_a{k}_{i + 1}")
-            df = score(df, auxiliary[k], inputs(k, past_weather.get(day), []), lags[-1])
+            df, name = step(df, auxiliary[k], k, past_weather.get(day), [], f"_a{k}_{i + 1}")
+            lags.append(name)
         predicted[k] = []
         for h in range(1, horizon + 1):
             day = last_date + dt.timedelta(days=h)
-            name = f"_y{k}_{h}"
-            df = score(df, models[k], inputs(k, coming_weather.get(day), lags), name)
+            df, name = step(df, models[k], k, coming_weather.get(day), lags, f"_y{k}_{h}")
             lags = [name, *lags[:-1]]
-            predicted[k].append(name)
+            predicted[k].append(F.col(name) if name else nothing)
     steps = F.explode(F.array(*[
         F.struct((literal_day(last_date + dt.timedelta(days=h + 1))).alias("day"),
-                 *[F.col(predicted[k][h]).alias(f"y{k}") for k in models])
+                 *[predicted[k][h].alias(f"y{k}") for k in models])
         for h in range(horizon)]))
     long = df.select("tree_id", steps.alias("_s"))
     return _long(long, {k: F.col(f"_s.y{k}") for k in models},
@@ -206,8 +210,7 @@ def backtest(train_rows: DataFrame, starts: Sequence[dt.date], drop_starts: Sequ
     df = _series(test, keys, F.datediff(day, "_start"), features + ["target"], horizon)
     lags = [F.col(f"_s0.{c}") for c in LAG_FEATURES]
     for h in range(horizon):
-        inputs = {f: F.col(f"_s{h}.{f}") for f in FORECAST_FEATURES} | dict(zip(LAG_FEATURES, lags))
-        df = score(df, model, inputs, f"_y{h}")
+        df = score(df, model, [F.col(f"_s{h}.{f}") for f in FORECAST_FEATURES] + lags, f"_y{h}")
         lags = [F.col(f"_y{h}"), *lags[:-1]]
     steps = F.explode(F.array(*[
         F.struct(F.lit(h + 1).alias("window"), F.col(f"_s{h}.target").alias("target"),
@@ -229,11 +232,9 @@ def season_forecast(model: Model, rows: DataFrame, start: dt.date, days: int,
     keys = ["tree_id", "type_id"]
     df = _series(span, keys, F.datediff(day, literal_day(start)), features + ["target"], days)
     df = df.withColumns({c: F.lit(start_lag) for c in LAG_FEATURES})
-    names = [f for f in features + ["type_id"] + LAG_FEATURES]
     for d in range(days):
-        inputs = {f: F.col(f"_s{d}.{f}") for f in features}
-        inputs |= {"type_id": F.col("type_id")} | {c: F.col(c) for c in LAG_FEATURES}
-        df = score(df, model, {n: inputs[n] for n in names}, f"_y{d}")
+        inputs = [F.col(f"_s{d}.{f}") for f in features] + [F.col(c) for c in ("type_id", *LAG_FEATURES)]
+        df = score(df, model, inputs, f"_y{d}")
         y, alive = F.col(f"_y{d}"), F.col(f"_y{d}").isNotNull()
         begin = F.lit(start_lag)
         df = df.withColumns({"shift_3": F.when(alive, F.col("shift_2")).otherwise(begin),
@@ -273,19 +274,18 @@ def predict_folds(df: DataFrame, folds: DataFrame, k: int, models: Mapping[str,
     """
     parts = []
     for fold in range(k):
-        train_rows, test_rows = fold_frames(df, folds, fold)
-        train_rows = train_rows.persist()
+        # Both parts are read once per depth and model.
+        train_rows, test_rows = (cut_lineage(p) for p in fold_frames(df, folds, fold))
         fitted = {}
         for name, estimator in models.items():
             shared = None if per_depth else train(train_rows, features, estimator, "value")
             for depth in DEPTHS:
                 fitted[name, depth] = shared or train(
                     train_rows.where(F.col("type_id") == depth), features, estimator, "value")
-        train_rows.unpersist()
         for depth in DEPTHS:
             scored = test_rows.where(F.col("type_id") == depth)
             for name in models:
-                scored = score(scored, fitted[name, depth], {f: F.col(f) for f in features}, f"_y_{name}")
+                scored = score(scored, fitted[name, depth], [F.col(f) for f in features], f"_y_{name}")
             each = F.explode(F.array(*[
                 F.struct(F.lit(n).alias("model"), F.col(f"_y_{n}").alias("y_hat")) for n in models]))
             parts.append(scored.select("tree_id", "type_id", "timestamp", "value",
@@ -296,12 +296,20 @@ def predict_folds(df: DataFrame, folds: DataFrame, k: int, models: Mapping[str,
 
 
 def evaluate_models(predictions: DataFrame) -> DataFrame:
-    """Errors per model and depth averaged over all folds; the benchmark is a model of its own."""
-    one = predictions.agg(F.min("model")).scalar()
-    bench = (predictions.where(F.col("model") == one)
-             .withColumn("y_hat", F.col("benchmark")).withColumn("model", F.lit("benchmark")))
-    every = union_all(predictions, bench)
-    return fold_summary(regression_metrics(every, "value", "y_hat", ["model", "type_id", "fold"]))
+    """Errors per model and depth averaged over all folds; the benchmark is a model of its own.
+
+    Every model row carries the same benchmark, so its errors come out of the same pass.
+    """
+    keys = ["model", "type_id", "fold"]
+    err, base = F.col("value") - F.col("y_hat"), F.col("value") - F.col("benchmark")
+    figures = [round_half_even(e).alias(n) for n, e in (
+        ("rmse", F.sqrt(F.avg(err * err))), ("mae", F.avg(F.abs(err))),
+        ("b_rmse", F.sqrt(F.avg(base * base))), ("b_mae", F.avg(F.abs(base))))]
+    per = predictions.groupBy(*keys).agg(*figures)
+    each = F.explode(F.array(
+        F.struct("model", "rmse", "mae"),
+        F.struct(F.lit("benchmark").alias("model"), F.col("b_rmse").alias("rmse"), F.col("b_mae").alias("mae"))))
+    return fold_summary(per.select("type_id", each.alias("_e")).select("type_id", "_e.*"))
 
 
 def benchmark(df: DataFrame, value: str = "value") -> DataFrame:

@@ -117,22 +117,21 @@ def resample_ffill(df: DataFrame, keys: Sequence[str], ts: str = "timestamp",
     seen = F.when(F.date_trunc("day", F.col(ts)) == F.col(ts), day).otherwise(F.date_add(day, 1))
     # Only the newest reading before a midnight can show: one row per key and day goes on, which
     # bounds every window below by the calendar whatever the rate of readings.
+    newest = F.max(F.struct(F.col(ts).alias("_ts"), *payload))
     daily = (df.where(F.col(ts).isNotNull())
              .withColumn("_seen", seen)
-             .groupBy(*keys, "_seen")
-             .agg(F.max(F.struct(F.col(ts).alias("_ts"), *payload)).alias("_row"),
-                  F.min(ts).alias("_first")))
+             .groupBy(*keys, "_seen").agg(newest.alias("_row"), F.min(ts).alias("_first"))
+             .select(*keys, "_seen", "_first", "_row.*"))
     w = Window.partitionBy(*keys).orderBy("_seen")
-    last_day = F.to_date("_row._ts")
+    last_day = F.to_date("_ts")
     spans = (daily
-             .withColumn("_next", F.coalesce(F.date_sub(F.lead("_seen").over(w), 1), last_day))
+             .withColumn("_to", F.coalesce(F.date_sub(F.lead("_seen").over(w), 1), last_day))
              .withColumn("_from", F.when(F.lag("_seen").over(w).isNull(), F.to_date("_first"))
                          .otherwise(F.col("_seen")))
-             .where(F.col("_from") <= F.col("_next"))
-             .withColumn("_day", F.explode(F.sequence("_from", "_next", F.expr("interval 1 day")))))
+             .where(F.col("_from") <= F.col("_to"))
+             .withColumn("_day", F.explode(F.sequence("_from", "_to", F.expr("interval 1 day")))))
     shows = (F.col("_day") >= F.col("_seen")) & (F.datediff("_day", last_day) <= limit)
-    ts_type = df.schema[ts].dataType
-    out = {ts: F.col("_day").cast(ts_type)} | {c: F.when(shows, F.col("_row")[c]) for c in payload}
+    out = {ts: F.col("_day").cast(df.schema[ts].dataType)} | {c: F.when(shows, F.col(c)) for c in payload}
     return spans.select(*keys, *[e.alias(n) for n, e in out.items()]).select(*df.columns)
 
 

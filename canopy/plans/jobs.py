@@ -15,6 +15,7 @@ from canopy.operators.relational import distinct_keys, only_new, restrict, stamp
 from canopy.operators.windows import dedup_first
 from canopy.plans import views
 from canopy.schemas import SCHEMAS
+from canopy.session import cut_lineage
 from canopy.sources import sinks
 from canopy.sources.readers import seed_dimensions
 
@@ -152,7 +153,7 @@ def load_tile_forecast(db: Database, hourly: DataFrame, start: dt.date, end: dt.
 def train(db: Database, forecast: bool, today: dt.date, folder: str, forest: Mapping | None = None,
           auxiliary_forest: Mapping | None = None) -> features.Preprocessor:
     """Fit the preprocessor and one forest per depth; forecasts also get their auxiliary models."""
-    frame = features.training_frame(db.tables(), forecast, today)
+    frame = cut_lineage(features.training_frame(db.tables(), forecast, today))
     prep = features.Preprocessor(forecast).fit(frame)
     rows = prep.transform_train(frame).drop("site_id").na.drop("any").persist()
     kind = "forecast" if forecast else "nowcast"
@@ -198,7 +199,7 @@ def nowcast(db: Database, folder: str, today: dt.date, created_at: dt.datetime)
     """All street trees at the last day with station weather."""
     date = aggregates.max_date(db.table("weather"), "date").first()[0]
     prep = load_preprocessor(db.spark, f"{folder}/preprocessor_nowcast", False)
-    frame = prep.transform_inference(features.inference_frame(db.tables(), False, date))
+    frame = prep.transform_inference(cut_lineage(features.inference_frame(db.tables(), False, date)))
     rows = models.nowcast(models.load_models(f"{folder}/nowcast"), frame, models.group_means(prep.last_mean),
                           date, created_at)
     _store(db, rows, "nowcast", today)
@@ -213,7 +214,7 @@ def forecast(db: Database, folder: str, today: dt.date, created_at: dt.datetime,
     """
     last = aggregates.max_date(db.table("weather_tile_measurement"), "date").first()[0]
     prep = load_preprocessor(db.spark, f"{folder}/preprocessor_forecast", True)
-    base = prep.transform_inference(features.inference_frame(db.tables(), True, last))
+    base = prep.transform_inference(cut_lineage(features.inference_frame(db.tables(), True, last)))
     measured = db.table("weather_tile_measurement").where(F.col("tile_id") == tile)
     coming = models.newest_forecast(db.table("weather_tile_forecast"), tile).where(F.col("date") > F.lit(last))
     if rolled:

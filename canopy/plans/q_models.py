@@ -14,6 +14,7 @@ from canopy.operators import features as E, models as M
 from canopy.plans.q_features import tables
 from canopy.plans.registry import query
 from canopy.plans.standins import Roles
+from canopy.session import cut_lineage
 
 TODAY = dt.date(2024, 6, 10)
 LAST = dt.date(2024, 5, 20)
@@ -24,9 +25,9 @@ SMALL = {"numTrees": 8, "maxDepth": 5, "featureSubsetStrategy": "sqrt"}
 def _training(r: Roles, forecast: bool) -> tuple[E.Preprocessor, DataFrame]:
     t = tables(r)
     frame = E.training_frame(t, forecast, TODAY)
-    frame = frame.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    frame = cut_lineage(frame.withColumn("timestamp", F.col("timestamp").cast("timestamp")))
     prep = E.Preprocessor(forecast).fit(frame)
-    return prep, prep.transform_train(frame)
+    return prep, cut_lineage(prep.transform_train(frame))
 
 
 @query("train_nowcast")
@@ -34,7 +35,7 @@ def train_nowcast(r: Roles) -> DataFrame:
     """Forests per depth, then all street trees at one day with the mean over the depths."""
     prep, rows = _training(r, False)
     fitted = M.train_nowcast(rows, SMALL)
-    frame = prep.transform_inference(E.inference_frame(tables(r), False, LAST))
+    frame = prep.transform_inference(cut_lineage(E.inference_frame(tables(r), False, LAST)))
     return M.nowcast(fitted, frame, M.group_means(prep.last_mean), LAST, CREATED)
 
 
@@ -43,10 +44,8 @@ def forecast_14(r: Roles) -> DataFrame:
     """Fourteen recursive days for every street tree and depth."""
     t = tables(r)
     prep, rows = _training(r, True)
-    rows = rows.persist()
     fitted, auxiliary = M.train_forecast(rows, SMALL), M.train_auxiliary(rows, SMALL)
-    rows.unpersist()
-    base = prep.transform_inference(E.inference_frame(t, True, LAST))
+    base = prep.transform_inference(cut_lineage(E.inference_frame(t, True, LAST)))
     cols = list(M._WEATHER)
     days = E.rolling_weather(r.tile_weather, cols, ["tile_id"])
     past = M.weather_by_day(days, LAST - dt.timedelta(days=2), LAST)
@@ -76,18 +75,16 @@ def season_forecast(r: Roles) -> DataFrame:
     """A month from constant lags, the plan cut by a checkpoint every ten days."""
     from canopy.operators.aggregates import error_summary
     _, rows = _training(r, True)
-    rows = rows.persist()
     model = M.train_season(rows, dt.date(2024, 5, 10), SMALL)
     df = M.season_forecast(model, rows, dt.date(2024, 5, 1), 30, cut_every=10)
-    rows.unpersist()
     return error_summary(df, "target", "y_pred")
 
 
 @query("compare_models")
 def compare_models(r: Roles) -> DataFrame:
-    """Three regressors and the benchmark over site folds."""
+    """Three regressors and the benchmark over two site folds."""
     _, rows = _training(r, False)
-    rows = rows.withColumnRenamed("target", "value").persist()
-    folds = E.site_folds(rows, 4)
-    predictions = M.predict_folds(rows, folds, 4, M.estimators(trees=5, boosting=3))
+    rows = rows.withColumnRenamed("target", "value")
+    folds = cut_lineage(E.site_folds(rows, 2))
+    predictions = M.predict_folds(rows, folds, 2, M.estimators(trees=5, boosting=3))
     return M.evaluate_models(predictions)

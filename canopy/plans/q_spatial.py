@@ -91,12 +91,12 @@ _SHARES = {"spring": 1.0, "summer": 2.0, "fall": 3.0, "winter": 4.0}
 
 
 def season_maps(r: Roles) -> tuple[DataFrame, DataFrame]:
-    """Four maps over the part raster, each with its own factor, and their placement (0.13 per cell)."""
+    """Four maps over the part raster, each with its own factor, and their placement (0.1307 per cell)."""
     maps = F.explode(F.array(*[F.struct(F.lit(s).alias("season"), F.lit(f).alias("f")) for s, f in _SHARES.items()]))
     cells = r.raster.withColumn("_m", maps).select(F.col("_m.season").alias("raster_id"), "row", "col",
                                                    (F.col("value") * F.col("_m.f") / 1e3).alias("value"))
     place = cells.groupBy("raster_id").agg(
-        F.lit(0.0).alias("x0"), F.lit(0.0).alias("y0"), F.lit(0.13).alias("dx"), F.lit(0.13).alias("dy"),
+        F.lit(0.0).alias("x0"), F.lit(0.0).alias("y0"), F.lit(0.1307).alias("dx"), F.lit(0.1307).alias("dy"),
         (F.max("row") + 1).alias("n_rows"), (F.max("col") + 1).alias("n_cols"))
     return cells, place
 
@@ -104,7 +104,7 @@ def season_maps(r: Roles) -> tuple[DataFrame, DataFrame]:
 _SAMPLES_SQL = with_roles("trees", "raster", s="SELECT unnest(['spring', 'summer', 'fall', 'winter']) AS season, unnest([1.0, 2.0, 3.0, 4.0]) AS f",
                           n='SELECT max("row") AS r, max(col) AS c FROM raster', samples="""
 SELECT t.id AS tree_id, s.season AS raster_id, m.value * s.f / 1e3 AS value FROM trees t, s, n LEFT JOIN raster m
- ON m."row" = least(CAST(round(t.lat / 0.13) AS INTEGER), n.r) AND m.col = least(CAST(round(t.lng / 0.13) AS INTEGER), n.c)""")
+ ON m."row" = least(CAST(round(t.lat / 0.1307) AS INTEGER), n.r) AND m.col = least(CAST(round(t.lng / 0.1307) AS INTEGER), n.c)""")
 
 
 @query("nearest_cell", _SAMPLES_SQL + "SELECT tree_id, raster_id, round(value + 1e-9, 4) AS value FROM samples")

@@ -88,8 +88,15 @@ def _days(df: DataFrame, day: str) -> list[dt.date]:
 
 
 def _overwrite_days(df: DataFrame, table: str) -> None:
-    (_in_table_order(df, table).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").insertInto(table))
+    """Replace the partitions the rows fall in. Only this mode lets the rows come from the table itself:
+    new files are put in place after all were written."""
+    conf, key = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(key)
+    conf.set(key, "dynamic")
+    try:
+        _in_table_order(df, table).write.mode("overwrite").insertInto(table)
+    finally:
+        conf.set(key, before)
 
 
 def replace_range(new: DataFrame, table: str, day: str, lo: dt.date | None = None, hi: dt.date | None = None,
