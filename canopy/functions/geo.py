@@ -106,20 +106,24 @@ def intersects(a: ColumnLike, b: ColumnLike) -> Column:
 
 
 # --- projection -------------------------------------------------------------------------------
-# Krueger's series for the transverse Mercator projection, to the third order of the third
+# Krueger's series for the transverse Mercator projection to the fourth order of the third
 # flattening: well below a millimetre inside a zone.
 
 _N = FLATTENING / (2 - FLATTENING)
 _RECTIFYING = SEMI_MAJOR / (1 + _N) * (1 + _N**2 / 4 + _N**4 / 64)
-_FORWARD = [_N / 2 - 2 / 3 * _N**2 + 5 / 16 * _N**3,
-            13 / 48 * _N**2 - 3 / 5 * _N**3,
-            61 / 240 * _N**3]
-_BACKWARD = [_N / 2 - 2 / 3 * _N**2 + 37 / 96 * _N**3,
-             1 / 48 * _N**2 + 1 / 15 * _N**3,
-             17 / 480 * _N**3]
-_GEODETIC = [2 * _N - 2 / 3 * _N**2 - 2 * _N**3,
-             7 / 3 * _N**2 - 8 / 5 * _N**3,
-             56 / 15 * _N**3]
+# Published coefficients of the series.
+_FORWARD = [_N / 2 - 2 / 3 * _N**2 + 5 / 16 * _N**3 + 41 / 180 * _N**4,
+            13 / 48 * _N**2 - 3 / 5 * _N**3 + 557 / 1440 * _N**4,
+            61 / 240 * _N**3 - 103 / 140 * _N**4,
+            49561 / 161280 * _N**4]
+_BACKWARD = [_N / 2 - 2 / 3 * _N**2 + 37 / 96 * _N**3 - 1 / 360 * _N**4,
+             1 / 48 * _N**2 + 1 / 15 * _N**3 - 437 / 1440 * _N**4,
+             17 / 480 * _N**3 - 37 / 840 * _N**4,
+             4397 / 161280 * _N**4]
+_GEODETIC = [2 * _N - 2 / 3 * _N**2 - 2 * _N**3 + 116 / 45 * _N**4,
+             7 / 3 * _N**2 - 8 / 5 * _N**3 - 227 / 45 * _N**4,
+             56 / 15 * _N**3 - 136 / 35 * _N**4,
+             4279 / 630 * _N**4]
 _ECC = 2 * math.sqrt(_N) / (1 + _N)
 
 

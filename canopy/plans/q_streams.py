@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from canopy.plans.registry import query
 from canopy.plans.standins import Roles, kind, rounded, text
 from canopy.session import new_folder
-from canopy.sources.sinks import create_table
+from canopy.sources.sinks import create_table, current
 from canopy.streaming import jobs as T
 
 _EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -31,7 +31,7 @@ def _target(r: Roles, label: str, schema: str, day: str | None = "date") -> tupl
 def _upserted(r: Roles, stream: DataFrame, label: str, schema: str, keys: list[str]) -> DataFrame:
     table, checkpoint = _target(r, label, schema)
     T.run_upserts(stream, table, keys, checkpoint).awaitTermination()
-    return r.spark.table(table)
+    return current(r.spark, table)
 
 
 @query("stream_daily", """
@@ -71,4 +71,4 @@ def stream_dedup(r: Roles) -> DataFrame:
                                  F.date_trunc("day", "ts").alias("timestamp"), "value")
     table, checkpoint = _target(r, "readings", "tree_id string, type_id int, timestamp timestamp, value double", None)
     T.run_appends(T.sensor_stream(readings), table, checkpoint).awaitTermination()
-    return r.spark.table(table).select("tree_id", "type_id", F.to_date("timestamp").alias("day"))
+    return current(r.spark, table).select("tree_id", "type_id", F.to_date("timestamp").alias("day"))

@@ -185,8 +185,11 @@ def _gml_polygon(member: Column) -> Column:
 
 def read_gml(spark: SparkSession, path: str, row_tag: str, properties: str, kind: str = "point",
              geometry_tag: str = "geom") -> DataFrame:
-    """Features of a GML feature collection; ``row_tag`` is the element of one feature."""
-    df = (spark.read.option("rowTag", row_tag).option("ignoreNamespace", True)
+    """Features of a GML feature collection; ``row_tag`` is the element of one feature.
+
+    Names are matched without their namespace prefix.
+    """
+    df = (spark.read.option("rowTag", row_tag.split(":")[-1]).option("ignoreNamespace", True)
           .schema(f"{properties}, {geometry_tag} {_GML[kind]}").xml(path))
     g = F.col(geometry_tag)
     if kind == "point":

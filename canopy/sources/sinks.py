@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from canopy.functions.scalars import literal_day
 from canopy.operators.relational import page, union_all
+from canopy.session import cut_lineage
 from canopy.sources.readers import EXPERIMENT_COLUMNS, table_exists
 
 
@@ -34,6 +35,12 @@ def _in_table_order(df: DataFrame, table: str) -> DataFrame:
     return df.select(*df.sparkSession.table(table).columns)
 
 
+def current(spark: SparkSession, table: str) -> DataFrame:
+    """The table as it is now, also when another session (such as a stream's) has replaced files of it."""
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
 def append(df: DataFrame, table: str) -> None:
     if table_exists(df.sparkSession, table):
         _in_table_order(df, table).write.mode("append").insertInto(table)
@@ -48,12 +55,15 @@ def replace(df: DataFrame, table: str, day: str | None = None) -> None:
 
 
 def rewrite(df: DataFrame, table: str, day: str | None = None) -> None:
-    """Replace a table by content derived from it: written beside it first, then swapped in."""
-    spark, beside = df.sparkSession, f"{table}__next"
-    spark.sql(f"DROP TABLE IF EXISTS {beside}")
-    replace(df, beside, day)
-    spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"ALTER TABLE {beside} RENAME TO {table}")
+    """Replace a table by content derived from it.
+
+    A day-partitioned table is replaced partition by partition; otherwise the content is checkpointed
+    first, as a table cannot be overwritten while it is read.
+    """
+    if day:
+        replace_range(df, table, day)
+    else:
+        _in_table_order(cut_lineage(df), table).write.mode("overwrite").insertInto(table)
 
 
 def in_range(day: str, lo: dt.date | None, hi: dt.date | None) -> Column:
@@ -107,7 +117,7 @@ def replace_range(new: DataFrame, table: str, day: str, lo: dt.date | None = Non
     dropped, which a dynamic overwrite alone would not do.
     """
     spark = new.sparkSession
-    old = spark.table(table)
+    old = current(spark, table)
     new_days = _days(new, day)
     touched = in_range(day, lo, hi)
     if new_days:
@@ -121,7 +131,7 @@ def replace_range(new: DataFrame, table: str, day: str, lo: dt.date | None = Non
 
 def upsert(new: DataFrame, table: str, keys: Sequence[str], day: str) -> None:
     """Replace the rows with the same key, add the others; touches only the days of the new rows."""
-    old = new.sparkSession.table(table)
+    old = current(new.sparkSession, table)
     days = _days(new, day)
     if days:
         kept = old.where(F.col(day).isin(days)).join(new.select(*keys), list(keys), "left_anti")
