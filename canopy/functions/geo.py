@@ -102,7 +102,8 @@ def intersects(a: ColumnLike, b: ColumnLike) -> Column:
     """Two shapes, given by their edges, share a point: an edge meets an edge, or one holds the other."""
     a, b = col(a), col(b)
     meets = F.exists(a, lambda ea: F.exists(b, lambda eb: _cross(ea, eb)))
-    return meets | contains(b, a[0]["x1"], a[0]["y1"]) | contains(a, b[0]["x1"], b[0]["y1"])
+    # The cheap test first: it settles every small shape inside a large one.
+    return contains(b, a[0]["x1"], a[0]["y1"]) | meets | contains(a, b[0]["x1"], b[0]["y1"])
 
 
 # --- projection -------------------------------------------------------------------------------

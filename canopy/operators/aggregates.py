@@ -104,13 +104,14 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
     values are counted first, then only the few magnitude bins that hold a wanted rank are looked
     into, so no task sees a whole hot group.
     """
-    keys, v = list(keys), F.col("_v")
-    counts = (df.select(*keys, F.col(value).cast("double").alias("_v"))
+    v, group_key = F.col("_v"), F.col("_g")
+    # The keys as one struct: null keys compare equal in it, so grouping, join and window share a shuffle.
+    counts = (df.select(F.struct(*keys).alias("_g"), F.col(value).cast("double").alias("_v"))
               .where(v.isNotNull() & ~F.isnan(v))
-              .groupBy(*keys, "_v").agg(F.count("*").alias("_c"))
+              .groupBy("_g", "_v").agg(F.count("*").alias("_c"))
               .withColumn("_bin", magnitude_bin(v)))
-    group = Window.partitionBy(*keys)
-    bins = (counts.groupBy(*keys, "_bin")
+    group = Window.partitionBy("_g")
+    bins = (counts.groupBy("_g", "_bin")
             .agg(F.sum("_c").alias("_c"), F.sum(v * F.col("_c")).alias("_s"))
             .withColumn("_end", F.sum("_c").over(group.orderBy("_bin")))
             .withColumn("_n", F.sum("_c").over(group))
@@ -128,13 +129,9 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
     for p in probs.values():
         _, lo, hi = ranks(p)
         wanted = wanted | holds(lo, F.col("_start"), F.col("_end")) | holds(hi, F.col("_start"), F.col("_end"))
-    hit = bins.where(wanted).select(*[F.col(k).alias(f"_k_{k}") for k in keys],
-                                    F.col("_bin").alias("_hit"), "_start", "_n", "_mean")
-    same = F.col("_bin") == F.col("_hit")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    inside = Window.partitionBy(*keys, "_bin").orderBy("_v")
-    rows = (counts.join(hit, same)
+    hit = bins.where(wanted).select("_g", "_bin", "_start", "_n", "_mean")
+    inside = Window.partitionBy("_g", "_bin").orderBy("_v")
+    rows = (counts.join(hit, ["_g", "_bin"])
             .withColumn("_to", F.col("_start") + F.sum("_c").over(inside))
             .withColumn("_from", F.col("_to") - F.col("_c")))
     picks, outs = [], []
@@ -146,8 +143,8 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
                      * (h - lo)).alias(name))
     if mean:
         outs.insert(0, F.col("_mean").alias(mean))
-    return (rows.groupBy(*keys).agg(*picks, F.max("_n").alias("_n"), F.max("_mean").alias("_mean"))
-            .select(*keys, *outs))
+    return (rows.groupBy("_g").agg(*picks, F.max("_n").alias("_n"), F.max("_mean").alias("_mean"))
+            .select(*[group_key[k].alias(k) for k in keys], *outs))
 
 
 def sensor_group_stats(df: DataFrame) -> DataFrame:

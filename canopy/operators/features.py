@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -136,10 +137,16 @@ class OrdinalCodes:
     """
 
     UNKNOWN = -1.0
+    SMALL = 50_000
 
     def __init__(self, codes: DataFrame):
         self.codes = codes
 
+    @cached_property
+    def small(self) -> bool:
+        """Whether the table has few enough rows to be sent to every task."""
+        return self.codes.limit(self.SMALL + 1).count() <= self.SMALL
+
     @classmethod
     def fit(cls, df: DataFrame, cols: Sequence[str]) -> "OrdinalCodes":
         """One pass over the rows for all columns; numbers sort as numbers, text as text."""
@@ -158,6 +165,7 @@ class OrdinalCodes:
         for c in cols:
             table = self.codes.where(F.col("column") == c).select(
                 F.col("value").alias("_value"), F.col("code").alias("_code"))
+            table = F.broadcast(table) if self.small else table
             df = (df.join(table, F.col(c).cast("string") == F.col("_value"), "left")
                   .withColumn(c, F.when(F.col(c).isNotNull(), F.coalesce("_code", F.lit(self.UNKNOWN))))
                   .drop("_value", "_code"))
@@ -221,7 +229,10 @@ def _assemble(df: DataFrame, t: Tables, forecast: bool, public: bool, watering:
         beds = categorise(t.trees_private.select("tree_id", "baumscheibe_m2", "baumscheibe_surface"),
                           bed="baumscheibe_m2")
         df = df.join(beds, "tree_id", "left")
-    df = df.join(monthly_long(t.shading_monthly), ["tree_id", "month"], "left")
+    # The month's value is picked from the wide row: melting it first would shuffle twelve times the rows.
+    of_month = F.get(F.array(*MONTHS), F.col("month") - 1)
+    df = (df.join(t.shading_monthly.select("tree_id", *MONTHS), "tree_id", "left")
+          .withColumn("shading_index", of_month).drop(*MONTHS))
     if not public and not forecast:
         w = watering.withColumnRenamed("timestamp", "_at")
         df = df.join(w, (df["tree_id"] == w["tree_id"]) & (df["timestamp"] == F.col("_at").cast("timestamp")),
@@ -245,7 +256,7 @@ def training_frame(t: Tables, forecast: bool, today: dt.date, public: bool = Fal
     base = sensor_base(t)
     watering = None
     if not public and not forecast:
-        keys = base.select("tree_id").distinct()
+        keys = t.sensors.select("tree_id").distinct()   # a tree without sensors needs no spine
         watering = watering_features(restrict(t.watering_gdk, keys, ["tree_id"]),
                                      restrict(t.watering_sga, keys, ["tree_id"]), SEASON_START, today)
     return _join_weather(_assemble(base, t, forecast, public, watering), _weather_for(t, forecast, public))

@@ -1,72 +1,53 @@
 """Exact order-dependent work on groups of any size.
 
 A window partitioned by a key puts the whole key into one task. Where a key has no natural bound
-(raw sensor timestamps, one global order) the functions here first cut the rows into range chunks of
-about equal size by the *whole* sort tuple, so a key that holds a third of the data is cut as well.
-The cut points come from a sample and only steer the balance; results are exact for any cut.
+(raw sensor timestamps, one global order) the rows are first range partitioned by the *whole* sort
+tuple, so a key that holds a third of the data is cut into many chunks like any other rows.
+
+The chunks are checkpointed before they are used: every later step then sees the same cut, also when
+executors are lost in between.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-CHUNKS = 64
-_PER_CHUNK = 32
+from canopy.session import cut_lineage
 
 
-def cut_points(df: DataFrame, cols: Sequence[str], chunks: int) -> list[Column]:
-    """About ``chunks - 1`` sort tuples that split the rows evenly.
+def chunked(df: DataFrame, cols: Sequence[str], chunks: int = 0) -> DataFrame:
+    """Rows sorted into range chunks: ``_chunk`` rises with the sort tuple, ``_at`` within a chunk.
 
-    The size of the sample is fixed, so neither a task's heap nor the driver grows with the data.
+    ``chunks=0`` takes the shuffle partitions of the session, joined by the adaptive planner where they
+    are small.
     """
-    sample = df.select(*cols).orderBy(F.rand(7)).limit(chunks * _PER_CHUNK)
-    w = Window.orderBy(*cols)
-    picked = (sample.withColumn("_i", F.row_number().over(w)).where(F.col("_i") % _PER_CHUNK == 0)
-              .select("_i", *[F.col(c).cast("string").alias(c) for c in cols])
-              .orderBy("_i").collect())
-    types = {f.name: f.dataType for f in df.select(*cols).schema}
-    return [F.struct(*[F.lit(r[c]).cast(types[c]).alias(c) for c in cols]) for r in picked]
-
-
-def chunk_number(key: Column, cuts: Sequence[Column], first: int = 0) -> Column:
-    """Binary search of the cut points as nested CASEs, so it is compiled and costs log2 comparisons."""
-    if not cuts:
-        return F.lit(first)
-    mid = len(cuts) // 2
-    return (F.when(key < cuts[mid], chunk_number(key, cuts[:mid], first))
-            .otherwise(chunk_number(key, cuts[mid + 1:], first + mid + 1)))
-
-
-def with_chunk(df: DataFrame, cols: Sequence[str], chunks: int = CHUNKS) -> DataFrame:
-    cuts = cut_points(df, cols, chunks)
-    return df.withColumn("_chunk", chunk_number(F.struct(*cols), cuts))
+    ranged = df.repartitionByRange(chunks, *cols) if chunks else df.repartitionByRange(*cols)
+    return cut_lineage(ranged.sortWithinPartitions(*cols).withColumns(
+        {"_chunk": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}))
 
 
-def ranked(df: DataFrame, order: Sequence[str], name: str = "rank", chunks: int = CHUNKS) -> DataFrame:
+def ranked(df: DataFrame, order: Sequence[str], name: str = "rank", chunks: int = 0) -> DataFrame:
     """Global 1-based row number over a unique ascending order, without one task seeing all rows."""
-    parts = with_chunk(df, order, chunks)
+    parts = chunked(df, order, chunks)
     before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per chunk, so the window over it and the broadcast are bounded by the chunk count.
-    offsets = (parts.groupBy("_chunk").count()
-               .select("_chunk", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before")))
-    local = F.row_number().over(Window.partitionBy("_chunk").orderBy(*order))
-    return (parts.withColumn("_local", local)
-            .join(F.broadcast(offsets), "_chunk")
-            .withColumn(name, F.col("_before") + F.col("_local"))
-            .drop("_chunk", "_local", "_before"))
+    # One row per chunk, so the window over it and the broadcast are bounded by the partition count.
+    offsets = (parts.groupBy("_chunk").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+               .select("_chunk", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift")))
+    return (parts.join(F.broadcast(offsets), "_chunk")
+            .withColumn(name, F.col("_at") + F.col("_shift")).drop("_chunk", "_at", "_shift"))
 
 
 def with_history(df: DataFrame, keys: Sequence[str], order: Sequence[str], back: int,
-                 chunks: int = CHUNKS) -> DataFrame:
+                 chunks: int = 0) -> DataFrame:
     """Cut every key into chunks and give each chunk the ``back`` rows that precede it.
 
     Adds ``_chunk`` (window over keys + ``_chunk``) and ``_halo`` (true on the copied rows, to be
     dropped afterwards). A chunk lends at most ``back`` rows, so the copies stay a small constant.
     """
     keys, order = list(keys), list(order)
-    parts = with_chunk(df, keys + order, chunks)
+    parts = chunked(df, keys + order, chunks).drop("_at")
     newest = Window.partitionBy("_chunk", *keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
     tails = (parts.withColumn("_i", F.row_number().over(newest)).where(F.col("_i") <= back)
              .groupBy("_chunk", *keys)

@@ -73,7 +73,10 @@ def restrict_to_mask(shapes: DataFrame, mask: DataFrame, shape_id: str, geometry
     near = ((F.col("_box.x0") <= F.col("_m_box.x1")) & (F.col("_box.x1") >= F.col("_m_box.x0"))
             & (F.col("_box.y0") <= F.col("_m_box.y1")) & (F.col("_box.y1") >= F.col("_m_box.y0")))
     same = (F.col("a._bx") == F.col("b._bx")) & (F.col("a._by") == F.col("b._by"))
-    hits = a.join(b, same & near & geo.intersects("_edges", "_m_edges"), "left_semi")
+    # A pair that shares several bins is tested once: in the bin of the lower left corner both boxes share.
+    once = ((F.col("a._bx") == _bin(F.greatest("_box.x0", "_m_box.x0"), cell))
+            & (F.col("a._by") == _bin(F.greatest("_box.y0", "_m_box.y0"), cell)))
+    hits = a.join(b, same & near & once & geo.intersects("_edges", "_m_edges"), "left_semi")
     return shapes.join(hits.select(shape_id).distinct(), shape_id, "left_semi")
 
 

@@ -1,8 +1,8 @@
 """Trailing frames, lags, latest-per-key, gap filling and calendar blocks.
 
 Frames count rows, not days. Where the partition is a daily series its size is bounded by the
-calendar and a plain window is used; for raw timestamps pass ``chunks`` and the same result is
-computed over chunks of each key (see ``ranking``).
+calendar and a plain window is used; for raw timestamps pass ``chunks`` (0: as many as the session has
+shuffle partitions) and the same result is computed over chunks of each key (see ``ranking``).
 """
 
 from __future__ import annotations

@@ -136,7 +136,7 @@ WINDOW w AS (PARTITION BY event_type ORDER BY event_id)""")
 def lags_hot_keys(r: Roles) -> DataFrame:
     """Lags over single readings of five kinds, cut into chunks."""
     df = r.events.select("event_id", "event_type", "value")
-    return W.add_lags(df, ["event_type"], "event_id", "value", 2, chunks=32).drop("value")
+    return W.add_lags(df, ["event_type"], "event_id", "value", 2, chunks=0).drop("value")
 
 
 _GRID = """

@@ -52,7 +52,7 @@ WINDOW w AS (PARTITION BY type_id ORDER BY timestamp, id ROWS BETWEEN 6 PRECEDIN
 def trailing_hot_keys(r: Roles) -> DataFrame:
     """Four keys hold all readings, so each is cut into chunks that carry their history."""
     df = W.trailing(r.readings.select("id", "type_id", "timestamp", "value"), ["timestamp", "id"], 7,
-                    {"sum_7": F.sum("value"), "avg_7": F.avg("value")}, ["type_id"], chunks=32)
+                    {"sum_7": F.sum("value"), "avg_7": F.avg("value")}, ["type_id"], chunks=0)
     return rounded(df.select("id", "type_id", "sum_7", "avg_7"), "sum_7", "avg_7")
 
 

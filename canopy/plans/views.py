@@ -11,7 +11,7 @@ from canopy.functions import geo
 from canopy.functions.scalars import literal_day, round_to_int
 from canopy.operators.aggregates import (
     distinct_sorted_array, pivot_latest, pivot_latest_positional, sensor_group_stats, watering_view)
-from canopy.operators.relational import join_on_day, since
+from canopy.operators.relational import since
 from canopy.operators.spatial import join_contains
 from canopy.operators.windows import latest_per, newest_first, trailing, trailing_weather
 
@@ -54,21 +54,29 @@ def sensor_measurements_agg(sensors: DataFrame) -> DataFrame:
 
 
 def _training_base(sensors: DataFrame, shading: DataFrame, trees: DataFrame) -> DataFrame:
+    """Readings with what depends on the tree alone. ``_day`` is cut once and kept for the joins by day."""
     shade = shading.select("tree_id", *[F.col(s).alias(f"shading_{s}") for s in ("winter", "spring", "summer", "fall")])
     kind = trees.select(F.col("id").alias("tree_id"), F.col("gattung_deutsch").alias("tree_gattung"),
                         F.col("standalter").alias("tree_standalter"))
     return (sensors.select("tree_id", "type_id", F.col("timestamp").alias("nowcast_date"),
-                           F.col("value").alias("target"))
+                           F.col("value").alias("target"), F.to_date("timestamp").alias("_day"))
             .join(shade, "tree_id", "left").join(kind, "tree_id", "left"))
 
 
-def _with_group_figures(df: DataFrame, weather_agg: DataFrame, sensor_agg: DataFrame) -> DataFrame:
-    weather = weather_agg.select("date", F.col("rainfall_mm_14d_sum").alias("weather_rainfall_mm_14d_sum"),
-                                 F.col("temp_avg_c_14d_avg").alias("weather_temp_avg_c_14d_avg"))
+def _by_day(df: DataFrame, side: DataFrame, *keys: str) -> DataFrame:
+    return df.join(side.withColumnRenamed("date", "_day"), ["_day", *keys], "left")
+
+
+def _with_group_figures(df: DataFrame, city: DataFrame, sensor_agg: DataFrame) -> DataFrame:
+    """``city`` has one row per day, so its size is bounded by the calendar."""
     medians = sensor_agg.select("type_id", F.to_date("timestamp").alias("date"),
                                 F.col("median_value").alias("sensor_group_median"))
-    df = join_on_day(df, "nowcast_date", weather, "date")
-    return join_on_day(df, "nowcast_date", medians, "date", ["type_id"])
+    return _by_day(_by_day(df, city), medians, "type_id")
+
+
+def _city_weather(weather_agg: DataFrame) -> DataFrame:
+    return weather_agg.select("date", F.col("rainfall_mm_14d_sum").alias("weather_rainfall_mm_14d_sum"),
+                              F.col("temp_avg_c_14d_avg").alias("weather_temp_avg_c_14d_avg"))
 
 
 _BASE = ["tree_id", "type_id", "nowcast_date", "shading_winter", "shading_spring", "shading_summer",
@@ -86,7 +94,7 @@ def nowcast_training_data(sensors: DataFrame, shading: DataFrame, trees: DataFra
 
     ``ordered`` adds the view's sort, a full shuffle that training does not need.
     """
-    df = _with_group_figures(_training_base(sensors, shading, trees), weather_agg, sensor_agg)
+    df = _with_group_figures(_training_base(sensors, shading, trees), _city_weather(weather_agg), sensor_agg)
     return _ordered(df.select(*_BASE, *_FIGURES, "target"), ordered)
 
 
@@ -99,9 +107,9 @@ def newest_weather_forecast(forecast: DataFrame, cols: list[str], tile: int | No
 def forecast_training_data(sensors: DataFrame, shading: DataFrame, trees: DataFrame, weather_agg: DataFrame,
                            sensor_agg: DataFrame, weather_forecast: DataFrame, tile: int | None = None,
                            ordered: bool = False) -> DataFrame:
-    df = _with_group_figures(_training_base(sensors, shading, trees), weather_agg, sensor_agg)
     current = newest_weather_forecast(weather_forecast, ["temp_max_c", "rainfall_mm"], tile)
-    df = join_on_day(df, "nowcast_date", current, "date")
+    city = _city_weather(weather_agg).join(current, "date", "full_outer")
+    df = _with_group_figures(_training_base(sensors, shading, trees), city, sensor_agg)
     return _ordered(df.select(*_BASE, *_FIGURES, "temp_max_c", "rainfall_mm", "target"), ordered)
 
 
@@ -113,19 +121,22 @@ def forecast_training_data_dev(sensors: DataFrame, shading: DataFrame, trees: Da
                                weather_agg: DataFrame, tile_weather: DataFrame, gdk: DataFrame, sga: DataFrame,
                                tree_tiles: DataFrame, radolan_agg: DataFrame, sensor_agg: DataFrame,
                                tile: int = CITY_TILE, ordered: bool = False) -> DataFrame:
-    """The widest training frame. Joins by tree come first and share one shuffle of the readings."""
+    """The widest training frame.
+
+    The readings are shuffled once for all joins by tree and once for both waterings; what is known per
+    day for the whole city is joined together first.
+    """
     private = trees_private.select("tree_id", F.col("baumscheibe_m2").alias("tree_baumscheibe"),
                                    F.col("vitality_index").alias("tree_vitality_index"))
     df = (_training_base(sensors, shading, trees).join(private, "tree_id", "left")
           .join(tree_tiles.select("tree_id", "tile_id"), "tree_id", "left"))
     for source, name in ((gdk, "gdk_amount_liters"), (sga, "sga_amount_liters")):
-        water = source.select("tree_id", "date", F.col("amount_liters").alias(name))
-        df = join_on_day(df, "nowcast_date", water, "date", ["tree_id"])
+        df = _by_day(df, source.select("tree_id", "date", F.col("amount_liters").alias(name)), "tree_id")
     rain = radolan_agg.select("tile_id", "date", F.col("rainfall_mm_14d_sum").alias("radolan_mm_14d_sum"))
-    df = join_on_day(df, "nowcast_date", rain, "date", ["tile_id"])
+    df = _by_day(df, rain, "tile_id")
     sun = tile_weather.where(F.col("tile_id") == tile).select("date", *_SUN)
-    df = join_on_day(df, "nowcast_date", sun, "date")
-    df = _with_group_figures(df, weather_agg, sensor_agg)
+    city = _city_weather(weather_agg).join(sun, "date", "full_outer")
+    df = _with_group_figures(df, city, sensor_agg)
     return _ordered(df.select(*_BASE, "tree_baumscheibe", "tree_vitality_index", *_FIGURES, *_SUN,
                               "gdk_amount_liters", "sga_amount_liters", "tile_id", "radolan_mm_14d_sum",
                               "target"), ordered)

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot key also where several joins share one shuffle; costs a shuffle only when there is one.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
@@ -20,6 +22,7 @@ def build_session(app: str = "canopy", master: str | None = None, **conf: str) -
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    conf = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true", **conf}
     for key, value in {**SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
