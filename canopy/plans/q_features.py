@@ -89,16 +89,22 @@ def bins(r: Roles) -> DataFrame:
 
 @query("ordinal_codes", """
 WITH c AS (SELECT c_custkey, CASE WHEN c_custkey % 120 BETWEEN 1 AND 3 THEN 'jung' WHEN c_custkey % 120 BETWEEN 4 AND 10 THEN 'mittel'
- WHEN c_custkey % 120 BETWEEN 11 AND 100 THEN 'alt' END AS age, c_mktsegment AS genus, c_nationkey FROM customer),
-g AS (SELECT genus, row_number() OVER (ORDER BY genus) - 1 AS code FROM (SELECT DISTINCT genus FROM c WHERE c_nationkey > 12 AND genus <> 'BUILDING'))
+ WHEN c_custkey % 120 BETWEEN 11 AND 100 THEN 'alt' END AS age, CAST(c_nationkey AS VARCHAR) AS genus, c_nationkey AS month FROM customer),
+s AS (SELECT DISTINCT s_nationkey AS month, CAST(s_nationkey AS VARCHAR) AS genus FROM supplier),
+g AS (SELECT genus, row_number() OVER (ORDER BY genus) - 1 AS code FROM s),
+m AS (SELECT month, row_number() OVER (ORDER BY month) - 1 AS code FROM s)
 SELECT c_custkey, CAST(CASE age WHEN 'alt' THEN 0 WHEN 'jung' THEN 1 WHEN 'mittel' THEN 2 END AS DOUBLE) AS age,
- CAST(coalesce(g.code, -1) AS DOUBLE) AS genus FROM c LEFT JOIN g USING (genus)""")
+ CAST(coalesce(g.code, -1) AS DOUBLE) AS genus, CAST(coalesce(m.code, -1) AS DOUBLE) AS month
+FROM c LEFT JOIN g USING (genus) LEFT JOIN m USING (month)""")
 def ordinal_codes(r: Roles) -> DataFrame:
-    """Codes fitted without one genus, which is then unknown; ages outside all bins stay missing."""
-    df = r.customer.select("c_custkey", "c_nationkey", F.col("c_mktsegment").alias("genus"),
-                           X.classify(F.pmod("c_custkey", F.lit(120)), AGE_BINS).alias("age"))
-    codes = E.OrdinalCodes.fit(df.where("c_nationkey > 12 AND genus <> 'BUILDING'"), ["genus", "age"])
-    return codes.transform(df, ["genus", "age"]).drop("c_nationkey")
+    """Nations coded from the suppliers, as text and as number, and applied to the customers: a nation
+    without a supplier is unknown. Ages outside all bins stay missing."""
+    nation, age = F.col("c_nationkey"), X.classify(F.pmod("c_custkey", F.lit(120)), AGE_BINS)
+    df = r.customer.select("c_custkey", nation.cast("string").alias("genus"), nation.alias("month"), age.alias("age"))
+    key = F.col("s_nationkey")
+    nations = E.OrdinalCodes.fit(r.supplier.select(key.cast("string").alias("genus"), key.alias("month")), ["genus", "month"])
+    ages = E.OrdinalCodes.fit(df, ["age"])
+    return ages.transform(nations.transform(df, ["genus", "month"]), ["age"])
 
 
 @query("mode_impute", with_roles("trees_private", p="""
@@ -214,3 +220,24 @@ def forecast_inference_frame(r: Roles) -> DataFrame:
 @query("site_folds")
 def site_folds(r: Roles) -> DataFrame:
     return E.site_folds(r.customer.select(F.col("c_custkey").alias("site_id")))
+
+
+@query("site_fold_sizes", """
+SELECT CAST(f AS INTEGER) AS fold, (SELECT count(*) FROM customer) // 4 + CAST(f < (SELECT count(*) FROM customer) % 4 AS BIGINT) AS sites
+FROM (SELECT unnest([0, 1, 2, 3]) AS f)""")
+def site_fold_sizes(r: Roles) -> DataFrame:
+    folds = E.site_folds(r.customer.select(F.col("c_custkey").alias("site_id")))
+    return folds.groupBy("fold").agg(F.count("*").alias("sites"))
+
+
+@query("site_fold_features", """
+WITH e AS (SELECT user_id AS site_id, 1 AS type_id, CAST(ts AS DATE) AS timestamp, avg(value) AS value FROM events GROUP BY 1, 3),
+m AS (SELECT timestamp, avg(value) AS v FROM e GROUP BY 1), y AS (SELECT timestamp, lag(v) OVER (ORDER BY timestamp) AS mean_yesterday FROM m)
+SELECT e.site_id, e.timestamp, round(y.mean_yesterday + 1e-9, 4) AS mean_yesterday FROM e JOIN y USING (timestamp) WHERE y.mean_yesterday IS NOT NULL""")
+def site_fold_features(r: Roles) -> DataFrame:
+    """All sites in one training part: no fold is held out, so the feature is that of the whole data."""
+    e = (r.events.groupBy(F.col("user_id").alias("site_id"), F.lit(1).alias("type_id"), F.to_date("ts").alias("timestamp"))
+         .agg(F.avg("value").alias("value")))
+    folds = E.site_folds(e, 2)
+    train, _ = E.fold_frames(e, folds, fold=-1)
+    return rounded(train.select("site_id", "timestamp", "mean_yesterday"), "mean_yesterday")

@@ -32,7 +32,14 @@ def create_table(spark: SparkSession, table: str, schema: str, day: str | None =
 
 
 def _in_table_order(df: DataFrame, table: str) -> DataFrame:
-    return df.select(*df.sparkSession.table(table).columns)
+    """Columns as the table has them; rows gathered by its partition, a large day over several tasks.
+
+    Without the gathering every task would write a small file into every day.
+    """
+    spark = df.sparkSession
+    days = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    df = df.select(*spark.table(table).columns)
+    return df.hint("rebalance", *days) if days else df
 
 
 def current(spark: SparkSession, table: str) -> DataFrame:

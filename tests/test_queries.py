@@ -17,6 +17,8 @@ def con():
 @pytest.mark.parametrize("name", [n for n in queries() if n not in SLOW])
 def test_query(spark, con, name):
     df = queries()[name](spark, FOLDER)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
     sql = oracle_sql().get(name)
     if sql is None:
         assert df.count() > 0
