@@ -147,21 +147,23 @@ def mosaic(r: Roles) -> DataFrame:
 def _filter_sql(weights: list[float]) -> str:
     k = len(weights) // 2
     w = ", ".join(f"({i - k}, {x!r})" for i, x in enumerate(weights))
-    return with_roles("raster", e='SELECT max("row") AS r, max(col) AS c FROM raster', w=f"SELECT * FROM (VALUES {w}) AS v(d, f)") + """
-SELECT m.raster_id, m."row", m.col, round(sum(s.value * a.f * b.f) + 1e-9, 4) AS value FROM raster m, e, w a, w b
-JOIN raster s ON s."row" = CASE WHEN m."row" + a.d < 0 THEN -(m."row" + a.d) WHEN m."row" + a.d > e.r THEN 2 * e.r - m."row" - a.d ELSE m."row" + a.d END
+    return with_roles("rasters", e='SELECT raster_id, max("row") AS r, max(col) AS c FROM rasters GROUP BY 1',
+                      w=f"SELECT * FROM (VALUES {w}) AS v(d, f)") + """
+SELECT m.raster_id, m."row", m.col, round(sum(s.value * a.f * b.f) + 1e-9, 4) AS value FROM rasters m JOIN e USING (raster_id), w a, w b
+JOIN rasters s ON s.raster_id = m.raster_id
+ AND s."row" = CASE WHEN m."row" + a.d < 0 THEN -(m."row" + a.d) WHEN m."row" + a.d > e.r THEN 2 * e.r - m."row" - a.d ELSE m."row" + a.d END
  AND s.col = CASE WHEN m.col + b.d < 0 THEN -(m.col + b.d) WHEN m.col + b.d > e.c THEN 2 * e.c - m.col - b.d ELSE m.col + b.d END
 GROUP BY 1, 2, 3"""
 
 
 @query("box_filter", _filter_sql([0.2] * 5))
 def box_filter(r: Roles) -> DataFrame:
-    return rounded(RA.box_filter(r.raster, 5), "value")
+    return rounded(RA.box_filter(r.rasters, 5), "value")
 
 
 @query("gaussian_filter", _filter_sql(RA.gaussian_weights(5, 1.3)))
 def gaussian_filter(r: Roles) -> DataFrame:
-    return rounded(RA.gaussian_filter(r.raster, 5, 1.3), "value")
+    return rounded(RA.gaussian_filter(r.rasters, 5, 1.3), "value")
 
 
 @query("reproject", with_roles("trees") + "SELECT id, round(13 + lng / 10 + 1e-9, 4) AS lon, round(52 + lat / 10 + 1e-9, 4) AS lat, true AS in_zone FROM trees")

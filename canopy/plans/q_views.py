@@ -179,10 +179,10 @@ def watering_union(r: Roles) -> DataFrame:
 
 @query("tree_rain_fn", with_roles("trees", "tiles", "radolan") + """
 SELECT r.date, round(sum(r.rainfall_mm) + 1e-9, 4) AS rainfall_in_mm FROM radolan r JOIN tiles ON tiles.id = r.tile_id
-JOIN trees t ON t.id = '3' AND t.lng > x0 AND t.lng < x1 AND t.lat > y0 AND t.lat < y1
-WHERE r.date >= DATE '2024-09-01' - INTERVAL 13 DAY GROUP BY r.tile_id, r.date ORDER BY r.date DESC""")
+JOIN trees t ON t.id = '0' AND t.lng > x0 AND t.lng < x1 AND t.lat > y0 AND t.lat < y1
+WHERE r.date >= DATE '2024-06-01' - INTERVAL 13 DAY GROUP BY r.tile_id, r.date ORDER BY r.date DESC""")
 def tree_rain_fn(r: Roles) -> DataFrame:
-    return rounded(V.rainfall_for("3", r.trees, r.tiles, r.radolan, dt.date(2024, 9, 1)), "rainfall_in_mm")
+    return rounded(V.rainfall_for("0", r.trees, r.tiles, r.radolan, dt.date(2024, 6, 1)), "rainfall_in_mm")
 
 
 @query("inference_fn", with_roles("trees", "shading", "tile_agg", "sensor_agg") + """

@@ -184,6 +184,15 @@ class Roles:
                                 F.pmod("p_partkey", F.lit(50)).cast("int").alias("col"),
                                 F.col("p_retailprice").alias("value"))
 
+    @property
+    def rasters(self) -> DataFrame:
+        """Maps of 20 by 50 cells, one per thousand parts."""
+        line = F.floor(F.col("p_partkey") / 50)
+        return self.part.select(F.floor(F.col("p_partkey") / 1000).cast("string").alias("raster_id"),
+                                F.pmod(line, F.lit(20)).cast("int").alias("row"),
+                                F.pmod("p_partkey", F.lit(50)).cast("int").alias("col"),
+                                (F.col("p_retailprice") + F.col("p_size")).alias("value"))
+
 
 # --- the same roles as SQL --------------------------------------------------------------------
 
@@ -232,6 +241,8 @@ ROLE_SQL = {
     "devices": "SELECT CAST(c_custkey AS VARCHAR) AS tree_id, CAST(c_nationkey AS BIGINT) AS site_id FROM customer",
     "raster": """SELECT 'map' AS raster_id, CAST(p_partkey // 50 AS INTEGER) AS "row", CAST(p_partkey % 50 AS INTEGER) AS col,
  p_retailprice AS value FROM part""",
+    "rasters": """SELECT CAST(p_partkey // 1000 AS VARCHAR) AS raster_id, CAST(p_partkey // 50 % 20 AS INTEGER) AS "row",
+ CAST(p_partkey % 50 AS INTEGER) AS col, p_retailprice + p_size AS value FROM part""",
     # Derived steps several checks share.
     "weather_agg": """SELECT date, sum(rainfall_mm) OVER w AS rainfall_mm_14d_sum, avg(temp_avg_c) OVER w AS temp_avg_c_14d_avg,
  avg(wind_avg_ms) OVER w AS wind_avg_ms_14d_avg, avg(temp_max_c) OVER w AS temp_max_c_14d_avg,
