@@ -11,6 +11,7 @@ from canopy.functions import scalars as X
 from canopy.operators import aggregates as A, features as E, windows as W
 from canopy.plans.registry import query
 from canopy.plans.standins import Roles, rounded, with_roles
+from canopy.session import cut_lineage
 
 _MONTHLY = "SELECT CAST(o_custkey AS VARCHAR) AS tree_id, " + ", ".join(
     f"avg(CASE WHEN month(o_orderdate) = {i} THEN o_totalprice / 1e6 END) AS {m}" for i, m in enumerate(MONTHS, start=1)
@@ -241,3 +242,67 @@ def site_fold_features(r: Roles) -> DataFrame:
     folds = E.site_folds(e, 2)
     train, _ = E.fold_frames(e, folds, fold=-1)
     return rounded(train.select("site_id", "timestamp", "mean_yesterday"), "mean_yesterday")
+
+
+def _small_frame(r: Roles) -> DataFrame:
+    beds = E.categorise(r.trees_private.select("tree_id", "baumscheibe_m2"), bed="baumscheibe_m2")
+    kind = r.trees.select(F.col("id").alias("tree_id"), "gattung")
+    return r.sensors.join(kind, "tree_id").join(beds, "tree_id").withColumn("month", F.month("timestamp"))
+
+
+_SMALL_SQL = dict(
+    f=f"""SELECT s.tree_id, s.type_id, s.timestamp, s.value, t.gattung, {_BED_SQL.format('p.baumscheibe_m2')} AS bed, month(s.timestamp) AS month
+ FROM sensors s JOIN trees t ON t.id = s.tree_id JOIN trees_private p ON p.tree_id = s.tree_id""",
+    m="SELECT bed FROM f WHERE bed IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, CASE bed WHEN 'klein' THEN 0 ELSE 1 END LIMIT 1",
+    means="SELECT timestamp, type_id, avg(value) AS v FROM f GROUP BY 1, 2",
+    y="SELECT timestamp, type_id, lag(v) OVER (PARTITION BY type_id ORDER BY timestamp) AS mean_yesterday FROM means",
+    x="""SELECT f.tree_id, f.type_id, f.timestamp, f.value, f.gattung, f.month, coalesce(f.bed, (SELECT bed FROM m)) AS bed, y.mean_yesterday
+ FROM f JOIN y ON y.timestamp = f.timestamp AND y.type_id = f.type_id WHERE f.type_id <= 3""",
+    g="""SELECT tree_id, type_id, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS timestamp
+ FROM (SELECT tree_id, type_id, min(timestamp) AS lo, max(timestamp) AS hi FROM x GROUP BY 1, 2)""",
+    filled="""SELECT g.tree_id, g.type_id, g.timestamp, x.value, x.gattung, x.month, x.bed, x.mean_yesterday FROM g ASOF JOIN x
+ ON x.tree_id = g.tree_id AND x.type_id = g.type_id AND x.timestamp <= g.timestamp WHERE g.timestamp - x.timestamp <= 7""",
+    genus="SELECT gattung, row_number() OVER (ORDER BY gattung) - 1 AS code FROM (SELECT DISTINCT gattung FROM f)",
+    beds="SELECT bed, row_number() OVER (ORDER BY bed) - 1 AS code FROM (SELECT DISTINCT bed FROM f WHERE bed IS NOT NULL)",
+    months="SELECT month, row_number() OVER (ORDER BY month) - 1 AS code FROM (SELECT DISTINCT month FROM f)")
+
+
+@query("preprocess_train", with_roles("sensors", "trees", "trees_private", **_SMALL_SQL) + """
+SELECT z.tree_id, z.type_id, z.timestamp, round(z.value + 1e-9, 4) AS target, round(z.mean_yesterday + 1e-9, 4) AS mean_yesterday,
+ CAST(genus.code AS DOUBLE) AS gattung, CAST(beds.code AS DOUBLE) AS baumscheibe_m2, CAST(months.code AS DOUBLE) AS month
+FROM filled z JOIN genus USING (gattung) JOIN beds USING (bed) JOIN months USING (month)
+WHERE z.value IS NOT NULL AND month(z.timestamp) BETWEEN 4 AND 9""")
+def preprocess_train(r: Roles) -> DataFrame:
+    """Imputed, with yesterday's mean, filled to days, encoded and labelled."""
+    frame = cut_lineage(_small_frame(r))
+    return rounded(E.Preprocessor(False).fit(frame).transform_train(frame), "target", "mean_yesterday")
+
+
+@query("preprocess_forecast", with_roles("sensors", "trees", "trees_private", **_SMALL_SQL,
+       dense="""SELECT g.tree_id, g.type_id, g.timestamp, CASE WHEN g.timestamp - x.timestamp <= 7 THEN x.value END AS value FROM g ASOF JOIN x
+ ON x.tree_id = g.tree_id AND x.type_id = g.type_id AND x.timestamp <= g.timestamp WHERE month(g.timestamp) BETWEEN 4 AND 9""",
+       lagged="SELECT *, " + ", ".join(f"lag(value, {i}) OVER w AS shift_{i}" for i in (1, 2, 3))
+       + " FROM dense WINDOW w AS (PARTITION BY tree_id, type_id ORDER BY timestamp)") + """
+SELECT tree_id, type_id, timestamp, round(value + 1e-9, 4) AS target, """ + ", ".join(
+    f"round(shift_{i} + 1e-9, 4) AS shift_{i}" for i in (1, 2, 3)) + " FROM lagged WHERE value IS NOT NULL")
+def preprocess_forecast(r: Roles) -> DataFrame:
+    """The same for the forecast, whose models take the three days before; a day beyond the fill is null there."""
+    frame = cut_lineage(_small_frame(r))
+    df = E.Preprocessor(True).fit(frame).transform_train(frame)
+    return rounded(df.select("tree_id", "type_id", "timestamp", "target", "shift_1", "shift_2", "shift_3"),
+                   "target", "shift_1", "shift_2", "shift_3")
+
+
+@query("preprocess_inference", with_roles("sensors", "trees", "trees_private", **_SMALL_SQL,
+       tm="SELECT bed FROM (SELECT " + _BED_SQL.format("baumscheibe_m2") + """ AS bed FROM trees JOIN trees_private ON id = tree_id WHERE street_tree)
+ WHERE bed IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, CASE bed WHEN 'klein' THEN 0 ELSE 1 END LIMIT 1""") + f"""
+SELECT t.id AS tree_id, CAST(coalesce(genus.code, -1) AS DOUBLE) AS gattung, CAST(coalesce(beds.code, -1) AS DOUBLE) AS baumscheibe_m2,
+ CAST(coalesce(months.code, -1) AS DOUBLE) AS month
+FROM trees t JOIN trees_private p ON p.tree_id = t.id LEFT JOIN genus ON genus.gattung = t.gattung
+LEFT JOIN beds ON beds.bed = coalesce({_BED_SQL.format('p.baumscheibe_m2')}, (SELECT bed FROM tm)) LEFT JOIN months ON months.month = 6
+WHERE t.street_tree""")
+def preprocess_inference(r: Roles) -> DataFrame:
+    """Trees in June, a month the codes were not fitted on; beds imputed by the trees' own mode."""
+    prep = E.Preprocessor(True).fit(cut_lineage(_small_frame(r)))
+    frame = E.inference_frame(tables(r), True, dt.date(2024, 6, 20))
+    return prep.transform_inference(cut_lineage(frame)).select("tree_id", "gattung", "baumscheibe_m2", "month")

@@ -39,6 +39,23 @@ def train_nowcast(r: Roles) -> DataFrame:
     return M.nowcast(fitted, frame, M.group_means(prep.last_mean), LAST, CREATED)
 
 
+_KNOWN = """WITH m AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS tree_id FROM orders WHERE month(o_orderdate) = 5),
+t AS (SELECT CAST(c_custkey AS VARCHAR) AS tree_id FROM customer WHERE c_acctbal > 0 AND c_custkey % 120 > 0 AND c_custkey % 120 <= 100)
+"""
+
+
+@query("nowcast_coverage", _KNOWN + """
+SELECT tree_id, k AS type_id, DATE '2024-05-20' AS day, true AS plausible FROM t JOIN m USING (tree_id), (SELECT unnest([1, 2, 3, 4]) AS k)""")
+def nowcast_coverage(r: Roles) -> DataFrame:
+    """Every street tree with complete inputs has a value per depth and their mean, within the sensors' range."""
+    prep, rows = _training(r, False)
+    fitted = M.train_nowcast(rows, {**SMALL, "numTrees": 2})
+    frame = prep.transform_inference(cut_lineage(E.inference_frame(tables(r), False, LAST)))
+    df = M.nowcast(fitted, frame, M.group_means(prep.last_mean), LAST, CREATED)
+    lo, hi = (rows.agg(f("target")).scalar() for f in (F.min, F.max))
+    return df.select("tree_id", "type_id", F.to_date("timestamp").alias("day"), F.col("value").between(lo, hi).alias("plausible"))
+
+
 @query("forecast_14")
 def forecast_14(r: Roles) -> DataFrame:
     """Fourteen recursive days for every street tree and depth."""
