@@ -38,7 +38,7 @@ def mask_intersects(r: Roles) -> DataFrame:
     x, y, k = F.col("geometry.x"), F.col("geometry.y"), F.col("r_regionkey")
     squares = r.trees.select("id", geo.box_ring(x - 0.05, y - 0.05, x + 0.05, y + 0.05).alias("geometry"))
     mask = r.region.select(geo.box_ring(k * 0.9 + 0.25, k * 0.8 + 0.1, k * 0.9 + 0.65, k * 0.8 + 1.3).alias("geometry"))
-    return S.restrict_to_mask(squares, mask, "id").select("id")
+    return S.restrict_to_mask(squares, mask, "id", cell=0.4).select("id")
 
 
 _CORNERS = """corners AS (SELECT p_partkey // 50 AS x, p_partkey % 50 AS y, 13 + (p_partkey // 50) * 0.01 + (p_partkey % 50) * 0.001 AS lon,
