@@ -10,7 +10,7 @@ from canopy.constants import SENSOR_TYPES
 from canopy.operators import aggregates as A, windows as W
 from canopy.plans import views as V
 from canopy.plans.registry import query
-from canopy.plans.standins import Roles, rd, rounded, text, with_roles
+from canopy.plans.standins import Roles, rounded, text, with_roles
 
 TRAILING = ["rainfall_mm_14d_sum", "temp_avg_c_14d_avg", "wind_avg_ms_14d_avg", "temp_max_c_14d_avg", "wind_max_ms_14d_avg"]
 _R = ", ".join(f"round({c} + 1e-9, 4) AS {c}" for c in TRAILING)

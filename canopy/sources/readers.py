@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from canopy.constants import (
-    CUSTOMERS, HOURLY_FIELDS, ISSUE_TYPES, MONTHS, SENSOR_TYPES, STATION_FIELDS, WEATHER_TILES)
+    CUSTOMERS, HOURLY_FIELDS, ISSUE_TYPES, SENSOR_TYPES, STATION_FIELDS, WEATHER_TILES)
 from canopy.functions import geo
 from canopy.functions.scalars import nullable, parse_day
 from canopy.operators.relational import rename
