@@ -29,7 +29,8 @@ LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 PLAIN_PATTERN = (rf" ?[{LETTERS}]+|'(?:[stmd]|re|ve|ll)| ?[0-9]+| ?[^\s{LETTERS}0-9]+"
                  r"|\s+(?!\S)|\s+")
 
-KNOWN_PIECES = 500_000    # pieces a Python process remembers; it forgets all when full
+HELD_CHARS = 1 << 21      # of texts whose pieces are held at once, or one text
+KNOWN_PIECES = 400_000    # pieces a Python process remembers; it forgets all when full
 TREES = 1 << 17           # bytes of pieces merged side by side
 NONE = np.int64(1 << 40)  # above every rank
 
@@ -151,9 +152,18 @@ class Encoder:
 
     def encode(self, values: list) -> list[str]:
         """Decimal ids joined by commas, one string a text; a null is an empty text."""
-        cut = [self.cut(v) if v else [] for v in values]
-        self.learn(cut)
-        return [",".join(map(self.ids.__getitem__, c)) for c in cut]
+        out: list[str] = []
+        start = 0
+        while start < len(values):
+            cut, held = [], 0
+            while start < len(values) and held < HELD_CHARS:
+                value = values[start] or ""
+                cut.append(self.cut(value))
+                held += len(value)
+                start += 1
+            self.learn(cut)
+            out += [",".join(map(self.ids.__getitem__, c)) for c in cut]
+        return out
 
 
 @functools.lru_cache(maxsize=2)

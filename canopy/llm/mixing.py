@@ -61,7 +61,7 @@ def by_code_point(sources: list) -> list:
 def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
         weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, seed: str = "mix",
         most_sources: int = 100_000) -> DataFrame:
-    """(key, source, size, source_size, target, copies) for every row of the table.
+    """(key, source, size, source_size, target, copies, tie) for every row of the table.
 
     ``size`` counts the words of the whole text (null: 0). The weights repeat over the sources in code
     point order, null last. A document of size 0 is in the sample like any other and adds nothing. The
@@ -101,4 +101,19 @@ def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "s
     return (placed.join(cells, ["s", "size", "cell"]).withColumn("at", at)
             .withColumn("copies", (F.floor(F.col("at") * F.col("rate") + offset)
                                    - F.floor((F.col("at") - 1) * F.col("rate") + offset)).cast("long"))
-            .select(F.col("key").alias(key), F.col("source").alias(source), "size", "source_size", "target", "copies"))
+            .select(F.col("key").alias(key), F.col("source").alias(source), "size", "source_size", "target", "copies", "tie"))
+
+
+def take(df: DataFrame, key: str = "doc_id", text: str = "text", seed: str = "mix", **settings) -> DataFrame:
+    """The mix itself: every row as often as ``mix`` says, in all columns of ``df``; see there for settings.
+
+    Rows are met by key, hash and their number among rows alike in both, so repeated rows and null keys get
+    their own copies.
+    """
+    alike = Window.partitionBy("_key", "_tie").orderBy("_tie")
+    rows = df.withColumns({"_key": F.col(key), "_tie": hashed([F.col(key), F.col(text)], seed, 15)}).withColumn(
+        "_i", F.row_number().over(alike))
+    copies = (mix(df, key, text, seed=seed, **settings).select(F.col(key).alias("_key"), F.col("tie").alias("_tie"), "copies")
+              .withColumn("_i", F.row_number().over(alike)).where("copies > 0").withColumnRenamed("_key", "_k"))
+    return (rows.join(copies, (rows["_key"].eqNullSafe(copies["_k"])) & (rows["_tie"] == copies["_tie"]) & (rows["_i"] == copies["_i"]))
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*[df[c] for c in df.columns]))

@@ -10,7 +10,7 @@ chunk then joins the repeated windows of each document into maximal intervals of
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -146,6 +146,14 @@ def cut(text: str | None, spans: list[tuple[int, int]], one_space: bool) -> str
     return b"".join(kept + [raw[at:]]).decode()
 
 
+def nullable(kind: pa.DataType) -> pa.DataType:
+    if pa.types.is_struct(kind):
+        return pa.struct([pa.field(f.name, nullable(f.type)) for f in kind])
+    if pa.types.is_list(kind):
+        return pa.list_(nullable(kind.value_type))
+    return kind
+
+
 def remove(buckets: int, window: int, one_space: bool):
     def run(docs: pa.Table, bits: pa.Table) -> pa.Table:
         values, ids = docs["text"].to_pylist(), docs["key"].to_pylist()
@@ -164,6 +172,9 @@ def remove(buckets: int, window: int, one_space: bool):
             spans = [intervals(covered[a:b]) for a, b in zip(w.starts, w.starts[1:])]
         counts = [len(v.encode().split()) if v else 0 for v in values]
         out = docs.drop_columns(["chunk", "text"])
+        if "rest" in out.column_names:       # literals and the like come as not null, the result's schema says nullable
+            at = out.column_names.index("rest")
+            out = out.set_column(at, "rest", out["rest"].cast(nullable(out["rest"].type)))
         pair = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         return (out.append_column("text", pa.array([cut(v, s, one_space) for v, s in zip(values, spans)], pa.string()))
                 .append_column("n_words", pa.array(counts, pa.int64()))
@@ -174,11 +185,11 @@ def remove(buckets: int, window: int, one_space: bool):
 
 
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW,
-                   one_space: bool = True) -> DataFrame:
+                   one_space: bool = True, carry: Sequence[str] = ()) -> DataFrame:
     """Remove every word covered by a window that also starts in a document with a smaller key.
 
     Returns key, text (what is kept), n_words, n_removed and ``spans``, the maximal intervals of removed
-    words. Words are runs without the bytes 20 and 09 to 0D. ``one_space`` joins the kept words by one
+    words, and as ``rest`` a struct of the columns to ``carry`` along. Words are runs without the bytes 20 and 09 to 0D. ``one_space`` joins the kept words by one
     space (null: empty); else the separators stay, a removed word takes those after it along, and a null
     text stays null.
 
@@ -186,15 +197,16 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", windo
     a key are one document, so they remove nothing from each other. A row with a null key is neither
     earlier nor later than any: it keeps all and removes nothing. An empty table gives no rows.
     """
-    docs = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    docs = df.select(F.col(key).alias("key"), F.col(text).alias("text"), *([F.struct(*carry).alias("rest")] if carry else []))
     bounds = id_bounds(docs, "key", "text")
     # A text of n bytes has at most n / 2 windows; about a sixth in prose.
     buckets = max(8, len(bounds) * 2)
-    parts = numbered(docs, "key", "text", bounds)
+    parts = numbered(docs, "key", "text", bounds)       # its exchange serves both sides of the cogroup
     sent = parts.groupBy("chunk").applyInArrow(send(buckets, window), "chunk int, bucket int, first binary, second binary")
     bits = sent.groupBy("bucket").applyInArrow(answer, "chunk int, bucket int, bits binary")
-    kind = dict(docs.dtypes)["key"]
+    parts_of = dict(docs.dtypes)
+    rest = f"rest {parts_of['rest']}, " if carry else ""
     return (parts.groupBy("chunk").cogroup(bits.groupBy("chunk")).applyInArrow(
         remove(buckets, window, one_space),
-        f"key {kind}, text string, n_words bigint, n_removed bigint, spans array<struct<start: bigint, end: bigint>>")
+        f"key {parts_of['key']}, {rest}text string, n_words bigint, n_removed bigint, spans array<struct<start: bigint, end: bigint>>")
         .withColumnRenamed("key", key))

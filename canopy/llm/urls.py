@@ -71,11 +71,9 @@ def grams() -> Column:
     return F.concat(*[of(mark, name, n) for mark, name in (("h", "host"), ("p", "path")) for n in GRAMS])
 
 
-HASHING = HashingTF(numFeatures=FEATURES, binary=True, inputCol="_grams", outputCol="_features")
-
-
 def featured(df: DataFrame) -> DataFrame:
-    return HASHING.transform(df.withColumn("_grams", grams()))
+    hashing = HashingTF(numFeatures=FEATURES, binary=True, inputCol="_grams", outputCol="_features")
+    return hashing.transform(df.withColumn("_grams", grams()))
 
 
 def fit(labelled: DataFrame, rows: int = 4000, iterations: int = 40, strength: float = 0.001):

@@ -10,10 +10,40 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from canopy.llm import bpe  # noqa: E402
+from canopy.llm import bpe, langid, mixing, simhash, substring  # noqa: E402
 from canopy.session import apply_settings, new_folder  # noqa: E402
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+LEAST_SCORE = 0.5       # a language must be likelier than all others together
+
+
+def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told; those without letters, or between languages, go."""
+    apply_settings(spark)
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    told = langid.predict(docs, langid.fit(docs, ~held_out), lang="_lang", score="_score")
+    return told.where((F.col("_lang") != langid.UNKNOWN) & (F.col("_score") >= LEAST_SCORE)).select(docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: 3-word shingles, 2 bits."""
+    apply_settings(spark)
+    return simhash.keep_first(docs, shingle=3, distance=2)
+
+
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words under a 50-word window that an earlier document has go; a document may be left empty."""
+    apply_settings(spark)
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    kept = substring.remove_repeats(docs, one_space=False, carry=others)
+    kept = kept.select("doc_id", "text", *([f"rest.{c}" for c in others]))
+    return kept.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The sources at their target weights; a document is there as often as the mix takes it."""
+    apply_settings(spark)
+    return mixing.take(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,9 +57,14 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language ID", languages),
+    ("SimHash near-dedup", near_copies),
+    ("substring dedup", passages),
+    ("mixing", mixture),
     ("byte-level BPE", tokens),
 ]
 
+# Language ID and SimHash cannot be said in SQL; tests/llm compares the stages with brute force.
 ORACLE_SQL = None
 
 
