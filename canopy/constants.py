@@ -114,3 +114,11 @@ STATION_FIELDS = {
     "mess_datum": "date", "rsk": "rainfall_mm", "tmk": "temp_avg_c", "txk": "temp_max_c",
     "fx": "wind_max_ms", "fm": "wind_avg_ms",
 }
+
+# Columns of the experiment log.
+EXPERIMENT_COLUMNS = ["experiment_id", "Mean 30cm", "Mean 60cm", "Mean 90cm", "Folds 30cm", "Folds 60cm",
+                      "Folds 90cm", "model", "features", "hyper_parameters"]
+
+# Settings of the compared regressors.
+COMPARED_FOREST = {"numTrees": 300, "maxDepth": 5, "featureSubsetStrategy": "sqrt"}
+COMPARED_BOOSTING = {"maxIter": 200, "stepSize": 0.01, "maxDepth": 5, "featureSubsetStrategy": "sqrt"}

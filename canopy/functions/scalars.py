@@ -59,8 +59,10 @@ def format_day(day: ColumnLike, fmt: str) -> Column:
 
 
 def as_day(c: ColumnLike) -> Column:
-    """A date from a date, a timestamp or ISO text; null when the text is no date."""
-    return F.try_to_date(F.substring(col(c).cast("string"), 1, 10), "yyyy-MM-dd")
+    """A date from a date, a timestamp or ISO text; null when the whole text is neither a date nor a time."""
+    text = col(c).cast("string")
+    time = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}(\.\d+)?$"), text.try_cast("timestamp"))
+    return F.coalesce(F.try_to_date(text, "yyyy-M-d"), F.to_date(time))
 
 
 def shift_days(day: ColumnLike, n: int) -> Column:
@@ -92,6 +94,22 @@ def round_half_even(v: ColumnLike, digits: int = 2) -> Column:
     return F.rint(col(v) * scale) / scale
 
 
+def round_exact(v: ColumnLike, digits: int = 2) -> Column:
+    """Rounds the exact value of the double, halves to even, as the language's scalar rounding does.
+
+    The scaled double is off by less than half a step of its last bit; splitting the factor gives that error
+    exactly, and it decides where the scaled double stands on a half.
+    """
+    v, scale = col(v), 10.0 ** digits
+    p = v * scale
+    wide = v * 134217729.0                  # Fixed value: 2**27 + 1, splits a double into two halves
+    high = wide - (wide - v)
+    error = (high * scale - p) + (v - high) * scale
+    half = F.abs(p - F.floor(p)) == 0.5
+    n = F.when(half & (error > 0), F.ceil(p)).when(half & (error < 0), F.floor(p)).otherwise(F.rint(p))
+    return n / scale
+
+
 def ratio(a: ColumnLike, b: ColumnLike) -> Column:
     return F.try_divide(col(a), col(b))
 

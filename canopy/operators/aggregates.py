@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from canopy.constants import DEPTH_MEAN_TYPE
 from canopy.functions.scalars import round_half_even
+from canopy.operators.ranking import chunked
 from canopy.operators.relational import since, union_all
 
 
@@ -85,35 +86,25 @@ def count_rows(df: DataFrame) -> DataFrame:
 
 # --- exact order statistics -------------------------------------------------------------------
 
-_BINS_PER_E = 16
-_BIN_SHIFT = 20000   # above 745 * 16, the reach of ln over all doubles
-
-
-def magnitude_bin(v: Column) -> Column:
-    """A number that never falls as the value rises, with a few hundred steps in practice."""
-    size = F.floor(F.log(F.abs(v)) * _BINS_PER_E) + _BIN_SHIFT
-    # Never null, so that the planner adds no null filter to one use of the counts and can share them.
-    return F.coalesce(F.when(v > 0, size).when(v < 0, -size), F.lit(0).cast("long"))
-
-
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
                       probs: Mapping[str, float], mean: str | None = None) -> DataFrame:
     """Interpolating percentiles per group, exact for groups of any size.
 
     Spark's own exact percentile holds every distinct value of a group in one buffer. Here equal
-    values are counted first, then only the few magnitude bins that hold a wanted rank are looked
-    into, so no task sees a whole hot group.
+    values are counted first and the counts are cut into range chunks over (group, value). Counts per
+    chunk tell which chunks hold a wanted rank, and only these are looked into: a window never holds
+    more than a chunk, however large or narrow a group is. Infinite values count like any other.
     """
     v, group_key = F.col("_v"), F.col("_g")
     # The keys as one struct: null keys compare equal in it, so grouping, join and window share a shuffle.
     counts = (df.select(F.struct(*keys).alias("_g"), F.col(value).cast("double").alias("_v"))
               .where(v.isNotNull() & ~F.isnan(v))
-              .groupBy("_g", "_v").agg(F.count("*").alias("_c"))
-              .withColumn("_bin", magnitude_bin(v)))
-    group = Window.partitionBy("_g")
-    bins = (counts.groupBy("_g", "_bin")
+              .groupBy("_g", "_v").agg(F.count("*").alias("_c")))
+    counts = chunked(counts, ["_g", "_v"]).drop("_at")
+    group = Window.partitionBy("_g")        # one row per chunk of the group
+    bins = (counts.groupBy("_g", "_chunk")
             .agg(F.sum("_c").alias("_c"), F.sum(v * F.col("_c")).alias("_s"))
-            .withColumn("_end", F.sum("_c").over(group.orderBy("_bin")))
+            .withColumn("_end", F.sum("_c").over(group.orderBy("_chunk")))
             .withColumn("_n", F.sum("_c").over(group))
             .withColumn("_mean", F.sum("_s").over(group) / F.col("_n"))
             .withColumn("_start", F.col("_end") - F.col("_c")))
@@ -129,9 +120,9 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
     for p in probs.values():
         _, lo, hi = ranks(p)
         wanted = wanted | holds(lo, F.col("_start"), F.col("_end")) | holds(hi, F.col("_start"), F.col("_end"))
-    hit = bins.where(wanted).select("_g", "_bin", "_start", "_n", "_mean")
-    inside = Window.partitionBy("_g", "_bin").orderBy("_v")
-    rows = (counts.join(hit, ["_g", "_bin"])
+    hit = bins.where(wanted).select("_g", "_chunk", "_start", "_n", "_mean")
+    inside = Window.partitionBy("_g", "_chunk").orderBy("_v")
+    rows = (counts.join(hit, ["_g", "_chunk"])
             .withColumn("_to", F.col("_start") + F.sum("_c").over(inside))
             .withColumn("_from", F.col("_to") - F.col("_c")))
     picks, outs = [], []
@@ -139,8 +130,8 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
         h, lo, hi = ranks(p)
         picks += [F.max(F.when(holds(lo, F.col("_from"), F.col("_to")), v)).alias(f"_lo_{name}"),
                   F.max(F.when(holds(hi, F.col("_from"), F.col("_to")), v)).alias(f"_hi_{name}")]
-        outs.append((F.col(f"_lo_{name}") + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}"))
-                     * (h - lo)).alias(name))
+        below, above = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
+        outs.append(F.when(below == above, below).otherwise(below + (above - below) * (h - lo)).alias(name))
     if mean:
         outs.insert(0, F.col("_mean").alias(mean))
     return (rows.groupBy("_g").agg(*picks, F.max("_n").alias("_n"), F.max("_mean").alias("_mean"))
@@ -153,18 +144,30 @@ def sensor_group_stats(df: DataFrame) -> DataFrame:
                              mean="mean_value")
 
 
-def most_frequent(df: DataFrame, value: str, rank: Column | None = None) -> DataFrame:
-    """One row with the most frequent value; ties go to the smallest (or the lowest ``rank``)."""
-    tie = F.col(value) if rank is None else rank
-    return (df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("_c"))
-            .orderBy(F.col("_c").desc(), tie.asc()).limit(1).select(value))
+def most_frequent(df: DataFrame, cols: Sequence[str], ranks: Mapping[str, Column] | None = None) -> DataFrame:
+    """One row with the most frequent value of every column; ties go to the smallest (or the lowest rank).
+
+    All columns are counted in one pass over (column, value), which is aggregated before the shuffle.
+    """
+    numeric = {f.name for f in df.schema if f.dataType.typeName() not in ("string", "date", "timestamp")}
+    values = F.explode(F.array(*[F.struct(
+        F.lit(c).alias("column"), F.col(c).cast("string").alias("value"),
+        (ranks or {}).get(c, F.lit(0)).cast("int").alias("rank"),
+        (F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias("number")) for c in cols]))
+    counts = (df.select(values.alias("_v")).select("_v.*").where(F.col("value").isNotNull())
+              .groupBy("column", "value", "rank", "number").agg(F.count("*").alias("n")))
+    best = F.struct(-F.col("n"), "rank", "number", "value")
+    return counts.agg(*[F.min_by(F.col("value"), F.when(F.col("column") == c, best)).cast(df.schema[c].dataType).alias(c)
+                        for c in cols])
 
 
 def impute_mode(df: DataFrame, cols: Sequence[str], ranks: Mapping[str, Column] | None = None) -> DataFrame:
     """Fill nulls with the most frequent value of the column."""
     present = [c for c in cols if c in df.columns]
-    return df.withColumns({
-        c: F.coalesce(F.col(c), most_frequent(df, c, (ranks or {}).get(c)).scalar()) for c in present})
+    if not present:
+        return df
+    modes = most_frequent(df, present, ranks).select(F.struct(*present).alias("_m")).scalar()
+    return df.withColumns({c: F.coalesce(F.col(c), modes[c]) for c in present})
 
 
 def distinct_sorted_array(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
@@ -232,8 +235,9 @@ def error_quantiles(df: DataFrame, error: str, by: Sequence[str]) -> DataFrame:
     v = F.col(error)
     inside = v.between(F.col("q1") - reach, F.col("q3") + reach)
     # Equal errors are counted away first: fewer rows meet the box table.
-    return (df.select(*by, error).distinct().join(box, list(by))
-            .groupBy(*by, "q1", "median", "q3")
+    figures = box.select(F.struct(*by).alias("_g"), "q1", "median", "q3")   # null keys compare equal in a struct
+    return (df.select(F.struct(*by).alias("_g"), error).distinct().join(figures, "_g")
+            .groupBy(*[F.col("_g")[k].alias(k) for k in by], "q1", "median", "q3")
             .agg(F.min(F.when(inside, v)).alias("whisker_low"), F.max(F.when(inside, v)).alias("whisker_high")))
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -16,7 +15,7 @@ from canopy.functions.scalars import classify, in_months, literal_day
 from canopy.operators.aggregates import impute_mode, mean_over_tiles
 from canopy.operators.ranking import ranked
 from canopy.operators.relational import (
-    attach_group_feature, distinct_union, labelled, restrict, select_present, spine, union_all)
+    attach_group_feature, distinct_union, labelled, restrict, seeded_hash, select_present, spine, union_all)
 from canopy.operators.windows import (
     add_lags, last_group_mean, mean_yesterday, resample_ffill, rolling_weather)
 from canopy.session import cut_lineage
@@ -137,16 +136,10 @@ class OrdinalCodes:
     """
 
     UNKNOWN = -1.0
-    SMALL = 50_000
 
     def __init__(self, codes: DataFrame):
         self.codes = codes
 
-    @cached_property
-    def small(self) -> bool:
-        """Whether the table has few enough rows to be sent to every task."""
-        return self.codes.limit(self.SMALL + 1).count() <= self.SMALL
-
     @classmethod
     def fit(cls, df: DataFrame, cols: Sequence[str]) -> "OrdinalCodes":
         """One pass over the rows for all columns; numbers sort as numbers, text as text."""
@@ -165,7 +158,6 @@ class OrdinalCodes:
         for c in cols:
             table = self.codes.where(F.col("column") == c).select(
                 F.col("value").alias("_value"), F.col("code").alias("_code"))
-            table = F.broadcast(table) if self.small else table
             df = (df.join(table, F.col(c).cast("string") == F.col("_value"), "left")
                   .withColumn(c, F.when(F.col(c).isNotNull(), F.coalesce("_code", F.lit(self.UNKNOWN))))
                   .drop("_value", "_code"))
@@ -241,9 +233,12 @@ def _assemble(df: DataFrame, t: Tables, forecast: bool, public: bool, watering:
 
 
 def _weather_for(t: Tables, forecast: bool, public: bool) -> DataFrame:
+    """One row per day: several stations are averaged before the days are rolled."""
     mode = "public" if public else "forecast" if forecast else "nowcast"
-    df = weather_features(mode, t.weather, t.weather_tiles)
-    return df.drop("stations_id")
+    station = t.weather
+    if station is not None and "stations_id" in station.columns:
+        station = mean_over_tiles(station, STATION_WEATHER, tile="stations_id")
+    return weather_features(mode, station, t.weather_tiles)
 
 
 def _join_weather(df: DataFrame, weather: DataFrame) -> DataFrame:
@@ -332,7 +327,7 @@ class Preprocessor:
 
 def site_folds(df: DataFrame, k: int = 4, seed: int = 42, site: str = "site_id") -> DataFrame:
     """Fold number per site: the rank of its seeded hash modulo ``k``, so folds differ by one site at most."""
-    sites = df.select(site).distinct().withColumn("_h", F.xxhash64(F.col(site), F.lit(seed)))
+    sites = df.select(site).distinct().withColumn("_h", seeded_hash([site], seed))
     return ranked(sites, ["_h", site], "_r").select(site, F.pmod(F.col("_r") - 1, F.lit(k)).cast("int").alias("fold"))
 
 

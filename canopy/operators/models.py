@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Model
 from pyspark.ml.feature import VectorAssembler
@@ -18,7 +20,7 @@ from pyspark.ml.regression import (
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from canopy.constants import (
-    DEPTH_MEAN_TYPE, DEPTHS, FORECAST_FEATURES, FORECAST_FOREST, HORIZON_DAYS, LAG_FEATURES,
+    BACKTEST_DROP_DAYS, COMPARED_BOOSTING, COMPARED_FOREST, DEPTH_MEAN_TYPE, DEPTHS, FORECAST_FEATURES, FORECAST_FOREST, HORIZON_DAYS, LAG_FEATURES,
     MODEL_ID, NOWCAST_FEATURES, NOWCAST_FOREST, SEASON_START_LAG)
 from canopy.functions.scalars import literal_day, round_half_even
 from canopy.operators.aggregates import fold_summary, regression_metrics
@@ -66,8 +68,21 @@ def train_auxiliary(df: DataFrame, params: Mapping = NOWCAST_FOREST) -> dict[int
     return train_per_type(df, FORECAST_FEATURES, params)
 
 
-def predict(df: DataFrame, model: Model, inputs: Sequence[Column], name: str) -> DataFrame:
+@dataclass(frozen=True)
+class Linear:
+    """A scorer of stated coefficients; every job takes it in place of a fitted model."""
+    coefficients: tuple[float, ...]
+    intercept: float = 0.0
+
+    def score(self, inputs: Sequence[Column]) -> Column:
+        return reduce(lambda s, x: s + x[0].cast("double") * F.lit(x[1]),
+                      zip(inputs, self.coefficients, strict=True), F.lit(self.intercept))
+
+
+def predict(df: DataFrame, model: Model | Linear, inputs: Sequence[Column], name: str) -> DataFrame:
     """Add one raw prediction column for complete inputs, in the order the model was fitted on."""
+    if isinstance(model, Linear):
+        return df.withColumn(name, model.score(inputs))
     values = F.array(*[F.coalesce(c.cast("double"), F.lit(float("nan"))) for c in inputs])
     step = model.copy().setFeaturesCol(_VECTOR).setPredictionCol(name)
     return step.transform(df.withColumn(_VECTOR, array_to_vector(values)))
@@ -128,9 +143,9 @@ def weather_by_day(weather: DataFrame, lo: dt.date, hi: dt.date) -> dict[dt.date
 
 
 def newest_forecast(forecast: DataFrame, tile: int | None) -> DataFrame:
-    """The newest issued weather forecast per day."""
+    """The newest issued weather forecast per day; of equally new ones the first tile counts."""
     df = forecast if tile is None else forecast.where(F.col("tile_id") == tile)
-    newest = F.max_by(F.struct(*_WEATHER), "created_at")
+    newest = F.max_by(F.struct(*_WEATHER), F.struct("created_at", -F.col("tile_id")))
     return df.groupBy("date").agg(newest.alias("_w")).select("date", "_w.*")
 
 
@@ -193,15 +208,16 @@ def _series(df: DataFrame, keys: Sequence[str], step: Column, features: Sequence
 
 
 def backtest(train_rows: DataFrame, starts: Sequence[dt.date], drop_starts: Sequence[dt.date],
-             params: Mapping = FORECAST_FOREST, horizon: int = HORIZON_DAYS, drop_days: int = 21) -> DataFrame:
+             params: Mapping = FORECAST_FOREST, horizon: int = HORIZON_DAYS, drop_days: int = BACKTEST_DROP_DAYS,
+             model: Model | Linear | None = None) -> DataFrame:
     """Recursive predictions inside held-out windows against the sensors (window = step 1..horizon).
 
-    One model over all depths is fitted without the wider drop windows. A series ends at its first
-    incomplete day.
+    One model over all depths is fitted without the wider drop windows, unless one is given. A series ends
+    at its first incomplete day.
     """
     features = FORECAST_FEATURES + LAG_FEATURES
     train_part, test = window_split(train_rows, "timestamp", starts, horizon, drop_starts, drop_days)
-    model = train(train_part, features, forest(params))
+    model = model or train(train_part, features, forest(params))
     day = F.to_date("timestamp")
     start = F.coalesce(*[F.when(day.between(literal_day(s), literal_day(s + dt.timedelta(days=horizon - 1))),
                                 literal_day(s)) for s in starts])
@@ -220,7 +236,7 @@ def backtest(train_rows: DataFrame, starts: Sequence[dt.date], drop_starts: Sequ
                     "_r.window", "_r.target", "_r.y_pred"))
 
 
-def season_forecast(model: Model, rows: DataFrame, start: dt.date, days: int,
+def season_forecast(model: Model | Linear, rows: DataFrame, start: dt.date, days: int,
                     start_lag: float = SEASON_START_LAG, cut_every: int = HORIZON_DAYS) -> DataFrame:
     """Recursion over a whole season without sensors: lags begin, and begin anew after a gap, at a constant.
 
@@ -256,13 +272,11 @@ def train_season(rows: DataFrame, before: dt.date, params: Mapping = FORECAST_FO
     return train(part, FORECAST_FEATURES + ["type_id"] + LAG_FEATURES, forest(params))
 
 
-def estimators(trees: int = 300, boosting: int = 200) -> dict[str, object]:
+def estimators(forest_params: Mapping = COMPARED_FOREST, boosting: Mapping = COMPARED_BOOSTING) -> dict[str, object]:
     return {
-        "GradientBoostingRegressor": GBTRegressor(
-            maxIter=boosting, stepSize=0.01, maxDepth=5, featureSubsetStrategy="sqrt", seed=42),
+        "GradientBoostingRegressor": GBTRegressor(seed=42, **boosting),
         "LinearRegression": LinearRegression(fitIntercept=True),
-        "RandomForestRegressor": RandomForestRegressor(
-            numTrees=trees, maxDepth=5, featureSubsetStrategy="sqrt", seed=42),
+        "RandomForestRegressor": forest(forest_params),
     }
 
 

@@ -69,6 +69,14 @@ def _check_key(df: DataFrame, cols: tuple[str, ...]) -> DataFrame:
             .agg(F.sum(F.when(has_null, F.col("_c")).otherwise(F.col("_c") - 1)).alias("n")))
 
 
+def _check_nulls(df: DataFrame, table: str, cols: tuple[str, ...]) -> DataFrame:
+    """Nulls of all columns in one pass, one finding each."""
+    sums = df.agg(*[F.coalesce(F.sum(F.col(c).isNull().cast("long")), F.lit(0)).alias(f"_{i}") for i, c in enumerate(cols)])
+    rows = F.explode(F.array(*[F.struct(F.lit(table).alias("table"), F.lit("not null").alias("rule"), F.lit(c).alias("columns"),
+                                        F.col(f"_{i}").cast("long").alias("violations")) for i, c in enumerate(cols)]))
+    return sums.select(rows.alias("_r")).select("_r.*")
+
+
 def _check_reference(child: DataFrame, cols: tuple[str, ...], parent: DataFrame,
                      parent_cols: tuple[str, ...]) -> DataFrame:
     """Rows without a parent. Child keys are counted first, so a hot key meets the parents once."""
@@ -84,9 +92,8 @@ def audit(tables: Mapping[str, DataFrame], rules: Mapping[str, Rules] = MODEL_RU
         r = rules[name]
         if r.primary:
             findings.append(_finding(_check_key(df, r.primary), name, "primary key", r.primary))
-        for c in r.not_null:
-            bad = df.agg(F.sum(F.col(c).isNull().cast("long")).alias("n"))
-            findings.append(_finding(bad, name, "not null", (c,)))
+        if r.not_null:
+            findings.append(_check_nulls(df, name, r.not_null))
         for cols, (parent, parent_cols) in r.foreign.items():
             if parent in tables:
                 bad = _check_reference(df, cols, tables[parent], parent_cols)

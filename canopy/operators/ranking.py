@@ -12,12 +12,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from canopy.session import cut_lineage
 
 
-def chunked(df: DataFrame, cols: Sequence[str], chunks: int = 0) -> DataFrame:
+def chunked(df: DataFrame, cols: Sequence[str | Column], chunks: int = 0) -> DataFrame:
     """Rows sorted into range chunks: ``_chunk`` rises with the sort tuple, ``_at`` within a chunk.
 
     ``chunks=0`` takes the shuffle partitions of the session, joined by the adaptive planner where they
@@ -28,7 +28,7 @@ def chunked(df: DataFrame, cols: Sequence[str], chunks: int = 0) -> DataFrame:
         {"_chunk": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}))
 
 
-def ranked(df: DataFrame, order: Sequence[str], name: str = "rank", chunks: int = 0) -> DataFrame:
+def ranked(df: DataFrame, order: Sequence[str | Column], name: str = "rank", chunks: int = 0) -> DataFrame:
     """Global 1-based row number over a unique ascending order, without one task seeing all rows."""
     parts = chunked(df, order, chunks)
     before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)

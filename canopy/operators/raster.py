@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 # Small smoothing kernels used when no width is given.
 SMALL_KERNELS = {
@@ -17,10 +16,11 @@ SMALL_KERNELS = {
 }
 
 
-def mosaic(cells: DataFrame, transform: DataFrame, order: str = "raster_id") -> DataFrame:
-    """One map from overlapping tiles; where tiles overlap, the first in ``order`` wins.
+def mosaic(cells: DataFrame, transform: DataFrame, order: str = "raster_id", name: str = "mosaic") -> DataFrame:
+    """One map called ``name`` from overlapping tiles; where tiles overlap, the first in ``order`` wins.
 
-    All tiles share one cell size. A partial aggregate keeps one value per cell and task.
+    All tiles share one cell size. A partial aggregate keeps one value per cell and task. Places that no tile
+    covers have no cell; the filters leave them out.
     """
     x0 = transform.agg(F.min("x0")).scalar()
     y0 = transform.agg(F.when(F.min("dy") < 0, F.max("y0")).otherwise(F.min("y0"))).scalar()
@@ -28,35 +28,45 @@ def mosaic(cells: DataFrame, transform: DataFrame, order: str = "raster_id") ->
         F.rint((F.col("y0") - y0) / F.col("dy") + F.col("row")).cast("int").alias("row"),
         F.rint((F.col("x0") - x0) / F.col("dx") + F.col("col")).cast("int").alias("col"),
         F.col(order).alias("_order"), "value")
-    return placed.groupBy("row", "col").agg(F.min_by("value", "_order").alias("value"))
+    return (placed.groupBy("row", "col").agg(F.min_by("value", "_order").alias("value"))
+            .select(F.lit(name).alias("raster_id"), "row", "col", "value"))
 
 
-def _filter_axis(cells: DataFrame, axis: str, other: str, weights: Sequence[float]) -> DataFrame:
-    """Weighted sum along one axis of a gapless raster; the border mirrors without its own cell."""
+def _spread(sums: DataFrame, ends: DataFrame, axis: str, other: str, weights: Sequence[float]) -> DataFrame:
+    """Weighted sums along one axis: every place gives its value to the places within reach, by coordinate.
+
+    The border mirrors without its own cell, as often as needed on a narrow map: place p stands for all
+    places that lead to it, p + 2ek and 2e k - p for a map of e + 1 places.
+    """
     reach = len(weights) // 2
-    ends = (cells.groupBy("raster_id")
-            .agg(F.min(axis).alias("_lo"), F.max(axis).alias("_hi")))
-    at, lo, hi = F.col(axis), F.col("_lo"), F.col("_hi")
-    images = F.array(
-        at,
-        F.when((at > lo) & (at <= lo + reach), 2 * lo - at),
-        F.when((at < hi) & (at >= hi - reach), 2 * hi - at))
-    padded = (cells.join(ends, "raster_id")
-              .withColumn("_at", F.explode(F.array_compact(images))))
-    # The partition is one raster line, bounded by the extent of the map.
-    w = Window.partitionBy("raster_id", other).orderBy("_at")
-    parts = [F.lag("value", reach - i).over(w) * wt if i < reach
-             else F.lead("value", i - reach).over(w) * wt if i > reach
-             else F.col("value") * wt for i, wt in enumerate(weights)]
-    return (padded.withColumn("_f", reduce(lambda a, b: a + b, parts))
-            .where(F.col("_at").between(lo, hi))
-            .select("raster_id", "row", "col", F.col("_f").alias("value")))
+    # The map's last place, from 0. The images of p repeat after two lengths of the map.
+    p, end = F.col(axis) - F.col(f"_lo_{axis}"), F.col(f"_hi_{axis}") - F.col(f"_lo_{axis}")
+    period = F.greatest(2 * end, F.lit(1))
+    turns = F.sequence(-F.ceil((reach + end) / period), F.ceil((reach + end) / period))
+    images = F.array_distinct(F.flatten(F.transform(
+        turns, lambda k: F.when(end > 0, F.array(p + k * period, k * period - p)).otherwise(F.array(p + k)))))
+    image = F.filter(images, lambda q: (q >= -reach) & (q <= end + reach))
+    w = F.array(*[F.lit(float(x)) for x in weights])
+    given = F.transform(F.sequence(F.lit(-reach), F.lit(reach)), lambda d: F.struct(d.alias("d"), F.get(w, d + reach).alias("w")))
+    return (sums.join(ends, "raster_id").withColumn("_q", F.explode(image)).withColumn("_g", F.explode(given))
+            .withColumn("_t", F.col("_q") - F.col("_g.d")).where((F.col("_t") >= 0) & (F.col("_t") <= end))
+            .groupBy("raster_id", other, (F.col("_t") + F.col(f"_lo_{axis}")).cast("int").alias(axis))
+            .agg(F.sum(F.col("_v") * F.col("_g.w")).alias("_v"), F.sum(F.col("_w") * F.col("_g.w")).alias("_w")))
 
 
 def separable_filter(cells: DataFrame, weights: Sequence[float]) -> DataFrame:
-    """Two one-dimensional passes: 2k instead of k*k products per cell, two shuffles in all."""
-    across = _filter_axis(cells.select("raster_id", "row", "col", "value"), "col", "row", weights)
-    return _filter_axis(across, "row", "col", weights)
+    """Weighted mean of the cells around each cell: 2k instead of k*k products, partial sums before each shuffle.
+
+    Neighbours are found by coordinate. A missing or null cell takes no part: the weights of the others are
+    scaled up, and no value is made for it.
+    """
+    known = cells.where(F.col("value").isNotNull()).select("raster_id", "row", "col", "value")
+    ends = cells.groupBy("raster_id").agg(*[f(c).alias(f"{n}_{c}") for c in ("row", "col") for f, n in ((F.min, "_lo"), (F.max, "_hi"))])
+    sums = known.select("raster_id", "row", "col", F.col("value").alias("_v"), F.lit(1.0).alias("_w"))
+    across = _spread(sums, ends, "col", "row", weights)
+    down = _spread(across, ends, "row", "col", weights)
+    return (down.join(known.select("raster_id", "row", "col"), ["raster_id", "row", "col"], "left_semi")
+            .select("raster_id", "row", "col", (F.col("_v") / F.col("_w")).alias("value")))
 
 
 def box_filter(cells: DataFrame, k: int = 5) -> DataFrame:

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from canopy.functions.scalars import in_months, literal_day, ratio as safe_ratio
 from canopy.operators.ranking import ranked
@@ -165,9 +165,8 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
 
 
 def slice_ranked(df: DataFrame, order: Sequence[Column], lo: int, hi: int) -> DataFrame:
-    """Rows ranked lo..hi. Only the first ``hi`` rows are ranked, so the window stays small."""
-    w = Window.orderBy(*order)
-    return top_k(df, order, hi).withColumn("rank", F.row_number().over(w)).where(F.col("rank") >= lo)
+    """Rows ranked lo..hi of a unique order; the ranks come from range chunks, so ``hi`` may be any number."""
+    return ranked(df, order, "rank").where(F.col("rank").between(lo, hi)).withColumn("rank", F.col("rank").cast("int"))
 
 
 def page(df: DataFrame, order: Sequence[str], size: int, number: int) -> DataFrame:
@@ -178,12 +177,23 @@ def page(df: DataFrame, order: Sequence[str], size: int, number: int) -> DataFra
 
 
 def sample_n(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42) -> DataFrame:
-    """The same ``n`` rows on every run: those with the smallest seeded hash of their key."""
-    return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
+    """The same ``n`` rows on every run: those with the smallest seeded hash of their key.
 
+    The ranks come from range chunks, so ``n`` may be any number.
+    """
+    hashed = df.withColumn("_h", seeded_hash(keys, seed))
+    return ranked(hashed, ["_h", *keys], "_i").where(F.col("_i") <= n).drop("_h", "_i")
 
-def sample_frac(df: DataFrame, p: float, seed: int = 42) -> DataFrame:
-    return df.sample(p, seed)
+
+def seeded_hash(keys: Sequence[str], seed: int) -> Column:
+    """MD5 of the key columns as text and the seed, which any engine computes alike."""
+    return F.md5(F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys], F.lit(str(seed))))
+
+
+def sample_frac(df: DataFrame, keys: Sequence[str], p: float, seed: int = 42) -> DataFrame:
+    """Rows whose seeded hash falls in the first ``p`` of its range: the same rows however they are partitioned."""
+    part = F.conv(F.substring(seeded_hash(keys, seed), 1, 8), 16, 10).cast("long")
+    return df.where(part < int(p * 16**8))
 
 
 def with_serial_id(df: DataFrame, order: Sequence[str], start: int = 1, name: str = "id",

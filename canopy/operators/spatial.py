@@ -3,79 +3,93 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from canopy.constants import LATTICE_X, LATTICE_Y
 from canopy.functions import geo
-from canopy.functions.scalars import round_half_even
-from canopy.operators.relational import only_new
+from canopy.functions.scalars import round_exact, round_half_even
+from canopy.operators.relational import only_new, union_all
 
 _EDGES = {"ring": geo.edges, "polygon": geo.polygon_edges, "multi": geo.multi_edges}
 SALTS = 8
+SMALLEST = 2.0 ** -40     # side of a shape without extent
 
 
-def typical_extent(shapes: DataFrame, geometry: str = "geometry", kind: str = "ring") -> float:
-    """Mean longer side of the bounding boxes: a cell of this size meets a few shapes at most."""
-    box = geo.bbox(_EDGES[kind](geometry))
-    side = F.greatest(box["x1"] - box["x0"], box["y1"] - box["y0"])
-    return shapes.agg(F.avg(side)).first()[0] or 1.0
+def _boxed(shapes: DataFrame, geometry: str, kind: str) -> DataFrame:
+    """Edges, bounding box and grid level: the cells of a level are at least as wide as its shapes."""
+    box = F.col("_box")
+    side = F.greatest(box["x1"] - box["x0"], box["y1"] - box["y0"], F.lit(SMALLEST))
+    return (shapes.withColumn("_edges", _EDGES[kind](geometry)).withColumn("_box", geo.bbox("_edges"))
+            .withColumn("_own", F.ceil(F.log2(side)).cast("int")))
 
 
-def _bin(v: Column, cell: float) -> Column:
-    return F.floor(v / F.lit(float(cell)))
+def _levels(*shapes: DataFrame) -> Column:
+    """The grid levels that occur, a few dozen at most."""
+    both = union_all(*[s.select("_own") for s in shapes])
+    return both.agg(F.sort_array(F.collect_set("_own"))).scalar()
 
 
-def _binned(shapes: DataFrame, geometry: str, kind: str, cell: float) -> DataFrame:
-    """One row per grid bin that the bounding box of a shape touches."""
-    with_edges = shapes.withColumn("_edges", _EDGES[kind](geometry))
-    boxed = with_edges.withColumn("_box", geo.bbox("_edges"))
-    return (boxed
-            .withColumn("_bx", F.explode(F.sequence(_bin(F.col("_box.x0"), cell), _bin(F.col("_box.x1"), cell))))
-            .withColumn("_by", F.explode(F.sequence(_bin(F.col("_box.y0"), cell), _bin(F.col("_box.y1"), cell)))))
+def _bin(v: Column, level: Column) -> Column:
+    return F.floor(v / F.pow(F.lit(2.0), level))
+
+
+def _binned(boxed: DataFrame, levels: Column) -> DataFrame:
+    """One row per bin that a shape's box touches, at its own level and the wider ones: four bins a level at most."""
+    at = F.col("_level")
+    return (boxed.withColumn("_level", F.explode(levels)).where(at >= F.col("_own"))
+            .withColumn("_bx", F.explode(F.sequence(_bin(F.col("_box.x0"), at), _bin(F.col("_box.x1"), at))))
+            .withColumn("_by", F.explode(F.sequence(_bin(F.col("_box.y0"), at), _bin(F.col("_box.y1"), at)))))
 
 
 def join_contains(points: DataFrame, shapes: DataFrame, point_id: str, shape_id: str,
                   point: str = "geometry", geometry: str = "geometry", kind: str = "ring",
-                  cell: float | None = None, salts: int = SALTS) -> DataFrame:
+                  salts: int = SALTS) -> DataFrame:
     """(point id, shape id) for every point strictly inside a shape.
 
-    An equi join on the grid bin; the exact test is part of the join condition, so only true pairs
-    leave it. Points of one bin are spread over ``salts`` tasks and the few shapes of a bin are
-    copied to each, so a bin with a third of the points is no bottleneck.
+    An equi join on the grid bin, at the level of each shape's size, so a large shape among small ones
+    has four bins like any other; the exact test is part of the join condition, so only true pairs leave
+    it. Points of one bin are spread over ``salts`` tasks and the few shapes of a bin are copied to each,
+    so a bin with a third of the points is no bottleneck.
     """
-    cell = cell or typical_extent(shapes, geometry, kind)
     x, y = F.col(f"{point}.x"), F.col(f"{point}.y")
-    p = points.select(point_id, x.alias("_x"), y.alias("_y"),
-                      _bin(x, cell).alias("_bx"), _bin(y, cell).alias("_by"),
-                      F.pmod(F.xxhash64(point_id), F.lit(salts)).alias("_salt"))
-    s = (_binned(shapes, geometry, kind, cell).select(shape_id, "_edges", "_box", "_bx", "_by")
+    boxed = _boxed(shapes, geometry, kind)
+    p = (points.select(point_id, x.alias("_x"), y.alias("_y"), F.pmod(F.xxhash64(point_id), F.lit(salts)).alias("_salt"))
+         .withColumn("_level", F.explode(_levels(boxed)))
+         .withColumns({"_bx": _bin(F.col("_x"), F.col("_level")), "_by": _bin(F.col("_y"), F.col("_level"))}))
+    s = (_binned(boxed, F.array("_own")).select(shape_id, "_edges", "_box", "_level", "_bx", "_by")
          .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))))
     p, s = p.alias("p"), s.alias("s")
-    same = [F.col(f"p.{c}") == F.col(f"s.{c}") for c in ("_bx", "_by", "_salt")]
+    same = reduce(and_, [F.col(f"p.{c}") == F.col(f"s.{c}") for c in ("_level", "_bx", "_by", "_salt")])
     near = (F.col("_x").between(F.col("_box.x0"), F.col("_box.x1"))
             & F.col("_y").between(F.col("_box.y0"), F.col("_box.y1")))
     inside = geo.contains("_edges", "_x", "_y")
-    return p.join(s, same[0] & same[1] & same[2] & near & inside).select(f"p.{point_id}", f"s.{shape_id}")
+    return p.join(s, same & near & inside).select(f"p.{point_id}", f"s.{shape_id}")
 
 
 def restrict_to_mask(shapes: DataFrame, mask: DataFrame, shape_id: str, geometry: str = "geometry",
-                     kind: str = "ring", mask_geometry: str = "geometry", mask_kind: str = "ring",
-                     cell: float | None = None) -> DataFrame:
+                     kind: str = "ring", mask_geometry: str = "geometry", mask_kind: str = "ring") -> DataFrame:
     """Shapes that share a point with any mask shape.
 
-    Meeting the union of the districts is meeting one of them, so nothing is dissolved.
+    Meeting the union of the districts is meeting one of them, so nothing is dissolved. Two shapes meet at
+    the level of the larger one, where the smaller is binned as well.
     """
-    cell = cell or typical_extent(shapes, geometry, kind)
-    a = _binned(shapes, geometry, kind, cell).select(shape_id, "_edges", "_box", "_bx", "_by").alias("a")
-    b = _binned(mask, mask_geometry, mask_kind, cell).select(
-        F.col("_edges").alias("_m_edges"), F.col("_box").alias("_m_box"), "_bx", "_by").alias("b")
+    left, right = _boxed(shapes, geometry, kind), _boxed(mask, mask_geometry, mask_kind)
+    levels = _levels(left, right)
+    a = _binned(left, levels).select(shape_id, "_edges", "_box", "_own", "_level", "_bx", "_by").alias("a")
+    b = _binned(right, levels).select(
+        F.col("_edges").alias("_m_edges"), F.col("_box").alias("_m_box"), F.col("_own").alias("_m_own"),
+        "_level", "_bx", "_by").alias("b")
     near = ((F.col("_box.x0") <= F.col("_m_box.x1")) & (F.col("_box.x1") >= F.col("_m_box.x0"))
             & (F.col("_box.y0") <= F.col("_m_box.y1")) & (F.col("_box.y1") >= F.col("_m_box.y0")))
-    same = (F.col("a._bx") == F.col("b._bx")) & (F.col("a._by") == F.col("b._by"))
+    same = reduce(and_, [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("_level", "_bx", "_by")])
     # A pair that shares several bins is tested once: in the bin of the lower left corner both boxes share.
-    once = ((F.col("a._bx") == _bin(F.greatest("_box.x0", "_m_box.x0"), cell))
-            & (F.col("a._by") == _bin(F.greatest("_box.y0", "_m_box.y0"), cell)))
+    at = F.col("a._level")
+    once = ((at == F.greatest("_own", "_m_own"))
+            & (F.col("a._bx") == _bin(F.greatest("_box.x0", "_m_box.x0"), at))
+            & (F.col("a._by") == _bin(F.greatest("_box.y0", "_m_box.y0"), at)))
     hits = a.join(b, same & near & once & geo.intersects("_edges", "_m_edges"), "left_semi")
     return shapes.join(hits.select(shape_id).distinct(), shape_id, "left_semi")
 
@@ -87,8 +101,10 @@ def tile_id(x: Column, y: Column, xs: tuple[int, int] = LATTICE_X, ys: tuple[int
     return (x - xs[0]) * (ys[1] - 1 - ys[0]) + (y - ys[0])
 
 
-def in_window(x: Column, y: Column, xs: tuple[int, int] = LATTICE_X, ys: tuple[int, int] = LATTICE_Y) -> Column:
-    return x.between(xs[0], xs[1] - 2) & y.between(ys[0], ys[1] - 2)
+def in_window(x: Column, y: Column, xs: tuple[int, int | None] = LATTICE_X, ys: tuple[int, int] = LATTICE_Y) -> Column:
+    """Whether a cell lies in the window; an upper bound of x that is None is open."""
+    in_x = x >= xs[0] if xs[1] is None else x.between(xs[0], xs[1] - 2)
+    return in_x & y.between(ys[0], ys[1] - 2)
 
 
 def lattice_to_cells(corners: DataFrame, xs: tuple[int, int] = LATTICE_X,
@@ -151,8 +167,11 @@ def sample_nearest(points: DataFrame, cells: DataFrame, transform: DataFrame, ke
 
 def shading_index(samples: DataFrame, daylight: DataFrame, seasons: Sequence[str],
                   key: str = "tree_id") -> DataFrame:
-    """1 - sun hours / daylight per season, rounded before and after, as four season columns."""
-    sun = round_half_even(F.col("value") * 3600 / F.col("daylight_s"))
+    """1 - sun hours / daylight per season, as four season columns.
+
+    The share is rounded like a single number, the difference like an array of numbers.
+    """
+    sun = round_exact(F.col("value") * 3600 / F.col("daylight_s"))
     return (samples.join(daylight, samples["raster_id"] == daylight["season"])
             .select(key, "season", round_half_even(1 - sun).alias("_i"))
             .groupBy(key).pivot("season", list(seasons)).agg(F.max("_i")))

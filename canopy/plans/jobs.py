@@ -98,10 +98,10 @@ def load_shading(db: Database, shading: DataFrame, table: str = "shading_monthly
 
 
 def load_rain(db: Database, cells: DataFrame, corners: DataFrame, mask: DataFrame, today: dt.date,
-              days: int = 14, cell: float | None = None) -> None:
+              days: int = 14) -> None:
     """Hourly rain to daily rain per tile, redoing the last loaded day, then the rain views."""
     known = db.table("radolan_tiles")
-    tiles = spatial.restrict_to_mask(spatial.lattice_to_cells(corners), mask, "id", mask_kind="multi", cell=cell)
+    tiles = spatial.restrict_to_mask(spatial.lattice_to_cells(corners), mask, "id", mask_kind="multi")
     new = spatial.register_tiles(tiles, known)
     grown = not new.isEmpty()
     if grown:
@@ -188,10 +188,13 @@ def load_preprocessor(spark: SparkSession, folder: str, forecast: bool) -> featu
 
 
 def _store(db: Database, predictions: DataFrame, table: str, today: dt.date) -> None:
-    """Full replacement of a prediction table; the ids follow tree, time and kind."""
-    sinks.replace(predictions.withColumn("id", F.lit(None).cast("int")).select(*db.table(table).columns), db(table))
-    numbered = with_serial_id(db.table(table).drop("id"), ["tree_id", "timestamp", "type_id"])
-    sinks.rewrite(numbered.withColumn("id", F.col("id").cast("int")).select(*db.table(table).columns), db(table))
+    """Full replacement of a prediction table; the ids follow tree, time and kind, and go on from run to run.
+
+    The rows are numbered before they are written, so no reader sees rows without ids.
+    """
+    last = db.table(table).agg(F.max("id")).first()[0] or 0
+    numbered = with_serial_id(predictions, ["tree_id", "timestamp", "type_id"], start=last + 1)
+    sinks.replace(numbered.withColumn("id", F.col("id").cast("int")).select(*db.table(table).columns), db(table))
     db.refresh("expert_dashboard", "vector_tiles", today=today)
 
 

@@ -218,7 +218,9 @@ def forecast_inference_frame(r: Roles) -> DataFrame:
     return rounded(E.inference_frame(tables(r), True, dt.date(2024, 5, 20)), "shading_index")
 
 
-@query("site_folds")
+@query("site_folds", """
+SELECT c_custkey AS site_id, CAST((row_number() OVER (ORDER BY md5(CAST(c_custkey AS VARCHAR) || '|42'), c_custkey) - 1) % 4 AS INTEGER) AS fold
+FROM customer""")
 def site_folds(r: Roles) -> DataFrame:
     return E.site_folds(r.customer.select(F.col("c_custkey").alias("site_id")))
 
@@ -233,15 +235,18 @@ def site_fold_sizes(r: Roles) -> DataFrame:
 
 @query("site_fold_features", """
 WITH e AS (SELECT user_id AS site_id, 1 AS type_id, CAST(ts AS DATE) AS timestamp, avg(value) AS value FROM events GROUP BY 1, 3),
-m AS (SELECT timestamp, avg(value) AS v FROM e GROUP BY 1), y AS (SELECT timestamp, lag(v) OVER (ORDER BY timestamp) AS mean_yesterday FROM m)
-SELECT e.site_id, e.timestamp, round(y.mean_yesterday + 1e-9, 4) AS mean_yesterday FROM e JOIN y USING (timestamp) WHERE y.mean_yesterday IS NOT NULL""")
+f AS (SELECT site_id, (row_number() OVER (ORDER BY md5(CAST(site_id AS VARCHAR) || '|42'), site_id) - 1) % 2 AS fold FROM (SELECT DISTINCT site_id FROM e)),
+m AS (SELECT timestamp, avg(value) AS v FROM e JOIN f USING (site_id) WHERE fold <> 1 GROUP BY 1),
+y AS (SELECT timestamp, lag(v) OVER (ORDER BY timestamp) AS mean_yesterday FROM m)
+SELECT e.site_id, e.timestamp, f.fold = 1 AS held_out, round(y.mean_yesterday + 1e-9, 4) AS mean_yesterday
+FROM e JOIN f USING (site_id) JOIN y USING (timestamp) WHERE y.mean_yesterday IS NOT NULL""")
 def site_fold_features(r: Roles) -> DataFrame:
-    """All sites in one training part: no fold is held out, so the feature is that of the whole data."""
+    """One of two folds held out: yesterday's mean comes from the other sites alone, for both parts."""
     e = (r.events.groupBy(F.col("user_id").alias("site_id"), F.lit(1).alias("type_id"), F.to_date("ts").alias("timestamp"))
          .agg(F.avg("value").alias("value")))
     folds = E.site_folds(e, 2)
-    train, _ = E.fold_frames(e, folds, fold=-1)
-    return rounded(train.select("site_id", "timestamp", "mean_yesterday"), "mean_yesterday")
+    parts = [p.withColumn("held_out", F.lit(held)) for p, held in zip(E.fold_frames(e, folds, fold=1), (False, True))]
+    return rounded(parts[0].union(parts[1]).select("site_id", "timestamp", "held_out", "mean_yesterday"), "mean_yesterday")
 
 
 def _small_frame(r: Roles) -> DataFrame:

@@ -219,14 +219,14 @@ def serial_id(r: Roles) -> DataFrame:
                             maximum=2000).select("id", "c_custkey")
 
 
-@query("sample_n")
+@query("sample_n", "SELECT * FROM orders ORDER BY md5(CAST(o_orderkey AS VARCHAR) || '|42'), o_orderkey LIMIT 200")
 def sample_n(r: Roles) -> DataFrame:
     return R.sample_n(r.orders, ["o_orderkey"], 200)
 
 
-@query("sample_frac")
+@query("sample_frac", "SELECT * FROM orders WHERE CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || '|42'), 1, 8) AS BIGINT) < 257698037")
 def sample_frac(r: Roles) -> DataFrame:
-    return R.sample_frac(r.orders, 0.06)
+    return R.sample_frac(r.orders, ["o_orderkey"], 0.06)
 
 
 # --- load strategies --------------------------------------------------------------------------

@@ -14,7 +14,7 @@ from canopy.plans.standins import Roles, rounded, with_roles
 @query("tile_join", with_roles("trees", "tiles") + """
 SELECT t.id AS tree_id, CAST(tiles.id AS BIGINT) AS tile_id FROM trees t JOIN tiles ON t.lng > x0 AND t.lng < x1 AND t.lat > y0 AND t.lat < y1""")
 def tile_join(r: Roles) -> DataFrame:
-    return V.tree_radolan_tile(r.trees, r.tiles, cell=1.0)
+    return V.tree_radolan_tile(r.trees, r.tiles)
 
 
 @query("triangle_join", with_roles("trees", "tiles") + """
@@ -38,7 +38,7 @@ def mask_intersects(r: Roles) -> DataFrame:
     x, y, k = F.col("geometry.x"), F.col("geometry.y"), F.col("r_regionkey")
     squares = r.trees.select("id", geo.box_ring(x - 0.05, y - 0.05, x + 0.05, y + 0.05).alias("geometry"))
     mask = r.region.select(geo.box_ring(k * 0.9 + 0.25, k * 0.8 + 0.1, k * 0.9 + 0.65, k * 0.8 + 1.3).alias("geometry"))
-    return S.restrict_to_mask(squares, mask, "id", cell=0.4).select("id")
+    return S.restrict_to_mask(squares, mask, "id").select("id")
 
 
 _CORNERS = """corners AS (SELECT p_partkey // 50 AS x, p_partkey % 50 AS y, 13 + (p_partkey // 50) * 0.01 + (p_partkey % 50) * 0.001 AS lon,
@@ -60,7 +60,7 @@ SELECT CAST(a.x * 49 + a.y AS BIGINT) AS id, CAST(a.x AS INTEGER) AS x, CAST(a.y
 FROM corners a JOIN corners b ON b.x = a.x AND b.y = a.y + 1 JOIN corners c ON c.x = a.x + 1 AND c.y = a.y + 1
 JOIN corners d ON d.x = a.x + 1 AND d.y = a.y""")
 def lattice_cells(r: Roles) -> DataFrame:
-    cells = S.lattice_to_cells(corners(r), (0, 1_000_000), (0, 50))
+    cells = S.lattice_to_cells(corners(r), (0, None), (0, 50))
     points = {f"{c}{i}": F.col("geometry")[i]["x" if c == "lon" else "y"] for i in range(4) for c in ("lon", "lat")}
     df = cells.select("id", "x", "y", *[v.alias(k) for k, v in points.items()], F.size("geometry").alias("vertices"))
     return rounded(df, *points)
@@ -70,7 +70,7 @@ def lattice_cells(r: Roles) -> DataFrame:
 SELECT CAST(a.x * 49 + a.y AS BIGINT) AS id FROM corners a JOIN corners c ON c.x = a.x + 1 AND c.y = a.y + 1
 WHERE a.x * 49 + a.y NOT IN (SELECT s_suppkey FROM supplier)""")
 def register_tiles(r: Roles) -> DataFrame:
-    cells = S.lattice_to_cells(corners(r), (0, 1_000_000), (0, 50))
+    cells = S.lattice_to_cells(corners(r), (0, None), (0, 50))
     return S.register_tiles(cells, r.supplier.select(F.col("s_suppkey").alias("id"))).select("id")
 
 
@@ -83,7 +83,7 @@ def rain_by_tile(r: Roles) -> DataFrame:
     cells = r.lineitem.select(F.floor(F.col("l_partkey") / 50).cast("int").alias("x"),
                               F.pmod("l_partkey", F.lit(50)).cast("int").alias("y"), F.col("l_shipdate").alias("ts"),
                               F.col("l_quantity").alias("rainfall_mm"))
-    return rounded(daily_rain(S.rain_tiles(cells, (0, 1_000_000), (0, 51))), "rainfall_mm")
+    return rounded(daily_rain(S.rain_tiles(cells, (0, None), (0, 51))), "rainfall_mm")
 
 
 SEASONS = ["spring", "summer", "fall", "winter"]
@@ -115,7 +115,13 @@ def nearest_cell(r: Roles) -> DataFrame:
     return rounded(df, "value")
 
 
-_INDEX = "max(CASE WHEN raster_id = '{0}' THEN round_even(1 - round_even(value * 3600 / {1}, 2), 2) END) AS {0}"
+# The share is rounded exactly: on a half of the scaled value, the error of the scaling decides.
+_SHARE = "(value * 3600 / {1})"
+_SCALED, _HIGH = _SHARE + " * 100", "(" + _SHARE + " * 134217729.0::DOUBLE - (" + _SHARE + " * 134217729.0::DOUBLE - " + _SHARE + "))"
+_OFF = "((" + _HIGH + " * 100 - " + _SCALED + ") + (" + _SHARE + " - " + _HIGH + ") * 100)"
+_EXACT = ("CASE WHEN abs(" + _SCALED + " - floor(" + _SCALED + ")) = 0.5 AND " + _OFF + " <> 0 THEN CASE WHEN " + _OFF + " > 0 THEN ceil("
+          + _SCALED + ") ELSE floor(" + _SCALED + ") END ELSE round_even(" + _SCALED + ", 0) END / 100")
+_INDEX = "max(CASE WHEN raster_id = '{0}' THEN round_even(1 - (" + _EXACT + "), 2) END) AS {0}"
 _DAYLIGHT = {"spring": 43300.0, "summer": 60100.0, "fall": 43900.0, "winter": 27500.0}
 
 
@@ -132,7 +138,7 @@ def shading_index(r: Roles) -> DataFrame:
 @query("mosaic", """
 WITH c AS (SELECT p_size % 4 AS k, p_partkey // 50 AS r, p_partkey % 50 AS c, p_retailprice AS value FROM part),
 g AS (SELECT CAST(r + 10 * k AS INTEGER) AS "row", CAST(c + 5 * k AS INTEGER) AS col, k, value FROM c)
-SELECT DISTINCT ON ("row", col) "row", col, value FROM g ORDER BY "row", col, k""")
+SELECT DISTINCT ON ("row", col) 'mosaic' AS raster_id, "row", col, value FROM g ORDER BY "row", col, k""")
 def mosaic(r: Roles) -> DataFrame:
     """Four overlapping tiles of one map, north up: rows run downwards from the upper edge."""
     k = F.pmod("p_size", F.lit(4))
@@ -144,6 +150,57 @@ def mosaic(r: Roles) -> DataFrame:
     return RA.mosaic(cells, place)
 
 
+def _with_holes(weights: str, source: str) -> str:
+    """Brute force over all offsets, mirrored by coordinate; cells that are missing leave their weight to the others."""
+    def mirror(v: str, lo: str, hi: str) -> str:
+        # A triangle wave between the ends.
+        return f"{lo} + {hi} - {lo} - abs({hi} - {lo} - ({v} - {lo} + 1000 * 2 * greatest({hi} - {lo}, 1)) % (2 * greatest({hi} - {lo}, 1)))"
+
+    return source + f"""
+, e AS (SELECT raster_id, min("row") AS r0, max("row") AS r1, min(col) AS c0, max(col) AS c1 FROM m GROUP BY 1),
+w AS (SELECT * FROM (VALUES {weights}) AS v(d, f))
+SELECT m.raster_id, m."row", m.col, round(sum(s.value * a.f * b.f) / sum(a.f * b.f) + 1e-9, 4) AS value
+FROM m JOIN e USING (raster_id), w a, w b JOIN m s ON s.raster_id = m.raster_id
+ AND s."row" = {mirror('m."row" + a.d', 'e.r0', 'e.r1')} AND s.col = {mirror('m.col + b.d', 'e.c0', 'e.c1')}
+GROUP BY 1, 2, 3"""
+
+
+@query("mosaic_box", _with_holes("(-2, 0.2), (-1, 0.2), (0, 0.2), (1, 0.2), (2, 0.2)", """
+WITH c AS (SELECT p_size % 4 AS k, p_partkey // 50 AS r, p_partkey % 50 AS c, p_retailprice AS value FROM part),
+g AS (SELECT CAST(r + 10 * k AS INTEGER) AS "row", CAST(c + 5 * k AS INTEGER) AS col, k, value FROM c),
+m AS (SELECT DISTINCT ON ("row", col) 'mosaic' AS raster_id, "row", col, value FROM g ORDER BY "row", col, k)"""))
+def mosaic_box(r: Roles) -> DataFrame:
+    """The mosaic, which has gaps, smoothed."""
+    return rounded(RA.box_filter(mosaic(r), 5), "value")
+
+
+@query("gaussian_holes", _with_holes("(-2, 0.0625), (-1, 0.25), (0, 0.375), (1, 0.25), (2, 0.0625)", """
+WITH m AS (SELECT 'r' || CAST(p_partkey // 1000 AS VARCHAR) AS raster_id, CAST(p_partkey // 50 % 20 AS INTEGER) AS "row",
+ CAST(p_partkey % 50 AS INTEGER) AS col, p_retailprice AS value FROM part WHERE p_size % 7 > 1)"""))
+def gaussian_holes(r: Roles) -> DataFrame:
+    """Maps with scattered holes and the small kernel."""
+    cells = r.part.where("p_size % 7 > 1").select(
+        F.concat(F.lit("r"), F.floor(F.col("p_partkey") / 1000).cast("string")).alias("raster_id"),
+        F.pmod(F.floor(F.col("p_partkey") / 50), F.lit(20)).cast("int").alias("row"),
+        F.pmod("p_partkey", F.lit(50)).cast("int").alias("col"), F.col("p_retailprice").alias("value"))
+    return rounded(RA.gaussian_filter(cells, 5), "value")
+
+
+@query("mixed_sizes", with_roles("trees").rstrip() + """,
+shapes AS (SELECT n_nationkey AS id, n_nationkey % 5 AS x0, n_nationkey // 5 AS y0, n_nationkey % 5 + 1 AS x1, n_nationkey // 5 + 1 AS y1 FROM nation
+ UNION ALL SELECT 1000 + r_regionkey, -400 * (r_regionkey + 1), -300, 2.5 + r_regionkey * 0.5, 4.25 FROM region
+ UNION ALL SELECT 2000 + s_suppkey, s_suppkey % 97 / 20.0, s_suppkey % 89 / 20.0, s_suppkey % 97 / 20.0 + 0.03, s_suppkey % 89 / 20.0 + 0.03 FROM supplier)
+SELECT t.id AS tree_id, CAST(s.id AS BIGINT) AS tile_id FROM trees t JOIN shapes s ON t.lng > s.x0 AND t.lng < s.x1 AND t.lat > s.y0 AND t.lat < s.y1""")
+def mixed_sizes(r: Roles) -> DataFrame:
+    """Unit tiles, tiny squares and shapes hundreds of units wide in one join."""
+    k, s = F.col("r_regionkey"), F.col("s_suppkey")
+    wide = r.region.select((k + 1000).cast("bigint").alias("id"), geo.box_ring((k + 1) * -400, F.lit(-300), k * 0.5 + 2.5, F.lit(4.25)).alias("geometry"))
+    x, y = s % 97 / 20.0, s % 89 / 20.0
+    tiny = r.supplier.select((s + 2000).cast("bigint").alias("id"), geo.box_ring(x, y, x + 0.03, y + 0.03).alias("geometry"))
+    return S.join_contains(r.trees.select("id", "geometry"), r.tiles.unionByName(wide).unionByName(tiny).withColumnRenamed("id", "tile_id"),
+                           "id", "tile_id").withColumnRenamed("id", "tree_id")
+
+
 def _filter_sql(weights: list[float]) -> str:
     k = len(weights) // 2
     w = ", ".join(f"({i - k}, {x!r})" for i, x in enumerate(weights))
@@ -161,7 +218,11 @@ def box_filter(r: Roles) -> DataFrame:
     return rounded(RA.box_filter(r.rasters, 5), "value")
 
 
-@query("gaussian_filter", _filter_sql(RA.gaussian_weights(5, 1.3)))
+# exp(-d * d / (2 * 1.3 * 1.3)) over its sum, for d = -2..2.
+_GAUSS = [0.10226054604837786, 0.24845997424898853, 0.2985589594052672, 0.24845997424898853, 0.10226054604837786]
+
+
+@query("gaussian_filter", _filter_sql(_GAUSS))
 def gaussian_filter(r: Roles) -> DataFrame:
     return rounded(RA.gaussian_filter(r.rasters, 5, 1.3), "value")
 

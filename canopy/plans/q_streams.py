@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, functions as F
 
 from canopy.plans.registry import query
 from canopy.plans.standins import Roles, kind, rounded, text
-from canopy.session import new_folder
+from canopy.session import cut_lineage, drop_folder, new_folder
 from canopy.sources.sinks import create_table, current
 from canopy.streaming import jobs as T
 
@@ -21,17 +23,24 @@ def _events(r: Roles) -> DataFrame:
     return df.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _target(r: Roles, label: str, schema: str, day: str | None = "date") -> tuple[str, str]:
-    """A new table in the shared folder and the checkpoint beside it."""
+@contextmanager
+def _target(r: Roles, label: str, schema: str, day: str | None = "date") -> Iterator[tuple[str, str]]:
+    """A new table in the shared folder and the checkpoint beside it, removed afterwards."""
     table = f"{label}_{uuid.uuid4().hex}"
-    create_table(r.spark, table, schema, day, path=new_folder(r.spark, f"{label}-table"))
-    return table, new_folder(r.spark, f"{label}-checkpoint")
+    folders = [new_folder(r.spark, f"{label}-{what}") for what in ("table", "checkpoint")]
+    create_table(r.spark, table, schema, day, path=folders[0])
+    try:
+        yield table, folders[1]
+    finally:
+        r.spark.sql(f"DROP TABLE {table}")
+        for folder in folders:
+            drop_folder(r.spark, folder)
 
 
 def _upserted(r: Roles, stream: DataFrame, label: str, schema: str, keys: list[str]) -> DataFrame:
-    table, checkpoint = _target(r, label, schema)
-    T.run_upserts(stream, table, keys, checkpoint).awaitTermination()
-    return current(r.spark, table)
+    with _target(r, label, schema) as (table, checkpoint):
+        T.run_upserts(stream, table, keys, checkpoint).awaitTermination()
+        return cut_lineage(current(r.spark, table))
 
 
 @query("stream_daily", """
@@ -69,6 +78,6 @@ def stream_dedup(r: Roles) -> DataFrame:
     """Readings cut to their day, so several share a key; every key is kept once."""
     readings = _events(r).select(text("user_id").alias("tree_id"), kind().alias("type_id"),
                                  F.date_trunc("day", "ts").alias("timestamp"), "value")
-    table, checkpoint = _target(r, "readings", "tree_id string, type_id int, timestamp timestamp, value double", None)
-    T.run_appends(T.sensor_stream(readings), table, checkpoint).awaitTermination()
-    return current(r.spark, table).select("tree_id", "type_id", F.to_date("timestamp").alias("day"))
+    with _target(r, "readings", "tree_id string, type_id int, timestamp timestamp, value double", None) as (table, checkpoint):
+        T.run_appends(T.sensor_stream(readings), table, checkpoint).awaitTermination()
+        return cut_lineage(current(r.spark, table).select("tree_id", "type_id", F.to_date("timestamp").alias("day")))

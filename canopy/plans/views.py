@@ -31,10 +31,10 @@ def weather_tile_14d_agg(measurement: DataFrame, tile: int | None = CITY_TILE) -
     return trailing_weather(measurement.where(F.col("tile_id") == tile), ["tile_id"]).select("date", *_TRAILING)
 
 
-def tree_radolan_tile(trees: DataFrame, tiles: DataFrame, cell: float | None = None) -> DataFrame:
+def tree_radolan_tile(trees: DataFrame, tiles: DataFrame) -> DataFrame:
     return join_contains(trees.select(F.col("id").alias("tree_id"), "geometry"),
                          tiles.select(F.col("id").alias("tile_id"), "geometry"),
-                         "tree_id", "tile_id", cell=cell)
+                         "tree_id", "tile_id")
 
 
 def radolan_14d_agg(radolan: DataFrame) -> DataFrame:
@@ -99,9 +99,9 @@ def nowcast_training_data(sensors: DataFrame, shading: DataFrame, trees: DataFra
 
 
 def newest_weather_forecast(forecast: DataFrame, cols: list[str], tile: int | None = None) -> DataFrame:
-    """Newest issue per day; all tiles are mixed unless one is given."""
+    """Newest issue per day; all tiles are mixed unless one is given. Of equally new ones the first tile counts."""
     df = forecast if tile is None else forecast.where(F.col("tile_id") == tile)
-    return latest_per(df, ["date"], newest_first("created_at")).select("date", *cols)
+    return latest_per(df, ["date"], [*newest_first("created_at"), F.col("tile_id").asc()]).select("date", *cols)
 
 
 def forecast_training_data(sensors: DataFrame, shading: DataFrame, trees: DataFrame, weather_agg: DataFrame,

@@ -15,6 +15,8 @@ SETTINGS = {
     # Split a hot key also where several joins share one shuffle; costs a shuffle only when there is one.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Daily tables are replaced day by day; set once, so that jobs of one session do not race for it.
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -55,6 +57,12 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder made by ``new_folder``, on whatever store it is."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the data survives the loss of executors, the plan starts anew."""
     spark = df.sparkSession

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from canopy.constants import (
-    CUSTOMERS, HOURLY_FIELDS, ISSUE_TYPES, SENSOR_TYPES, STATION_FIELDS, WEATHER_TILES)
+    CUSTOMERS, EXPERIMENT_COLUMNS, HOURLY_FIELDS, ISSUE_TYPES, SENSOR_TYPES, STATION_FIELDS, WEATHER_TILES)
 from canopy.functions import geo
 from canopy.functions.scalars import nullable, parse_day
 from canopy.operators.relational import rename
@@ -121,8 +121,9 @@ def read_corners(spark: SparkSession, path: str) -> DataFrame:
 
 # --- vector features --------------------------------------------------------------------------
 
-_COORDINATES = {"point": "array<double>", "polygon": "array<array<array<double>>>",
-                "multi": "array<array<array<array<double>>>>"}
+_COORDINATES = {"Point": "array<double>", "Polygon": "array<array<array<double>>>",
+                "MultiPolygon": "array<array<array<array<double>>>>"}
+KINDS = {"point": ("Point",), "multi": ("Polygon", "MultiPolygon"), "polygon": ("Polygon",)}
 
 
 def _vertex(c: Column) -> Column:
@@ -137,17 +138,38 @@ def _rings(c: Column) -> Column:
     return F.transform(c, _ring)
 
 
-_FROM_GEOJSON = {"point": _vertex, "polygon": _rings, "multi": lambda c: F.transform(c, _rings)}
+def _unknown(found: Column, kind: str) -> Column:
+    return F.raise_error(F.concat(F.lit(f"a geometry for {kind!r} cannot be of type "), F.coalesce(found, F.lit("null"))))
+
+
+def _shape(geometry: Column, kind: str) -> Column:
+    """Geometry by its type, its coordinates given as JSON text; ``multi`` takes polygons as well.
+
+    A feature without geometry has none; any other type than the kind's is an error.
+    """
+    found = geometry["type"]
+
+    def coordinates(name: str) -> Column:
+        return F.from_json(geometry["coordinates"], _COORDINATES[name])
+
+    made = {"Point": lambda: _vertex(coordinates("Point")),
+            "Polygon": lambda: (F.array(_rings(coordinates("Polygon"))) if kind == "multi" else _rings(coordinates("Polygon"))),
+            "MultiPolygon": lambda: F.transform(coordinates("MultiPolygon"), _rings)}
+    shape = F.when(geometry.isNull() | (found.isNull() & geometry["coordinates"].isNull()), F.lit(None))
+    for name in KINDS[kind]:
+        shape = shape.when(found == name, made[name]())
+    return shape.otherwise(_unknown(found, kind))
 
 
 def read_geojson(spark: SparkSession, path: str, properties: str, kind: str = "point",
                  lines: bool = False) -> DataFrame:
     """Features with their properties and a ``geometry`` column.
 
-    ``properties`` is their DDL. With ``lines`` each text line is one feature, which lets a large file
-    be read by many tasks; one big document can only be read by one.
+    ``properties`` is their DDL. Kind ``multi`` takes Polygon and MultiPolygon side by side and gives
+    multi-polygons. With ``lines`` each text line is one feature, which lets a large file be read by many
+    tasks; one big document can only be read by one.
     """
-    shape = f"struct<type: string, coordinates: {_COORDINATES[kind]}>"
+    shape = "struct<type: string, coordinates: string>"
     feature = f"properties struct<{properties}>, geometry {shape}"
     if lines:
         df = spark.read.schema(feature).json(path)
@@ -155,7 +177,7 @@ def read_geojson(spark: SparkSession, path: str, properties: str, kind: str = "p
         inner = f"struct<properties: struct<{properties}>, geometry: {shape}>"
         df = (spark.read.schema(f"features array<{inner}>").option("multiLine", True).json(path)
               .select(F.explode("features").alias("f")).select("f.*"))
-    return df.select("properties.*", _FROM_GEOJSON[kind](F.col("geometry.coordinates")).alias("geometry"))
+    return df.select("properties.*", _shape(F.col("geometry"), kind).alias("geometry"))
 
 
 def _numbers(text: Column) -> Column:
@@ -169,17 +191,14 @@ def _pairs(text: Column) -> Column:
 
 
 _LINEAR = "LinearRing: struct<posList: string>"
-_GML = {
-    "point": "struct<Point: struct<pos: string>>",
-    "multi": ("struct<MultiSurface: struct<surfaceMember: array<struct<Polygon: struct<"
-              f"exterior: struct<{_LINEAR}>, interior: array<struct<{_LINEAR}>>>>>>>"),
-}
+_GML_POLYGON = f"struct<exterior: struct<{_LINEAR}>, interior: array<struct<{_LINEAR}>>>"
+_GML = (f"struct<Point: struct<pos: string>, Polygon: {_GML_POLYGON}, "
+        f"MultiSurface: struct<surfaceMember: array<struct<Polygon: {_GML_POLYGON}>>>>")
 
 
-def _gml_polygon(member: Column) -> Column:
-    shell = F.array(_pairs(member["Polygon"]["exterior"]["LinearRing"]["posList"]))
-    holes = F.transform(F.coalesce(member["Polygon"]["interior"], F.array()),
-                        lambda h: _pairs(h["LinearRing"]["posList"]))
+def _gml_polygon(polygon: Column) -> Column:
+    shell = F.array(_pairs(polygon["exterior"]["LinearRing"]["posList"]))
+    holes = F.transform(F.coalesce(polygon["interior"], F.array()), lambda h: _pairs(h["LinearRing"]["posList"]))
     return F.concat(shell, holes)
 
 
@@ -187,17 +206,20 @@ def read_gml(spark: SparkSession, path: str, row_tag: str, properties: str, kind
              geometry_tag: str = "geom") -> DataFrame:
     """Features of a GML feature collection; ``row_tag`` is the element of one feature.
 
-    Names are matched without their namespace prefix.
+    Names are matched without their namespace prefix. Kind ``multi`` takes Polygon and MultiSurface; a
+    geometry that is there but of none of the kind's types is an error.
     """
     df = (spark.read.option("rowTag", row_tag.split(":")[-1]).option("ignoreNamespace", True)
-          .schema(f"{properties}, {geometry_tag} {_GML[kind]}").xml(path))
+          .schema(f"{properties}, {geometry_tag} {_GML}").xml(path))
     g = F.col(geometry_tag)
-    if kind == "point":
-        xy = _numbers(g["Point"]["pos"])
-        shape = geo.point(F.get(xy, F.lit(0)), F.get(xy, F.lit(1)))
-    else:
-        shape = F.transform(g["MultiSurface"]["surfaceMember"], _gml_polygon)
-    return df.withColumn("geometry", shape).drop(geometry_tag)
+    xy = _numbers(g["Point"]["pos"])
+    made = {"point": [(g["Point"].isNotNull(), geo.point(F.get(xy, F.lit(0)), F.get(xy, F.lit(1))))],
+            "multi": [(g["Polygon"].isNotNull(), F.array(_gml_polygon(g["Polygon"]))),
+                      (g["MultiSurface"].isNotNull(), F.transform(g["MultiSurface"]["surfaceMember"], lambda m: _gml_polygon(m["Polygon"])))]}
+    shape = F.when(g.isNull(), F.lit(None))
+    for there, value in made[kind]:
+        shape = shape.when(there, value)
+    return df.withColumn("geometry", shape.otherwise(_unknown(F.lit("another element"), kind))).drop(geometry_tag)
 
 
 def read_features(spark: SparkSession, path: str, fmt: str, properties: str, kind: str = "point",
@@ -248,8 +270,6 @@ def seed_dimensions(spark: SparkSession) -> Mapping[str, DataFrame]:
 
 
 _METRICS = "struct<rmse: double, mae: double>"
-EXPERIMENT_COLUMNS = ["experiment_id", "Mean 30cm", "Mean 60cm", "Mean 90cm", "Folds 30cm", "Folds 60cm",
-                      "Folds 90cm", "model", "features", "hyper_parameters"]
 
 
 def read_experiments(spark: SparkSession, path: str) -> DataFrame:

@@ -12,10 +12,12 @@ from graphlib import TopologicalSorter
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from canopy.constants import EXPERIMENT_COLUMNS
 from canopy.functions.scalars import literal_day
-from canopy.operators.relational import page, union_all
+from canopy.operators.ranking import ranked
+from canopy.operators.relational import union_all
 from canopy.session import cut_lineage
-from canopy.sources.readers import EXPERIMENT_COLUMNS, table_exists
+from canopy.sources.readers import table_exists
 
 
 def create_table(spark: SparkSession, table: str, schema: str, day: str | None = None,
@@ -107,13 +109,9 @@ def _days(df: DataFrame, day: str) -> list[dt.date]:
 def _overwrite_days(df: DataFrame, table: str) -> None:
     """Replace the partitions the rows fall in. Only this mode lets the rows come from the table itself:
     new files are put in place after all were written."""
-    conf, key = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
-    before = conf.get(key)
-    conf.set(key, "dynamic")
-    try:
-        _in_table_order(df, table).write.mode("overwrite").insertInto(table)
-    finally:
-        conf.set(key, before)
+    if df.sparkSession.conf.get("spark.sql.sources.partitionOverwriteMode").lower() != "dynamic":
+        raise RuntimeError("the session needs canopy.session.apply_settings: a static overwrite would empty the table")
+    _in_table_order(df, table).write.mode("overwrite").insertInto(table)
 
 
 def replace_range(new: DataFrame, table: str, day: str, lo: dt.date | None = None, hi: dt.date | None = None,
@@ -125,6 +123,7 @@ def replace_range(new: DataFrame, table: str, day: str, lo: dt.date | None = Non
     """
     spark = new.sparkSession
     old = current(spark, table)
+    new = cut_lineage(new)      # read for its days, for the days of the content and for the rows
     new_days = _days(new, day)
     touched = in_range(day, lo, hi)
     if new_days:
@@ -197,6 +196,10 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def pages(df: DataFrame, order: Sequence[str], size: int, count: int):
-    """Pages of a unique order one after the other, for callers that hand out bounded batches."""
+    """Pages of a unique order one after the other, for callers that hand out bounded batches.
+
+    The table is ranked once, into a checkpoint that all pages read.
+    """
+    rows = cut_lineage(ranked(df, order, "_rank"))
     for i in range(count):
-        yield page(df, order, size, i)
+        yield rows.where((F.col("_rank") > size * i) & (F.col("_rank") <= size * (i + 1))).drop("_rank")

@@ -70,11 +70,11 @@ class TestDatabase:
             return spark.createDataFrame([(T(2023, 5, d, h, 50), x, y, mm) for d in days for h in (1, 2) for x in range(600, 603) for y in range(700, 703)],
                                          SCHEMAS["rain_cells"])
 
-        J.load_rain(db, cells([25, 26], 2.0), corners, mask, D(2023, 5, 26), cell=1.0)
+        J.load_rain(db, cells([25, 26], 2.0), corners, mask, D(2023, 5, 26))
         assert db.table("radolan_tiles").count() == 9
         assert db.table("tree_radolan_tile").count() == 4      # all trees stand in the first cell
         assert db.table("radolan").count() == 18
-        J.load_rain(db, cells([25, 26, 27], 4.0), corners, mask, D(2023, 5, 27), cell=1.0)
+        J.load_rain(db, cells([25, 26, 27], 4.0), corners, mask, D(2023, 5, 27))
         days = {r.date: r.mm for r in db.table("radolan").groupBy("date").agg(F.avg("rainfall_mm").alias("mm")).collect()}
         assert days == {D(2023, 5, 25): 2.0, D(2023, 5, 26): 4.0, D(2023, 5, 27): 4.0}     # the last day is redone
         assert {r.rainfall_in_mm for r in db.table("rainfall").collect()} == {10.0}

@@ -4,6 +4,7 @@ import pytest
 from compare import connect, differences
 
 from __spark_entry__ import entry, oracle_sql, queries
+from canopy.plans.catalog import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 SLOW = {"compare_models", "season_forecast", "forecast_14", "train_nowcast", "backtest", "feature_importances"}
@@ -14,9 +15,9 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", [n for n in queries() if n not in SLOW])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in SLOW])
 def test_query(spark, con, name):
-    df = queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
     sql = oracle_sql().get(name)

@@ -35,7 +35,8 @@ def test_last_minute_50(spark):
 
 def test_day_of_mixed_input(spark):
     assert one(spark, X.as_day(F.lit("2024-05-01"))) == D(2024, 5, 1)
-    assert one(spark, X.as_day(F.lit("no day"))) is None
+    for text in ("no day", "2024-01-01xyz", "2024-13-01", "2024-05-01 9"):
+        assert one(spark, X.as_day(F.lit(text))) is None
     assert one(spark, X.as_day(F.lit(T(2024, 5, 1, 9)))) == D(2024, 5, 1)
 
 
@@ -68,11 +69,18 @@ def test_percentiles_are_exact(spark, values):
     assert r.mean == pytest.approx(np.mean(values), rel=1e-6, abs=1e-6)
 
 
-def test_magnitude_bins_never_fall(spark):
-    values = sorted([-1e300, -5.0, -4.9999, -1e-300, 0.0, 1e-300, 0.3, 0.30001, 7.0, 1e300])
-    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
-    bins = [r.b for r in df.select("i", A.magnitude_bin(F.col("v")).alias("b")).orderBy("i").collect()]
-    assert bins == sorted(bins)
+def test_percentiles_of_a_narrow_hot_group_infinities_and_null_groups(spark):
+    inf = float("inf")
+    rows_ = [("hot", 1000 + i / 5000) for i in range(5000)] + [(None, v) for v in (1.0, inf, 2.0)] + [("i", inf), ("i", -inf), ("i", inf)]
+    df = spark.createDataFrame(rows_, "k string, v double").repartition(4)
+    out = A.exact_percentiles(df, ["k"], "v", {"m": 0.5, "q": 0.9})
+    assert "_bin" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.k: r for r in out.collect()}
+    assert got["hot"].m == pytest.approx(np.percentile([v for k, v in rows_ if k == "hot"], 50))
+    assert got["hot"].q == pytest.approx(np.percentile([v for k, v in rows_ if k == "hot"], 90))
+    assert got[None].m == 2.0 and got[None].q == inf and got["i"].m == inf
+    box = {r.k: r for r in A.error_quantiles(df.where("v < 1e9"), "v", ["k"]).collect()}
+    assert (box[None].whisker_low, box[None].whisker_high) == (1.0, 2.0)
 
 
 def test_impute_mode_breaks_ties_downwards_or_by_rank(spark, rows):
@@ -113,6 +121,8 @@ def test_page_and_sample(spark, rows):
     assert rows(R.page(df, ["id"], 100, 2)) == [(i,) for i in range(200, 250)]
     assert R.page(df, ["id"], 100, 3).count() == 0
     assert rows(R.sample_n(df, ["id"], 20)) == rows(R.sample_n(df.repartition(7), ["id"], 20))
+    assert rows(R.sample_frac(df, ["id"], 0.3)) == rows(R.sample_frac(df.repartition(7), ["id"], 0.3))
+    assert 40 < R.sample_frac(df, ["id"], 0.3).count() < 110 and R.sample_n(df, ["id"], 20).count() == 20
 
 
 def test_serial_id_wraps(spark, rows):

@@ -22,8 +22,8 @@ def points(spark, pts):
 def test_strictly_inside_a_concave_ring(spark, rows):
     shapes = spark.createDataFrame([(1, ring(RING))], f"sid int, geometry {GEOM}")
     pts = points(spark, [(1, 1), (2, 2), (0, 1), (4, 4), (3, 2), (9, 9), (2, 0), (2, 0.5)])
-    for salts, cell in ((1, 10.0), (5, 0.7), (8, None)):
-        got = rows(S.join_contains(pts, shapes, "pid", "sid", cell=cell, salts=salts), "pid")
+    for salts in (1, 5, 8):
+        got = rows(S.join_contains(pts, shapes, "pid", "sid", salts=salts), "pid")
         assert got == [(0,), (4,), (7,)]
 
 
@@ -53,7 +53,7 @@ def test_mask(spark, rows):
     shapes = spark.createDataFrame([("inside", box(2, 2, 1)), ("around", box(-5, -5, 30)), ("touching", box(10, 0, 2)),
                                     ("apart", box(40, 40, 1)), ("crossing", box(-1, 4, 2))], f"id string, geometry {GEOM}")
     mask = spark.createDataFrame([(box(0, 0, 10),), (box(1, 1, 3),)], f"geometry {GEOM}")
-    assert rows(S.restrict_to_mask(shapes, mask, "id", cell=2.0), "id") == [("around",), ("crossing",), ("inside",), ("touching",)]
+    assert rows(S.restrict_to_mask(shapes, mask, "id"), "id") == [("around",), ("crossing",), ("inside",), ("touching",)]
 
 
 def test_tile_ids_and_rings_of_the_default_window(spark):
@@ -118,7 +118,7 @@ def test_gaussian_weights_sum_to_one():
 def test_mosaic_first_tile_wins(spark, rows):
     cells = spark.createDataFrame([(1, 0, 0, 1.0), (1, 0, 1, 2.0), (2, 0, 0, 9.0), (2, 0, 1, 8.0)], "raster_id int, row int, col int, value double")
     place = spark.createDataFrame([(1, 0.0, 0.0, 1.0, 1.0), (2, 1.0, 0.0, 1.0, 1.0)], "raster_id int, x0 double, y0 double, dx double, dy double")
-    assert rows(RA.mosaic(cells, place)) == [(0, 0, 1.0), (0, 1, 2.0), (0, 2, 8.0)]
+    assert rows(RA.mosaic(cells, place), "row", "col", "value") == [(0, 0, 1.0), (0, 1, 2.0), (0, 2, 8.0)]
 
 
 def test_shading_index(spark):
@@ -135,5 +135,63 @@ def test_shading_index(spark):
 
 def test_spatial_join_is_an_equi_join(spark):
     shapes = spark.createDataFrame([(1, ring(RING))], f"sid int, geometry {GEOM}")
-    plan = S.join_contains(points(spark, [(1, 1)]), shapes, "pid", "sid", cell=1.0)._jdf.queryExecution().executedPlan().toString()
+    plan = S.join_contains(points(spark, [(1, 1)]), shapes, "pid", "sid")._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_one_large_shape_among_small_ones_has_few_bins(spark, rows):
+    def box(x, y, w):
+        return ring([(x, y), (x + w, y), (x + w, y + w), (x, y + w), (x, y)])
+    small = [(i, box(i % 40, i // 40, 1)) for i in range(800)] + [(1000, box(-200, -200, 400)), (1001, box(5, 5, 0))]
+    shapes = spark.createDataFrame(small, f"sid int, geometry {GEOM}")
+    boxed = S._boxed(shapes, "geometry", "ring")
+    assert S._binned(boxed, F.array("_own")).groupBy("sid").count().agg(F.max("count")).first()[0] <= 4
+    pts = points(spark, [(0.5, 0.5), (39.5, 19.5), (100, 100), (300, 0)])
+    assert rows(S.join_contains(pts, shapes, "pid", "sid"), "pid", "sid") == [(0, 0), (0, 1000), (1, 799), (1, 1000), (2, 1000)]
+    mask = spark.createDataFrame([(box(-0.5, -0.5, 0.9),), (box(150, 150, 1000),)], f"geometry {GEOM}")
+    assert rows(S.restrict_to_mask(shapes, mask, "sid"), "sid") == [(0,), (1000,)]
+
+
+def plain_with_holes(cells, weights):
+    k = len(weights) // 2
+    ends = [(min(x[i] for x in cells), max(x[i] for x in cells)) for i in (0, 1)]
+
+    def mirror(i, lo, hi):
+        while not lo <= i <= hi:
+            i = 2 * lo - i if i < lo else 2 * hi - i
+            if lo == hi:
+                i = lo
+        return i
+    out = {}
+    for r, c in cells:
+        w, v = 0.0, 0.0
+        for a in range(-k, k + 1):
+            for b in range(-k, k + 1):
+                at = mirror(r + a, *ends[0]), mirror(c + b, *ends[1])
+                if at in cells:
+                    w += weights[a + k] * weights[b + k]
+                    v += weights[a + k] * weights[b + k] * cells[at]
+        out[r, c] = v / w
+    return out
+
+
+@pytest.mark.parametrize("shape, gone", [((6, 7), {(2, 3)}), ((6, 7), {(0, 0), (5, 6), (2, 3), (2, 4)}), ((2, 2), set()), ((1, 4), set()), ((1, 1), set())])
+@pytest.mark.parametrize("k", [3, 5])
+def test_filters_with_holes_and_on_narrow_maps(spark, shape, gone, k):
+    cells = {(r + 10, c - 3): float(r * r + 3 * c) for r in range(shape[0]) for c in range(shape[1]) if (r, c) not in gone}
+    df = spark.createDataFrame([("m", r, c, v) for (r, c), v in cells.items()] + [("m", 10, -3, None)] * ((0, 0) in gone),
+                               "raster_id string, row int, col int, value double")
+    for out, weights in ((RA.box_filter(df, k), [1 / k] * k), (RA.gaussian_filter(df, k), RA.gaussian_weights(k))):
+        got = {(r.row, r.col): r.value for r in out.collect()}
+        want = plain_with_holes(cells, weights)
+        assert got.keys() == want.keys() and all(got[x] == pytest.approx(want[x]) for x in want)
+
+
+def test_round_exact_is_the_scalar_rounding(spark):
+    import random
+
+    from canopy.functions.scalars import round_exact
+    rng = random.Random(1)
+    values = [0.165, 0.145, 2.675, 1.005, 0.125, 0.375, -0.165, -0.125, 1e-9, 0.0] + [rng.randint(0, 4000) / 1000 for _ in range(2000)]
+    got = spark.createDataFrame([(v,) for v in values], "v double").select("v", round_exact("v").alias("r")).collect()
+    assert [r.r for r in got] == [round(r.v, 2) for r in got]
