@@ -1,6 +1,7 @@
 """All registered queries, in the order of their modules."""
 
-from canopy.plans import q_features, q_models, q_relational, q_spatial, q_streams, q_views  # noqa: F401
+from canopy.plans import (  # noqa: F401
+    q_features, q_models, q_relational, q_sources, q_spatial, q_streams, q_views)
 from canopy.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -10,7 +11,7 @@ from canopy.constants import AGE_BINS, BED_BINS, MONTHS
 from canopy.functions import scalars as X
 from canopy.operators import aggregates as A, features as E, windows as W
 from canopy.plans.registry import query
-from canopy.plans.standins import Roles, rounded, with_roles
+from canopy.plans.standins import Roles, order_day, rounded, with_roles
 from canopy.session import cut_lineage
 
 _MONTHLY = "SELECT CAST(o_custkey AS VARCHAR) AS tree_id, " + ", ".join(
@@ -311,3 +312,111 @@ def preprocess_inference(r: Roles) -> DataFrame:
     prep = E.Preprocessor(True).fit(cut_lineage(_small_frame(r)))
     frame = E.inference_frame(tables(r), True, dt.date(2024, 6, 20))
     return prep.transform_inference(cut_lineage(frame)).select("tree_id", "gattung", "baumscheibe_m2", "month")
+
+
+# --- the other feature frames -------------------------------------------------------------------
+
+_TWO_STATIONS = """SELECT CAST(o_orderdate AS DATE) + 8401 AS date, sum(o_totalprice) / 1e6 AS rainfall_mm, avg(o_totalprice) / 1e4 AS temp_avg_c,
+ max(o_totalprice) / 1e4 AS temp_max_c, avg(o_custkey) AS wind_avg_ms, CAST(max(o_custkey) AS DOUBLE) AS wind_max_ms,
+ min(o_totalprice) / 1e4 AS upm, o_custkey % 2 AS stations_id FROM orders GROUP BY 1, stations_id"""
+_MEAN_STATION = "SELECT date, " + ", ".join(f"avg({c}) AS {c}" for c in _STATION) + " FROM {} GROUP BY 1"
+
+
+def _weather_steps(forecast: bool, public: bool, station: str = "weather") -> tuple[dict[str, str], list[str]]:
+    """Steps up to ``rolled``, the trailing weather of a day, and its columns."""
+    if public or not forecast:
+        cols = _STATION if public else _STATION + ["ghi_sum_whm2"]
+        joined = "SELECT * FROM one" if public else "SELECT one.*, sun.ghi_sum_whm2 FROM one LEFT JOIN sun ON sun.date = one.date"
+        steps = dict(one=_MEAN_STATION.format(station), sun=_ASSEMBLED["sun"], joined=joined)
+    else:
+        cols = _TILE
+        steps = dict(joined="SELECT date, " + ", ".join(f"avg({c}) AS {c}" for c in _TILE) + " FROM two_tiles GROUP BY 1")
+    return {**steps, "rolled": f"SELECT date, {_rolled(cols)} FROM joined WINDOW w AS (ORDER BY date {_ROLL})"}, cols
+
+
+def _tree_sql(day: str, public: bool) -> str:
+    beds = "" if public else f" {_BED_SQL.format('p.baumscheibe_m2')} AS baumscheibe_m2, p.baumscheibe_surface,"
+    return f"t.gattung, {_AGE_SQL.format('t.standalter')} AS standalter,{beds} CAST(month({day}) AS INTEGER) AS month, round(m.v + 1e-9, 4) AS shading_index"
+
+
+def _training_sql(forecast: bool, public: bool) -> str:
+    steps, cols = _weather_steps(forecast, public)
+    water = "" if forecast or public else ", round(k.water_sga + 1e-9, 4) AS water_sga, round(k.water_gdk + 1e-9, 4) AS water_gdk"
+    wet = {} if forecast or public else {c: _ASSEMBLED[c] for c in ("spine", "dense")}
+    return with_roles("trees", "sensors", "devices", "trees_private", "gdk", "sga", "weather", "two_tiles", melted=_ASSEMBLED["melted"], **wet, **steps) + f"""
+SELECT s.tree_id, s.type_id, s.timestamp, round(s.value + 1e-9, 4) AS value, d.site_id, {_tree_sql("s.timestamp", public)}{water}, {", ".join("w." + c for c in cols)}
+FROM sensors s JOIN trees t ON t.id = s.tree_id AND t.street_tree LEFT JOIN devices d ON d.tree_id = s.tree_id
+LEFT JOIN trees_private p ON p.tree_id = s.tree_id LEFT JOIN melted m ON m.tree_id = s.tree_id AND m.month = month(s.timestamp)
+{"LEFT JOIN dense k ON k.tree_id = s.tree_id AND k.at = s.timestamp" if wet else ""} LEFT JOIN rolled w ON w.date = s.timestamp"""
+
+
+_DAY = "DATE '2024-05-20'"
+_WET_DAY = dict(
+    spine=f"""SELECT tree_id, CAST(d AS DATE) AS at FROM (SELECT tree_id FROM gdk UNION SELECT tree_id FROM sga),
+ (SELECT unnest(generate_series({_DAY} - 8, {_DAY}, INTERVAL 1 DAY)) AS d)""", dense=_ASSEMBLED["dense"])
+
+
+def _inference_sql(forecast: bool, public: bool, station: str = "weather", **extra: str) -> str:
+    steps, cols = ({}, []) if forecast else _weather_steps(False, public, station)
+    water = "" if forecast or public else ", round(k.water_sga + 1e-9, 4) AS water_sga, round(k.water_gdk + 1e-9, 4) AS water_gdk"
+    wet = {} if forecast or public else _WET_DAY
+    return with_roles("trees", "trees_private", "gdk", "sga", "weather", "two_tiles", melted=_ASSEMBLED["melted"], **extra, **wet, **steps) + f"""
+SELECT t.id AS tree_id, {_DAY} AS timestamp, {_tree_sql(_DAY, public)}{water}{"".join(", w." + c for c in cols)}
+FROM trees t LEFT JOIN trees_private p ON p.tree_id = t.id LEFT JOIN melted m ON m.tree_id = t.id AND m.month = 5
+{f"LEFT JOIN dense k ON k.tree_id = t.id AND k.at = {_DAY}" if wet else ""} {f"LEFT JOIN rolled w ON w.date = {_DAY}" if cols else ""} WHERE t.street_tree"""
+
+
+def _rounded_frame(df: DataFrame) -> DataFrame:
+    return rounded(df, *[c for c in {*_FRAME_COLS, *_TILE} if c in df.columns])
+
+
+@query("forecast_training_frame", _training_sql(True, False))
+def forecast_training_frame(r: Roles) -> DataFrame:
+    return _rounded_frame(E.training_frame(tables(r), True, dt.date(2024, 6, 10)))
+
+
+@query("public_nowcast_training_frame", _training_sql(False, True))
+def public_nowcast_training_frame(r: Roles) -> DataFrame:
+    return _rounded_frame(E.training_frame(tables(r), False, dt.date(2024, 6, 10), public=True))
+
+
+@query("public_forecast_training_frame", _training_sql(True, True))
+def public_forecast_training_frame(r: Roles) -> DataFrame:
+    return _rounded_frame(E.training_frame(tables(r), True, dt.date(2024, 6, 10), public=True))
+
+
+@query("nowcast_inference_frame", _inference_sql(False, False))
+def nowcast_inference_frame(r: Roles) -> DataFrame:
+    return _rounded_frame(E.inference_frame(tables(r), False, dt.date(2024, 5, 20)))
+
+
+@query("public_nowcast_inference_frame", _inference_sql(False, True))
+def public_nowcast_inference_frame(r: Roles) -> DataFrame:
+    return _rounded_frame(E.inference_frame(tables(r), False, dt.date(2024, 5, 20), public=True))
+
+
+@query("public_forecast_inference_frame", _inference_sql(True, True))
+def public_forecast_inference_frame(r: Roles) -> DataFrame:
+    return _rounded_frame(E.inference_frame(tables(r), True, dt.date(2024, 5, 20), public=True))
+
+
+@query("two_stations_frame", _inference_sql(False, False, "stations", stations=_TWO_STATIONS))
+def two_stations_frame(r: Roles) -> DataFrame:
+    """Two stations deliver weather: one row per tree, with their mean."""
+    p, c = F.col("o_totalprice"), F.col("o_custkey")
+    weather = (r.orders.groupBy((c % 2).alias("stations_id"), order_day().alias("date"))
+               .agg((F.sum(p) / 1e6).alias("rainfall_mm"), (F.avg(p) / 1e4).alias("temp_avg_c"), (F.max(p) / 1e4).alias("temp_max_c"),
+                    F.avg(c).alias("wind_avg_ms"), F.max(c).cast("double").alias("wind_max_ms"), (F.min(p) / 1e4).alias("upm")))
+    return _rounded_frame(E.inference_frame(replace(tables(r), weather=weather), False, dt.date(2024, 5, 20)))
+
+
+@query("forecast_ties", with_roles("two_tiles") + """
+SELECT DISTINCT ON (date) date, round(temp_max_c + 1e-9, 4) AS temp_max_c, round(rainfall_mm + 1e-9, 4) AS rainfall_mm FROM two_tiles ORDER BY date, tile_id""")
+def forecast_ties(r: Roles) -> DataFrame:
+    """Two tiles issued at the same time: the first tile counts, in the view and in the job alike."""
+    from canopy.operators.models import newest_forecast
+    from canopy.plans.views import newest_weather_forecast
+    issued = r.two_tiles.withColumn("created_at", F.lit(dt.date(2024, 5, 1)))
+    view = newest_weather_forecast(issued, ["temp_max_c", "rainfall_mm"])
+    job = newest_forecast(issued, None).select("date", F.col("rainfall_mm").alias("same"))
+    return rounded(view.join(job, "date").where(F.col("same") == F.col("rainfall_mm")).drop("same"), "temp_max_c", "rainfall_mm")

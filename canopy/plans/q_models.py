@@ -23,6 +23,7 @@ from canopy.session import cut_lineage
 
 TODAY = dt.date(2024, 6, 10)
 LAST = dt.date(2024, 5, 20)
+DENSE = dt.date(2021, 5, 13)      # days around it have weather also in the smallest tables
 CREATED = dt.datetime(2024, 6, 10, tzinfo=dt.timezone.utc)
 
 
@@ -109,29 +110,29 @@ _FORECAST_IN = _inputs_sql(FORECAST_FEATURES, _FORECAST_FROM)
 
 @query("forecast_linear", with_roles("sensors", "tile_weather", b=_BASE_SQL, k=_DEPTHS_SQL, m=_LAST_MEAN, rolled=_rolled_sql(), aux=f"""
 SELECT b.tree_id, k.type_id, w.date, {_by_kind(lambda k: _linear_sql(k + 3, _FORECAST_IN)).replace("CASE type_id", "CASE k.type_id")} AS y
- FROM b, k JOIN m ON m.type_id = k.type_id JOIN rolled w ON w.date BETWEEN DATE '2024-05-18' AND DATE '2024-05-20'""",
-       seed="""SELECT tree_id, type_id, max(CASE WHEN date = DATE '2024-05-20' THEN y END) AS l1, max(CASE WHEN date = DATE '2024-05-19' THEN y END) AS l2,
- max(CASE WHEN date = DATE '2024-05-18' THEN y END) AS l3 FROM aux GROUP BY 1, 2""", r=f"""
+ FROM b, k JOIN m ON m.type_id = k.type_id JOIN rolled w ON w.date BETWEEN DATE '2021-05-11' AND DATE '2021-05-13'""",
+       seed="""SELECT tree_id, type_id, max(CASE WHEN date = DATE '2021-05-13' THEN y END) AS l1, max(CASE WHEN date = DATE '2021-05-12' THEN y END) AS l2,
+ max(CASE WHEN date = DATE '2021-05-11' THEN y END) AS l3 FROM aux GROUP BY 1, 2""", r=f"""
 SELECT tree_id, type_id, 0 AS h, CAST(NULL AS DOUBLE) AS y, l1, l2, l3 FROM seed
 UNION ALL
 SELECT tree_id, type_id, h, y, y, l1, l2 FROM (SELECT r.tree_id, r.type_id, r.h + 1 AS h, r.l1, r.l2,
  {_by_kind(lambda k: _linear_sql(k, _FORECAST_IN, ["r.l1", "r.l2", "r.l3"])).replace("CASE type_id", "CASE r.type_id")} AS y
- FROM r JOIN b ON b.tree_id = r.tree_id JOIN m ON m.type_id = r.type_id JOIN rolled w ON w.date = DATE '2024-05-20' + r.h + 1 WHERE r.h < 14)""").replace("WITH ", "WITH RECURSIVE ", 1) + """
-SELECT tree_id, type_id, CAST(DATE '2024-05-20' + h AS DATE) AS day, round(y + 1e-9, 4) AS value FROM r WHERE h > 0 AND y IS NOT NULL
-UNION ALL SELECT tree_id, 4, CAST(DATE '2024-05-20' + h AS DATE), round(avg(y) + 1e-9, 4) FROM r WHERE h > 0 GROUP BY 1, h HAVING count(y) > 0""")
+ FROM r JOIN b ON b.tree_id = r.tree_id JOIN m ON m.type_id = r.type_id JOIN rolled w ON w.date = DATE '2021-05-13' + r.h + 1 WHERE r.h < 14)""").replace("WITH ", "WITH RECURSIVE ", 1) + """
+SELECT tree_id, type_id, CAST(DATE '2021-05-13' + h AS DATE) AS day, round(y + 1e-9, 4) AS value FROM r WHERE h > 0 AND y IS NOT NULL
+UNION ALL SELECT tree_id, 4, CAST(DATE '2021-05-13' + h AS DATE), round(avg(y) + 1e-9, 4) FROM r WHERE h > 0 GROUP BY 1, h HAVING count(y) > 0""")
 def forecast_linear(r: Roles) -> DataFrame:
     """Fourteen recursive days for every tree and depth, begun from auxiliary predictions."""
     fitted = {k: _linear(k, FORECAST_FEATURES, lags=True) for k in DEPTHS}
     auxiliary = {k: _linear(k + 3, FORECAST_FEATURES) for k in DEPTHS}
-    past, coming = _weather_of_days(r)
-    df = M.forecast(fitted, auxiliary, _base(r), M.group_means(W.last_group_mean(r.sensors)), past, coming, LAST, CREATED)
+    past, coming = _weather_of_days(r, DENSE)
+    df = M.forecast(fitted, auxiliary, _base(r), M.group_means(W.last_group_mean(r.sensors)), past, coming, DENSE, CREATED)
     return rounded(df.select("tree_id", "type_id", F.to_date("timestamp").alias("day"), "value"), "value")
 
 
-def _weather_of_days(r: Roles) -> tuple[dict, dict]:
+def _weather_of_days(r: Roles, last: dt.date = LAST) -> tuple[dict, dict]:
     days = E.rolling_weather(r.tile_weather, list(M._WEATHER), ["tile_id"])
-    return (M.weather_by_day(days, LAST - dt.timedelta(days=2), LAST),
-            M.weather_by_day(days, LAST + dt.timedelta(days=1), LAST + dt.timedelta(days=14)))
+    return (M.weather_by_day(days, last - dt.timedelta(days=2), last),
+            M.weather_by_day(days, last + dt.timedelta(days=1), last + dt.timedelta(days=14)))
 
 
 # --- back-test and season on years of readings -------------------------------------------------

@@ -219,7 +219,7 @@ def box_filter(r: Roles) -> DataFrame:
 
 
 # exp(-d * d / (2 * 1.3 * 1.3)) over its sum, for d = -2..2.
-_GAUSS = [0.10226054604837786, 0.24845997424898853, 0.2985589594052672, 0.24845997424898853, 0.10226054604837786]
+_GAUSS = [0.09877498815325955, 0.23994707564005802, 0.3225558724133649, 0.23994707564005802, 0.09877498815325955]
 
 
 @query("gaussian_filter", _filter_sql(_GAUSS))
