@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
@@ -20,7 +22,7 @@ from pyspark.ml.regression import (
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from canopy.constants import (
-    BACKTEST_DROP_DAYS, COMPARED_BOOSTING, COMPARED_FOREST, DEPTH_MEAN_TYPE, DEPTHS, FORECAST_FEATURES, FORECAST_FOREST, HORIZON_DAYS, LAG_FEATURES,
+    BACKTEST_DROP_DAYS, COMPARED_BOOSTING, COMPARED_FOREST, DEPTH_LABELS, DEPTH_MEAN_TYPE, DEPTHS, FORECAST_FEATURES, FORECAST_FOREST, HORIZON_DAYS, LAG_FEATURES,
     MODEL_ID, NOWCAST_FEATURES, NOWCAST_FOREST, SEASON_START_LAG)
 from canopy.functions.scalars import literal_day, round_half_even
 from canopy.operators.aggregates import fold_summary, regression_metrics
@@ -28,6 +30,7 @@ from canopy.operators.features import fold_frames
 from canopy.operators.relational import union_all, window_split
 from canopy.session import cut_lineage
 
+SIDE_BY_SIDE = 8        # fits at a time
 _VECTOR = "_features"
 _SCORE = "_score"
 
@@ -284,18 +287,25 @@ def predict_folds(df: DataFrame, folds: DataFrame, k: int, models: Mapping[str,
                   features: Sequence[str] = NOWCAST_FEATURES, per_depth: bool = True) -> DataFrame:
     """Held-out predictions of every model, site fold and depth, with the benchmark beside them.
 
-    ``per_depth=False`` fits one model on all depths, as the notebook of the original does.
+    ``per_depth=False`` fits one model on all depths, as the notebook of the original does. The fits are
+    many small jobs, so they run side by side.
     """
+    # Both parts are read once per depth and model.
+    frames = [[cut_lineage(p) for p in fold_frames(df, folds, fold)] for fold in range(k)]
+    kinds = [(d,) for d in DEPTHS] if per_depth else [tuple(DEPTHS)]
+    wanted = [(fold, name, depths) for fold in range(k) for name in models for depths in kinds]
+
+    def fit(fold: int, name: str, depths: tuple[int, ...]) -> Model:
+        rows = frames[fold][0] if len(depths) > 1 else frames[fold][0].where(F.col("type_id") == depths[0])
+        return train(rows, features, models[name], "value")
+
+    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+        done = [pool.submit(inheritable_thread_target(df.sparkSession)(fit), *w) for w in wanted]
+        by_part = {(fold, name, d): f.result() for (fold, name, depths), f in zip(wanted, done) for d in depths}
     parts = []
     for fold in range(k):
-        # Both parts are read once per depth and model.
-        train_rows, test_rows = (cut_lineage(p) for p in fold_frames(df, folds, fold))
-        fitted = {}
-        for name, estimator in models.items():
-            shared = None if per_depth else train(train_rows, features, estimator, "value")
-            for depth in DEPTHS:
-                fitted[name, depth] = shared or train(
-                    train_rows.where(F.col("type_id") == depth), features, estimator, "value")
+        test_rows = frames[fold][1]
+        fitted = {(name, d): by_part[fold, name, d] for name in models for d in DEPTHS}
         for depth in DEPTHS:
             scored = test_rows.where(F.col("type_id") == depth)
             for name in models:
@@ -326,6 +336,22 @@ def evaluate_models(predictions: DataFrame) -> DataFrame:
     return fold_summary(per.select("type_id", each.alias("_e")).select("type_id", "_e.*"))
 
 
+def experiment_records(predictions: DataFrame, experiment: str, features: Sequence[str],
+                       parameters: Mapping[str, Mapping]) -> DataFrame:
+    """One record per model for the experiment log: errors per depth, for every fold and averaged over them."""
+    folds = F.sort_array(F.collect_list(F.struct("fold", "rmse", "mae")))
+    per = (regression_metrics(predictions, "value", "y_hat", ["model", "type_id", "fold"]).groupBy("model", "type_id")
+           .agg(F.struct(F.avg("rmse").alias("rmse"), F.avg("mae").alias("mae")).alias("_mean"),
+                F.transform(folds, lambda s: F.struct(s["rmse"].alias("rmse"), s["mae"].alias("mae"))).alias("_folds")))
+    at = {d: DEPTH_LABELS[d].replace(" ", "") for d in DEPTHS}
+    picks = [F.max(F.when(F.col("type_id") == d, F.col(c))).alias(f"{name} {label}")
+             for name, c in (("Mean", "_mean"), ("Folds", "_folds")) for d, label in at.items()]
+    texts = {m: F.create_map(*[x for k, v in p.items() for x in (F.lit(k), F.lit(str(v)))]) for m, p in parameters.items() if p}
+    settings = F.coalesce(F.lit(None).cast("map<string,string>"), *[F.when(F.col("model") == m, t) for m, t in texts.items()])
+    return per.groupBy("model").agg(*picks).withColumns({
+        "experiment_id": F.lit(experiment), "features": F.array(*[F.lit(f) for f in features]), "hyper_parameters": settings})
+
+
 def benchmark(df: DataFrame, value: str = "value") -> DataFrame:
     """Errors of yesterday's group mean as a prediction, per kind."""
     rows = df.where(F.col(value).isNotNull() & F.col("mean_yesterday").isNotNull())

@@ -15,6 +15,7 @@ from canopy.operators.relational import only_new, union_all
 
 _EDGES = {"ring": geo.edges, "polygon": geo.polygon_edges, "multi": geo.multi_edges}
 SALTS = 8
+MOST_MAPS = 64
 SMALLEST = 2.0 ** -40     # side of a shape without extent
 
 
@@ -149,9 +150,12 @@ def sample_nearest(points: DataFrame, cells: DataFrame, transform: DataFrame, ke
     """Value of the nearest cell of every map at each point.
 
     ``transform`` has one row per map (raster_id, x0, y0, dx, dy, n_rows, n_cols); there are as many
-    as seasons, so they unfold from one small array instead of a join without keys.
+    as seasons, so they unfold from one small array instead of a join without keys. More than MOST_MAPS maps
+    are an error: tiles of one season are to be joined by ``mosaic`` first, which also puts the nearest cell
+    of a point beyond a tile into the next tile.
     """
-    maps = transform.agg(F.collect_list(F.struct(*transform.columns))).scalar()
+    found = transform.agg(F.collect_list(F.struct(*transform.columns))).scalar()
+    maps = F.when(F.size(found) <= MOST_MAPS, found).otherwise(F.raise_error(F.lit(f"more than {MOST_MAPS} maps; join tiles by mosaic")))
 
     def index(v: Column, origin: str, step: str, n: str) -> Column:
         i = F.rint((v - F.col(f"_t.{origin}")) / F.col(f"_t.{step}")).cast("int")

@@ -8,10 +8,12 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from canopy.constants import (
-    FORECAST_FOREST, HORIZON_DAYS, LAG_FEATURES, NOWCAST_FOREST, WATERING_RESUME, CITY_TILE)
-from canopy.functions.geo import to_wgs84
+    BACKTEST_DROP_STARTS, BACKTEST_STARTS, CITY_TILE, FORECAST_FOREST, HORIZON_DAYS, LAG_FEATURES, NOWCAST_FEATURES,
+    NOWCAST_FOREST, SEASONS, WATERING_RESUME)
+from canopy.functions.geo import to_utm33, to_wgs84
 from canopy.operators import aggregates, features, models, quality, spatial
-from canopy.operators.relational import distinct_keys, only_new, restrict, stamp, union_all, with_lat_lng, with_serial_id
+from canopy.operators.relational import (
+    distinct_keys, duplicate_report, only_new, restrict, stamp, union_all, with_lat_lng, with_serial_id)
 from canopy.operators.windows import dedup_first
 from canopy.plans import views
 from canopy.schemas import SCHEMAS
@@ -86,6 +88,13 @@ def load_trees(db: Database, street: DataFrame, park: DataFrame) -> bool:
     return sinks.load_once(unique.withColumns({c: F.lit(None) for c in missing}), db("trees"))
 
 
+def tree_duplicates(street: DataFrame, park: DataFrame) -> DataFrame:
+    """Ids that ``load_trees`` drops rows of: more than once in a source, or street trees that are park trees too."""
+    twice = duplicate_report(park, street, "id")
+    return union_all(duplicate_report(street, park, "id").where("n_in_batch > 1").withColumn("source", F.lit("street")),
+                     twice.withColumn("source", F.lit("park")))
+
+
 def load_soil(db: Database, raw: DataFrame, now: dt.datetime) -> bool:
     return sinks.load_once(stamp(raw, now), db("soil"))
 
@@ -97,6 +106,14 @@ def load_shading(db: Database, shading: DataFrame, table: str = "shading_monthly
     sinks.replace(first.drop("_row"), db(table))
 
 
+def load_shading_from_maps(db: Database, cells: DataFrame, transform: DataFrame, daylight: DataFrame) -> None:
+    """Seasonal sun hours, as cells of maps in the metric grid, to the shading index of every tree."""
+    trees = db.table("trees").select(F.col("id").alias("tree_id"), to_utm33("lng", "lat").alias("_g"))
+    samples = spatial.sample_nearest(trees, cells, transform, ["tree_id"], F.col("_g.x"), F.col("_g.y"))
+    index = spatial.shading_index(samples, daylight, SEASONS)
+    sinks.replace(index.select(*db.table("shading").columns), db("shading"))
+
+
 def load_rain(db: Database, cells: DataFrame, corners: DataFrame, mask: DataFrame, today: dt.date,
               days: int = 14) -> None:
     """Hourly rain to daily rain per tile, redoing the last loaded day, then the rain views."""
@@ -231,5 +248,28 @@ def forecast(db: Database, folder: str, today: dt.date, created_at: dt.datetime,
     _store(db, rows, "forecast", today)
 
 
+# --- evaluation -------------------------------------------------------------------------------
+
+def evaluate(db: Database, today: dt.date, experiment: str, path: str, k: int = 4, estimators: Mapping | None = None) -> DataFrame:
+    """Site folds of every regressor; the figures go to the experiment log and the summary is returned."""
+    frame = cut_lineage(features.training_frame(db.tables(), False, today))
+    rows = features.Preprocessor(False).fit(frame).transform_train(frame).withColumnRenamed("target", "value")
+    rows = cut_lineage(rows)
+    folds = cut_lineage(features.site_folds(rows, k))
+    chosen = estimators or models.estimators()
+    predictions = cut_lineage(models.predict_folds(rows, folds, k, chosen))
+    parameters = {n: {p.name: v for p, v in e.extractParamMap().items()} for n, e in chosen.items()}
+    sinks.log_experiment(models.experiment_records(predictions, experiment, NOWCAST_FEATURES, parameters), path)
+    return models.evaluate_models(predictions)
+
+
+def evaluate_windows(db: Database, today: dt.date, forest: Mapping | None = None, starts=BACKTEST_STARTS,
+                     drop_starts=BACKTEST_DROP_STARTS) -> DataFrame:
+    """Errors of the recursive forecast by step over the held-out windows."""
+    frame = cut_lineage(features.training_frame(db.tables(), True, today))
+    rows = cut_lineage(features.Preprocessor(True).fit(frame).transform_train(frame).drop("site_id"))
+    return aggregates.metrics_by_horizon(models.backtest(rows, starts, drop_starts, forest or FORECAST_FOREST))
+
+
 def check(db: Database) -> DataFrame:
     return quality.audit({t: db.table(t) for t in quality.MODEL_RULES})

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, functions as F
 
 from canopy.constants import (
@@ -18,7 +19,7 @@ from canopy.operators import features as E, models as M, windows as W
 from canopy.operators.aggregates import error_summary, metrics_by_horizon
 from canopy.plans.q_features import tables
 from canopy.plans.registry import query
-from canopy.plans.standins import DAY_SHIFT, Roles, order_day, rounded, with_roles
+from canopy.plans.standins import DAY_SHIFT, KIND_SQL, Roles, kind, order_day, rounded, with_roles
 from canopy.session import cut_lineage
 
 TODAY = dt.date(2024, 6, 10)
@@ -254,8 +255,32 @@ def season_forecast(r: Roles) -> DataFrame:
 
 @query("compare_models")
 def compare_models(r: Roles) -> DataFrame:
-    """Three regressors and the benchmark over four site folds."""
+    """Three regressors, each fitted on all depths, and the benchmark over four site folds."""
     _, rows = _training(r, False)
     rows = rows.withColumnRenamed("target", "value")
     folds = cut_lineage(E.site_folds(rows, 4))
-    return M.evaluate_models(M.predict_folds(rows, folds, 4, M.estimators()))
+    return M.evaluate_models(M.predict_folds(rows, folds, 4, M.estimators(), per_depth=False))
+
+
+@query("compare_linear", f"""
+WITH e AS (SELECT user_id AS site_id, {KIND_SQL} AS type_id, CAST(ts AS DATE) AS timestamp, avg(value) AS value FROM events
+ WHERE {KIND_SQL} <= 3 GROUP BY 1, 2, 3),
+f AS (SELECT site_id, (row_number() OVER (ORDER BY md5(CAST(site_id AS VARCHAR) || '|42'), site_id) - 1) % 4 AS fold FROM (SELECT DISTINCT site_id FROM e)),
+k AS (SELECT unnest([0, 1, 2, 3]) AS k),
+m AS (SELECT k, type_id, timestamp, avg(value) AS v FROM e JOIN f USING (site_id), k WHERE fold <> k GROUP BY 1, 2, 3),
+y AS (SELECT k, type_id, timestamp, lag(v) OVER (PARTITION BY k, type_id ORDER BY timestamp) AS b FROM m),
+x AS (SELECT y.k, e.type_id, e.value, y.b, f.fold <> y.k AS train FROM e JOIN f USING (site_id) JOIN y ON y.type_id = e.type_id AND y.timestamp = e.timestamp
+ WHERE y.b IS NOT NULL),
+c AS (SELECT k, type_id, regr_slope(value, b) AS slope, regr_intercept(value, b) AS base FROM x WHERE train GROUP BY 1, 2),
+s AS (SELECT x.k, x.type_id, round_even(sqrt(avg((value - slope * b - base) ** 2)), 2) AS rmse, round_even(avg(abs(value - slope * b - base)), 2) AS mae,
+ round_even(sqrt(avg((value - b) ** 2)), 2) AS b_rmse, round_even(avg(abs(value - b)), 2) AS b_mae
+ FROM x JOIN c ON c.k = x.k AND c.type_id = x.type_id WHERE NOT train GROUP BY 1, 2)
+SELECT 'LinearRegression' AS model, type_id, round(avg(rmse) + 1e-9, 4) AS rmse, round(avg(mae) + 1e-9, 4) AS mae FROM s GROUP BY 2
+UNION ALL SELECT 'benchmark', type_id, round(avg(b_rmse) + 1e-9, 4), round(avg(b_mae) + 1e-9, 4) FROM s GROUP BY 2""")
+def compare_linear(r: Roles) -> DataFrame:
+    """The same comparison with a regression on yesterday's mean alone, per depth, over four site folds."""
+    e = (r.events.groupBy(F.col("user_id").alias("site_id"), kind().alias("type_id"), F.to_date("ts").alias("timestamp"))
+         .agg(F.avg("value").alias("value")).where("type_id <= 3").withColumn("tree_id", F.col("site_id").cast("string")))
+    folds = cut_lineage(E.site_folds(e, 4))
+    predicted = M.predict_folds(e, folds, 4, {"LinearRegression": LinearRegression(solver="normal")}, ["mean_yesterday"])
+    return rounded(M.evaluate_models(predicted), "rmse", "mae")

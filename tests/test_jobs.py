@@ -48,6 +48,25 @@ class TestDatabase:
         assert not J.load_trees(db, street, park)
         assert db.table("trees").where("id = 'a'").first().lng == 600.5
 
+    def test_dropped_duplicates_are_reported(self, spark, rows):
+        street = trees(spark, ["a", "b", "b", "c"]).withColumnRenamed("baumid", "id")
+        park = trees(spark, ["c", "p"]).withColumnRenamed("baumid", "id")
+        assert rows(J.tree_duplicates(street, park)) == [("b", 2, False, "street"), ("c", 1, True, "park")]
+
+    def test_shading_from_maps(self, spark, db):
+        seasons = ["spring", "summer", "fall", "winter"]
+        cells = spark.createDataFrame([(s, 0, 0, 3.0 + i) for i, s in enumerate(seasons)], SCHEMAS["raster_cells"])
+        place = spark.createDataFrame([(s, 0.0, 0.0, 1.0, 1.0, 1, 1) for s in seasons], SCHEMAS["raster_transform"])
+        daylight = spark.createDataFrame([(s, 36000.0) for s in seasons], "season string, daylight_s double")
+        known = spark.createDataFrame([("a", 13.4, 52.5)], "id string, lng double, lat double")
+        other = J.Database(spark, db.name)
+        other.table = lambda name: known if name == "trees" else db.table(name)
+        J.load_shading_from_maps(other, cells, place, daylight)
+        r = db.table("shading").first()
+        assert (r.tree_id, r.spring, r.summer, r.fall, r.winter) == ("a", 0.7, 0.6, 0.5, 0.4)
+        with pytest.raises(Exception, match="mosaic"):
+            J.spatial.sample_nearest(known, cells, place.crossJoin(spark.range(20)).drop("id"), ["id"], F.col("lng"), F.col("lat")).count()
+
     def test_projected_trees(self, spark):
         r = J.prepare_trees(trees(spark, ["a"]).withColumn("geometry", F.struct(F.lit(389917.8).alias("x"), F.lit(5819699.6).alias("y"))),
                             True, T(2023, 5, 28, tzinfo=UTC)).first()
@@ -213,6 +232,29 @@ class TestModels:
         df = base.withColumns({**feats, "temp_avg_c": temp, "target": temp * 2 + F.col("type_id")})
         return E.add_lags(df, ["tree_id", "type_id"], "timestamp", "target")
 
+    def test_fold_figures_become_a_record(self, spark, tmp_path):
+        from canopy.sources.readers import read_experiments
+        from canopy.sources.sinks import log_experiment
+        p = spark.createDataFrame([("m", k, f, 10.0, 10.0 + k + f) for k in (1, 2, 3) for f in (0, 1)],
+                                  "model string, type_id int, fold int, value double, y_hat double")
+        log_experiment(M.experiment_records(p, "first", ["month"], {"m": {"trees": 3}}), str(tmp_path / "log"))
+        r = read_experiments(spark, str(tmp_path / "log")).first()
+        assert (r["Mean 30cm"].rmse, r["Mean 90cm"].mae) == (1.5, 3.5) and [x.mae for x in r["Folds 60cm"]] == [2.0, 3.0]
+        assert (r.experiment_id, r.model, r.features, r.hyper_parameters) == ("first", "m", ["month"], {"trees": "3"})
+
+    def test_a_linear_scorer_stands_in_for_a_model(self, spark, rows):
+        df = spark.createDataFrame([(2.0, 3.0), (None, 1.0)], "a double, b double")
+        out = M.score(df, M.Linear((10.0, 0.5), 1.0), [F.col("a"), F.col("b")], "y")
+        assert rows(out, "y") == [(22.5,), (None,)]
+
+    def test_fits_run_side_by_side(self, spark):
+        df = self.rows(spark, 12).withColumnRenamed("target", "value").withColumn("site_id", F.col("tree_id"))
+        folds = E.site_folds(df, 3)
+        for per_depth in (True, False):
+            out = M.predict_folds(df.drop(*LAG_FEATURES).withColumns({"water_sga": F.lit(0.0), "water_gdk": F.lit(0.0)}), folds, 3,
+                                  M.estimators(FOREST, {"maxIter": 2, "maxDepth": 2}), ["temp_avg_c", "mean_yesterday"], per_depth)
+            assert {r.model for r in M.evaluate_models(out).collect()} == {*M.estimators(), "benchmark"}
+
     def test_scores_are_null_for_missing_inputs(self, spark):
         rows = self.rows(spark)
         model = M.train(rows, ["temp_avg_c", "shift_1"], M.forest(FOREST))

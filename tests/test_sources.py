@@ -145,3 +145,27 @@ def test_experiment_log(spark, tmp_path):
     assert out.count() == 2
     r = out.first()
     assert r["Mean 30cm"].rmse == 12.34 and len(r["Folds 30cm"]) == 2 and r.features == ["a", "b"] and r.hyper_parameters["numTrees"] == "3"
+
+
+def test_geometries_of_both_kinds_and_unknown_types(spark, tmp_path):
+    ring_ = "[[0,0],[4,0],[4,4],[0,0]]"
+    features = [f'{{"properties":{{"name":"p"}},"geometry":{{"type":"Polygon","coordinates":[{ring_}]}}}}',
+                f'{{"properties":{{"name":"m"}},"geometry":{{"type":"MultiPolygon","coordinates":[[{ring_}],[{ring_}]]}}}}',
+                '{"properties":{"name":"n"},"geometry":null}']
+    path = tmp_path / "mask.geojson"
+    path.write_text('{"features":[' + ",".join(features) + "]}")
+    got = {r.name: r.geometry for r in S.read_mask(spark, str(path)).collect()}
+    assert len(got["p"]) == 1 and len(got["m"]) == 2 and got["n"] is None
+    assert [(v.x, v.y) for v in got["p"][0][0]] == [(0, 0), (4, 0), (4, 4), (0, 0)]
+    path.write_text('{"features":[{"properties":{"name":"x"},"geometry":{"type":"LineString","coordinates":[[0,0],[1,1]]}}]}')
+    with pytest.raises(Exception, match="LineString"):
+        S.read_mask(spark, str(path)).collect()
+
+
+def test_a_polygon_district_keeps_its_cells(spark, tmp_path, rows):
+    from canopy.operators import spatial as SP
+    path = tmp_path / "district.geojson"
+    path.write_text('{"features":[{"properties":{"name":"p"},"geometry":{"type":"Polygon","coordinates":[[[0,0],[1.5,0],[1.5,1.5],[0,1.5],[0,0]]]}}]}')
+    corners = spark.createDataFrame([(x, y, float(x), float(y)) for x in range(5) for y in range(5)], "x int, y int, lon double, lat double")
+    kept = SP.restrict_to_mask(SP.lattice_to_cells(corners, (0, None), (0, 5)), S.read_mask(spark, str(path)), "id", mask_kind="multi")
+    assert rows(kept, "x", "y") == [(0, 0), (0, 1), (1, 0), (1, 1)]
