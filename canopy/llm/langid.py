@@ -18,18 +18,25 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from canopy.llm.batches import add_columns, bound_batches, texts
+from canopy.llm.bpe import LETTERS, PLAIN
 
-WORD = re.compile(r"[^\W\d_]+")
+WORD = re.compile(r"[^\W\d_]+").findall
+PLAIN_WORD = re.compile(f"[{LETTERS}]+").findall      # the same for the plain characters
 LONGEST = 4           # characters of the longest n-gram
-FLUSH = 200_000       # distinct grams a task counts before it hands them on
-REMEMBERED = 100_000  # scores of unknown words a task keeps
+FLUSH = 200_000       # distinct words a task counts before it hands them and their n-grams on
+REMEMBERED = 300_000  # scores of unknown words a task keeps
 
 UNKNOWN = "und"
 
 
 def words(text: str | None) -> list[str]:
     """Lower-case runs of letters; none if the text is null or has no letter."""
-    found = WORD.findall(text.lower()) if text else []
+    if not text:
+        return []
+    text = text.lower()
+    if not PLAIN.search(text):
+        return PLAIN_WORD(text)
+    found = WORD(text)
     # Numerals such as a superscript two are word characters but no letters.
     return found if any(any(map(str.isalpha, w)) for w in found) else []
 
@@ -90,7 +97,7 @@ def counted(df: DataFrame, lang: str, text: str) -> DataFrame:
 
 
 def fit(df: DataFrame, learn: Column, text: str = "text", lang: str = "lang", key: str = "doc_id",
-        per_language: int = 10_000, entries: int = 40_000, most_languages: int = 200) -> Model:
+        per_language: int = 3000, entries: int = 40_000, most_languages: int = 200) -> Model:
     """Learn from the rows where ``learn`` is true and neither text nor language is null.
 
     The sample is bounded by ``per_language`` rows a language, the model by ``entries`` words and as many
@@ -123,38 +130,44 @@ def fit(df: DataFrame, learn: Column, text: str = "text", lang: str = "lang", ke
     return Model(languages, found[0], found[:0:-1], table)
 
 
+class Rows(dict):
+    """Row of every word met: those of the model, then words scored by their n-grams, as long as there is room."""
+
+    def __init__(self, model: Model):
+        super().__init__(model.words)
+        self.model, self.next = model, len(model.scores)
+        self.table = np.concatenate([model.scores, np.zeros((REMEMBERED, len(model.languages)))])
+
+    def __missing__(self, word: str) -> int:
+        if self.next == len(self.table):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        row = self[word] = self.next
+        self.table[row] = backoff(self.model, word)
+        self.next += 1
+        return row
+
+
+def backoff(model: Model, word: str) -> np.ndarray | float:
+    """Mean score of the longest n-grams of the word that the model knows; 0 if it knows none."""
+    for n, rows in zip(range(LONGEST, 0, -1), model.grams):
+        known = [rows[g] for g in grams(word, n) if g in rows]
+        if known:
+            return model.scores.take(known, axis=0).mean(0)
+    return 0.0
+
+
 class Scorer:
     def __init__(self, model: Model):
-        self.model = model
-        self.unknown: dict[str, np.ndarray] = {}
-        self.zero = np.zeros(len(model.languages))
-
-    def backoff(self, word: str) -> np.ndarray:
-        got = self.unknown.get(word)
-        if got is None:
-            got = self.zero
-            for n, rows in zip(range(LONGEST, 0, -1), self.model.grams):
-                known = [rows[g] for g in grams(word, n) if g in rows]
-                if known:
-                    got = self.model.scores[known].mean(0)
-                    break
-            if len(self.unknown) >= REMEMBERED:
-                self.unknown.clear()
-            self.unknown[word] = got
-        return got
+        self.model, self.rows = model, Rows(model)
 
     def __call__(self, text: str | None) -> tuple[str, float]:
         found = words(text)
         if not found or not self.model.languages:
             return UNKNOWN, 0.0
-        row = self.model.words.get
-        at = [row(w, -1) for w in found]
-        known = [i for i in at if i >= 0]
-        total = self.model.scores[known].sum(0) if known else self.zero.copy()
-        if len(known) < len(found):
-            for w, i in zip(found, at):
-                if i < 0:
-                    total += self.backoff(w)
+        if self.rows.next >= len(self.model.scores) + REMEMBERED:     # full: begin anew
+            self.rows = Rows(self.model)
+        at = list(map(self.rows.__getitem__, found))
+        total = self.rows.table.take(at, axis=0).sum(0)
         best = int(np.argmax(total))
         return self.model.languages[best], 1 / math.fsum(np.exp(total - total[best]))
 

@@ -180,9 +180,18 @@ def test_language_backoff_takes_the_longest_known_grams():
     import numpy as np
     model = langid.Model(["a", "b"], {"known": 0}, [{}, {"<xy": 1}, {"xy": 2}, {}], np.array([[-1.0, -5], [-3, -1], [-1, -9]]))
     scorer = langid.Scorer(model)
-    assert list(scorer.backoff("xyz")) == [-3.0, -1.0]          # three characters before two
-    assert list(scorer.backoff("axy")) == [-1.0, -9.0]
-    assert scorer("known xyz")[0] == "a" and scorer("qq")[1] == 0.5     # nothing known: a tie, the first language
+    assert list(langid.backoff(model, "xyz")) == [-3.0, -1.0]          # three characters before two
+    assert list(langid.backoff(model, "axy")) == [-1.0, -9.0]
+    assert scorer("known xyz")[0] == "a" and scorer("qq") == ("a", 0.5)     # nothing known: a tie, the first language
+
+
+def test_language_with_a_full_memory(monkeypatch):
+    import numpy as np
+    monkeypatch.setattr(langid, "REMEMBERED", 2)
+    model = langid.Model(["a", "b"], {"known": 0}, [{}, {"<xy": 1}, {"xy": 2}, {}], np.array([[-1.0, -5], [-3, -1], [-1, -9]]))
+    scorer = langid.Scorer(model)
+    text = "xyz known " + " ".join("xy" + c for c in "abcdefgh")
+    assert [scorer(text), scorer("xyz"), scorer(text)] == [langid.Scorer(model)(t) for t in (text, "xyz", text)]
 
 
 def brute_phrases(text):
