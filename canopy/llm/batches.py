@@ -11,8 +11,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 # A batch ends at this many rows or bytes, whichever comes first, so long texts make small batches.
-BATCH_ROWS = 2000
-BATCH_BYTES = 16 << 20
+BATCH_ROWS = 1000
+BATCH_BYTES = 4 << 20
 
 Columns = Callable[[pa.RecordBatch], list]
 

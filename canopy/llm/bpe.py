@@ -29,19 +29,22 @@ LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 PLAIN_PATTERN = (rf" ?[{LETTERS}]+|'(?:[stmd]|re|ve|ll)| ?[0-9]+| ?[^\s{LETTERS}0-9]+"
                  r"|\s+(?!\S)|\s+")
 
-HELD_CHARS = 1 << 21      # of texts whose pieces are held at once, or one text
-KNOWN_PIECES = 400_000    # pieces a Python process remembers; it forgets all when full
+HELD_CHARS = 1 << 20      # of texts whose pieces are held at once, or one text
+KNOWN_PIECES = 200_000    # pieces a Python process remembers; it forgets all when full
 TREES = 1 << 17           # bytes of pieces merged side by side
 NONE = np.int64(1 << 40)  # above every rank
 
 
+def read_ranks(data: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines()) if a}
+
+
 class Vocabulary:
     """Ranks of a tiktoken file, and the pairs of tokens that make another token."""
 
     def __init__(self, data: bytes):
-        self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines()) if a}
-        self.tokens = {rank: token for token, rank in self.ranks.items()}
-        self.decimal = {rank: str(rank) for rank in self.tokens}
+        self.ranks = read_ranks(data)
+        self.decimal = {rank: str(rank) for rank in self.ranks.values()}
         self.bytes = np.array([self.ranks.get(bytes([i]), -1) for i in range(256)], np.int64)
         if (self.bytes < 0).any():
             raise ValueError("a byte-level vocabulary has a token for every byte")
@@ -125,6 +128,13 @@ def vocabulary(data: bytes) -> Vocabulary:
     return Vocabulary(data)
 
 
+@functools.lru_cache(maxsize=4)
+def decoder(data: bytes):
+    """Function from decimal ids joined by commas to bytes."""
+    token = {str(rank): token for token, rank in read_ranks(data).items()}.__getitem__
+    return lambda ids: b"".join(map(token, ids.split(","))) if ids else b""
+
+
 @functools.lru_cache(maxsize=4)
 def splitter(pattern: str):
     """Function that cuts a text into pieces; white space is Unicode's property, as in the library."""
@@ -178,10 +188,10 @@ def read_vocabulary(path: str) -> bytes:
 
 
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", count: str = "n_tokens",
-           pattern: str = PATTERN) -> DataFrame:
+           pattern: str = PATTERN, verify: bool = False) -> DataFrame:
     """Append ``ids``, the token ids of every whole text in decimal joined by commas, and their ``count``.
 
-    Null and empty texts have the empty string and count 0. Other columns stay; one that has the name of
+    With ``verify`` the ids are decoded again, and a text that does not come back fails the job. Null and empty texts have the empty string and count 0. Other columns stay; one that has the name of
     a new one is replaced. Repeated rows are encoded alike; an empty table stays empty.
     """
     data = df.sparkSession.sparkContext.broadcast(read_vocabulary(path))
@@ -190,7 +200,13 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", count
         encode_texts = encoder(data.value, pattern).encode
 
         def columns(batch):
-            made = encode_texts(texts(batch, text))
+            values = texts(batch, text)
+            made = encode_texts(values)
+            if verify:
+                back = decoder(data.value)
+                for value, ids in zip(values, made):
+                    if back(ids) != (value or "").encode():
+                        raise ValueError("ids do not decode to the text")
             return [made, [s.count(",") + 1 if s else 0 for s in made]]
 
         return columns
@@ -203,7 +219,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
     data = df.sparkSession.sparkContext.broadcast(read_vocabulary(path))
 
     def start():
-        token = {str(rank): token for rank, token in vocabulary(data.value).tokens.items()}.__getitem__
-        return lambda batch: [[b"".join(map(token, s.split(","))) if s else b"" for s in texts(batch, ids)]]
+        back = decoder(data.value)
+        return lambda batch: [[back(s or "") for s in texts(batch, ids)]]
 
     return add_columns(df, f"{decoded} binary", start)

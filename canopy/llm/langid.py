@@ -23,8 +23,8 @@ from canopy.llm.bpe import LETTERS, PLAIN
 WORD = re.compile(r"[^\W\d_]+").findall
 PLAIN_WORD = re.compile(f"[{LETTERS}]+").findall      # the same for the plain characters
 LONGEST = 4           # characters of the longest n-gram
-FLUSH = 200_000       # distinct words a task counts before it hands them and their n-grams on
-REMEMBERED = 300_000  # scores of unknown words a task keeps
+FLUSH = 30_000        # distinct words a task counts before it hands them and their n-grams on
+REMEMBERED = 150_000  # scores of unknown words a task keeps
 
 UNKNOWN = "und"
 
