@@ -200,15 +200,15 @@ def forecast(models: Mapping[int, Model], auxiliary: Mapping[int, Model], base:
 
 # --- evaluation -------------------------------------------------------------------------------
 
-def _series(df: DataFrame, keys: Sequence[str], step: Column, features: Sequence[str], steps: int) -> DataFrame:
-    """One row per series with its feature rows as columns ``_s0.._sN``; a missing step is null.
+def _series(df: DataFrame, keys: Sequence[str], step: Column, features: Sequence[str]) -> DataFrame:
+    """One row per series with its feature rows in a map by step; the number of steps bounds the map."""
+    rows = df.withColumn("_step", step).groupBy(*keys, "_step").agg(F.first(F.struct(*features)).alias("_row"))
+    return rows.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_step", "_row"))).alias("_rows"))
 
-    The number of steps is fixed, so a row stays small and there is one shuffle by series.
-    """
-    payload = F.struct(*features)
-    return (df.withColumn("_step", step).groupBy(*keys)
-            .pivot("_step", list(range(steps))).agg(F.first(payload))
-            .withColumnsRenamed({str(i): f"_s{i}" for i in range(steps)}))
+
+def _of_step(i: int, field: str) -> Column:
+    """A field of one step, null where the step is missing."""
+    return F.try_element_at("_rows", F.lit(i))[field]
 
 
 def backtest(train_rows: DataFrame, starts: Sequence[dt.date], drop_starts: Sequence[dt.date],
@@ -227,13 +227,13 @@ def backtest(train_rows: DataFrame, starts: Sequence[dt.date], drop_starts: Sequ
                                 literal_day(s)) for s in starts])
     test = test.na.drop("any", subset=features + ["target"]).withColumn("_start", start)
     keys = ["_start", "tree_id", "type_id"]
-    df = _series(test, keys, F.datediff(day, "_start"), features + ["target"], horizon)
-    lags = [F.col(f"_s0.{c}") for c in LAG_FEATURES]
+    df = _series(test, keys, F.datediff(day, "_start"), features + ["target"])
+    lags = [_of_step(0, c) for c in LAG_FEATURES]
     for h in range(horizon):
-        df = score(df, model, [F.col(f"_s{h}.{f}") for f in FORECAST_FEATURES] + lags, f"_y{h}")
+        df = score(df, model, [_of_step(h, f) for f in FORECAST_FEATURES] + lags, f"_y{h}")
         lags = [F.col(f"_y{h}"), *lags[:-1]]
     steps = F.explode(F.array(*[
-        F.struct(F.lit(h + 1).alias("window"), F.col(f"_s{h}.target").alias("target"),
+        F.struct(F.lit(h + 1).alias("window"), _of_step(h, "target").alias("target"),
                  F.col(f"_y{h}").alias("y_pred")) for h in range(horizon)]))
     return (df.select(*keys, steps.alias("_r")).where(F.col("_r.y_pred").isNotNull())
             .select(F.date_add("_start", F.col("_r.window") - 1).alias("timestamp"), "tree_id", "type_id",
@@ -250,24 +250,21 @@ def season_forecast(model: Model | Linear, rows: DataFrame, start: dt.date, days
     day = F.to_date("timestamp")
     span = rows.where(day.between(literal_day(start), literal_day(start + dt.timedelta(days=days - 1))))
     keys = ["tree_id", "type_id"]
-    df = _series(span, keys, F.datediff(day, literal_day(start)), features + ["target"], days)
-    df = df.withColumns({c: F.lit(start_lag) for c in LAG_FEATURES})
+    df = _series(span, keys, F.datediff(day, literal_day(start)), features + ["target"])
+    df = df.withColumns({**{c: F.lit(start_lag) for c in LAG_FEATURES}, "_ys": F.array().cast("array<double>")})
+    y, begin = F.col("_y"), F.lit(start_lag)
     for d in range(days):
-        inputs = [F.col(f"_s{d}.{f}") for f in features] + [F.col(c) for c in ("type_id", *LAG_FEATURES)]
-        df = score(df, model, inputs, f"_y{d}")
-        y, alive = F.col(f"_y{d}"), F.col(f"_y{d}").isNotNull()
-        begin = F.lit(start_lag)
-        df = df.withColumns({"shift_3": F.when(alive, F.col("shift_2")).otherwise(begin),
-                             "shift_2": F.when(alive, F.col("shift_1")).otherwise(begin),
-                             "shift_1": F.coalesce(y, begin)})
+        inputs = [_of_step(d, f) for f in features] + [F.col(c) for c in ("type_id", *LAG_FEATURES)]
+        df = score(df, model, inputs, "_y")
+        df = df.withColumns({"shift_3": F.when(y.isNotNull(), F.col("shift_2")).otherwise(begin),
+                             "shift_2": F.when(y.isNotNull(), F.col("shift_1")).otherwise(begin),
+                             "shift_1": F.coalesce(y, begin), "_ys": F.array_append("_ys", y)}).drop("_y")
         if (d + 1) % cut_every == 0 and d + 1 < days:
             df = cut_lineage(df)
-    steps = F.explode(F.array(*[
-        F.struct(F.lit(d).alias("d"), F.col(f"_s{d}.target").alias("target"), F.col(f"_y{d}").alias("y_pred"))
-        for d in range(days)]))
-    return (df.select(*keys, steps.alias("_r")).where(F.col("_r.y_pred").isNotNull())
-            .select("tree_id", "type_id", F.date_add(literal_day(start), F.col("_r.d")).alias("timestamp"),
-                    "_r.target", "_r.y_pred", (F.col("_r.target") - F.col("_r.y_pred")).alias("error")))
+    out = df.select(*keys, "_rows", F.posexplode("_ys").alias("_d", "y_pred")).where(F.col("y_pred").isNotNull())
+    target = F.try_element_at("_rows", F.col("_d"))["target"]
+    return out.select("tree_id", "type_id", F.date_add(literal_day(start), F.col("_d")).alias("timestamp"),
+                      target.alias("target"), "y_pred", (target - F.col("y_pred")).alias("error"))
 
 
 def train_season(rows: DataFrame, before: dt.date, params: Mapping = FORECAST_FOREST) -> Model:

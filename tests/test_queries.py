@@ -7,7 +7,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 from canopy.plans.catalog import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-SLOW = {"compare_models", "season_forecast", "forecast_14", "train_nowcast", "nowcast_coverage", "backtest", "feature_importances"}
+SLOW = {"compare_models", "season_forecast", "season_linear", "forecast_14", "train_nowcast", "nowcast_coverage", "backtest", "feature_importances"}
 
 
 @pytest.fixture(scope="module")
