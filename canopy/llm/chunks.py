@@ -13,7 +13,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from canopy.llm.batches import bound_batches
 
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 6 << 20
 FINER = 8      # ranges looked at for one chunk, so that long texts even out
 
 

@@ -62,28 +62,33 @@ class Windows:
             return
         first = window_hashes(words, window, BASES[0])[self.at]
         second = window_hashes(words, window, BASES[1])[self.at] >> np.uint64(16)
+        del words
         ranks = np.unique(np.array(ids, np.int64), return_inverse=True)[1] if None not in ids else None
         if ranks is None:
             given = [i for i in ids if i is not None]
             rank = {i: r for r, i in enumerate(sorted(set(given)))}
             ranks = np.array([rank.get(i, -1) for i in ids])
-        doc = np.repeat(ranks, np.maximum(self.sizes - window + 1, 0))
+        doc = np.repeat(ranks.astype(np.int32), np.maximum(self.sizes - window + 1, 0))
         order = np.argsort(first)
-        same = first[order][1:] == first[order][:-1]
-        if (second[order][1:][same] != second[order][:-1][same]).any():
+        a, b = first[order], second[order]
+        same = a[1:] == a[:-1]
+        if (b[1:][same] != b[:-1][same]).any():
             order = np.lexsort((second, first))
-        new = np.concatenate([[True], (first[order][1:] != first[order][:-1]) | (second[order][1:] != second[order][:-1])])
+            a, b = first[order], second[order]
+        del first, second
+        new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
         heads = np.flatnonzero(new)
-        group = np.empty(len(order), np.int64)
-        group[order] = np.cumsum(new) - 1
+        a, b = a[heads], b[heads]
+        group = np.empty(len(order), np.int32)
+        group[order] = np.cumsum(new, dtype=np.int32) - 1
         earliest = np.minimum.reduceat(doc[order], heads)
         self.later = doc > earliest[group]       # an earlier document of this chunk has the window
-        bucket = (second[order][heads] >> np.uint64(16)).astype(np.int64) % buckets
+        bucket = (b >> np.uint64(16)).astype(np.int64) % buckets
         by_bucket = np.argsort(bucket, kind="stable")
         self.bounds = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1))
-        self.first = first[order][heads][by_bucket]
-        self.second = (second[order][heads][by_bucket] & np.uint64(0xFFFF)).astype("<u2")
-        place = np.empty(len(heads), np.int64)
+        self.first = a[by_bucket]
+        self.second = (b[by_bucket] & np.uint64(0xFFFF)).astype("<u2")
+        place = np.empty(len(heads), np.int32)
         place[by_bucket] = np.arange(len(heads))
         self.place = place[group]                # of each window, among the distinct hashes
 
@@ -199,8 +204,7 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", windo
     """
     docs = df.select(F.col(key).alias("key"), F.col(text).alias("text"), *([F.struct(*carry).alias("rest")] if carry else []))
     bounds = id_bounds(docs, "key", "text")
-    # A text of n bytes has at most n / 2 windows; about a sixth in prose.
-    buckets = max(8, len(bounds) * 2)
+    buckets = max(8, len(bounds) + 1)       # a bucket then holds about as many hashes as a chunk has windows
     parts = numbered(docs, "key", "text", bounds)       # its exchange serves both sides of the cogroup
     sent = parts.groupBy("chunk").applyInArrow(send(buckets, window), "chunk int, bucket int, first binary, second binary")
     bits = sent.groupBy("bucket").applyInArrow(answer, "chunk int, bucket int, bits binary")
