@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from canopy.llm.bpe import encode
+from canopy.session import cut_lineage
 
 BLOCK = 1024      # lengths in a block
 
@@ -33,8 +34,9 @@ def limits(lengths: DataFrame) -> DataFrame:
     token of difference. Rows with a null length are left out as they have no tokens to count. An empty table
     gives no rows.
     """
-    rows = lengths.where("length is not null").groupBy("length").agg(F.sum("docs").alias("docs")).select(
-        "length", "docs", (F.col("length") * F.col("docs")).alias("tokens"), F.floor(F.col("length") / BLOCK).alias("block"))
+    # Checkpointed, as it is read for the blocks and for the rows, and what it is made from may be every text.
+    rows = cut_lineage(lengths.where("length is not null").groupBy("length").agg(F.sum("docs").alias("docs")).select(
+        "length", "docs", (F.col("length") * F.col("docs")).alias("tokens"), F.floor(F.col("length") / BLOCK).alias("block")))
     blocks = rows.groupBy("block").agg(F.sum("docs").alias("d"), F.sum("tokens").alias("t"))
     longer = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)    # one row a block
     everything = Window.partitionBy()
