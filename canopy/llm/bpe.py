@@ -33,6 +33,7 @@ HELD_CHARS = 1 << 20      # of texts whose pieces are held at once, or one text
 KNOWN_PIECES = 200_000    # pieces a Python process remembers; it forgets all when full
 TREES = 1 << 17           # bytes of pieces merged side by side
 NONE = np.int64(1 << 40)  # above every rank
+EMPTY = np.iinfo(np.int64).max     # leaf without a merge: above rank * width + position at every width
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -72,21 +73,21 @@ class Vocabulary:
         ids[inside] = raw
         after = np.minimum(np.arange(1, width + 2), sizes[:, None])  # next live position; the size at the end
         before = np.tile(np.arange(-1, width), (n, 1))
-        tree = np.full((n, 2 * width), NONE * width * 2, np.int64)  # rank and position in one number: leftmost wins
+        tree = np.full((n, 2 * width), EMPTY, np.int64)  # rank and position in one number: leftmost wins
         ranks = self.pair_ranks(ids[:, :-1], ids[:, 1:])
-        tree[:, width:] = np.where(ranks < NONE, ranks * width + np.arange(width), NONE * width * 2)
+        tree[:, width:] = np.where(ranks < NONE, ranks * width + np.arange(width), EMPTY)
         for level in range(width.bit_length() - 2, -1, -1):
             a = 1 << level
             tree[:, a:2 * a] = np.minimum(tree[:, 2 * a:4 * a:2], tree[:, 2 * a + 1:4 * a:2])
 
         def put(rows: np.ndarray, at: np.ndarray, ranks: np.ndarray) -> None:
             node = at + width
-            tree[rows, node] = np.where(ranks < NONE, ranks * width + at, NONE * width * 2)
+            tree[rows, node] = np.where(ranks < NONE, ranks * width + at, EMPTY)
             while node[0] > 1:
                 node = node >> 1
                 tree[rows, node] = np.minimum(tree[rows, 2 * node], tree[rows, 2 * node + 1])
 
-        rows = np.flatnonzero(tree[:, 1] < NONE * width)
+        rows = np.flatnonzero(tree[:, 1] < EMPTY)
         while len(rows):
             best = tree[rows, 1]
             left, rank = best % width, best // width
@@ -101,7 +102,7 @@ class Vocabulary:
             has = prior >= 0
             if has.any():
                 put(rows[has], prior[has], self.pair_ranks(ids[rows[has], prior[has]], rank[has]))
-            rows = rows[tree[rows, 1] < NONE * width]
+            rows = rows[tree[rows, 1] < EMPTY]
         live = list(map(self.decimal.__getitem__, ids[ids >= 0].tolist()))
         cuts = np.concatenate([[0], np.cumsum((ids >= 0).sum(1))]).tolist()
         return [",".join(live[a:b]) for a, b in zip(cuts, cuts[1:])]

@@ -1,5 +1,6 @@
 """Operators on documents, against brute force over whole small tables."""
 
+import base64
 import hashlib
 import re
 from collections import Counter
@@ -44,6 +45,15 @@ def test_long_pieces_and_a_full_memory(library, monkeypatch):
     assert encoder.encode(values) == [",".join(map(str, library.encode_ordinary(v or ""))) for v in values]
 
 
+@pytest.mark.parametrize("size", [1 << 22, (1 << 22) + 1])      # trees of 2**22 and 2**23 leaves
+def test_pieces_of_megabytes(size):
+    tokens = [bytes([i]) for i in range(256)] + [b"ab"]
+    ranks = b"\n".join(base64.b64encode(t) + b" %d" % i for i, t in enumerate(tokens))
+    piece = b"ab" + b"." * (size - 4) + b"ab"
+    same = bpe.Vocabulary(ranks).encode([piece]) == ["256," + "46," * (size - 4) + "256"]
+    assert same         # no listing of megabytes
+
+
 def test_encode_and_decode_frames(spark, library):
     df = bpe.decode(bpe.encode(frame(spark).withColumn("ids", F.lit("mine")), PATH), PATH)
     assert df.columns[:2] == ["doc_id", "text"] and df.columns.count("ids") == 1
