@@ -1,9 +1,14 @@
 """Every registered query against its SQL check on the smallest data."""
 
+from unittest.mock import MagicMock
+
 import pytest
 from compare import connect, differences
 
 from __spark_entry__ import entry, oracle_sql, queries
+from canopy.constants import FORECAST_FOREST, NOWCAST_FOREST
+from canopy.operators import models
+from canopy.plans import q_models
 from canopy.plans.catalog import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -27,6 +32,27 @@ def test_query(spark, con, name):
         assert differences(df, con, sql) == []
 
 
+@pytest.mark.parametrize("name, wanted", [
+    ("forecast_14", [FORECAST_FOREST] * 3 + [NOWCAST_FOREST] * 3), ("backtest", [FORECAST_FOREST]), ("season_forecast", [FORECAST_FOREST])])
+def test_recursive_queries_fit_the_forests_of_the_constants(spark, monkeypatch, name, wanted):
+    fitted = []
+
+    def fit(df, features, estimator, label="target"):
+        fitted.append({p: estimator.getOrDefault(p) for p in FORECAST_FOREST})
+        if len(fitted) == len(wanted):
+            raise StopIteration
+
+    rows = spark.createDataFrame([], "type_id int")
+    monkeypatch.setattr(q_models, "_training", lambda r, forecast: (MagicMock(), rows))
+    for part in ("tables", "cut_lineage", "_weather_of_days"):
+        monkeypatch.setattr(q_models, part, MagicMock(return_value=(None, None)))
+    monkeypatch.setattr(q_models.E, "inference_frame", MagicMock())
+    monkeypatch.setattr(models, "train", fit)
+    with pytest.raises(StopIteration):
+        QUERIES[name](spark, FOLDER)
+    assert fitted == wanted
+
+
 def test_entry(spark):
     assert entry(spark).count() > 0
 
