@@ -81,16 +81,19 @@ def read_stations(r: Roles) -> DataFrame:
         return cut_lineage(IO.read_stations(r.spark, folder).drop("geometry"))
 
 
+DOCUMENT_HOURS = 10_000    # span of event ids in one document, so that documents multiply with the table
+
+
 @query("read_hourly_weather", """
 SELECT CAST(2 AS BIGINT) AS tile_id, ts, value AS ghi, value / 2 AS temp, CASE WHEN event_id % 4 > 0 THEN value / 8 END AS rainfall_mm FROM events""")
 def read_hourly_weather(r: Roles) -> DataFrame:
-    """Events as the service's nested documents, one a day; rain is not always delivered."""
+    """Events as the service's nested documents, a day in parts of bounded size; rain is not always delivered."""
     named = {ours: theirs for theirs, ours in HOURLY_FIELDS.items()}
     v = F.col("value")
     period = F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("StartTime"), v.alias(named["ghi"]), (v / 2).alias(named["temp"]),
                       F.when(F.col("event_id") % 4 > 0, v / 8).alias(named["rainfall_mm"]))
-    days = r.events.groupBy(F.to_date("ts").alias("day")).agg(F.collect_list(period).alias("p"))
-    documents = days.select(F.array(F.struct(F.struct(F.col("p").alias("WeatherDataPeriods")).alias("WeatherDataPeriods"))).alias("WeatherDataResults"))
+    parts = r.events.groupBy(F.to_date("ts").alias("day"), F.floor(F.col("event_id") / DOCUMENT_HOURS).alias("part")).agg(F.collect_list(period).alias("p"))
+    documents = parts.select(F.array(F.struct(F.struct(F.col("p").alias("WeatherDataPeriods")).alias("WeatherDataPeriods"))).alias("WeatherDataResults"))
     with scratch(r, "hourly") as folder:
         documents.write.option("maxRecordsPerFile", 1).json(folder)
         read = IO.read_hourly_weather(r.spark, folder, 2).select("tile_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "ghi", "temp", "rainfall_mm")
@@ -200,11 +203,16 @@ def read_raster(r: Roles) -> DataFrame:
         return cut_lineage(IO.read_raster_cells(r.spark, folder).select("raster_id", "row", "col", "value"))
 
 
+RECORD_FOLDS = 1000        # span of order keys whose folds one record carries
+
+
 @query("experiment_log", """
 SELECT CAST(o_orderpriority AS VARCHAR) AS experiment_id, round(avg(o_totalprice) + 1e-9, 4) AS rmse, count(*) AS folds, 'forest' AS model FROM orders GROUP BY 1""")
 def experiment_log(r: Roles) -> DataFrame:
-    """Figures per priority as records of two runs, appended one after the other."""
-    figures = r.orders.groupBy("o_orderpriority").agg(F.avg("o_totalprice").alias("v"), F.count("*").alias("n"))
+    """Figures per priority in records of bounded size, of two runs, appended one after the other."""
+    means = r.orders.groupBy("o_orderpriority").agg(F.avg("o_totalprice").alias("v"))
+    parts = r.orders.groupBy("o_orderpriority", F.floor(F.col("o_orderkey") / RECORD_FOLDS)).agg(F.count("*").alias("n"))
+    figures = parts.join(means, "o_orderpriority")
     metric = F.struct(F.col("v").alias("rmse"), F.lit(0.5).alias("mae"))
     cols = {f"Mean {d}cm": metric for d in (30, 60, 90)}
     cols |= {f"Folds {d}cm": F.array_repeat(metric, F.col("n").cast("int")) for d in (30, 60, 90)}
@@ -214,8 +222,9 @@ def experiment_log(r: Roles) -> DataFrame:
         for part in (F.col("experiment_id") < "3", F.col("experiment_id") >= "3"):
             K.log_experiment(records.where(part), folder)
         read = IO.read_experiments(r.spark, folder)
-        return cut_lineage(rounded(read.select("experiment_id", F.col("`Mean 60cm`.rmse").alias("rmse"),
-                                               F.size("`Folds 90cm`").cast("long").alias("folds"), "model"), "rmse"))
+        whole = read.groupBy("experiment_id", "model").agg(
+            F.max("`Mean 60cm`.rmse").alias("rmse"), F.sum(F.size("`Folds 90cm`")).alias("folds"))
+        return cut_lineage(rounded(whole.select("experiment_id", "rmse", "folds", "model"), "rmse"))
 
 
 # --- load strategies on tables ------------------------------------------------------------------

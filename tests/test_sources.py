@@ -169,3 +169,31 @@ def test_a_polygon_district_keeps_its_cells(spark, tmp_path, rows):
     corners = spark.createDataFrame([(x, y, float(x), float(y)) for x in range(5) for y in range(5)], "x int, y int, lon double, lat double")
     kept = SP.restrict_to_mask(SP.lattice_to_cells(corners, (0, None), (0, 5)), S.read_mask(spark, str(path)), "id", mask_kind="multi")
     assert rows(kept, "x", "y") == [(0, 0), (0, 1), (1, 0), (1, 1)]
+
+
+def test_documents_and_records_multiply_with_the_table(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from canopy.plans import q_sources as Q
+    sizes = {}
+
+    def watched(name, reader, entries):
+        def read(session, folder, *rest):
+            df = reader(session, folder, *rest)
+            sizes[name] = [r[0] for r in entries(session, folder, df).collect()]
+            return df
+        return read
+
+    document = "size(WeatherDataResults[0].WeatherDataPeriods.WeatherDataPeriods)"
+    monkeypatch.setattr(Q.IO, "read_hourly_weather", watched(
+        "hours", Q.IO.read_hourly_weather, lambda s, folder, _: s.read.option("multiLine", True).json(folder).selectExpr(document)))
+    monkeypatch.setattr(Q.IO, "read_experiments", watched(
+        "folds", Q.IO.read_experiments, lambda s, folder, df: df.selectExpr("size(`Folds 90cm`)")))
+    # One hot day and one hot priority.
+    events = spark.range(25_000).selectExpr("id as event_id", "timestamp_ntz'2024-01-01 12:00:00' as ts", "cast(id as double) as value")
+    orders = spark.range(25_000).selectExpr("id as o_orderkey", "'1-URGENT' as o_orderpriority", "cast(id as double) as o_totalprice")
+    r = SimpleNamespace(spark=spark, events=events, orders=orders)
+    assert Q.read_hourly_weather(r).count() == 25_000
+    assert [tuple(x) for x in Q.experiment_log(r).collect()] == [("1-URGENT", 12499.5, 25_000, "forest")]
+    assert sum(sizes["hours"]) == sum(sizes["folds"]) == 25_000
+    assert max(sizes["hours"]) <= 10_000 and max(sizes["folds"]) <= 1000
