@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from canopy.llm.batches import add_columns, bound_batches, texts
 from canopy.llm.bpe import LETTERS, PLAIN
+from canopy.session import cut_lineage
 
 WORD = re.compile(r"[^\W\d_]+").findall
 PLAIN_WORD = re.compile(f"[{LETTERS}]+").findall      # the same for the plain characters
@@ -97,21 +98,26 @@ def counted(df: DataFrame, lang: str, text: str) -> DataFrame:
 
 
 def fit(df: DataFrame, learn: Column, text: str = "text", lang: str = "lang", key: str = "doc_id",
-        per_language: int = 3000, entries: int = 40_000, most_languages: int = 200) -> Model:
+        per_language: int = 10_000, entries: int = 40_000, most_languages: int = 200) -> Model:
     """Learn from the rows where ``learn`` is true and neither text nor language is null.
 
     The sample is bounded by ``per_language`` rows a language, the model by ``entries`` words and as many
-    n-grams of each length (the most frequent, ties in code point order), so it fits a broadcast at any
+    n-grams of each length (the most frequent, ties in code point order), and as many again dealt evenly to
+    the languages (the most frequent of each, so a small one keeps its own). It fits a broadcast at any
     size of the corpus. No labelled row: a model without languages, which calls everything ``und``.
     """
     labelled = df.where(learn & F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
         F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    counts = counted(sampled(labelled, "lang", "key", per_language, most_languages), "lang", "text")
+    counts = cut_lineage(counted(sampled(labelled, "lang", "key", per_language, most_languages), "lang", "text"))
     by_gram = counts.groupBy("n", "gram").agg(
         F.sum("count").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "count"))).alias("by"))
-    # A group limit keeps at most `entries` rows of each length and task before the shuffle.
+    each = max(entries // max(counts.select("lang").distinct().count(), 1), 1)
+    # A group limit keeps at most so many rows of each length (and language) and task before the shuffle.
     best = Window.partitionBy("n").orderBy(F.desc("total"), "gram")
-    kept = by_gram.withColumn("i", F.row_number().over(best)).where(F.col("i") <= entries).orderBy("n", "i")
+    own = Window.partitionBy("n", "lang").orderBy(F.desc("count"), "gram")
+    wanted = (by_gram.withColumn("i", F.row_number().over(best)).where(F.col("i") <= entries).select("n", "gram")
+              .union(counts.withColumn("i", F.row_number().over(own)).where(F.col("i") <= each).select("n", "gram")).distinct())
+    kept = by_gram.join(wanted, ["n", "gram"], "left_semi").orderBy("n", "gram")
     rows = kept.select("n", "gram", "by").collect()
     languages = sorted({x for r in rows for x in r["by"]})
     table = np.zeros((len(rows), len(languages)))

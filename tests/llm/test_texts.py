@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import inspect
 import re
 from collections import Counter
 
@@ -167,6 +168,14 @@ def test_keep_first_leaves_one_of_each_group(spark):
     assert simhash.keep_first(frame(spark, [])).count() == 0
 
 
+def test_a_small_language_keeps_its_words(spark):
+    rows = [(i, f"big{i} big{i}x", "big", "s") for i in range(30)] * 5 + [(99, "wee", "small", "s")]
+    df = spark.createDataFrame([(n, *r[1:]) for n, r in enumerate(rows)], SCHEMA)
+    model = langid.fit(df.withColumn("text", F.translate("text", "0123456789", "klmnopqrst")), F.lit(True), entries=10)
+    assert model.languages == ["big", "small"] and "wee" in model.words
+    assert inspect.signature(langid.fit).parameters["per_language"].default == 10_000
+
+
 def test_language(spark):
     import random
     rng = random.Random(5)
