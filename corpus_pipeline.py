@@ -14,15 +14,14 @@ from canopy.llm import bpe, langid, mixing, simhash, substring  # noqa: E402
 from canopy.session import apply_settings, new_folder  # noqa: E402
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-LEAST_SCORE = 0.5       # a language must be likelier than all others together
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told; those without letters, or between languages, go."""
+    """Documents with a language, short and ambiguous ones under their likeliest; those without letters go."""
     apply_settings(spark)
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     told = langid.predict(docs, langid.fit(docs, ~held_out), lang="_lang", score="_score")
-    return told.where((F.col("_lang") != langid.UNKNOWN) & (F.col("_score") >= LEAST_SCORE)).select(docs.columns)
+    return told.where(F.col("_lang") != langid.UNKNOWN).select(docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

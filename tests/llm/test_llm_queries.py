@@ -31,6 +31,14 @@ def test_language_of_held_out_documents(spark):
     assert sum(r.lang == r.lang_pred for r in held) / len(held) > 0.95
 
 
+def test_language_stage_keeps_every_text_with_letters(spark):
+    # A word as frequent in three languages as in each other has a posterior of 1/3; zq is unknown to all.
+    rows = [(i, "taxi own" + "abc"[i % 3] * 4, "abc"[i % 3], "s", 9) for i in range(60)]
+    rows += [(100, "taxi", "a", "s", 4), (101, "zq", "b", "s", 2), (102, "123 ...", "a", "s", 7), (103, None, "a", "s", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    assert {r.doc_id for r in corpus_pipeline.languages(spark, docs, FOLDER).collect()} == {*range(60), 100, 101}
+
+
 def test_pipeline_stage_by_stage(spark):
     from test_texts import brute_groups, brute_removed
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").cache()
