@@ -101,12 +101,14 @@ def groups(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int
 def keep_first(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 2) -> DataFrame:
     """One document of each group: the one with the smallest key, in all columns of ``df``.
 
-    Rows that repeat that key are the same document and stay. Rows with a null key go if their group has a
+    Exact repeats of that row are the same document and stay; a row of that key with another text is judged
+    by its own group. Rows with a null key go if their group has a
     key; in a group without any they cannot be told apart and stay.
     """
     found = cut_lineage(groups(df, key, text, shingle, distance))
-    first = found.where(F.col(key) == F.col("component_id")).select(key).distinct()
-    keyed = df.join(first, key, "left_semi").select(df.columns)
+    first = found.where(F.col(key) == F.col("component_id")).select(F.col(key).alias("_key"), F.col("fingerprint").alias("_first")).distinct()
+    printed = fingerprints(df.where(F.col(key).isNotNull()), text, "_print", shingle)
+    keyed = printed.join(first, (F.col(key) == F.col("_key")) & (F.col("_print") == F.col("_first")), "left_semi").select(df.columns)
     lone = found.where("component_id is null").select(F.col("fingerprint").alias("_print")).distinct()
     keyless = fingerprints(df.where(F.col(key).isNull()), text, "_print", shingle).join(lone, "_print", "left_semi")
     return keyed.union(keyless.select(df.columns))

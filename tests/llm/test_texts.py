@@ -168,6 +168,13 @@ def test_keep_first_leaves_one_of_each_group(spark):
     assert simhash.keep_first(frame(spark, [])).count() == 0
 
 
+def test_keep_first_tells_texts_of_one_key_apart(spark):
+    import random
+    a, b = (prose(random.Random(n), 60) for n in (1, 2))
+    rows = [(1, a, "en", "s"), (2, a, "en", "s"), (2, b, "en", "s"), (3, b, "en", "s")]
+    assert listed(simhash.keep_first(frame(spark, rows)), "doc_id", "text") == sorted([(1, a), (2, b)], key=repr)
+
+
 def test_a_small_language_keeps_its_words(spark):
     rows = [(i, f"big{i} big{i}x", "big", "s") for i in range(30)] * 5 + [(99, "wee", "small", "s")]
     df = spark.createDataFrame([(n, *r[1:]) for n, r in enumerate(rows)], SCHEMA)
