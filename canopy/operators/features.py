@@ -264,7 +264,13 @@ def inference_frame(t: Tables, forecast: bool, date: dt.date, public: bool = Fal
     if not public and not forecast:
         watering = watering_features_on(t.watering_gdk, t.watering_sga, date)
     df = _assemble(base, t, forecast, public, watering)
-    return df if forecast else _join_weather(df, _weather_for(t, forecast, public))
+    if forecast:
+        return df
+    # The day is a constant, which would leave a join without a key: its one row of weather is a scalar.
+    weather = _weather_for(t, forecast, public).where(F.col("date") == literal_day(date))
+    names = [c for c in weather.columns if c != "date"]
+    of_day = weather.agg(F.first(F.struct(*names)).alias("w")).scalar()
+    return df.withColumns({c: of_day[c] for c in names})
 
 
 # --- preprocessor -----------------------------------------------------------------------------

@@ -1,17 +1,19 @@
 """Per-depth regressors on Spark ML: training, nowcast, recursive forecast and evaluation.
 
-The tree axis is the partitions. The forecast horizon is unrolled as columns of one wide frame, so a
-forecast needs no shuffle at all.
+The tree axis is the partitions. A recursion takes all its steps in one Arrow pass over a partition, with the
+fitted models broadcast once as flat arrays.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.feature import VectorAssembler
@@ -20,6 +22,8 @@ from pyspark.ml.regression import (
     GBTRegressionModel, GBTRegressor, LinearRegression, LinearRegressionModel,
     RandomForestRegressionModel, RandomForestRegressor)
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from canopy.constants import (
     BACKTEST_DROP_DAYS, COMPARED_BOOSTING, COMPARED_FOREST, DEPTH_LABELS, DEPTH_MEAN_TYPE, DEPTHS, FORECAST_FEATURES, FORECAST_FOREST, HORIZON_DAYS, LAG_FEATURES,
@@ -27,10 +31,12 @@ from canopy.constants import (
 from canopy.functions.scalars import literal_day, round_half_even
 from canopy.operators.aggregates import fold_summary, regression_metrics
 from canopy.operators.features import fold_frames
+from canopy.operators.forests import Forest
 from canopy.operators.relational import union_all, window_split
-from canopy.session import cut_lineage
+from canopy.session import cut_lineage, share_package
 
 SIDE_BY_SIDE = 8        # fits at a time
+ROWS_AT_ONCE = 512      # rows or series that take their steps together
 _VECTOR = "_features"
 _SCORE = "_score"
 
@@ -47,7 +53,7 @@ def forest(params: Mapping, seed: int = 42) -> RandomForestRegressor:
 def train(df: DataFrame, features: Sequence[str], estimator, label: str = "target") -> Model:
     """Fit on the complete rows. Assembled rows are read once per pass over the data, so keep them."""
     rows = df.select(*features, F.col(label).cast("double").alias("_label")).na.drop("any")
-    data = _assembler(features).transform(rows).select(_VECTOR, "_label").persist()
+    data = _assembler(features).transform(spread(rows)).select(_VECTOR, "_label").persist()
     try:
         return estimator.copy().setFeaturesCol(_VECTOR).setLabelCol("_label").setPredictionCol(_SCORE).fit(data)
     finally:
@@ -82,6 +88,61 @@ class Linear:
         return reduce(lambda s, x: s + x[0].cast("double") * F.lit(x[1]),
                       zip(inputs, self.coefficients, strict=True), F.lit(self.intercept))
 
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        return reduce(lambda s, i: s + x[:, i] * self.coefficients[i], range(len(self.coefficients)), np.full(len(x), self.intercept))
+
+
+Scorer = Callable[[np.ndarray], np.ndarray]
+
+
+def scorer(model: Model | Linear) -> Scorer:
+    """The model as a function of complete rows that a task can hold."""
+    return model if isinstance(model, Linear) else Forest.of(model)
+
+
+def known_only(score: Scorer, x: np.ndarray) -> np.ndarray:
+    """Scores of the complete rows, NaN for the others."""
+    y, known = np.full(len(x), np.nan), ~np.isnan(x).any(1)
+    if known.any():
+        y[known] = score(x[known])
+    return y
+
+
+def recur(score: Scorer, steps: Iterable[np.ndarray], lags: np.ndarray, restart: float | None = None) -> np.ndarray:
+    """(rows, steps): every step sees its own inputs and the predictions of the steps before it, newest first.
+
+    After a step with a missing input a row has no more predictions, or begins anew from ``restart``.
+    """
+    out = []
+    for x in steps:
+        y = known_only(score, np.column_stack([x, lags]))
+        lags = np.column_stack([y, lags[:, :-1]])
+        if restart is not None:
+            lags[np.isnan(y)] = restart
+        out.append(y)
+    return np.column_stack(out)
+
+
+def arrow_pass(df: DataFrame, schema: StructType, run: Callable[[pa.RecordBatch], dict]) -> DataFrame:
+    """Columns that ``run`` makes from a few rows at a time; NaN becomes null."""
+    share_package(df.sparkSession)
+    out = to_arrow_schema(schema)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, ROWS_AT_ONCE):
+                made = run(batch.slice(i, ROWS_AT_ONCE))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(made[f.name], f.type, from_pandas=True) if isinstance(made[f.name], np.ndarray)
+                     else made[f.name].cast(f.type) for f in out], schema=out)
+
+    return df.mapInArrow(task, schema)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """As many parts as the session shuffles into, fixed: a row costs milliseconds, however few bytes it has."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
 
 def predict(df: DataFrame, model: Model | Linear, inputs: Sequence[Column], name: str) -> DataFrame:
     """Add one raw prediction column for complete inputs, in the order the model was fitted on."""
@@ -164,51 +225,68 @@ def forecast(models: Mapping[int, Model], auxiliary: Mapping[int, Model], base:
     no prediction, and none after it that needs one.
     """
     static = [f for f in FORECAST_FEATURES if f not in _WEATHER and f != "mean_yesterday"]
-    df = base.select("tree_id", *static).na.drop("any", subset=static)
-    # Rows are complete here, so whether a step can be predicted depends on driver values alone.
-    nothing = F.lit(None).cast("double")
-
-    def step(df: DataFrame, model: Model, kind: int, weather, lags: Sequence[str | None], name: str):
-        weather = weather or {}
-        fixed = {**{c: weather.get(c) for c in _WEATHER}, "mean_yesterday": last_mean.get(kind)}
-        if None in fixed.values() or None in lags:
-            return df, None
-        cols = [F.lit(fixed[f]).cast("double") if f in fixed else F.col(f) for f in FORECAST_FEATURES]
-        return predict(df, model, cols + [F.col(c) for c in lags], name), name
-
-    predicted: dict[int, list[Column]] = {}
-    for k in models:
-        lags: list[str | None] = []
-        for i in range(len(LAG_FEATURES)):
-            day = last_date - dt.timedelta(days=i)
-            df, name = step(df, auxiliary[k], k, past_weather.get(day), [], f"_a{k}_{i + 1}")
-            lags.append(name)
-        predicted[k] = []
-        for h in range(1, horizon + 1):
-            day = last_date + dt.timedelta(days=h)
-            df, name = step(df, models[k], k, coming_weather.get(day), lags, f"_y{k}_{h}")
-            lags = [name, *lags[:-1]]
-            predicted[k].append(F.col(name) if name else nothing)
-    steps = F.explode(F.array(*[
-        F.struct((literal_day(last_date + dt.timedelta(days=h + 1))).alias("day"),
-                 *[predicted[k][h].alias(f"y{k}") for k in models])
-        for h in range(horizon)]))
-    long = df.select("tree_id", steps.alias("_s"))
-    return _long(long, {k: F.col(f"_s.y{k}") for k in models},
-                 F.col("_s.day").cast("timestamp"), F.lit(created_at))
+    df = base.select("tree_id", *[F.col(f).cast("double").alias(f) for f in static]).na.drop("any", subset=static)
+    own = [FORECAST_FEATURES.index(f) for f in static]
+
+    def known(weather: Mapping[dt.date, Mapping[str, float]], ahead: int, kind: int) -> np.ndarray:
+        """The inputs of a day that all trees share; NaN where there is none, and in the places of the trees' own."""
+        values = {**(weather.get(last_date + dt.timedelta(days=ahead)) or {}), "mean_yesterday": last_mean.get(kind)}
+        return np.array([values.get(f) for f in FORECAST_FEATURES], float)
+
+    def inputs(rows: np.ndarray, day: np.ndarray) -> np.ndarray:
+        x = np.tile(day, (len(rows), 1))
+        x[:, own] = rows
+        return x
+
+    days = {k: ([known(past_weather, -i, k) for i in range(len(LAG_FEATURES))],
+                [known(coming_weather, h + 1, k) for h in range(horizon)]) for k in models}
+    # Bounded by the settings of the fits.
+    shared = df.sparkSession.sparkContext.broadcast({k: (scorer(auxiliary[k]), scorer(models[k])) for k in models})
+
+    def run(batch: pa.RecordBatch) -> dict:
+        rows = np.column_stack([batch.column(f).to_numpy() for f in static])
+        made = {"tree_id": batch.column("tree_id").take(pa.array(np.repeat(np.arange(len(rows)), horizon))),
+                "_ahead": np.tile(np.arange(1, horizon + 1, dtype=np.int32), len(rows))}
+        for k, (start, score) in shared.value.items():
+            lags = np.column_stack([known_only(start, inputs(rows, day)) for day in days[k][0]])
+            made[f"y{k}"] = recur(score, (inputs(rows, day) for day in days[k][1]), lags).ravel()
+        return made
+
+    schema = StructType([df.schema["tree_id"], StructField("_ahead", IntegerType()), *[StructField(f"y{k}", DoubleType()) for k in models]])
+    return _long(arrow_pass(spread(df, "tree_id"), schema, run), {k: F.col(f"y{k}") for k in models},
+                 F.date_add(literal_day(last_date), F.col("_ahead")).cast("timestamp"), F.lit(created_at))
 
 
 # --- evaluation -------------------------------------------------------------------------------
 
-def _series(df: DataFrame, keys: Sequence[str], step: Column, features: Sequence[str]) -> DataFrame:
-    """One row per series with its feature rows in a map by step; the number of steps bounds the map."""
-    rows = df.withColumn("_step", step).groupBy(*keys, "_step").agg(F.first(F.struct(*features)).alias("_row"))
-    return rows.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_step", "_row"))).alias("_rows"))
-
+def _rolled(df: DataFrame, keys: Sequence[str], step: Column, steps: int, features: Sequence[str], model: Model | Linear,
+            start_lag: float | None = None) -> DataFrame:
+    """(keys, step, target, y_pred) of every series, predicted step by step in one pass.
 
-def _of_step(i: int, field: str) -> Column:
-    """A field of one step, null where the step is missing."""
-    return F.try_element_at("_rows", F.lit(i))[field]
+    The lags begin with those of step 0, or with ``start_lag``, from which they also begin anew after a gap.
+    A series is one row with its steps in an array, which the number of steps bounds.
+    """
+    wanted = [*features, *([] if start_lag is not None else LAG_FEATURES), "target"]
+    rows = (spread(df, *keys).withColumn("_step", step).groupBy(*keys, "_step")
+            .agg(F.first(F.struct(*[F.col(c).cast("double").alias(c) for c in wanted])).alias("_row")))
+    series = rows.groupBy(*keys).agg(F.collect_list(F.struct("_step", "_row.*")).alias("_rows"))
+    shared = df.sparkSession.sparkContext.broadcast(scorer(model))      # bounded by the settings of the fit
+
+    def run(batch: pa.RecordBatch) -> dict:
+        lists = batch.column("_rows")
+        flat, of = lists.flatten(), np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+        x = np.full((len(lists), steps, len(wanted)), np.nan)
+        for i, c in enumerate(wanted):
+            x[of, flat.field("_step").to_numpy(), i] = flat.field(c).to_numpy(zero_copy_only=False)
+        n = len(features)
+        lags = x[:, 0, n:n + len(LAG_FEATURES)] if start_lag is None else np.full((len(x), len(LAG_FEATURES)), start_lag)
+        y = recur(shared.value, (x[:, i, :n] for i in range(steps)), lags, start_lag)
+        at, i = np.nonzero(~np.isnan(y))
+        return {**{k: batch.column(k).take(pa.array(at)) for k in keys}, "step": i.astype(np.int32), "target": x[at, i, -1], "y_pred": y[at, i]}
+
+    schema = StructType([*[series.schema[k] for k in keys], StructField("step", IntegerType()),
+                         StructField("target", DoubleType()), StructField("y_pred", DoubleType())])
+    return arrow_pass(series, schema, run)
 
 
 def backtest(train_rows: DataFrame, starts: Sequence[dt.date], drop_starts: Sequence[dt.date],
@@ -226,45 +304,20 @@ def backtest(train_rows: DataFrame, starts: Sequence[dt.date], drop_starts: Sequ
     start = F.coalesce(*[F.when(day.between(literal_day(s), literal_day(s + dt.timedelta(days=horizon - 1))),
                                 literal_day(s)) for s in starts])
     test = test.na.drop("any", subset=features + ["target"]).withColumn("_start", start)
-    keys = ["_start", "tree_id", "type_id"]
-    df = _series(test, keys, F.datediff(day, "_start"), features + ["target"])
-    lags = [_of_step(0, c) for c in LAG_FEATURES]
-    for h in range(horizon):
-        df = score(df, model, [_of_step(h, f) for f in FORECAST_FEATURES] + lags, f"_y{h}")
-        lags = [F.col(f"_y{h}"), *lags[:-1]]
-    steps = F.explode(F.array(*[
-        F.struct(F.lit(h + 1).alias("window"), _of_step(h, "target").alias("target"),
-                 F.col(f"_y{h}").alias("y_pred")) for h in range(horizon)]))
-    return (df.select(*keys, steps.alias("_r")).where(F.col("_r.y_pred").isNotNull())
-            .select(F.date_add("_start", F.col("_r.window") - 1).alias("timestamp"), "tree_id", "type_id",
-                    "_r.window", "_r.target", "_r.y_pred"))
+    df = _rolled(test, ["_start", "tree_id", "type_id"], F.datediff(day, "_start"), horizon, FORECAST_FEATURES, model)
+    return df.select(F.date_add("_start", "step").alias("timestamp"), "tree_id", "type_id",
+                     (F.col("step") + 1).alias("window"), "target", "y_pred")
 
 
 def season_forecast(model: Model | Linear, rows: DataFrame, start: dt.date, days: int,
-                    start_lag: float = SEASON_START_LAG, cut_every: int = HORIZON_DAYS) -> DataFrame:
-    """Recursion over a whole season without sensors: lags begin, and begin anew after a gap, at a constant.
-
-    Every ``cut_every`` days the frame is checkpointed, so the plan stays short however long the season.
-    """
-    features = FORECAST_FEATURES
+                    start_lag: float = SEASON_START_LAG) -> DataFrame:
+    """Recursion over a whole season without sensors: lags begin, and begin anew after a gap, at a constant."""
     day = F.to_date("timestamp")
     span = rows.where(day.between(literal_day(start), literal_day(start + dt.timedelta(days=days - 1))))
-    keys = ["tree_id", "type_id"]
-    df = _series(span, keys, F.datediff(day, literal_day(start)), features + ["target"])
-    df = df.withColumns({**{c: F.lit(start_lag) for c in LAG_FEATURES}, "_ys": F.array().cast("array<double>")})
-    y, begin = F.col("_y"), F.lit(start_lag)
-    for d in range(days):
-        inputs = [_of_step(d, f) for f in features] + [F.col(c) for c in ("type_id", *LAG_FEATURES)]
-        df = score(df, model, inputs, "_y")
-        df = df.withColumns({"shift_3": F.when(y.isNotNull(), F.col("shift_2")).otherwise(begin),
-                             "shift_2": F.when(y.isNotNull(), F.col("shift_1")).otherwise(begin),
-                             "shift_1": F.coalesce(y, begin), "_ys": F.array_append("_ys", y)}).drop("_y")
-        if (d + 1) % cut_every == 0 and d + 1 < days:
-            df = cut_lineage(df)
-    out = df.select(*keys, "_rows", F.posexplode("_ys").alias("_d", "y_pred")).where(F.col("y_pred").isNotNull())
-    target = F.try_element_at("_rows", F.col("_d"))["target"]
-    return out.select("tree_id", "type_id", F.date_add(literal_day(start), F.col("_d")).alias("timestamp"),
-                      target.alias("target"), "y_pred", (target - F.col("y_pred")).alias("error"))
+    df = _rolled(span, ["tree_id", "type_id"], F.datediff(day, literal_day(start)), days,
+                 FORECAST_FEATURES + ["type_id"], model, start_lag)
+    return df.select("tree_id", "type_id", F.date_add(literal_day(start), F.col("step")).alias("timestamp"),
+                     "target", "y_pred", (F.col("target") - F.col("y_pred")).alias("error"))
 
 
 def train_season(rows: DataFrame, before: dt.date, params: Mapping = FORECAST_FOREST) -> Model:

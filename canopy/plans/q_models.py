@@ -138,10 +138,17 @@ def _weather_of_days(r: Roles, last: dt.date = LAST) -> tuple[dict, dict]:
 
 # --- back-test and season on years of readings -------------------------------------------------
 
+ORDERS_A_TREE = 2400        # days of the orders, about
+
+
 def _long_rows(r: Roles) -> DataFrame:
-    """Orders as readings of two trees at three depths over years, filled to days, with all inputs and lags."""
+    """Orders as readings of trees at three depths over years, filled to days, with all inputs and lags.
+
+    There are as many trees as leave each about a reading a day, so they grow with the table.
+    """
     day = order_day()
-    seen = r.orders.groupBy((F.col("o_custkey") % 2).cast("string").alias("tree_id"), (F.col("o_orderkey") % 3 + 1).cast("int").alias("type_id"),
+    trees = r.orders.agg(F.greatest(F.lit(2), F.floor(F.count("*") / ORDERS_A_TREE))).scalar()
+    seen = r.orders.groupBy((F.col("o_custkey") % trees).cast("string").alias("tree_id"), (F.col("o_orderkey") % 3 + 1).cast("int").alias("type_id"),
                             day.alias("timestamp")).agg((F.avg("o_totalprice") / 1e4).alias("value"))
     filled = W.resample_ffill(seen, ["tree_id", "type_id"])
     weather = r.tile_weather.select(F.col("date").alias("timestamp"), *_WEATHER, F.col("temp_max_c").alias("mean_yesterday"))
@@ -153,8 +160,9 @@ def _long_rows(r: Roles) -> DataFrame:
 
 
 _LONG = dict(
-    seen=f"""SELECT CAST(o_custkey % 2 AS VARCHAR) AS tree_id, CAST(o_orderkey % 3 + 1 AS INTEGER) AS type_id, CAST(o_orderdate AS DATE) + {DAY_SHIFT} AS timestamp,
- avg(o_totalprice) / 1e4 AS value FROM orders GROUP BY 1, 2, 3""",
+    n=f"SELECT greatest(2, count(*) // {ORDERS_A_TREE}) AS trees FROM orders",
+    seen=f"""SELECT CAST(o_custkey % trees AS VARCHAR) AS tree_id, CAST(o_orderkey % 3 + 1 AS INTEGER) AS type_id, CAST(o_orderdate AS DATE) + {DAY_SHIFT} AS timestamp,
+ avg(o_totalprice) / 1e4 AS value FROM orders, n GROUP BY 1, 2, 3""",
     grid="""SELECT tree_id, type_id, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS timestamp
  FROM (SELECT tree_id, type_id, min(timestamp) AS lo, max(timestamp) AS hi FROM seen GROUP BY 1, 2)""",
     filled="""SELECT g.*, CASE WHEN g.timestamp - s.timestamp <= 7 THEN s.value END AS target FROM grid g ASOF LEFT JOIN seen s

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -17,6 +18,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Daily tables are replaced day by day; set once, so that jobs of one session do not race for it.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Rows with arrays of any length cross to Python in batches of bounded bytes.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
 }
 
 
@@ -37,6 +40,14 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), root])
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster in ``spark.checkpoint.dir``.
 

@@ -272,7 +272,7 @@ class TestModels:
     def test_season_starts_anew_after_a_gap(self, spark):
         rows = self.rows(spark, 20).where("not (tree_id = 't0' and timestamp = timestamp'2023-05-06')")
         model = M.train_season(rows, D(2023, 5, 20), FOREST)
-        out = M.season_forecast(model, rows, D(2023, 5, 1), 12, cut_every=5)
+        out = M.season_forecast(model, rows, D(2023, 5, 1), 12)
         n = {r.tree_id: r["count"] for r in out.groupBy("tree_id").count().collect()}
         assert n["t0"] == 33 and n["t1"] == 36
 
