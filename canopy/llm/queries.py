@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from canopy.llm import bpe, chat, langid, lengths, lzprint, mixing, simhash, substring, urls, vectors
+from canopy.llm import bpe, chat, hmm, langid, lengths, lzprint, manifest, mixing, search, simhash, substring, urls, vectors
 from canopy.session import apply_settings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -186,3 +186,108 @@ def token_lengths(spark: SparkSession, folder: str) -> DataFrame:
     """Totals, quantiles and truncated totals of the documents' token counts, for every limit."""
     counts = lengths.histogram(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
     return lengths.limits(counts)
+
+
+@query("op11_ranked_search", """
+with terms as (
+    select doc_id, row, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term
+    from (select doc_id, text, row_number() over () as row from documents)),
+tf as (select doc_id, row, term, count(*)::bigint as tf from terms group by all),
+docs as (select row, sum(tf)::bigint as n from tf group by row),
+total as (select count(*)::bigint as docs, sum(n)::bigint as length from docs),
+weight as (
+    select term, floor(1000 * ln((2 * any_value(t.docs) + 2)::double / (2 * count(*) + 1)))::bigint as w
+    from tf, total t group by term),
+part as (
+    select tf.doc_id, tf.row, tf.term, w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 20 * (100 - 50 + (50 * d.n * t.docs) // t.length))) as x
+    from tf join docs d on tf.row = d.row join weight w on tf.term = w.term, total t),
+items as (
+    select distinct item_id, item, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                           '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term
+    from (select item_id, text, row_number() over () as item from benchmark)),
+scored as (select i.item_id, i.item, p.doc_id, p.row, sum(p.x)::bigint as score from items i join part p on i.term = p.term group by all),
+ranked as (select *, row_number() over (partition by item order by score desc, doc_id nulls first, row) as rank from scored where score > 0)
+select item_id, rank::int as rank, doc_id, score from ranked where rank <= 50""")
+def ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 50 best documents of every benchmark item, over all documents."""
+    return search.search(table(spark, folder, "benchmark"), table(spark, folder, "documents"))
+
+
+_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def _leaf_sql(text: str) -> str:
+    each = [f"coalesce(strlen({c}::varchar)::varchar || ':' || {c}::varchar, '-')" for c in [*_FIELDS[:-1], text]]
+    return f"sha256({' || '.join(each)})"
+
+
+@query("op12_merkle_manifest", f"""
+with recursive docs as (
+    select *, row_number() over () as row, {_leaf_sql("text")} as leaf,
+           {_leaf_sql("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} as lowered from documents),
+crc as (
+    select 0 as byte, (select list(c order by i) from (
+        with recursive t(i, c, k) as (
+            select i, i::bigint, 0 from range(256) r(i)
+            union all select i, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, k + 1 from t where k < 8)
+        select i, c from t where k = 8)) as tab),
+hashed(row, digits, c) as (
+    select row, doc_id::varchar, 4294967295::bigint from docs where doc_id is not null
+    union all
+    select row, digits[2:], xor(c >> 8, tab[(xor(c, ord(digits[1])) & 255) + 1]) from hashed, crc where digits <> ''),
+tampered as (select row from hashed where digits = '' and xor(c, 4294967295) % 5 = 0),
+leaves as (
+    select d.row, d.doc_id, d.source, d.leaf, case when t.row is null then d.leaf else d.lowered end as changed,
+           row_number() over (partition by d.source order by d.doc_id nulls first, d.leaf) - 1 as pos, count(*) over (partition by d.source) as n
+    from docs d left join tampered t on d.row = t.row),
+nodes(source, level, pos, n, h) as (
+    select source, 0, pos, n, leaf from leaves
+    union all
+    select source, level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(h, '' order by pos)) from nodes where n > 1
+    group by source, level, pos // 16, (n + 15) // 16),
+subroots as (
+    select source, h as subroot, row_number() over (order by source nulls first) - 1 as pos, count(*) over () as n from nodes where n = 1),
+upper_nodes(level, pos, n, h) as (
+    select 0, pos, n, subroot from subroots
+    union all
+    select level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(h, '' order by pos)) from upper_nodes where n > 1 group by level, pos // 16, (n + 15) // 16),
+own(row, source, level, pos, n, h) as (
+    select row, source, 0, pos, n, changed from leaves
+    union all
+    select f.row, f.source, f.level + 1, f.pos // 16, (f.n + 15) // 16, sha256(string_agg(case when c.pos = f.pos then f.h else c.h end, '' order by c.pos))
+    from own f join nodes c on c.source is not distinct from f.source and c.level = f.level and c.pos // 16 = f.pos // 16
+    where f.n > 1 group by f.row, f.source, f.level, f.pos // 16, (f.n + 15) // 16),
+higher(row, level, pos, n, h) as (
+    select o.row, 0, s.pos, s.n, o.h from own o join subroots s on o.source is not distinct from s.source where o.n = 1
+    union all
+    select f.row, f.level + 1, f.pos // 16, (f.n + 15) // 16, sha256(string_agg(case when c.pos = f.pos then f.h else c.h end, '' order by c.pos))
+    from higher f join upper_nodes c on c.level = f.level and c.pos // 16 = f.pos // 16
+    where f.n > 1 group by f.row, f.level, f.pos // 16, (f.n + 15) // 16),
+sides as (
+    select f.row, 0 as stage, f.level, c.pos, c.h from own f join nodes c
+        on c.source is not distinct from f.source and c.level = f.level and c.pos // 16 = f.pos // 16 and c.pos <> f.pos where f.n > 1
+    union all
+    select f.row, 1, f.level, c.pos, c.h from higher f join upper_nodes c
+        on c.level = f.level and c.pos // 16 = f.pos // 16 and c.pos <> f.pos where f.n > 1),
+proofs as (select row, string_agg(h, '' order by stage, level, pos) as p from sides group by row)
+select l.doc_id, l.leaf, s.subroot, r.h as root, sha256(coalesce(p.p, '')) as proof_sha256, f.h as folded_root, f.h = r.h as verified
+from leaves l join subroots s on l.source is not distinct from s.source join higher f on f.row = l.row and f.n = 1
+left join proofs p on p.row = l.row, (select h from upper_nodes where n = 1) r""")
+def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document as a leaf, its proof, and the root of a version in which a fifth of the texts are changed."""
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    change = [*map(F.col, _FIELDS[:-1]), F.translate("text", letters, letters.lower())]
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    rows = manifest.manifest(table(spark, folder, "documents"), _FIELDS, tampered, change)
+    return rows.select("doc_id", "leaf", "subroot", "root", F.sha2(manifest.proof_text(F.col("proof")), 256).alias("proof_sha256"),
+                       "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+@query("op13_hmm_scoring")
+def hmm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """log10 probability of every text under states learnt from the texts that are not held out, and word by word."""
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = hmm.score(docs, hmm.fit(docs, ~held_out))
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
