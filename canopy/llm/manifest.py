@@ -210,16 +210,16 @@ def manifest(df: DataFrame, fields: Sequence[str], changed: Column, change: Sequ
     nothing = F.array().cast(PATH).alias("path")
     # As below: the blocks of the upper tree hand the groups' nodes their paths, and those go down the groups.
     top = paths_down([None, *over], df.sparkSession.range(1).select(F.col("id").alias("tree"), F.lit(0).cast("long").alias("place"), nothing))
-    of_group = top.select(F.col("place").alias("tree"), "path").join(subroots.withColumnRenamed("root", "subroot"), "tree")
-    down = paths_down(layers, of_group.select("tree", F.lit(0).cast("long").alias("place"), "path"))
-    lowest = (layers[0].join(down.withColumnRenamed("place", "block"), ["tree", "block"])
-              .join(of_group.select("tree", "subroot"), "tree"))
+    down = paths_down(layers, top.select(F.col("place").alias("tree"), F.lit(0).cast("long").alias("place"), "path"))
+    lowest = layers[0].join(down.withColumnRenamed("place", "block"), ["tree", "block"])
 
     def run(row):
         own, over = row["members"].values, [(p["left"], p["right"]) for p in row["path"].as_py()]
         keys, old, new = own.field("key"), own.field("leaf").to_pylist(), own.field("new").to_pylist()
-        levels = block_levels("".join(old), row["nodes"].as_py())
-        inside = len(levels)
+        nodes = row["nodes"].as_py()
+        levels = block_levels("".join(old), nodes)
+        # The path leaves the group where its tree ends.
+        subroot = fold(digest(levels[-1][0]) if levels else old[0], over[:depth(nodes) - len(levels)])
         folded: dict[str, str] = {}       # the last copy above the block, by the copy of the block's own node
         above = [{"left": a, "right": b} for a, b in over]
         for i in range(0, len(old), ROWS_OUT):
@@ -234,7 +234,7 @@ def manifest(df: DataFrame, fields: Sequence[str], changed: Column, change: Sequ
                 ends.append(folded[node])
                 proofs.append([{"left": a, "right": b} for a, b in path] + above)
             n = len(ends)
-            yield (keys[i:i + n], old[i:i + n], [row["subroot"].as_py()] * n, [root] * n, proofs, new[i:i + n], ends)
+            yield (keys[i:i + n], old[i:i + n], [subroot] * n, [root] * n, proofs, new[i:i + n], ends)
 
     schema = f"key {kind}, leaf string, subroot string, root string, proof {PATH}, new_leaf string, folded_root string"
     return _mapped(lowest, schema, run).withColumnRenamed("key", key)
