@@ -1,11 +1,11 @@
 """Hidden Markov language model: latent states over word sequences, trained by Baum-Welch, scored exactly.
 
-A text is its words and one end. Each training round is a pass over all texts that learn: a task runs the
-scaled forward and backward recursions over its batches, all texts of a batch side by side, and hands on its
-expected counts, which Spark sums. The first rounds tie the emissions of words to ``CLASSES`` hash classes, so
-their parameters have a fixed size and travel with the tasks; the states and transitions are found there. The
-last round counts by word. That table has a row for every word of the corpus, is never gathered, and meets
-the texts to score in joins: a shard of texts asks once for each of its words.
+A text is its words and one end. The texts are first written in shards, as numbers of the shard's words. Each
+training round is a pass over all shards: a task runs the scaled forward and backward recursions over the texts
+that learn, many side by side, and hands on its expected counts, which Spark sums. The first rounds tie the
+emissions of words to ``CLASSES`` hash classes, so their parameters have a fixed size and travel with the tasks;
+the states and moves are found there. The last round counts by word. That table has a row for every word of
+the corpus, is never gathered, and meets the shards in a join: a shard asks once for each of its words.
 """
 
 from __future__ import annotations
@@ -13,26 +13,27 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from canopy.llm.batches import bound_batches
-from canopy.session import cut_lineage, new_folder
+from canopy.session import new_folder
 
-CLASSES = 1 << 16
+CLASSES = 1 << 14
 STAY = 0.9                  # first probability of keeping a state
 SPREAD = 1.0                # of the first, random log emissions
 OWN = 0.9                   # share of a state's own counts in its emissions; the rest is the corpus's
-HELD_WORDS = 250_000        # distinct words a task counts before it hands them on
-GROUP_BYTES = 6 << 20       # text whose recursions run side by side
+UNIT = 1024                 # expected counts are summed in parts of one: whole numbers, so that order does not count
+SHARD_BYTES = 24 << 20      # text whose words are numbered together
+SIDE_TOKENS = 1 << 20       # tokens of texts that run side by side
 BLOCK_TOKENS = 400_000      # tokens whose messages are held at once
-SHARD_BYTES = 32 << 20      # text that asks for its words together
 LONGEST_WORD = 40           # bytes; a longer word goes by its digest, which is longer than that
 END = b""
 
@@ -158,6 +159,74 @@ def expected(ids: np.ndarray, lengths: np.ndarray, table: np.ndarray, first: np.
     return seen, starts, pairs * moves
 
 
+# --- shards -----------------------------------------------------------------------------------
+
+def numbered(texts: Sequence[bytes | None], words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """The words' numbers of all texts, one after the other, and the texts' lengths."""
+    parts = [np.fromiter(map(words.__getitem__, found), np.int32, len(found)) for found in map(tokens, texts)]
+    return (np.concatenate(parts) if parts else np.zeros(0, np.int32)), np.array([len(p) for p in parts], np.int64)
+
+
+def prepare(df: DataFrame, learn: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(shard, words, keys, learn, lengths, size, ids): the texts in shards, written and read again.
+
+    A shard is up to ``SHARD_BYTES`` of text that one task reads, or one longer text. ``ids`` are the packed
+    numbers of its words, text by text; a null text is empty, and a null ``learn`` is false.
+    """
+    spark = df.sparkSession
+    bound_batches(spark)
+    schema = (f"shard bigint, words array<binary>, keys array<{df.schema[key].dataType.simpleString()}>, learn array<boolean>, "
+              "lengths array<bigint>, size bigint, ids binary")
+    out = to_arrow_schema(StructType.fromDDL(schema))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard = TaskContext.get().partitionId() << 32
+        words, ids, lengths, keys, learns, size = Words(), [], [], [], [], 0
+
+        def row():
+            raw = np.concatenate(ids).astype(np.int32).tobytes()
+            made = [[shard], [names(list(words))], [keys], [learns], [np.concatenate(lengths)], [len(raw)],
+                    [pa.compress(raw, "zstd", asbytes=True)]]
+            return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(made, out)], schema=out)
+
+        for batch in batches:
+            found = batch.column("text").cast(pa.binary()).to_pylist()
+            some, of = numbered(found, words)
+            ids.append(some)
+            lengths.append(of)
+            keys += batch.column("key").to_pylist()
+            learns += batch.column("learn").to_pylist()
+            size += sum(len(t) for t in found if t)
+            if size >= SHARD_BYTES:
+                yield row()
+                shard += 1
+                words, ids, lengths, keys, learns, size = Words(), [], [], [], [], 0
+        if keys:
+            yield row()
+
+    folder = new_folder(spark, "shards")
+    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
+    rows.mapInArrow(task, schema).write.option("parquet.block.size", 8 << 20).option("compression", "zstd").parquet(folder)
+    return spark.read.parquet(folder)
+
+
+def unpacked(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of a shard's words and the lengths of its texts."""
+    return (np.frombuffer(pa.decompress(row["ids"].as_py(), row["size"].as_py(), "zstd", asbytes=True), np.int32),
+            row["lengths"].values.to_numpy())
+
+
+def side_by_side(ids: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Texts in a row, cut where they hold about ``SIDE_TOKENS``: which they are, their numbers and lengths."""
+    ends = np.cumsum(lengths)
+    at = 0
+    while at < len(lengths):
+        begin = ends[at] - lengths[at]
+        stop = max(int(np.searchsorted(ends, begin + SIDE_TOKENS, "right")), at + 1)
+        yield slice(at, stop), ids[begin:ends[stop - 1]], lengths[at:stop]
+        at = stop
+
+
 # --- training ---------------------------------------------------------------------------------
 
 @dataclass(frozen=True)
@@ -176,76 +245,57 @@ def begin(states: int) -> States:
     return States(np.full(states, 1 / states), moves, np.exp(rng.normal(0, SPREAD, (CLASSES, states))))
 
 
-def groups(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[list[pa.RecordBatch], list[bytes | None]]]:
-    """Batches joined until they hold ``GROUP_BYTES`` of text."""
-    held, found, size = [], [], 0
-    for batch in batches:
-        texts = batch.column(text).cast(pa.binary()).to_pylist()
-        held.append(batch)
-        found += texts
-        size += sum(len(t) for t in texts if t)
-        if size >= GROUP_BYTES:
-            yield held, found
-            held, found, size = [], [], 0
-    if held:
-        yield held, found
+WORD, CLASS, MOVE, FIRST = range(4)
 
 
-def numbered(texts: Sequence[bytes | None], words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """The words' numbers of all texts, one after the other, and the texts' lengths."""
-    parts = [np.fromiter(map(words.__getitem__, found), np.int32, len(found)) for found in map(tokens, texts)]
-    return (np.concatenate(parts) if parts else np.zeros(0, np.int32)), np.array([len(p) for p in parts], np.int64)
+def counted(written: DataFrame, now: States, by_word: bool) -> DataFrame:
+    """Expected counts of one round as rows (kind, name, c, g0, g1, …), summed over all shards.
 
-
-def counted(texts: DataFrame, text: str, now: States, by_word: bool) -> DataFrame:
-    """Expected counts of one round as rows (kind, name, c, g0, g1, …), summed over all tasks.
-
-    ``kind`` is w for words, c for classes, m for moves (name: the state left) and f for first states; ``c`` is
-    the plain count, ``g`` the expected one by state.
+    A row belongs to a word, a class, the moves out of a state or the first states. ``c`` is the plain count,
+    ``g`` the expected one by state, in parts of ``UNIT``.
     """
-    spark, k = texts.sparkSession, len(now.first)
+    spark, k = written.sparkSession, len(now.first)
     bound_batches(spark)
     shared = spark.sparkContext.broadcast(now)        # of fixed size
     gs = [f"g{s}" for s in range(k)]
-    schema = "kind string, name binary, c bigint, " + ", ".join(f"{g} double" for g in gs)
+    schema = "kind tinyint, name binary, c bigint, " + ", ".join(f"{g} bigint" for g in gs)
     out = to_arrow_schema(StructType.fromDDL(schema))
 
-    def rows(kind: str, keys: list[bytes], c: np.ndarray, g: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([kind] * len(keys)), pa.array(keys, pa.binary()), pa.array(c.astype(np.int64)),
-                                           *[pa.array(g[:, s]) for s in range(k)]], schema=out)
+    def rows(kind: int, keys: pa.Array | list[bytes], c: np.ndarray, g: np.ndarray) -> Iterator[pa.RecordBatch]:
+        keys, units = pa.array(keys, pa.binary()), np.rint(g * UNIT).astype(np.int64)
+        columns = [pa.array(np.full(len(c), kind, np.int8)), keys, pa.array(c.astype(np.int64)), *[pa.array(units[:, s]) for s in range(k)]]
+        whole = pa.RecordBatch.from_arrays(columns, schema=out)
+        yield from (whole.slice(i, 20_000) for i in range(0, len(c), 20_000))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = shared.value
-        words, of, plain, seen = Words(), np.zeros(0, np.int64), np.zeros(0), np.zeros((0, k))
-        starts, pairs = np.zeros(k), np.zeros((k, k))
-
-        def flush():
-            if by_word:
-                keys, c, g = names(list(words)), plain, seen
-            else:
-                at = np.unique(of)
-                keys, c = [int(x).to_bytes(4, "big") for x in at], np.bincount(of, plain, CLASSES)[at]
-                g = np.column_stack([np.bincount(of, seen[:, s], CLASSES)[at] for s in range(k)])
-            for i in range(0, len(keys), 20_000):
-                yield rows("w" if by_word else "c", keys[i:i + 20_000], c[i:i + 20_000], g[i:i + 20_000])
-
-        for _, found in groups(batches, text):
-            ids, lengths = numbered(found, words)
-            new = list(words)[len(of):]
-            of = np.concatenate([of, classes(new)])
-            got, first, moved = expected(ids, lengths, state.ratio[of], state.first, state.moves)
-            plain = np.concatenate([plain, np.zeros(len(new))]) + np.bincount(ids, minlength=len(of))
-            seen = np.concatenate([seen, np.zeros((len(new), k))]) + got
-            starts, pairs = starts + first, pairs + moved
-            if len(words) > HELD_WORDS:
-                yield from flush()
-                words, of, plain, seen = Words(), np.zeros(0, np.int64), np.zeros(0), np.zeros((0, k))
-        if len(words):
-            yield from flush()
-        yield rows("m", [bytes([s]) for s in range(k)], np.zeros(k), pairs)
-        yield rows("f", [b""], np.zeros(1), starts[None])
-
-    return texts.select(text).mapInArrow(task, schema).groupBy("kind", "name").agg(
+        of_class, starts, pairs = np.zeros((CLASSES, k + 1)), np.zeros(k), np.zeros((k, k))
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {n: batch.column(n)[i] for n in batch.schema.names}
+                ids, lengths = unpacked(row)
+                learns = row["learn"].values.to_numpy(zero_copy_only=False)
+                ids, lengths = ids[np.repeat(learns, lengths)], lengths[learns]
+                names = row["words"].values
+                of = classes(names.to_pylist())
+                table, seen = state.ratio[of], np.zeros((len(of), k))
+                for _, some, long in side_by_side(ids, lengths):
+                    got, first, moved = expected(some, long, table, state.first, state.moves)
+                    seen, starts, pairs = seen + got, starts + first, pairs + moved
+                plain = np.bincount(ids, minlength=len(of))
+                if by_word:
+                    met = np.flatnonzero(plain)
+                    yield from rows(WORD, names.take(pa.array(met)), plain[met], seen[met])
+                else:
+                    for s, x in enumerate([*seen.T, plain]):
+                        of_class[:, s] += np.bincount(of, x, CLASSES)
+        if not by_word:
+            met = np.flatnonzero(of_class[:, k])
+            yield from rows(CLASS, [int(x).to_bytes(4, "big") for x in met], of_class[met, k], of_class[met, :k])
+        yield from rows(MOVE, [bytes([s]) for s in range(k)], np.zeros(k), pairs)
+        yield from rows(FIRST, [b""], np.zeros(1), starts[None])
+
+    return written.select("words", "learn", "lengths", "size", "ids").mapInArrow(task, schema).groupBy("kind", "name").agg(
         F.sum("c").alias("c"), *[F.sum(g).alias(g) for g in gs])
 
 
@@ -258,10 +308,10 @@ def small(rows: Sequence, k: int) -> tuple[np.ndarray, np.ndarray]:
     """First states and moves from the few rows that have them."""
     first, moves = np.zeros(k), np.zeros((k, k))
     for r in rows:
-        g = [r[f"g{s}"] for s in range(k)]
-        if r["kind"] == "f":
+        g = np.array([r[f"g{s}"] for s in range(k)]) / UNIT
+        if r["kind"] == FIRST:
             first += g
-        elif r["kind"] == "m":
+        elif r["kind"] == MOVE:
             moves[r["name"][0]] += g
     return shares(first), shares(moves)
 
@@ -274,67 +324,51 @@ class Model:
     words: DataFrame            # name, c, g0, g1, …
     tokens: int                 # all training tokens
     distinct: int
-    totals: np.ndarray          # expected tokens by state
-
+    totals: np.ndarray          # expected tokens by state, in parts of UNIT
 
-def fit(df: DataFrame, learn: Column, text: str = "text", states: int = 6, tied_rounds: int = 4) -> Model:
-    """Train on every row where ``learn`` is true; null counts as false, a null text is empty.
-
-    ``tied_rounds`` rounds tie words to classes, one more round counts by word. Nothing is sampled.
-    """
-    rows, now = df.where(F.coalesce(learn, F.lit(False))), begin(states)
-    for _ in range(tied_rounds):
-        found = counted(rows, text, now, False).collect()          # at most CLASSES rows and a few
-        first, moves = small(found, states)
-        c, g = np.zeros(CLASSES), np.zeros((CLASSES, states))
-        for r in found:
-            if r["kind"] == "c":
-                at = int.from_bytes(r["name"], "big")
-                c[at], g[at] = r["c"], [r[f"g{s}"] for s in range(states)]
-        large = (c + 1e-9) / (c.sum() + 1e-9 * CLASSES)
-        now = States(first, moves, OWN * g / np.maximum(g.sum(0), 1e-9) / large[:, None] + (1 - OWN))
-    table = cut_lineage(counted(rows, text, now, True))
-    first, moves = small(table.where("kind <> 'w'").collect(), states)       # one row a state and one more
-    words = table.where("kind = 'w'").drop("kind")
-    n, v, *totals = words.agg(F.sum("c"), F.count("*"), *[F.sum(f"g{s}") for s in range(states)]).first()
-    return Model(first, moves, words, n or 0, v, np.array([t or 0.0 for t in totals]))
 
+@contextmanager
+def shuffles_freed(spark: SparkSession):
+    """Shuffles of an action go when it ends: no frame of the training is used twice."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, was)
 
-# --- scoring ----------------------------------------------------------------------------------
 
-def shards(df: DataFrame, key: str, text: str) -> DataFrame:
-    """The texts as numbers of the words of their shard, written and read again.
+def fit(written: DataFrame, states: int = 6, tied_rounds: int = 3) -> Model:
+    """Train on the texts of the shards that learn, all of them in every round.
 
-    A shard is what one task reads, up to ``SHARD_BYTES`` of text; its rows are groups of texts. ``words`` are
-    those new to the shard, numbered on from ``base``.
+    ``tied_rounds`` rounds tie words to classes, one more round counts by word.
     """
-    spark = df.sparkSession
-    bound_batches(spark)
-    kind = df.schema[key].dataType.simpleString()
-    schema = f"shard bigint, base int, words array<binary>, keys array<{kind}>, lengths array<bigint>, size int, ids binary"
-    out = to_arrow_schema(StructType.fromDDL(schema))
+    spark, now = written.sparkSession, begin(states)
+    gs = [f"g{s}" for s in range(states)]
+    with shuffles_freed(spark):
+        for _ in range(tied_rounds):
+            found = counted(written, now, False).collect()         # at most CLASSES rows and a few
+            c, g = np.zeros(CLASSES), np.zeros((CLASSES, states))
+            for r in found:
+                if r["kind"] == CLASS:
+                    at = int.from_bytes(r["name"], "big")
+                    c[at], g[at] = r["c"], [r[x] for x in gs]
+            large = (c + 1e-9) / (c.sum() + 1e-9 * CLASSES)
+            now = States(*small(found, states), OWN * g / np.maximum(g.sum(0), 1) / large[:, None] + (1 - OWN))
+        folder = new_folder(spark, "words")
+        counted(written, now, True).write.option("compression", "zstd").parquet(folder)
+    table = spark.read.parquet(folder)
+    first, moves = small(table.where(F.col("kind") != WORD).collect(), states)       # one row a state and one more
+    words = table.where(F.col("kind") == WORD).drop("kind")
+    n, v, *totals = words.agg(F.sum("c"), F.count("*"), *[F.sum(g) for g in gs]).first()
+    return Model(first, moves, words, n or 0, v, np.array([float(t or 0) for t in totals]))
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, words, size = TaskContext.get().partitionId() << 32, Words(), 0
-        for held, found in groups(batches, "text"):
-            base = len(words)
-            ids, lengths = numbered(found, words)
-            keys = [x for batch in held for x in batch.column("key").to_pylist()]
-            raw = ids.astype(np.int32).tobytes()
-            made = [[shard], [base], [names(list(words)[base:])], [keys], [lengths.tolist()], [len(raw)], [pa.compress(raw, "zstd", asbytes=True)]]
-            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(made, out)], schema=out)
-            size += sum(len(t) for t in found if t)
-            if size >= SHARD_BYTES:
-                shard, words, size = shard + 1, Words(), 0
-
-    folder = new_folder(spark, "shards")
-    df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(task, schema).write.option(
-        "parquet.block.size", 8 << 20).option("compression", "zstd").parquet(folder)
-    return spark.read.parquet(folder)
 
+# --- scoring ----------------------------------------------------------------------------------
 
-def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_tokens, n_known, train_tokens, base_score, score) for every row of the table.
+def score(written: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
+    """(key, n_tokens, n_known, train_tokens, base_score, score) for every text of the shards.
 
     ``score`` is the model's exact log10 probability of the whole text: words and end. A state emits a word by
     its own expected counts, ``OWN`` of the mass, and by the add-one frequency of the corpus, which an unknown
@@ -344,38 +378,34 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text")
     the longest text.
     """
     k = len(model.first)
-    spark, gs = df.sparkSession, [f"g{s}" for s in range(k)]
-    written = shards(df, key, text)
-    asked = written.select("shard", "base", F.posexplode("words").alias("i", "name")).select(
-        F.col("shard").alias("asking"), (F.col("base") + F.col("i")).alias("i"), "name")
-    told = asked.join(model.words, "name").select("asking", "i", "c", *[F.col(g).cast("float").alias(g) for g in gs])
+    spark, gs = written.sparkSession, [f"g{s}" for s in range(k)]
+    asked = written.select(F.col("shard").alias("asking"), F.posexplode("words").alias("i", "name"))
+    told = asked.join(model.words, "name").drop("name")
     first, moves, n, v, totals = model.first, model.moves, model.tokens, model.distinct, model.totals
-    kind = df.schema[key].dataType.simpleString()
-    schema = f"key {kind}, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
+    schema = f"key {written.schema['keys'].dataType.elementType.simpleString()}, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     out = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        size = sum(len(w) for w in texts["words"])
-        c, g = np.zeros(size), np.zeros((size, k))
+        row = {c: texts[c][0] for c in texts.column_names}         # a shard is one row
+        words = row["words"].as_py()
+        c, g = np.zeros(words), np.zeros((words, k))
         at = answers["i"].to_numpy()
         c[at] = answers["c"].to_numpy()
         for s, name in enumerate(gs):
             g[at, s] = answers[name].to_numpy()
         large = (c + 1) / (n + v + 1)
         own = np.where(totals > 0, OWN, 0.0)
-        table = own * g / np.maximum(totals, 1e-300) + (1 - own) * large[:, None]
+        table = own * g / np.maximum(totals, 1) + (1 - own) * large[:, None]
         base = np.log10(large)
-        made = []
-        for row in range(texts.num_rows):
-            lengths = texts["lengths"][row].values.to_numpy()
-            ids = np.frombuffer(pa.decompress(texts["ids"][row].as_py(), texts["size"][row].as_py(), "zstd", asbytes=True), np.int32)
-            of = np.repeat(np.arange(len(lengths)), lengths)
-            made.append(pa.Table.from_arrays(
-                [texts["keys"][row].values, pa.array(lengths), pa.array(np.bincount(of, c[ids] > 0, len(lengths)).astype(np.int64)),
-                 pa.array(np.full(len(lengths), n)), pa.array(np.bincount(of, base[ids], len(lengths))),
-                 pa.array(log_likelihoods(ids, lengths, table, first, moves))], schema=out))
-        return pa.concat_tables(made) if made else out.empty_table()
+        ids, lengths = unpacked(row)
+        known, plain, told = (np.zeros(len(lengths)) for _ in range(3))
+        for here, some, long in side_by_side(ids, lengths):
+            of = np.repeat(np.arange(len(long)), long)
+            known[here], plain[here] = np.bincount(of, c[some] > 0, len(long)), np.bincount(of, base[some], len(long))
+            told[here] = log_likelihoods(some, long, table, first, moves)
+        return pa.Table.from_arrays([row["keys"].values, pa.array(lengths), pa.array(known.astype(np.int64)), pa.array(np.full(len(lengths), n)),
+                                     pa.array(plain), pa.array(told)], schema=out)
 
     bound_batches(spark)
-    scored = written.groupBy("shard").cogroup(told.groupBy("asking")).applyInArrow(run, schema)
-    return scored.withColumnRenamed("key", key)
+    texts = written.select("shard", F.size("words").alias("words"), "keys", "lengths", "size", "ids")
+    return texts.groupBy("shard").cogroup(told.groupBy("asking")).applyInArrow(run, schema).withColumnRenamed("key", key)

@@ -288,6 +288,6 @@ def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
 def hmm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     """log10 probability of every text under states learnt from the texts that are not held out, and word by word."""
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    scored = hmm.score(docs, hmm.fit(docs, ~held_out))
+    shards = hmm.prepare(table(spark, folder, "documents"), ~held_out)
+    scored = hmm.score(shards, hmm.fit(shards))
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
