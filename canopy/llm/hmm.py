@@ -33,7 +33,7 @@ OWN = 0.9                   # share of a state's own counts in its emissions; th
 UNIT = 1024                 # expected counts are summed in parts of one: whole numbers, so that order does not count
 SHARD_BYTES = 24 << 20      # text whose words are numbered together
 SIDE_TOKENS = 1 << 20       # tokens of texts that run side by side
-BLOCK_TOKENS = 400_000      # tokens whose messages are held at once
+BLOCK_TOKENS = 300_000      # tokens whose messages are held at once
 LONGEST_WORD = 40           # bytes; a longer word goes by its digest, which is longer than that
 END = b""
 
@@ -57,7 +57,7 @@ def names(words: Sequence[bytes]) -> list[bytes]:
 
 
 def classes(words: Sequence[bytes]) -> np.ndarray:
-    return np.array([zlib.crc32(w) & (CLASSES - 1) for w in words], np.int64)
+    return np.array([zlib.crc32(w) & (CLASSES - 1) for w in words], np.uint16)
 
 
 # --- recursions -------------------------------------------------------------------------------
@@ -168,14 +168,15 @@ def numbered(texts: Sequence[bytes | None], words: Words) -> tuple[np.ndarray, n
 
 
 def prepare(df: DataFrame, learn: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(shard, words, keys, learn, lengths, size, ids): the texts in shards, written and read again.
+    """(shard, words, classes, keys, learn, lengths, size, ids): the texts in shards, written and read again.
 
     A shard is up to ``SHARD_BYTES`` of text that one task reads, or one longer text. ``ids`` are the packed
-    numbers of its words, text by text; a null text is empty, and a null ``learn`` is false.
+    numbers of its words, text by text, and ``classes`` the words' classes; a null text is empty, and a null
+    ``learn`` is false.
     """
     spark = df.sparkSession
     bound_batches(spark)
-    schema = (f"shard bigint, words array<binary>, keys array<{df.schema[key].dataType.simpleString()}>, learn array<boolean>, "
+    schema = (f"shard bigint, words array<binary>, classes binary, keys array<{df.schema[key].dataType.simpleString()}>, learn array<boolean>, "
               "lengths array<bigint>, size bigint, ids binary")
     out = to_arrow_schema(StructType.fromDDL(schema))
 
@@ -185,7 +186,8 @@ def prepare(df: DataFrame, learn: Column, key: str = "doc_id", text: str = "text
 
         def row():
             raw = np.concatenate(ids).astype(np.int32).tobytes()
-            made = [[shard], [names(list(words))], [keys], [learns], [np.concatenate(lengths)], [len(raw)],
+            known = names(list(words))
+            made = [[shard], [known], [classes(known).tobytes()], [keys], [learns], [np.concatenate(lengths)], [len(raw)],
                     [pa.compress(raw, "zstd", asbytes=True)]]
             return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(made, out)], schema=out)
 
@@ -276,8 +278,7 @@ def counted(written: DataFrame, now: States, by_word: bool) -> DataFrame:
                 ids, lengths = unpacked(row)
                 learns = row["learn"].values.to_numpy(zero_copy_only=False)
                 ids, lengths = ids[np.repeat(learns, lengths)], lengths[learns]
-                names = row["words"].values
-                of = classes(names.to_pylist())
+                of = np.frombuffer(row["classes"].as_py(), np.uint16)
                 table, seen = state.ratio[of], np.zeros((len(of), k))
                 for _, some, long in side_by_side(ids, lengths):
                     got, first, moved = expected(some, long, table, state.first, state.moves)
@@ -285,7 +286,7 @@ def counted(written: DataFrame, now: States, by_word: bool) -> DataFrame:
                 plain = np.bincount(ids, minlength=len(of))
                 if by_word:
                     met = np.flatnonzero(plain)
-                    yield from rows(WORD, names.take(pa.array(met)), plain[met], seen[met])
+                    yield from rows(WORD, row["words"].values.take(pa.array(met)), plain[met], seen[met])
                 else:
                     for s, x in enumerate([*seen.T, plain]):
                         of_class[:, s] += np.bincount(of, x, CLASSES)
@@ -295,7 +296,8 @@ def counted(written: DataFrame, now: States, by_word: bool) -> DataFrame:
         yield from rows(MOVE, [bytes([s]) for s in range(k)], np.zeros(k), pairs)
         yield from rows(FIRST, [b""], np.zeros(1), starts[None])
 
-    return written.select("words", "learn", "lengths", "size", "ids").mapInArrow(task, schema).groupBy("kind", "name").agg(
+    columns = [*(["words"] if by_word else []), "classes", "learn", "lengths", "size", "ids"]
+    return written.select(columns).mapInArrow(task, schema).groupBy("kind", "name").agg(
         F.sum("c").alias("c"), *[F.sum(g).alias(g) for g in gs])
 
 
