@@ -29,7 +29,7 @@ from canopy.session import new_folder
 CLASSES = 1 << 14
 STAY = 0.9                  # first probability of keeping a state
 SPREAD = 1.0                # of the first, random log emissions
-OWN = 0.9                   # share of a state's own counts in its emissions; the rest is the corpus's
+OWN = 0.9                   # share of a state's own counts in its emissions while training; the rest is the corpus's
 UNIT = 1024                 # expected counts are summed in parts of one: whole numbers, so that order does not count
 SHARD_BYTES = 24 << 20      # text whose words are numbered together
 SIDE_TOKENS = 1 << 20       # tokens of texts that run side by side
@@ -373,8 +373,9 @@ def score(written: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
     """(key, n_tokens, n_known, train_tokens, base_score, score) for every text of the shards.
 
     ``score`` is the model's exact log10 probability of the whole text: words and end. A state emits a word by
-    its own expected counts, ``OWN`` of the mass, and by the add-one frequency of the corpus, which an unknown
-    word gets as well; ``base_score`` is that of the add-one frequencies alone. A null or empty text is its end
+    its own expected counts and, as if there were one count more for every distinct word, by the add-one
+    frequency of the corpus, which an unknown word gets as well; ``base_score`` is that of the add-one frequencies
+    alone. A null or empty text is its end
     alone. Repeated rows and null keys have rows of their own, other columns play no part, an empty table gives
     none. Where nothing was learnt, both scores are 0. Memory is bounded by a shard's words and the numbers of
     the longest text.
@@ -396,7 +397,7 @@ def score(written: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
         for s, name in enumerate(gs):
             g[at, s] = answers[name].to_numpy()
         large = (c + 1) / (n + v + 1)
-        own = np.where(totals > 0, OWN, 0.0)
+        own = totals / np.maximum(totals + UNIT * v, 1)
         table = own * g / np.maximum(totals, 1) + (1 - own) * large[:, None]
         base = np.log10(large)
         ids, lengths = unpacked(row)

@@ -4,7 +4,7 @@ A leaf is the digest of a row's fields. In a group, leaves stand in the order of
 consecutive nodes become the digest of their joined hexadecimal digests until one is left, and the groups'
 last nodes become the dataset's root in the same way.
 
-The tree is cut into aligned blocks of ``BLOCK`` nodes, one row each, so a group of any size is many rows. A
+The tree is cut into aligned blocks of some levels, one row each, so a group of any size is many rows. A
 block gives the level above one node; that level is cut into blocks again, until a tree has one block. Paths
 then come down: a block hears the siblings above it and hands its members theirs.
 
@@ -28,8 +28,7 @@ from canopy.operators.ranking import chunked
 from canopy.session import cut_lineage
 
 WIDTH = 16
-LEVELS = 3                      # levels of a block
-BLOCK = WIDTH ** LEVELS
+LEVELS = 3                      # of a block: 4,096 nodes
 ROWS_OUT = 128                  # rows handed on at a time: each carries its proof
 DIGEST = 64                     # hexadecimal digits
 PATH = "array<struct<left:string,right:string>>"
@@ -61,19 +60,19 @@ def runs(joined: str) -> list[str]:
     return [joined[i:i + WIDTH * DIGEST] for i in range(0, len(joined), WIDTH * DIGEST)]
 
 
-def block_levels(joined: str, nodes: int) -> list[list[str]]:
-    """The runs of every level of a block of a tree of that many nodes, from below; none for a lone node."""
-    levels = []
-    for _ in range(min(LEVELS, depth(nodes))):
-        levels.append(runs(joined))
-        joined = "".join(map(digest, levels[-1]))
-    return levels
+def block_runs(joined: str, nodes: int, levels: int) -> list[list[str]]:
+    """The runs of every level of a block in a tree of that many nodes, from below; none for a lone node."""
+    found = []
+    for _ in range(min(levels, depth(nodes))):
+        found.append(runs(joined))
+        joined = "".join(map(digest, found[-1]))
+    return found
 
 
-def siblings(levels: list[list[str]], at: int) -> list[tuple[str, str]]:
+def siblings(found: list[list[str]], at: int) -> list[tuple[str, str]]:
     """What stands left and right of a member in its run, level by level."""
     path = []
-    for level in levels:
+    for level in found:
         run, i = level[at // WIDTH], at % WIDTH * DIGEST
         path.append((run[:i], run[i + DIGEST:]))
         at //= WIDTH
@@ -134,47 +133,47 @@ def _mapped(df: DataFrame, schema: str, run) -> DataFrame:
     return df.mapInArrow(task, schema)
 
 
-def blocks(nodes: DataFrame) -> DataFrame:
+def blocks(nodes: DataFrame, levels: int) -> DataFrame:
     """(tree, nodes, block, members) of rows (tree, nodes, place, leaf, …): a row per aligned block, members in order."""
     others = [c for c in nodes.columns if c not in ("tree", "nodes", "place")]
-    return cut_lineage(nodes.groupBy("tree", "nodes", F.floor(F.col("place") / BLOCK).alias("block")).agg(
+    return cut_lineage(nodes.groupBy("tree", "nodes", F.floor(F.col("place") / WIDTH ** levels).alias("block")).agg(
         F.sort_array(F.collect_list(F.struct("place", *others))).alias("members")))
 
 
-def tops(made: DataFrame) -> DataFrame:
+def tops(made: DataFrame, levels: int) -> DataFrame:
     """(tree, nodes, place, leaf): every block's node at the level above it."""
     def run(row):
         nodes, joined = row["nodes"].as_py(), "".join(row["members"].values.field("leaf").to_pylist())
-        levels = block_levels(joined, nodes)
-        top = digest(levels[-1][0]) if levels else joined
-        yield [row["tree"].as_py()], [-(-nodes // BLOCK)], [row["block"].as_py()], [top]
+        found = block_runs(joined, nodes, levels)
+        top = digest(found[-1][0]) if found else joined
+        yield [row["tree"].as_py()], [-(-nodes // WIDTH ** levels)], [row["block"].as_py()], [top]
 
     return _mapped(made, "tree bigint, nodes bigint, place bigint, leaf string", run)
 
 
-def build(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+def build(nodes: DataFrame, levels: int) -> tuple[list[DataFrame], DataFrame]:
     """All layers of blocks, from below, and (tree, root)."""
-    layers = [blocks(nodes)]
+    layers = [blocks(nodes, levels)]
     while True:
-        above = cut_lineage(tops(layers[-1]))
+        above = cut_lineage(tops(layers[-1], levels))
         if not above.where("nodes > 1").take(1):
             return layers, above.select("tree", F.col("leaf").alias("root"))
-        layers.append(blocks(above))
+        layers.append(blocks(above, levels))
 
 
-def paths_down(layers: list[DataFrame], above: DataFrame) -> DataFrame:
-    """(tree, place, path) of the blocks of the lowest layer, ``above`` being the path of every tree's root."""
+def paths_down(layers: list[DataFrame], above: DataFrame, levels: int) -> DataFrame:
+    """(tree, place, path) of the members of the lowest of the layers, ``above`` being the paths of the trees' roots."""
     path = above
-    for n, layer in enumerate(reversed(layers[1:])):
+    for n, layer in enumerate(reversed(layers)):
         on = ["tree"] if n == 0 else ["tree", "block"]
         known = path.drop("place") if n == 0 else path.withColumnRenamed("place", "block")
 
         def run(row):
             own, over = row["members"], row["path"].as_py()
             joined, at = "".join(own.values.field("leaf").to_pylist()), own.values.field("place").to_pylist()
-            levels = block_levels(joined, row["nodes"].as_py())
+            found = block_runs(joined, row["nodes"].as_py(), levels)
             for i in range(0, len(at), ROWS_OUT):
-                paths = [[{"left": a, "right": b} for a, b in siblings(levels, p % BLOCK)] + over for p in at[i:i + ROWS_OUT]]
+                paths = [[{"left": a, "right": b} for a, b in siblings(found, p % WIDTH ** levels)] + over for p in at[i:i + ROWS_OUT]]
                 yield [row["tree"].as_py()] * len(paths), at[i:i + ROWS_OUT], paths
 
         path = cut_lineage(_mapped(layer.join(known, on), f"tree bigint, place bigint, path {PATH}", run))
@@ -182,7 +181,7 @@ def paths_down(layers: list[DataFrame], above: DataFrame) -> DataFrame:
 
 
 def manifest(df: DataFrame, fields: Sequence[str], changed: Column, change: Sequence[Column], key: str = "doc_id",
-             group: str = "source") -> DataFrame:
+             group: str = "source", levels: int = LEVELS) -> DataFrame:
     """(key, leaf, subroot, root, proof, new_leaf, folded_root) for every row of the table.
 
     ``fields`` are hashed, in order; ``change`` are their values in the version that changes a row, made where
@@ -198,37 +197,37 @@ def manifest(df: DataFrame, fields: Sequence[str], changed: Column, change: Sequ
     rows = cut_lineage(leaves(df, key, group, fields, changed, change))
     nodes, trees = placed(rows)
     kind = rows.schema["key"].dataType.simpleString()
-    layers, subroots = build(nodes)
+    layers, subroots = build(nodes, levels)
     # The groups' last nodes are the leaves of one more tree.
     count = trees.agg(F.count("*")).scalar()
     over, roots = build(subroots.select(F.lit(0).cast("long").alias("tree"), count.alias("nodes"), F.col("tree").alias("place"),
-                                        F.col("root").alias("leaf")))
+                                        F.col("root").alias("leaf")), levels)
     root = roots.first()
     if root is None:
         return df.sparkSession.createDataFrame([], f"{key} {kind}, leaf string, subroot string, root string, proof {PATH}, new_leaf string, folded_root string")
     root = root["root"]
     nothing = F.array().cast(PATH).alias("path")
     # As below: the blocks of the upper tree hand the groups' nodes their paths, and those go down the groups.
-    top = paths_down([None, *over], df.sparkSession.range(1).select(F.col("id").alias("tree"), F.lit(0).cast("long").alias("place"), nothing))
-    down = paths_down(layers, top.select(F.col("place").alias("tree"), F.lit(0).cast("long").alias("place"), "path"))
+    top = paths_down(over, df.sparkSession.range(1).select(F.col("id").alias("tree"), F.lit(0).cast("long").alias("place"), nothing), levels)
+    down = paths_down(layers[1:], top.select(F.col("place").alias("tree"), F.lit(0).cast("long").alias("place"), "path"), levels)
     lowest = layers[0].join(down.withColumnRenamed("place", "block"), ["tree", "block"])
 
     def run(row):
         own, over = row["members"].values, [(p["left"], p["right"]) for p in row["path"].as_py()]
         keys, old, new = own.field("key"), own.field("leaf").to_pylist(), own.field("new").to_pylist()
         nodes = row["nodes"].as_py()
-        levels = block_levels("".join(old), nodes)
+        found = block_runs("".join(old), nodes, levels)
         # The path leaves the group where its tree ends.
-        subroot = fold(digest(levels[-1][0]) if levels else old[0], over[:depth(nodes) - len(levels)])
+        subroot = fold(digest(found[-1][0]) if found else old[0], over[:depth(nodes) - len(found)])
         folded: dict[str, str] = {}       # the last copy above the block, by the copy of the block's own node
         above = [{"left": a, "right": b} for a, b in over]
         for i in range(0, len(old), ROWS_OUT):
             proofs, ends = [], []
             for at in range(i, min(i + ROWS_OUT, len(old))):
-                path = siblings(levels, at)
+                path = siblings(found, at)
                 node = fold(new[at] or old[at], path)
                 if node not in folded:
-                    if len(folded) > BLOCK:
+                    if len(folded) > ROWS_OUT:
                         folded.clear()
                     folded[node] = fold(node, over)
                 ends.append(folded[node])
