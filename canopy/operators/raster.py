@@ -3,9 +3,17 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DoubleType, StructField, StructType
+
+from canopy.session import share_package
+
+BLOCK_SIDE = 256        # cells along a block: a block is one row of about a megabyte
 
 # Small smoothing kernels used when no width is given.
 SMALL_KERNELS = {
@@ -28,49 +36,74 @@ def mosaic(cells: DataFrame, transform: DataFrame, order: str = "raster_id", nam
         F.rint((F.col("y0") - y0) / F.col("dy") + F.col("row")).cast("int").alias("row"),
         F.rint((F.col("x0") - x0) / F.col("dx") + F.col("col")).cast("int").alias("col"),
         F.col(order).alias("_order"), "value")
-    return (placed.groupBy("row", "col").agg(F.min_by("value", "_order").alias("value"))
-            .select(F.lit(name).alias("raster_id"), "row", "col", "value"))
+    # The name comes out of the data: as a constant it would leave later joins on it without a key.
+    named = F.concat(F.lit(name), F.substring(F.min(F.col("_order").cast("string")), 1, 0))
+    return (placed.groupBy("row", "col").agg(F.min_by("value", "_order").alias("value"), named.alias("raster_id"))
+            .select("raster_id", "row", "col", "value"))
+
+
+def _mirrored(at: np.ndarray, lo: int, hi: int) -> np.ndarray:
+    """Places beyond the ends of a map, by reflection without the border itself, as often as a narrow map needs."""
+    end = hi - lo
+    return lo + end - np.abs(end - (at - lo) % (2 * end)) if end else np.full_like(at, lo)
 
 
-def _spread(sums: DataFrame, ends: DataFrame, axis: str, other: str, weights: Sequence[float]) -> DataFrame:
-    """Weighted sums along one axis: every place gives its value to the places within reach, by coordinate.
+def _smooth(known: np.ndarray, weights: Sequence[float], side: int) -> np.ndarray:
+    """Weighted sums along the first axis."""
+    return sum(w * known[d:d + side] for d, w in enumerate(weights))
 
-    The border mirrors without its own cell, as often as needed on a narrow map: place p stands for all
-    places that lead to it, p + 2ek and 2e k - p for a map of e + 1 places.
+
+def separable_filter(cells: DataFrame, weights: Sequence[float], side: int = BLOCK_SIDE) -> DataFrame:
+    """Weighted mean of the cells around each cell, the border mirrored, block by block.
+
+    A map is cut into squares of ``side`` cells; a cell goes to its block and, as a border strip, to those
+    within reach, so one shuffle brings a block all it needs, at any size of a map. A block is one row and is
+    filtered as an array: 2k products a cell. A missing or null cell takes no part: the weights of the others are
+    scaled up, and no value is made for it. A cell that is there twice counts with its mean.
     """
+    share_package(cells.sparkSession)
     reach = len(weights) // 2
-    # The map's last place, from 0. The images of p repeat after two lengths of the map.
-    p, end = F.col(axis) - F.col(f"_lo_{axis}"), F.col(f"_hi_{axis}") - F.col(f"_lo_{axis}")
-    period = F.greatest(2 * end, F.lit(1))
-    turns = F.sequence(-F.ceil((reach + end) / period), F.ceil((reach + end) / period))
-    images = F.array_distinct(F.flatten(F.transform(
-        turns, lambda k: F.when(end > 0, F.array(p + k * period, k * period - p)).otherwise(F.array(p + k)))))
-    image = F.filter(images, lambda q: (q >= -reach) & (q <= end + reach))
-    w = F.array(*[F.lit(float(x)) for x in weights])
-    given = F.transform(F.sequence(F.lit(-reach), F.lit(reach)), lambda d: F.struct(d.alias("d"), F.get(w, d + reach).alias("w")))
-    return (sums.join(ends, "raster_id").withColumn("_q", F.explode(image)).withColumn("_g", F.explode(given))
-            .withColumn("_t", F.col("_q") - F.col("_g.d")).where((F.col("_t") >= 0) & (F.col("_t") <= end))
-            .groupBy("raster_id", other, (F.col("_t") + F.col(f"_lo_{axis}")).cast("int").alias(axis))
-            .agg(F.sum(F.col("_v") * F.col("_g.w")).alias("_v"), F.sum(F.col("_w") * F.col("_g.w")).alias("_w")))
-
-
-def separable_filter(cells: DataFrame, weights: Sequence[float]) -> DataFrame:
-    """Weighted mean of the cells around each cell: 2k instead of k*k products, partial sums before each shuffle.
-
-    Neighbours are found by coordinate. A missing or null cell takes no part: the weights of the others are
-    scaled up, and no value is made for it.
-    """
-    known = cells.where(F.col("value").isNotNull()).select("raster_id", "row", "col", "value")
-    ends = cells.groupBy("raster_id").agg(*[f(c).alias(f"{n}_{c}") for c in ("row", "col") for f, n in ((F.min, "_lo"), (F.max, "_hi"))])
-    sums = known.select("raster_id", "row", "col", F.col("value").alias("_v"), F.lit(1.0).alias("_w"))
-    across = _spread(sums, ends, "col", "row", weights)
-    down = _spread(across, ends, "row", "col", weights)
-    return (down.join(known.select("raster_id", "row", "col"), ["raster_id", "row", "col"], "left_semi")
-            .select("raster_id", "row", "col", (F.col("_v") / F.col("_w")).alias("value")))
-
 
-def box_filter(cells: DataFrame, k: int = 5) -> DataFrame:
-    return separable_filter(cells, [1.0 / k] * k)
+    def blocks(axis: str) -> Column:
+        """The blocks a cell is in or lends itself to: those its window begins and ends in, and any between."""
+        return F.explode(F.sequence(*[F.floor((F.col(axis) + d) / side).cast("int") for d in (-reach, reach)]))
+
+    known = cells.where(F.col("value").isNotNull() & ~F.isnan("value"))
+    ends = cells.groupBy("raster_id").agg(*[f(c).alias(f"{n}_{c}") for c in ("row", "col") for f, n in ((F.min, "lo"), (F.max, "hi"))])
+    held = (known.select("raster_id", "row", "col", F.col("value").cast("double").alias("value"), blocks("row").alias("_br"))
+            .withColumn("_bc", blocks("col"))
+            .groupBy("raster_id", "_br", "_bc").agg(F.collect_list(F.struct("row", "col", "value")).alias("_cells")))
+    schema = StructType([cells.schema[c] for c in ("raster_id", "row", "col")] + [StructField("value", DoubleType())])
+    out = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                b = {n: batch.column(n)[i] for n in batch.schema.names}
+                found = b["_cells"].values
+                row, col, value = (found.field(c).to_numpy() for c in ("row", "col", "value"))
+                r0, c0 = b["_br"].as_py() * side, b["_bc"].as_py() * side
+                wide = side + 2 * reach
+                at = (row - (r0 - reach)) * wide + col - (c0 - reach)
+                # The places of the block and its border, each as the place that stands for it.
+                places = [np.clip(_mirrored(np.arange(z - reach, z + side + reach), b[f"lo_{c}"].as_py(), b[f"hi_{c}"].as_py()) - (z - reach), 0, wide - 1)
+                          for z, c in ((r0, "row"), (c0, "col"))]
+                sums = []
+                for x in (value, None):
+                    grid = np.bincount(at, x, wide * wide).reshape(wide, wide)[np.ix_(*places)]
+                    sums.append(_smooth(_smooth(grid, weights, side).T, weights, side).T)
+                own = np.flatnonzero((row >= r0) & (row < r0 + side) & (col >= c0) & (col < c0 + side))
+                own = own[np.unique(at[own], return_index=True)[1]]
+                y, x = row[own] - r0, col[own] - c0
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([b["raster_id"].as_py()] * len(own), out.field("raster_id").type), pa.array(row[own]), pa.array(col[own]),
+                     pa.array(sums[0][y, x] / sums[1][y, x])], schema=out)
+
+    return held.join(ends, "raster_id").mapInArrow(run, schema)
+
+
+def box_filter(cells: DataFrame, k: int = 5, side: int = BLOCK_SIDE) -> DataFrame:
+    return separable_filter(cells, [1.0 / k] * k, side)
 
 
 def gaussian_weights(k: int, sigma: float | None = None) -> list[float]:
@@ -82,5 +115,5 @@ def gaussian_weights(k: int, sigma: float | None = None) -> list[float]:
     return [w / sum(raw) for w in raw]
 
 
-def gaussian_filter(cells: DataFrame, k: int = 5, sigma: float | None = None) -> DataFrame:
-    return separable_filter(cells, gaussian_weights(k, sigma))
+def gaussian_filter(cells: DataFrame, k: int = 5, sigma: float | None = None, side: int = BLOCK_SIDE) -> DataFrame:
+    return separable_filter(cells, gaussian_weights(k, sigma), side)

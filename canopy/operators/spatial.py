@@ -15,7 +15,6 @@ from canopy.operators.relational import only_new, union_all
 
 _EDGES = {"ring": geo.edges, "polygon": geo.polygon_edges, "multi": geo.multi_edges}
 SALTS = 8
-MOST_MAPS = 64
 SMALLEST = 2.0 ** -40     # side of a shape without extent
 
 
@@ -150,25 +149,53 @@ def sample_nearest(points: DataFrame, cells: DataFrame, transform: DataFrame, ke
     """Value of the nearest cell of every map at each point.
 
     ``transform`` has one row per map (raster_id, x0, y0, dx, dy, n_rows, n_cols); there are as many
-    as seasons, so they unfold from one small array instead of a join without keys. More than MOST_MAPS maps
-    are an error: tiles of one season are to be joined by ``mosaic`` first, which also puts the nearest cell
-    of a point beyond a tile into the next tile.
+    as seasons, so they unfold from one small array instead of a join without keys; every point has a row for
+    every map, however many. Where a map comes in many tiles, ``sample_tiles`` looks into the tiles at a point.
     """
-    found = transform.agg(F.collect_list(F.struct(*transform.columns))).scalar()
-    maps = F.when(F.size(found) <= MOST_MAPS, found).otherwise(F.raise_error(F.lit(f"more than {MOST_MAPS} maps; join tiles by mosaic")))
-
-    def index(v: Column, origin: str, step: str, n: str) -> Column:
-        i = F.rint((v - F.col(f"_t.{origin}")) / F.col(f"_t.{step}")).cast("int")
-        return F.least(F.greatest(i, F.lit(0)), F.col(f"_t.{n}") - 1)
-
-    at = (points.select(*keep, x.alias("_x"), y.alias("_y"))
-          .withColumn("_t", F.explode(maps))
-          .select(*keep, F.col("_t.raster_id").alias("raster_id"),
-                  index(F.col("_y"), "y0", "dy", "n_rows").alias("row"),
-                  index(F.col("_x"), "x0", "dx", "n_cols").alias("col")))
+    maps = transform.agg(F.collect_list(F.struct(*transform.columns))).scalar()
+
+    at = points.select(*keep, x.alias("_x"), y.alias("_y")).withColumn("_t", F.explode(maps)).select(*keep, *_cell_of("_t"))
     return at.join(cells, ["raster_id", "row", "col"], "left").select(*keep, "raster_id", "value")
 
 
+def _cell_of(place: str) -> list[Column]:
+    """Map, row and column of the cell nearest to (_x, _y) in a map."""
+    def index(v: str, origin: str, step: str, n: str) -> Column:
+        i = F.rint((F.col(v) - F.col(f"{place}.{origin}")) / F.col(f"{place}.{step}")).cast("int")
+        return F.least(F.greatest(i, F.lit(0)), F.col(f"{place}.{n}") - 1)
+
+    return [F.col(f"{place}.raster_id").alias("raster_id"), index("_y", "y0", "dy", "n_rows").alias("row"),
+            index("_x", "x0", "dx", "n_cols").alias("col")]
+
+
+def sample_tiles(points: DataFrame, cells: DataFrame, transform: DataFrame, keep: Sequence[str], x: Column, y: Column,
+                 of: str | None = None) -> DataFrame:
+    """(keep, map, value) at each point, of maps that come in any number of tiles.
+
+    ``of`` names the column of ``transform`` that tells a tile's map; without it all tiles are one map. A point
+    looks only into the tiles whose cells it lies in, half a cell around each: tiles are binned by their extent like the
+    shapes of a join, at the level of their size. Where tiles overlap, the first in order of ``raster_id`` with
+    a value counts; a point outside all tiles of a map has no row for it.
+    """
+    def reach(origin: str, step: str, n: str) -> tuple[Column, Column]:
+        a, b, half = F.col(origin), F.col(origin) + F.col(step) * (F.col(n) - 1), F.abs(F.col(step)) / 2
+        return F.least(a, b) - half, F.greatest(a, b) + half
+
+    (x0, x1), (y0, y1) = reach("x0", "dx", "n_cols"), reach("y0", "dy", "n_rows")
+    name = F.col(of) if of else F.lit("map")
+    boxed = (transform.select(F.struct("raster_id", "x0", "y0", "dx", "dy", "n_rows", "n_cols").alias("_t"), name.alias("map"),
+                              F.struct(x0.alias("x0"), x1.alias("x1"), y0.alias("y0"), y1.alias("y1")).alias("_box"))
+             .withColumn("_own", F.ceil(F.log2(F.greatest(F.col("_box.x1") - F.col("_box.x0"), F.col("_box.y1") - F.col("_box.y0"), F.lit(SMALLEST)))).cast("int")))
+    at = (points.select(*keep, x.alias("_x"), y.alias("_y")).withColumn("_level", F.explode(_levels(boxed)))
+          .withColumns({"_bx": _bin(F.col("_x"), F.col("_level")), "_by": _bin(F.col("_y"), F.col("_level"))}))
+    tiles = _binned(boxed, F.array("_own"))
+    inside = ((F.col("_x") >= F.col("_box.x0")) & (F.col("_x") < F.col("_box.x1")) & (F.col("_y") >= F.col("_box.y0")) & (F.col("_y") < F.col("_box.y1")))
+    found = at.join(tiles, ["_level", "_bx", "_by"]).where(inside).select(*keep, "map", *_cell_of("_t"))
+    known = cells.where(F.col("value").isNotNull()).select("raster_id", "row", "col", "value")
+    return (found.join(known, ["raster_id", "row", "col"], "left")
+            .groupBy(*keep, "map").agg(F.min_by("value", F.when(F.col("value").isNotNull(), F.col("raster_id"))).alias("value")))
+
+
 def shading_index(samples: DataFrame, daylight: DataFrame, seasons: Sequence[str],
                   key: str = "tree_id") -> DataFrame:
     """1 - sun hours / daylight per season, as four season columns.

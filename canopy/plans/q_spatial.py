@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from canopy.functions import geo
 from canopy.operators import raster as RA, spatial as S
@@ -115,6 +115,24 @@ def nearest_cell(r: Roles) -> DataFrame:
     return rounded(df, "value")
 
 
+@query("tiled_cells", with_roles("trees", "raster") + """
+SELECT t.id AS tree_id, round(m.value + 1e-9, 4) AS value FROM trees t JOIN raster m
+ ON m."row" = CAST(round(t.lat / 0.1307) AS INTEGER) AND m.col = CAST(round(t.lng / 0.1307) AS INTEGER)""")
+def tiled_cells(r: Roles) -> DataFrame:
+    """The map in tiles of 8 x 8 cells, more of them the larger it is; a tree looks into the one it lies in."""
+    def tile(axis: str) -> Column:
+        return F.floor(F.col(axis) / 8).cast("int")
+
+    cells = r.raster.select(F.concat_ws("/", tile("row"), tile("col")).alias("raster_id"), tile("row").alias("tr"), tile("col").alias("tc"),
+                            (F.col("row") % 8).alias("row"), (F.col("col") % 8).alias("col"), "value")
+    place = cells.groupBy("raster_id").agg(
+        (F.first("tc") * 8 * 0.1307).alias("x0"), (F.first("tr") * 8 * 0.1307).alias("y0"), F.lit(0.1307).alias("dx"), F.lit(0.1307).alias("dy"),
+        (F.max("row") + 1).alias("n_rows"), (F.max("col") + 1).alias("n_cols"))
+    trees = r.trees.select(F.col("id").alias("tree_id"), "lng", "lat")
+    found = S.sample_tiles(trees, cells, place, ["tree_id"], F.col("lng"), F.col("lat")).where("value is not null")
+    return rounded(found.select("tree_id", "value"), "value")
+
+
 # The share is rounded exactly: on a half of the scaled value, the error of the scaling decides.
 _SHARE = "(value * 3600 / {1})"
 _SCALED, _HIGH = _SHARE + " * 100", "(" + _SHARE + " * 134217729.0::DOUBLE - (" + _SHARE + " * 134217729.0::DOUBLE - " + _SHARE + "))"

@@ -64,8 +64,8 @@ class TestDatabase:
         J.load_shading_from_maps(other, cells, place, daylight)
         r = db.table("shading").first()
         assert (r.tree_id, r.spring, r.summer, r.fall, r.winter) == ("a", 0.7, 0.6, 0.5, 0.4)
-        with pytest.raises(Exception, match="mosaic"):
-            J.spatial.sample_nearest(known, cells, place.crossJoin(spark.range(20)).drop("id"), ["id"], F.col("lng"), F.col("lat")).count()
+        many = place.limit(1).crossJoin(spark.range(65)).withColumn("raster_id", F.concat("raster_id", "id")).drop("id")
+        assert J.spatial.sample_nearest(known, cells, many, ["id"], F.col("lng"), F.col("lat")).count() == 65
 
     def test_projected_trees(self, spark):
         r = J.prepare_trees(trees(spark, ["a"]).withColumn("geometry", F.struct(F.lit(389917.8).alias("x"), F.lit(5819699.6).alias("y"))),

@@ -1,5 +1,7 @@
 import math
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -187,8 +189,31 @@ def test_filters_with_holes_and_on_narrow_maps(spark, shape, gone, k):
         assert got.keys() == want.keys() and all(got[x] == pytest.approx(want[x]) for x in want)
 
 
+@pytest.mark.parametrize("side", [3, 4, 8])
+def test_blocks_lend_their_borders(spark, side):
+    rng = random.Random(side)
+    cells = {(r - 5, c + 2): rng.random() for r in range(17) for c in range(13) if rng.random() > 0.2}
+    df = spark.createDataFrame([(m, r, c, v) for m in ("m", "n") for (r, c), v in cells.items()], "raster_id string, row int, col int, value double")
+    want = plain_with_holes(cells, RA.gaussian_weights(7))
+    got = {(r.raster_id, r.row, r.col): r.value for r in RA.gaussian_filter(df, 7, side=side).collect()}
+    assert got.keys() == {(m, *at) for m in ("m", "n") for at in want}
+    assert all(got[m, *at] == pytest.approx(want[at]) for m in ("m", "n") for at in want)
+
+
+def test_tiles_of_a_map(spark, rows):
+    """Overlapping tiles north up, one of another map; a point on a shared edge, one outside."""
+    place = spark.createDataFrame([("a", "s", 0.0, 9.0, 1.0, -1.0, 2, 2), ("b", "s", 1.0, 9.0, 1.0, -1.0, 2, 3), ("z", "w", 0.0, 0.0, 50.0, 50.0, 1, 1)],
+                                  "raster_id string, season string, x0 double, y0 double, dx double, dy double, n_rows int, n_cols int")
+    cells = spark.createDataFrame([("a", r, c, 10.0 * r + c) for r in (0, 1) for c in (0,)] + [("a", 0, 1, None)] +
+                                  [("b", r, c, 100.0 + 10 * r + c) for r in (0, 1) for c in (0, 1, 2)] + [("z", 0, 0, 7.0)],
+                                  "raster_id string, row int, col int, value double")
+    points = spark.createDataFrame([(1, 0.2, 9.3), (2, 1.0, 8.9), (3, 0.5, 8.0), (4, 3.6, 9.0), (5, 3.4, 7.6)], "id int, x double, y double")
+    out = S.sample_tiles(points, cells, place, ["id"], F.col("x"), F.col("y"), "season")
+    assert rows(out.where("map = 's'"), "id", "value") == [(1, 0.0), (2, 100.0), (3, 10.0), (5, 112.0)]
+    assert rows(out.where("map = 'w'"), "id", "value") == [(i, 7.0) for i in (1, 2, 3, 4, 5)]
+
+
 def test_round_exact_is_the_scalar_rounding(spark):
-    import random
 
     from canopy.functions.scalars import round_exact
     rng = random.Random(1)
