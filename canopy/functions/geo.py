@@ -65,6 +65,11 @@ def _turn(ax: Column, ay: Column, bx: Column, by: Column, px: Column, py: Column
     return (bx - ax) * (py - ay) - (by - ay) * (px - ax)
 
 
+def turn(e: Column, x: Column, y: Column) -> Column:
+    """Positive left of the edge, negative right of it, 0 on its line."""
+    return _turn(e["x1"], e["y1"], e["x2"], e["y2"], x, y)
+
+
 def on_edge(e: Column, x: Column, y: Column) -> Column:
     straight = _turn(e["x1"], e["y1"], e["x2"], e["y2"], x, y) == 0
     return (straight & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
 
@@ -11,10 +11,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from canopy.constants import LATTICE_X, LATTICE_Y
 from canopy.functions import geo
 from canopy.functions.scalars import round_exact, round_half_even
+from canopy.operators import clipping
 from canopy.operators.relational import only_new, union_all
+from canopy.session import cut_lineage
 
 _EDGES = {"ring": geo.edges, "polygon": geo.polygon_edges, "multi": geo.multi_edges}
-SALTS = 8
+FEW_EDGES = 64
+TASK_POINTS = 1 << 20     # points of a bin for one task
 SMALLEST = 2.0 ** -40     # side of a shape without extent
 
 
@@ -44,29 +47,54 @@ def _binned(boxed: DataFrame, levels: Column) -> DataFrame:
             .withColumn("_by", F.explode(F.sequence(_bin(F.col("_box.y0"), at), _bin(F.col("_box.y1"), at)))))
 
 
+def _hot(rows: DataFrame, task_rows: int) -> list[tuple]:
+    """(level, x, y, parts) of the bins with more than ``task_rows`` rows, and more than a thousandth of all: few."""
+    counts = rows.groupBy("_level", "_bx", "_by").agg(F.count("*").alias("n"))
+    all_rows = counts.agg(F.sum("n")).scalar()
+    hot = counts.where(F.col("n") > F.greatest(F.lit(task_rows), F.floor(all_rows / 1000)))
+    return [(h["_level"], h["_bx"], h["_by"], -(-h["n"] // task_rows)) for h in hot.collect()]
+
+
+def _dealt(rows: DataFrame, hot: list[tuple], number: Callable[[Column], Column], name: str = "_salt") -> DataFrame:
+    """Give the rows of hot bins a part each by ``number`` (parts to part); those of others have part 0."""
+    if not hot:
+        return rows.withColumn(name, number(F.lit(1)))
+    bins = rows.sparkSession.createDataFrame(hot, "_level int, _bx bigint, _by bigint, _parts long")
+    return (rows.join(F.broadcast(bins), ["_level", "_bx", "_by"], "left")
+            .withColumn(name, number(F.coalesce("_parts", F.lit(1)))).drop("_parts"))
+
+
 def join_contains(points: DataFrame, shapes: DataFrame, point_id: str, shape_id: str,
                   point: str = "geometry", geometry: str = "geometry", kind: str = "ring",
-                  salts: int = SALTS) -> DataFrame:
+                  task_points: int = TASK_POINTS, few_edges: int = FEW_EDGES) -> DataFrame:
     """(point id, shape id) for every point strictly inside a shape.
 
     An equi join on the grid bin, at the level of each shape's size, so a large shape among small ones
     has four bins like any other; the exact test is part of the join condition, so only true pairs leave
-    it. Points of one bin are spread over ``salts`` tasks and the few shapes of a bin are copied to each,
-    so a bin with a third of the points is no bottleneck.
+    it. A shape of more than ``few_edges`` edges is cut to the cells of a finer grid, each with the edges that touch
+    it (see ``clipping``). A bin of more than ``task_points`` points is dealt to several tasks, as many as its
+    points fill, and its few shapes are copied to each.
     """
     x, y = F.col(f"{point}.x"), F.col(f"{point}.y")
     boxed = _boxed(shapes, geometry, kind)
-    p = (points.select(point_id, x.alias("_x"), y.alias("_y"), F.pmod(F.xxhash64(point_id), F.lit(salts)).alias("_salt"))
-         .withColumn("_level", F.explode(_levels(boxed)))
-         .withColumns({"_bx": _bin(F.col("_x"), F.col("_level")), "_by": _bin(F.col("_y"), F.col("_level"))}))
-    s = (_binned(boxed, F.array("_own")).select(shape_id, "_edges", "_box", "_level", "_bx", "_by")
-         .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))))
+    small = boxed.where(F.size("_edges") <= few_edges)
+    s = (_binned(small, F.array("_own")).select(shape_id, clipping.code(F.col("_own"), F.col("_own")).alias("_level"), "_bx", "_by", F.lit(None).cast("boolean").alias("_corner"), "_edges"))
+    most, levels = boxed.agg(F.max(F.size("_edges")), F.collect_set(F.when(F.size("_edges") <= few_edges, clipping.code(F.col("_own"), F.col("_own"))))).first()
+    if most is not None and most > few_edges:
+        cut = cut_lineage(clipping.clipped(boxed.where(F.size("_edges") > few_edges), shape_id))
+        levels = sorted({*levels, *(r[0] for r in cut.select("_level").distinct().collect())})      # a few dozen at most
+        s = s.union(cut)
+    p = (points.select(point_id, x.alias("_x"), y.alias("_y"))
+         .withColumn("_level", F.explode(F.lit(sorted(levels)).cast("array<int>")))
+         .withColumns({f"_b{c}": F.floor(F.col(f"_{c}") / side) for c, side in zip("xy", clipping.sides(F.col("_level")))}))
+    hot = _hot(p, task_points)
+    p = _dealt(p, hot, lambda parts: F.pmod(F.xxhash64(point_id), parts))
+    s = _dealt(s, hot, lambda parts: F.sequence(F.lit(0).cast("long"), parts.cast("long") - 1)).withColumn("_salt", F.explode("_salt"))
     p, s = p.alias("p"), s.alias("s")
     same = reduce(and_, [F.col(f"p.{c}") == F.col(f"s.{c}") for c in ("_level", "_bx", "_by", "_salt")])
-    near = (F.col("_x").between(F.col("_box.x0"), F.col("_box.x1"))
-            & F.col("_y").between(F.col("_box.y0"), F.col("_box.y1")))
-    inside = geo.contains("_edges", "_x", "_y")
-    return p.join(s, same & near & inside).select(f"p.{point_id}", f"s.{shape_id}")
+    inside = (F.when(F.col("_corner").isNull(), geo.contains("_edges", "_x", "_y"))
+              .otherwise(clipping.inside_cell(F.col("_corner"), F.col("_edges"), F.col("s._level"), F.col("_x"), F.col("_y"))))
+    return p.join(s, same & inside).select(f"p.{point_id}", f"s.{shape_id}")
 
 
 def restrict_to_mask(shapes: DataFrame, mask: DataFrame, shape_id: str, geometry: str = "geometry",

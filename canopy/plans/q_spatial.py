@@ -27,6 +27,31 @@ def triangle_join(r: Roles) -> DataFrame:
     return V.tree_radolan_tile(r.trees, half)
 
 
+RING_KEYS = 100_000     # keys of a skyline
+
+
+@query("skyline_join", f"""
+WITH v AS (SELECT o_orderkey AS k, o_orderkey // {RING_KEYS} AS ring, max(o_totalprice) AS h FROM orders GROUP BY 1, 2),
+p AS (SELECT l_orderkey, l_linenumber, l_orderkey + l_linenumber / 10.0::DOUBLE AS x, l_extendedprice * 3.0::DOUBLE AS y FROM lineitem WHERE l_quantity > 16
+ UNION ALL SELECT l_orderkey, l_linenumber, 1 + l_partkey % 1000 / 1000.0::DOUBLE, l_extendedprice * 1.0::DOUBLE FROM lineitem WHERE l_quantity <= 16),
+w AS (SELECT k, ring, h, lead(k) OVER (PARTITION BY ring ORDER BY k) AS k2, lead(h) OVER (PARTITION BY ring ORDER BY k) AS h2,
+ lag(k) OVER (PARTITION BY ring ORDER BY k) AS k0 FROM v)
+SELECT p.l_orderkey, p.l_linenumber, CAST(w.ring AS BIGINT) AS ring FROM p ASOF JOIN w ON p.x >= w.k
+WHERE (p.x > w.k OR w.k0 IS NOT NULL) AND p.x < w.k2 AND p.y > 0 AND p.y < w.h + (p.x - w.k) * (w.h2 - w.h) / (w.k2 - w.k)""")
+def skyline_join(r: Roles) -> DataFrame:
+    """Rings of up to 100,000 edges, the prices along the order keys, and points of which a third lie in one cell."""
+    v = r.orders.groupBy(F.col("o_orderkey").alias("k"), F.floor(F.col("o_orderkey") / RING_KEYS).alias("ring")).agg(F.max("o_totalprice").alias("h"))
+    line = F.transform(F.sort_array(F.collect_list(F.struct("k", "h"))), lambda t: geo.point(t["k"], t["h"]))
+    ends = [geo.point(f("k"), F.lit(0.0)) for f in (F.min, F.max)]
+    rings = (v.groupBy("ring").agg(F.count("*").alias("n"), F.concat(F.array(ends[0]), line, F.array(ends[1], ends[0])).alias("geometry"))
+             .where("n > 1").select(F.col("ring").cast("long").alias("ring"), "geometry"))
+    apart = F.col("l_quantity") > 16
+    x = F.when(apart, F.col("l_orderkey") + F.col("l_linenumber") / F.lit(10.0)).otherwise(1 + F.col("l_partkey") % 1000 / F.lit(1000.0))
+    y = F.col("l_extendedprice") * F.when(apart, F.lit(3.0)).otherwise(F.lit(1.0))
+    points = r.lineitem.select(F.struct("l_orderkey", "l_linenumber").alias("id"), geo.point(x, y).alias("geometry"))
+    return S.join_contains(points, rings, "id", "ring").select("id.*", "ring")
+
+
 _BOXES = """boxes AS (SELECT r_regionkey AS k, r_regionkey * 0.9 + 0.25 AS x0, r_regionkey * 0.8 + 0.1 AS y0,
  r_regionkey * 0.9 + 0.65 AS x1, r_regionkey * 0.8 + 1.3 AS y1 FROM region)"""
 

@@ -24,8 +24,8 @@ def points(spark, pts):
 def test_strictly_inside_a_concave_ring(spark, rows):
     shapes = spark.createDataFrame([(1, ring(RING))], f"sid int, geometry {GEOM}")
     pts = points(spark, [(1, 1), (2, 2), (0, 1), (4, 4), (3, 2), (9, 9), (2, 0), (2, 0.5)])
-    for salts in (1, 5, 8):
-        got = rows(S.join_contains(pts, shapes, "pid", "sid", salts=salts), "pid")
+    for most, few in ((1, 64), (2, 0), (9, 64)):
+        got = rows(S.join_contains(pts, shapes, "pid", "sid", task_points=most, few_edges=few), "pid")
         assert got == [(0,), (4,), (7,)]
 
 
@@ -189,6 +189,51 @@ def test_filters_with_holes_and_on_narrow_maps(spark, shape, gone, k):
         assert got.keys() == want.keys() and all(got[x] == pytest.approx(want[x]) for x in want)
 
 
+def even_odd(rings, x, y):
+    inside = False
+    for r in rings:
+        for (x1, y1), (x2, y2) in zip(r, r[1:]):
+            if (x2 - x1) * (y - y1) == (y2 - y1) * (x - x1) and min(x1, x2) <= x <= max(x1, x2) and min(y1, y2) <= y <= max(y1, y2):
+                return False
+            if (y1 > y) != (y2 > y) and x1 + (y - y1) * (x2 - x1) / (y2 - y1) > x:
+                inside = not inside
+    return inside
+
+
+def test_clipped_shapes_hold_the_same_points(spark, rows):
+    """Stars, combs and boxes along grid lines, with holes; points on vertices, edges and grid lines among them."""
+    rng = random.Random(11)
+
+    def star(n, cx, cy, size):
+        pts = [(cx + size * rng.uniform(0.2, 1) * math.cos(2 * math.pi * i / n), cy + size * rng.uniform(0.2, 1) * math.sin(2 * math.pi * i / n)) for i in range(n)]
+        return [*pts, pts[0]]
+
+    def comb(n):
+        pts = [(float(i // 2), 8.0 if i % 4 in (1, 2) else 0.0) for i in range(2 * n)] + [(float(n), -4.0), (0.0, -4.0)]
+        return [*pts, pts[0]]
+
+    grid = [(0.0, 0.0), *[(float(i), 0.0) for i in range(1, 17)], *[(16.0, float(i)) for i in range(1, 17)],
+            *[(16.0 - i, 16.0) for i in range(1, 17)], *[(0.0, 16.0 - i) for i in range(1, 17)]]
+    hole = [(4.0, 4.0), (4.0, 8.0), (8.0, 8.0), (8.0, 4.0), (4.0, 4.0)]
+    shapes = {1: [star(700, 3.3, -1.7, 40)], 2: [comb(60)], 3: [grid, hole], 4: [star(90, 0, 0, 0.01)], 5: [star(1500, 1e5, 1e5, 3e4)]}
+    pts = [(rng.uniform(-20, 40), rng.uniform(-20, 40)) for _ in range(500)] + [(rng.uniform(7e4, 1.3e5), rng.uniform(7e4, 1.3e5)) for _ in range(100)]
+    pts += [(float(rng.randrange(-2, 20)), float(rng.randrange(-6, 18))) for _ in range(400)] + [(rng.randrange(0, 40) / 2, rng.randrange(-8, 34) / 2) for _ in range(300)]
+    pts += [p for rings in shapes.values() for r in rings for p in r[::7]] + [(rng.uniform(-0.01, 0.01), rng.uniform(-0.01, 0.01)) for _ in range(100)]
+    df = spark.createDataFrame([(i, [ring(r) for r in rings]) for i, rings in shapes.items()], f"sid int, geometry array<{GEOM}>")
+    want = sorted((i, s) for i, (x, y) in enumerate(pts) for s, rings in shapes.items() if even_odd(rings, x, y))
+    for few in (10, 1000):
+        got = S.join_contains(points(spark, pts), df, "pid", "sid", kind="polygon", task_points=200, few_edges=few)
+        assert rows(got, "pid", "sid") == want
+
+
+def test_a_full_bin_is_dealt_to_as_many_tasks_as_it_fills(spark):
+    p = spark.range(1000).selectExpr("id", "0 as _level", "if(id % 3 = 0, 7, id % 100) as _bx", "cast(0 as bigint) as _by")
+    hot = S._hot(p, 50)
+    assert hot == [(0, 7, 0, 7)]
+    parts = S._dealt(p, hot, lambda n: F.pmod(F.xxhash64("id"), n)).groupBy("_bx", "_salt").count().where("_bx = 7").collect()
+    assert len(parts) == 7 and max(r["count"] for r in parts) < 75
+
+
 @pytest.mark.parametrize("side", [3, 4, 8])
 def test_blocks_lend_their_borders(spark, side):
     rng = random.Random(side)
