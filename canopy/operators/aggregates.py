@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from canopy.constants import DEPTH_MEAN_TYPE
 from canopy.functions.scalars import round_half_even
-from canopy.operators.ranking import chunked
 from canopy.operators.relational import since, union_all
+from canopy.session import cut_lineage
+
+LEAF_ROWS = 1 << 16     # rows of a part that is put in order
+BUCKETS = 4096          # parts that a larger one is cut into
+SMALL_ROWS = 50_000     # rows of figures by group that may be broadcast: a few megabytes
 
 
 # --- daily roll-ups ---------------------------------------------------------------------------
@@ -86,56 +92,64 @@ def count_rows(df: DataFrame) -> DataFrame:
 
 # --- exact order statistics -------------------------------------------------------------------
 
-def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
-                      probs: Mapping[str, float], mean: str | None = None) -> DataFrame:
-    """Interpolating percentiles per group, exact for groups of any size.
+def _span(v: Column) -> Column:
+    """A value on a scale whose differences neither overflow nor meet infinities; it never falls as the value rises."""
+    return F.greatest(F.least(v, F.lit(1.7e308)), F.lit(-1.7e308)) / 4
+
+
+def _sized(df: DataFrame) -> DataFrame:
+    """Broadcast where a count shows that it is small; joined by shuffle beyond that."""
+    return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df
+
+
+def _wanted_ranks(probs: Iterable[float], n: Column) -> list[Column]:
+    return [f((n - 1) * F.lit(p)) for p in probs for f in (F.floor, F.ceil)]
 
-    Spark's own exact percentile holds every distinct value of a group in one buffer. Here equal
-    values are counted first and the counts are cut into range chunks over (group, value). Counts per
-    chunk tell which chunks hold a wanted rank, and only these are looked into: a window never holds
-    more than a chunk, however large or narrow a group is. Infinite values count like any other.
+
+def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], mean: str | None = None,
+                      leaf: int = LEAF_ROWS, buckets: int = BUCKETS) -> DataFrame:
+    """Interpolating percentiles per group, exact for groups of any size, without a sort of the values.
+
+    Spark's own exact percentile holds every distinct value of a group in one buffer. Here a group of more
+    than ``leaf`` rows is cut into ``buckets`` parts between its least and largest value and only counted; the parts that
+    hold a wanted rank are cut again between their own ends, until they are small or of one value. Counts are
+    partial in every task. Only the rows of the last parts are put in order, a part at a time. Two rounds reach a
+    part of a group of 10^12 values; each reads ``df`` once more. Infinite values count like any other.
     """
-    v, group_key = F.col("_v"), F.col("_g")
-    # The keys as one struct: null keys compare equal in it, so grouping, join and window share a shuffle.
-    counts = (df.select(F.struct(*keys).alias("_g"), F.col(value).cast("double").alias("_v"))
-              .where(v.isNotNull() & ~F.isnan(v))
-              .groupBy("_g", "_v").agg(F.count("*").alias("_c")))
-    counts = chunked(counts, ["_g", "_v"]).drop("_at")
-    group = Window.partitionBy("_g")        # one row per chunk of the group
-    bins = (counts.groupBy("_g", "_chunk")
-            .agg(F.sum("_c").alias("_c"), F.sum(v * F.col("_c")).alias("_s"))
-            .withColumn("_end", F.sum("_c").over(group.orderBy("_chunk")))
-            .withColumn("_n", F.sum("_c").over(group))
-            .withColumn("_mean", F.sum("_s").over(group) / F.col("_n"))
-            .withColumn("_start", F.col("_end") - F.col("_c")))
-
-    def holds(rank: Column, start: Column, end: Column) -> Column:
-        return (rank >= start) & (rank < end)
-
-    def ranks(p: float) -> tuple[Column, Column, Column]:
-        h = (F.col("_n") - 1) * F.lit(p)
-        return h, F.floor(h), F.ceil(h)
-
-    wanted = F.lit(False)
-    for p in probs.values():
-        _, lo, hi = ranks(p)
-        wanted = wanted | holds(lo, F.col("_start"), F.col("_end")) | holds(hi, F.col("_start"), F.col("_end"))
-    hit = bins.where(wanted).select("_g", "_chunk", "_start", "_n", "_mean")
-    inside = Window.partitionBy("_g", "_chunk").orderBy("_v")
-    rows = (counts.join(hit, ["_g", "_chunk"])
-            .withColumn("_to", F.col("_start") + F.sum("_c").over(inside))
-            .withColumn("_from", F.col("_to") - F.col("_c")))
+    group_key = F.col("_g")
+    # The keys as one struct: null keys compare equal in it.
+    rows = df.select(F.struct(*keys).alias("_g"), F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    ends = [F.count("*").alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
+    stats = cut_lineage(rows.groupBy("_g").agg(*ends, F.sum("_v").alias("_sum")))
+    small = (F.col("_c") <= leaf) | (_span(F.col("_lo")) == _span(F.col("_hi")))
+    parts = stats.select("_g", "_lo", "_hi", "_c", F.lit(0).cast("long").alias("_start"), F.col("_c").alias("_n"))
+    leaves = parts.where(small)
+    while (parts := parts.where(~small)).take(1):
+        at = (_span(F.col("_v")) - _span(F.col("_a"))) / (_span(F.col("_b")) - _span(F.col("_a"))) * buckets
+        within = parts.select("_g", F.col("_lo").alias("_a"), F.col("_hi").alias("_b"), "_start", "_n")
+        counts = (rows.join(_sized(within), "_g").where(F.col("_v").between(F.col("_a"), F.col("_b")))
+                  .groupBy("_g", "_a", "_start", "_n", F.least(F.floor(F.coalesce(at, F.lit(0.0))), F.lit(buckets - 1)).alias("_at")).agg(*ends))
+        before = Window.partitionBy("_g", "_a").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)   # `buckets` rows at most
+        first = F.col("_start") + F.coalesce(F.sum("_c").over(before), F.lit(0))
+        hit = reduce(or_, [(r >= F.col("_first")) & (r < F.col("_first") + F.col("_c")) for r in _wanted_ranks(probs.values(), F.col("_n"))])
+        parts = cut_lineage(counts.withColumn("_first", first).where(hit).select("_g", "_lo", "_hi", "_c", F.col("_first").alias("_start"), "_n"))
+        leaves = leaves.union(parts.where(small))
+    order = Window.partitionBy("_g", "_lo").orderBy("_v")
+    found = (rows.join(_sized(leaves), "_g").where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+             .groupBy("_g", "_lo", "_start", "_n", "_v").agg(F.count("*").alias("_c"))
+             .withColumn("_to", F.col("_start") + F.sum("_c").over(order)).withColumn("_from", F.col("_to") - F.col("_c")))
     picks, outs = [], []
     for name, p in probs.items():
-        h, lo, hi = ranks(p)
-        picks += [F.max(F.when(holds(lo, F.col("_from"), F.col("_to")), v)).alias(f"_lo_{name}"),
-                  F.max(F.when(holds(hi, F.col("_from"), F.col("_to")), v)).alias(f"_hi_{name}")]
+        h = (F.col("_n") - 1) * F.lit(p)
+        for side, rank in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+            picks.append(F.max(F.when((rank >= F.col("_from")) & (rank < F.col("_to")), F.col("_v"))).alias(f"_{side}_{name}"))
         below, above = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        outs.append(F.when(below == above, below).otherwise(below + (above - below) * (h - lo)).alias(name))
+        outs.append(F.when(below == above, below).otherwise(below + (above - below) * (h - F.floor(h))).alias(name))
+    got = found.groupBy("_g").agg(*picks, F.max("_n").alias("_n"))
     if mean:
+        got = got.join(stats.select("_g", (F.col("_sum") / F.col("_c")).alias("_mean")), "_g")
         outs.insert(0, F.col("_mean").alias(mean))
-    return (rows.groupBy("_g").agg(*picks, F.max("_n").alias("_n"), F.max("_mean").alias("_mean"))
-            .select(*[group_key[k].alias(k) for k in keys], *outs))
+    return got.select(*[group_key[k].alias(k) for k in keys], *outs)
 
 
 def sensor_group_stats(df: DataFrame) -> DataFrame:
@@ -234,9 +248,8 @@ def error_quantiles(df: DataFrame, error: str, by: Sequence[str]) -> DataFrame:
     reach = (F.col("q3") - F.col("q1")) * 1.5
     v = F.col(error)
     inside = v.between(F.col("q1") - reach, F.col("q3") + reach)
-    # Equal errors are counted away first: fewer rows meet the box table.
-    figures = box.select(F.struct(*by).alias("_g"), "q1", "median", "q3")   # null keys compare equal in a struct
-    return (df.select(F.struct(*by).alias("_g"), error).distinct().join(figures, "_g")
+    figures = cut_lineage(box.select(F.struct(*by).alias("_g"), "q1", "median", "q3"))   # null keys compare equal in a struct
+    return (df.select(F.struct(*by).alias("_g"), error).join(_sized(figures), "_g")
             .groupBy(*[F.col("_g")[k].alias(k) for k in by], "q1", "median", "q3")
             .agg(F.min(F.when(inside, v)).alias("whisker_low"), F.max(F.when(inside, v)).alias("whisker_high")))
 

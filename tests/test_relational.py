@@ -64,7 +64,7 @@ def test_daily_rain_is_a_mean_with_the_sum_on_request(spark, rows):
 @given(st.lists(st.one_of(st.floats(-1e6, 1e6), st.sampled_from([0.0, 1.0, -1.0])), min_size=1, max_size=60))
 def test_percentiles_are_exact(spark, values):
     df = spark.createDataFrame([(None, v) for v in values], "k string, v double")
-    r = A.exact_percentiles(df, ["k"], "v", {"a": 0.1, "m": 0.5, "z": 1.0}, mean="mean").first()
+    r = A.exact_percentiles(df, ["k"], "v", {"a": 0.1, "m": 0.5, "z": 1.0}, "mean", leaf=7, buckets=4).first()
     assert [r.a, r.m, r.z] == pytest.approx(list(np.percentile(values, [10, 50, 100])), rel=1e-9, abs=1e-9)
     assert r.mean == pytest.approx(np.mean(values), rel=1e-6, abs=1e-6)
 
@@ -73,7 +73,7 @@ def test_percentiles_of_a_narrow_hot_group_infinities_and_null_groups(spark):
     inf = float("inf")
     rows_ = [("hot", 1000 + i / 5000) for i in range(5000)] + [(None, v) for v in (1.0, inf, 2.0)] + [("i", inf), ("i", -inf), ("i", inf)]
     df = spark.createDataFrame(rows_, "k string, v double").repartition(4)
-    out = A.exact_percentiles(df, ["k"], "v", {"m": 0.5, "q": 0.9})
+    out = A.exact_percentiles(df, ["k"], "v", {"m": 0.5, "q": 0.9}, leaf=2, buckets=16)
     assert "_bin" not in out._jdf.queryExecution().optimizedPlan().toString()
     got = {r.k: r for r in out.collect()}
     assert got["hot"].m == pytest.approx(np.percentile([v for k, v in rows_ if k == "hot"], 50))
@@ -83,6 +83,15 @@ def test_percentiles_of_a_narrow_hot_group_infinities_and_null_groups(spark):
     assert (box[None].whisker_low, box[None].whisker_high) == (1.0, 2.0)
 
 
+def test_percentiles_of_large_groups_sort_parts_only(spark):
+    """Copies of one value, a lone giant and infinities around it; a group of few rows beside them."""
+    values = [3.0] * 400 + [float(i) ** 3 for i in range(300)] + [1e300, -1e300, float("inf"), float("-inf")]
+    df = spark.createDataFrame([("big", v) for v in values] + [("few", 1.0), ("few", 4.0), ("few", float("nan")), ("few", None)], "k string, v double")
+    out = {r.k: r for r in A.exact_percentiles(df, ["k"], "v", {"a": 0.01, "m": 0.5, "z": 0.97}, leaf=20, buckets=8).collect()}
+    assert [out["big"][c] for c in "amz"] == pytest.approx(list(np.percentile(values, [1, 50, 97])))
+    assert out["few"].m == 2.5 and set(out) == {"big", "few"}
+
+
 def test_impute_mode_breaks_ties_downwards_or_by_rank(spark, rows):
     df = spark.createDataFrame([("klein", 2.0), ("groß", 1.0), (None, None)], "bed string, n double")
     assert rows(A.impute_mode(df, ["bed", "n", "absent"]).where("n = 1.0"), "bed") == [("groß",), ("groß",)]
