@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -12,6 +13,9 @@ from canopy.functions.scalars import in_months, literal_day, ratio as safe_ratio
 from canopy.operators.ranking import ranked
 from canopy.operators.windows import latest_per
 
+TOP_ROWS = 10_000       # first rows of an order that tasks may hand on whole
+SAMPLE_ROWS = 2048      # keys that cut an order into ranges
+RANGES = 64
 
 # --- projection -------------------------------------------------------------------------------
 
@@ -165,24 +169,64 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
 
 
 def slice_ranked(df: DataFrame, order: Sequence[Column], lo: int, hi: int) -> DataFrame:
-    """Rows ranked lo..hi of a unique order; the ranks come from range chunks, so ``hi`` may be any number."""
-    return ranked(df, order, "rank").where(F.col("rank").between(lo, hi)).withColumn("rank", F.col("rank").cast("int"))
+    """Rows ranked lo..hi of a unique order; ``hi`` may be any number.
+
+    Up to ``TOP_ROWS`` every task hands on its first ``hi`` rows only; beyond that the ranks come from range chunks.
+    """
+    first = df.orderBy(*order).limit(hi) if hi <= TOP_ROWS else df
+    return ranked(first, order, "rank").where(F.col("rank").between(lo, hi)).withColumn("rank", F.col("rank").cast("int"))
+
+
+def key_range(df: DataFrame, order: Sequence[str], lo: int, hi: int) -> tuple[DataFrame, int]:
+    """Rows among which are those ranked lo..hi of a unique order, and how many rows come before them.
+
+    Keys of a small sample cut the order into ranges, one pass counts the rows below each cut, and the ranges
+    that hold the wanted ranks are kept: no more of the table than these is ever sorted.
+    """
+    key = F.struct(*order)
+    total = df.count()
+    share = min(1.0, 2.0 * SAMPLE_ROWS / max(total, 1))
+    sample = df.sample(share, seed=7).select(*order).orderBy(*order).limit(4 * SAMPLE_ROWS).collect()
+    kinds = [df.schema[c].dataType for c in order]
+    step = max(len(sample) // RANGES, 1)
+    cuts = [F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(r, kinds, order)]) for r in sample[step::step]]
+    if not cuts:
+        return df, 0
+    counts = df.agg(*[F.count_if(key < c).alias(f"_{i}") for i, c in enumerate(cuts)]).first()
+    cuts = [cuts[i] for i in sorted(range(len(cuts)), key=counts.__getitem__)]
+    below = [0, *sorted(counts), total]
+    at = max(i for i, n in enumerate(below[:-1]) if n < max(lo, 1))
+    end = min((i for i, n in enumerate(below) if n >= hi and i > at), default=len(below) - 1)
+    if at:
+        df = df.where(key >= cuts[at - 1])
+    if end <= len(cuts):
+        df = df.where(key < cuts[end - 1])
+    return df, below[at]
 
 
 def page(df: DataFrame, order: Sequence[str], size: int, number: int) -> DataFrame:
     """Page ``number`` (from 0) of a unique order. A deep page costs no more than the first."""
-    r = F.col("_rank")
-    return (ranked(df, order, "_rank")
-            .where((r > size * number) & (r <= size * (number + 1))).drop("_rank"))
+    return ranks_between(df, order, size * number + 1, size * (number + 1)).drop("_rank")
+
+
+def ranks_between(df: DataFrame, order: Sequence[str], lo: int, hi: int) -> DataFrame:
+    """Rows ranked lo..hi of a unique order, with ``_rank``."""
+    part, before = key_range(df, order, lo, hi)
+    rows = ranked(part, order, "_rank").withColumn("_rank", F.col("_rank") + before)
+    return rows.where(F.col("_rank").between(lo, hi))
 
 
 def sample_n(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42) -> DataFrame:
-    """The same ``n`` rows on every run: those with the smallest seeded hash of their key.
+    """The same ``n`` rows on every run: those with the smallest seeded hash of their key; ``n`` may be any number.
 
-    The ranks come from range chunks, so ``n`` may be any number.
+    Counts by the first digits of the hash tell up to where it is needed; only the rows up to there are put in order.
     """
     hashed = df.withColumn("_h", seeded_hash(keys, seed))
-    return ranked(hashed, ["_h", *keys], "_i").where(F.col("_i") <= n).drop("_h", "_i")
+    digits = F.substring("_h", 1, 4)
+    counts = sorted(hashed.groupBy(digits.alias("d")).count().collect())        # 65,536 at most
+    upto = list(accumulate(r["count"] for r in counts))
+    last = next((r["d"] for r, m in zip(counts, upto) if m >= n), "g")          # beyond all digits
+    return ranked(hashed.where(digits <= last), ["_h", *keys], "_i").where(F.col("_i") <= n).drop("_h", "_i")
 
 
 def seeded_hash(keys: Sequence[str], seed: int) -> Column:

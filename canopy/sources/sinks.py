@@ -14,8 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from canopy.constants import EXPERIMENT_COLUMNS
 from canopy.functions.scalars import literal_day
-from canopy.operators.ranking import ranked
-from canopy.operators.relational import union_all
+from canopy.operators.relational import ranks_between, union_all
 from canopy.session import cut_lineage
 from canopy.sources.readers import table_exists
 
@@ -198,8 +197,8 @@ def write_csv(df: DataFrame, path: str) -> None:
 def pages(df: DataFrame, order: Sequence[str], size: int, count: int):
     """Pages of a unique order one after the other, for callers that hand out bounded batches.
 
-    The table is ranked once, into a checkpoint that all pages read.
+    The rows of all pages are ranked once, into a checkpoint that the pages read.
     """
-    rows = cut_lineage(ranked(df, order, "_rank"))
+    rows = cut_lineage(ranks_between(df, order, 1, size * count))
     for i in range(count):
         yield rows.where((F.col("_rank") > size * i) & (F.col("_rank") <= size * (i + 1))).drop("_rank")

@@ -134,6 +134,19 @@ def test_page_and_sample(spark, rows):
     assert 40 < R.sample_frac(df, ["id"], 0.3).count() < 110 and R.sample_n(df, ["id"], 20).count() == 20
 
 
+def test_pages_sort_their_range_only(spark, rows):
+    """Deep pages of a large table with null keys and a hot leading key: few of its rows are sorted."""
+    df = spark.range(40_000).selectExpr("if(id % 3 = 0, null, if(id % 2 = 0, 'hot', concat('k', id % 100))) as k", "(id * 7919) % 40009 as n", "id")
+    want = [tuple(r) for r in df.orderBy("k", "n").select("k", "n").collect()]
+    for size, number in ((100, 0), (100, 3), (500, 26), (500, 79), (500, 80), (7, 2000)):
+        got = R.page(df, ["k", "n"], size, number).orderBy("k", "n").select("k", "n").collect()
+        assert [tuple(r) for r in got] == want[size * number:size * (number + 1)]
+    part, before = R.key_range(df, ["k", "n"], 20_001, 20_100)
+    assert part.count() < 4000 and before <= 20_000
+    assert R.slice_ranked(df, [F.col("id").desc()], 9_990, 10_050).count() == 61
+    assert R.sample_n(df, ["id"], 30_000).count() == 30_000 and R.sample_n(df, ["id"], 50_000).count() == 40_000
+
+
 def test_serial_id_wraps(spark, rows):
     df = spark.range(5)
     assert rows(R.with_serial_id(df.withColumnRenamed("id", "k"), ["k"], start=4, maximum=5), "k", "id") == [
