@@ -32,7 +32,7 @@ def scratch_table(r: Roles, label: str, schema: str | None = None, day: str | No
     name = f"{label}_{uuid.uuid4().hex}"
     with scratch(r, f"{label}-table") as folder:
         if schema:
-            K.create_table(r.spark, name, schema, day, path=folder)
+            K.create_table(r.spark, name, schema, day, path=f"{folder}/rows")
         try:
             yield name
         finally:
@@ -68,11 +68,11 @@ def read_observations(r: Roles) -> DataFrame:
 
 @query("read_stations", """
 SELECT s_suppkey AS id, DATE '1990-01-02' AS von_datum, DATE '2024-05-06' AS bis_datum, CAST(s_nationkey AS BIGINT) AS stationshoehe,
- 52.5::DOUBLE AS lat, 13.0::DOUBLE + s_nationkey / 10 AS lon, s_name AS stationsname, 'Berlin' AS bundesland FROM supplier WHERE s_suppkey % 2 = 0""")
+ 52.5::DOUBLE AS lat, 13.0::DOUBLE + s_nationkey / 10 AS lon, s_name AS stationsname, 'Berlin' AS bundesland FROM supplier""")
 def read_stations(r: Roles) -> DataFrame:
     """Suppliers as the fixed-width station list, with its two header lines in every file."""
     n = F.col("s_nationkey")
-    lines = r.supplier.where("s_suppkey % 2 = 0").select(F.format_string(
+    lines = r.supplier.select(F.format_string(
         "%05d 19900102 20240506 %14d %11.4f %9.4f %-40s %s", F.col("s_suppkey"), n, F.lit(52.5), 13.0 + n / 10, F.col("s_name"),
         F.lit("Berlin")).alias("value"))
     heads = r.region.limit(1).select(F.explode(F.array(F.lit("Stations_id von_datum bis_datum"), F.lit("----------- --------- ---------"))).alias("value"))
@@ -240,11 +240,11 @@ def _day_rows(r: Roles) -> DataFrame:
 _DAY_SQL = "SELECT o_orderkey AS k, o_totalprice AS amount, CAST(date_trunc('year', o_orderdate) AS DATE) AS date FROM orders"
 
 
-@query("table_append", f"SELECT * FROM ({_DAY_SQL}) WHERE k % 3 < 2")
+@query("table_append", _DAY_SQL)
 def table_append(r: Roles) -> DataFrame:
-    """Two appends, and a load that finds rows and leaves them."""
+    """Three appends, and a load that finds rows and leaves them."""
     with scratch_table(r, "appended", _LOADED, "date") as table:
-        for i in range(2):
+        for i in range(3):
             K.append(_day_rows(r).where(F.col("k") % 3 == i), table)
         if K.load_once(_day_rows(r), table):
             raise AssertionError("the table has rows already")
@@ -266,12 +266,31 @@ def table_replace_range(r: Roles) -> DataFrame:
 
 
 @query("table_upsert", f"""
-WITH o AS ({_DAY_SQL}) SELECT k, CASE WHEN k % 4 = 0 THEN 0.0 ELSE amount END AS amount, date FROM o WHERE k % 3 = 0 OR k % 4 = 0""")
+WITH o AS ({_DAY_SQL}) SELECT k, CASE WHEN k % 4 = 0 THEN 0.0 ELSE amount END AS amount,
+ CASE WHEN k % 8 = 0 THEN CAST(date + INTERVAL 1 YEAR AS DATE) ELSE date END AS date FROM o""")
 def table_upsert(r: Roles) -> DataFrame:
-    rows = _day_rows(r)
+    """All rows but a quarter are there; a third comes anew, some of them twice and with another day."""
+    k, rows = F.col("k"), _day_rows(r)
+    moved = F.when(k % 8 == 0, F.add_months("date", 12)).otherwise(F.col("date"))
     with scratch_table(r, "upserted", _LOADED, "date") as table:
-        K.append(rows.where(F.col("k") % 3 == 0), table)
-        K.upsert(rows.where(F.col("k") % 4 == 0).withColumn("amount", F.lit(0.0)), table, ["k"], "date")
+        K.append(rows.where((k % 4 != 0) | (k % 16 == 0)), table)
+        late = rows.where(k % 4 == 0).withColumns({"amount": F.lit(0.0), "date": moved})
+        early = late.where(k % 8 == 0).withColumns({"amount": F.lit(-1.0), "date": F.add_months("date", -24)})
+        K.upsert(late.union(early), table, ["k"], "date")
+        return cut_lineage(K.current(r.spark, table))
+
+
+@query("table_replace", f"SELECT k, amount * 2 AS amount, date FROM ({_DAY_SQL})")
+def table_replace(r: Roles) -> DataFrame:
+    """A full replacement whose write fails and leaves the rows, then one from the table itself."""
+    with scratch_table(r, "replaced", _LOADED, None) as table:
+        K.append(_day_rows(r), table)
+        try:
+            K.replace(K.current(r.spark, table).withColumn("amount", F.raise_error(F.lit("lost")).cast("double")), table)
+        except Exception as e:  # noqa: BLE001
+            if "lost" not in str(e):
+                raise
+        K.replace(K.current(r.spark, table).withColumn("amount", F.col("amount") * 2), table)
         return cut_lineage(K.current(r.spark, table))
 
 
@@ -300,16 +319,17 @@ def paged(r: Roles) -> DataFrame:
 
 @query("stored_model", """
 WITH f AS (SELECT l_linenumber AS type_id, regr_slope(l_extendedprice, l_quantity) AS a, regr_intercept(l_extendedprice, l_quantity) AS b
- FROM lineitem WHERE l_linenumber <= 3 GROUP BY 1)
+ FROM lineitem GROUP BY 1)
 SELECT p_partkey, type_id, round(a * p_size + b, 2) AS y FROM part, f""")
 def stored_model(r: Roles) -> DataFrame:
     """Linear models per kind, saved, loaded and applied."""
     from pyspark.ml.regression import LinearRegression
     rows = r.lineitem.select(F.col("l_linenumber").alias("type_id"), "l_quantity", F.col("l_extendedprice").alias("target"))
-    fitted = {k: M.train(rows.where(F.col("type_id") == k), ["l_quantity"], LinearRegression(solver="normal")) for k in (1, 2, 3)}
+    kinds = sorted(x["type_id"] for x in rows.select("type_id").distinct().collect())       # line numbers: a few
+    fitted = {k: M.train(rows.where(F.col("type_id") == k), ["l_quantity"], LinearRegression(solver="normal")) for k in kinds}
     with scratch(r, "models") as folder:
         M.save_models(fitted, folder)
-        loaded = M.load_models(folder, kind="LinearRegressionModel")
+        loaded = M.load_models(folder, kinds, kind="LinearRegressionModel")
     df = r.part.select("p_partkey", "p_size")
     for k, model in loaded.items():
         df = M.score(df, model, [F.col("p_size")], f"y{k}")

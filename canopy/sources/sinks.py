@@ -7,7 +7,8 @@ those days, and a repeated run leaves the same table.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping, Sequence
+import uuid
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from graphlib import TopologicalSorter
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from canopy.constants import EXPERIMENT_COLUMNS
 from canopy.functions.scalars import literal_day
 from canopy.operators.relational import ranks_between, union_all
-from canopy.session import cut_lineage
+from canopy.session import cut_lineage, drop_folder
 from canopy.sources.readers import table_exists
 
 
@@ -56,22 +57,48 @@ def append(df: DataFrame, table: str) -> None:
         df.write.format("parquet").saveAsTable(table)
 
 
-def replace(df: DataFrame, table: str, day: str | None = None) -> None:
-    """Full replacement. The new content must not be read from the table itself, see ``rewrite``."""
-    writer = df.write.format("parquet").mode("overwrite")
-    (writer.partitionBy(day) if day else writer).saveAsTable(table)
+def location(spark: SparkSession, table: str) -> str:
+    """The folder of a table."""
+    return spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first()["data_type"]
 
 
-def rewrite(df: DataFrame, table: str, day: str | None = None) -> None:
-    """Replace a table by content derived from it.
+def replace(df: DataFrame, table: str, day: str | None = None) -> None:
+    """Full replacement, which may be read from the table itself.
 
-    A day-partitioned table is replaced partition by partition; otherwise the content is checkpointed
-    first, as a table cannot be overwritten while it is read.
+    The rows are written to a new folder, and the table is switched to it once they are all there: a write that
+    fails leaves the table as it was, and readers see the old rows or the new ones. A table partitioned by day is
+    overwritten in place of its days, which are put in place after all were written. Other columns or types than
+    the table's make a new table of that name over the written folder.
     """
+    spark = df.sparkSession
+    if not table_exists(spark, table):
+        writer = df.write.format("parquet")
+        (writer.partitionBy(day) if day else writer).saveAsTable(table)
+        return
     if day:
         replace_range(df, table, day)
-    else:
-        _in_table_order(cut_lineage(df), table).write.mode("overwrite").insertInto(table)
+        return
+    old = location(spark, table)
+    folder = f"{old.rstrip('/').rsplit('/', 1)[0]}/{table.rsplit('.', 1)[-1]}-{uuid.uuid4().hex}"
+    kinds = {f.name: f.dataType.simpleString() for f in spark.table(table).schema}
+    same = kinds == {f.name: f.dataType.simpleString() for f in df.schema}
+    try:
+        (df.select(*kinds) if same else df).write.parquet(folder)
+    except Exception:
+        drop_folder(spark, folder)
+        raise
+    if not same:
+        spark.sql(f"DROP TABLE {table}")
+        spark.createDataFrame([], df.schema).write.format("parquet").saveAsTable(table)
+        old = location(spark, table)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+    spark.catalog.refreshTable(table)
+    drop_folder(spark, old)
+
+
+def rewrite(df: DataFrame, table: str, day: str | None = None) -> None:
+    """Replace a table by content derived from it."""
+    replace(df, table, day)
 
 
 def in_range(day: str, lo: dt.date | None, hi: dt.date | None) -> Column:
@@ -130,17 +157,37 @@ def replace_range(new: DataFrame, table: str, day: str, lo: dt.date | None = Non
     content = replaced(old.where(touched), new.select(*old.columns), day, lo, hi, keys, on)
     stale = set(_days(old.where(touched), day)) - set(_days(content, day))
     _overwrite_days(content, table)
+    _drop_days(spark, table, day, stale)
+
+
+def _drop_days(spark: SparkSession, table: str, day: str, stale: Iterable[dt.date]) -> None:
+    """Drop partitions left without a row, which a dynamic overwrite alone would not do."""
     for d in sorted(stale):
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({day} = DATE'{d}')")
 
 
 def upsert(new: DataFrame, table: str, keys: Sequence[str], day: str) -> None:
-    """Replace the rows with the same key, add the others; touches only the days of the new rows."""
-    old = current(new.sparkSession, table)
-    days = _days(new, day)
-    if days:
-        kept = old.where(F.col(day).isin(days)).join(new.select(*keys), list(keys), "left_anti")
-        _overwrite_days(union_all(kept, new.select(*old.columns)), table)
+    """Replace the rows with the same key, add the others; rewrites only the days that hold either.
+
+    A key is in the table once afterwards, also if its day has moved; of new rows with one key the one with the
+    latest day counts.
+    """
+    spark, keys = new.sparkSession, list(keys)
+    old = current(spark, table)
+    row = F.struct(*old.columns)
+    newest = new.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.max_by(row, F.struct(day, F.xxhash64(row))).alias("_r"))
+    new = cut_lineage(newest.select("_r.*"))        # read for its keys, its days and the rows
+    mark = new.select(*keys)
+    days = set(_days(new, day))
+    if day not in keys:
+        days |= set(_days(old.join(mark, keys, "left_semi"), day))
+    if not days:
+        return
+    touched = old.where(F.col(day).isin(list(days)))
+    content = union_all(touched.join(mark, keys, "left_anti"), new)
+    stale = days - set(_days(content, day))
+    _overwrite_days(content, table)
+    _drop_days(spark, table, day, stale)
 
 
 def resume_point(df: DataFrame, day: str, keys: Sequence[str] = (), default: dt.date | None = None) -> DataFrame:

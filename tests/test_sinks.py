@@ -59,6 +59,42 @@ def test_upsert(spark, rows, table):
                                            (D(2024, 1, 5), "a", 4.0), (D(2024, 1, 7), "z", 1.0)]
 
 
+def test_upsert_of_a_moved_and_a_repeated_key(spark, rows, table):
+    new = frame(spark, ("b", 5.0, D(2024, 1, 2)), ("z", 1.0, D(2024, 1, 1)), ("z", 2.0, D(2024, 1, 7)))
+    for _ in range(2):
+        K.upsert(new, table, ["tree_id"], "date")
+        assert content(spark, rows, table) == [(D(2024, 1, 1), "a", 1.0), (D(2024, 1, 2), "a", 3.0), (D(2024, 1, 2), "b", 5.0),
+                                               (D(2024, 1, 5), "a", 4.0), (D(2024, 1, 7), "z", 2.0)]
+    K.upsert(frame(spark, ("a", 9.0, D(2024, 2, 1))), table, ["tree_id"], "date")
+    assert content(spark, rows, table) == [(D(2024, 1, 2), "b", 5.0), (D(2024, 1, 7), "z", 2.0), (D(2024, 2, 1), "a", 9.0)]
+    assert [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()] == ["date=2024-01-02", "date=2024-01-07", "date=2024-02-01"]
+
+
+def test_a_failing_replacement_leaves_the_old_rows(spark, rows, db, table):
+    K.append(frame(spark, ("a", 1.0, D(2024, 1, 1))), f"{db}.x")
+    for name, day in ((f"{db}.x", None), (table, "date")):
+        before = content(spark, rows, name)
+        bad = frame(spark, ("c", 1.0, D(2024, 1, 1))).selectExpr("tree_id", "cast(raise_error('lost') as double) as v", "date")
+        with pytest.raises(Exception, match="lost"):
+            K.replace(bad, name, day)
+        assert content(spark, rows, name) == before
+
+
+def test_replace_switches_the_folder(spark, rows, db, table):
+    K.append(frame(spark, ("a", 1.0, D(2024, 1, 1))), f"{db}.x")
+    old = K.location(spark, f"{db}.x")
+    K.replace(spark.table(f"{db}.x").withColumn("v", spark.table(f"{db}.x").v + 1), f"{db}.x")       # from itself
+    assert rows(spark.table(f"{db}.x"), "v") == [(2.0,)] and K.location(spark, f"{db}.x") != old
+    with pytest.raises(Exception):
+        spark.read.parquet(old)
+    K.replace(spark.range(3), f"{db}.x")        # other columns
+    assert spark.table(f"{db}.x").columns == ["id"] and spark.table(f"{db}.x").count() == 3
+    K.append(spark.range(2), f"{db}.x")
+    assert spark.table(f"{db}.x").count() == 5
+    K.replace(frame(spark, ("q", 1.0, D(2024, 1, 2))), table, "date")
+    assert content(spark, rows, table) == [(D(2024, 1, 2), "q", 1.0)]
+
+
 def test_resume(spark, rows, table):
     old = spark.table(table)
     src = frame(spark, ("a", 1.0, D(2024, 1, 5)), ("a", 1.0, D(2024, 1, 6)), ("b", 1.0, D(2024, 1, 2)), ("n", 1.0, D(2020, 1, 1)))
