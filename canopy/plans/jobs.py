@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from canopy.constants import (
     BACKTEST_DROP_STARTS, BACKTEST_STARTS, CITY_TILE, FORECAST_FOREST, HORIZON_DAYS, LAG_FEATURES, NOWCAST_FEATURES,
-    NOWCAST_FOREST, SEASONS, WATERING_RESUME)
+    NOWCAST_FOREST, SEASONS, TRAILING_ROWS, WATERING_RESUME)
 from canopy.functions.geo import to_utm33, to_wgs84
 from canopy.operators import aggregates, features, models, quality, spatial
 from canopy.operators.relational import (
@@ -47,12 +47,16 @@ class Database:
             sinks.load_once(df, self(table))
 
     def refresh(self, *wanted: str, today: dt.date) -> list[str]:
-        """Rewrite materialized views, each after those it reads."""
+        """Rewrite materialized views, each after those it reads; trailing views only where days have changed."""
         t, v = self.table, {}
-        v["weather_14d_agg"] = ((), lambda: views.weather_14d_agg(t("weather")))
-        v["weather_tile_14d_agg"] = ((), lambda: views.weather_tile_14d_agg(t("weather_tile_measurement")))
+
+        def trailing(name: str, table: str, key: str, make):
+            v[name] = ((), lambda: sinks.refresh_trailing(self.spark, self(name), self(table), [key], TRAILING_ROWS, make) and None)
+
+        trailing("weather_14d_agg", "weather", "stations_id", views.weather_14d_agg)
+        trailing("weather_tile_14d_agg", "weather_tile_measurement", "tile_id", views.weather_tile_14d_agg)
         v["tree_radolan_tile"] = ((), lambda: views.tree_radolan_tile(t("trees"), t("radolan_tiles")))
-        v["radolan_14d_agg"] = ((), lambda: views.radolan_14d_agg(t("radolan")))
+        trailing("radolan_14d_agg", "radolan", "tile_id", views.radolan_14d_agg)
         v["rainfall"] = (("tree_radolan_tile", "radolan_14d_agg"),
                          lambda: views.rainfall(t("tree_radolan_tile"), t("radolan_14d_agg")))
         v["sensor_measurements_agg"] = ((), lambda: views.sensor_measurements_agg(t("sensor_measurements")))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from canopy.constants import HOURLY_FIELDS, MONTHS
 from canopy.operators import models as M
+from canopy.plans import views as V
 from canopy.plans.registry import query
 from canopy.plans.standins import Roles, rounded, text, with_roles
 from canopy.session import cut_lineage, drop_folder, new_folder
@@ -309,6 +310,35 @@ def view_refresh(r: Roles) -> DataFrame:
             r.spark.sql(f"DROP TABLE IF EXISTS {n}")
 
 
+_BY_DAY = "SELECT user_id AS tile_id, CAST(ts AS DATE) AS date, sum(value) AS rainfall_mm FROM events GROUP BY 1, 2"
+
+
+@query("view_by_change", f"""
+WITH d AS ({_BY_DAY}), v AS (SELECT tile_id, date, sum(rainfall_mm) OVER (PARTITION BY tile_id ORDER BY date ROWS 13 PRECEDING) AS s FROM d)
+SELECT tile_id, date, round(s + 1e-9, 4) AS rainfall_mm_14d_sum FROM v""")
+def view_by_change(r: Roles) -> DataFrame:
+    """Trailing rain built without one day, which comes late: only that day and those that look back on it are written."""
+    daily = r.events.groupBy(F.col("user_id").alias("tile_id"), F.to_date("ts").alias("date")).agg(F.sum("value").alias("rainfall_mm"))
+    daily = cut_lineage(daily)
+    late = F.date_add(daily.agg(F.min("date")).scalar(), 5)
+    view = f"trailing_{uuid.uuid4().hex}"
+
+    def bring_up() -> list[dt.date]:
+        return K.refresh_trailing(r.spark, view, table, ["tile_id"], 14, V.radolan_14d_agg)
+
+    with scratch_table(r, "rain", "tile_id bigint, rainfall_mm double, date date", "date") as table:
+        try:
+            K.append(daily.where(F.col("date") != late), table)
+            first = bring_up()
+            K.append(daily.where(F.col("date") == late), table)
+            if bring_up() == first or bring_up():
+                raise AssertionError("days without a change were written")
+            return cut_lineage(rounded(K.current(r.spark, view), "rainfall_mm_14d_sum"))
+        finally:
+            for name in (view, f"{view}_built"):
+                r.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 @query("paged", """
 SELECT o_orderkey, CAST((row_number() OVER (ORDER BY o_orderkey) - 1) // 400 AS INTEGER) AS page FROM orders QUALIFY row_number() OVER (ORDER BY o_orderkey) <= 1200""")
 def paged(r: Roles) -> DataFrame:

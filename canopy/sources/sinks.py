@@ -11,7 +11,8 @@ import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from graphlib import TopologicalSorter
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StructType
 
 from canopy.constants import EXPERIMENT_COLUMNS
 from canopy.functions.scalars import literal_day
@@ -20,7 +21,7 @@ from canopy.session import cut_lineage, drop_folder
 from canopy.sources.readers import table_exists
 
 
-def create_table(spark: SparkSession, table: str, schema: str, day: str | None = None,
+def create_table(spark: SparkSession, table: str, schema: str | StructType, day: str | None = None,
                  path: str | None = None) -> None:
     """An empty parquet table unless it exists already."""
     if table_exists(spark, table):
@@ -221,15 +222,67 @@ def retain(df: DataFrame, ts: str, days: int, now: dt.datetime) -> DataFrame:
     return df.where(F.col(ts) >= F.lit(now).cast("timestamp") - F.make_dt_interval(F.lit(days)))
 
 
-def refresh(spark: SparkSession, views: Mapping[str, tuple[Sequence[str], Callable[[], DataFrame]]]) -> list[str]:
-    """Write every view after the views it reads; returns the order used."""
+def refresh(spark: SparkSession, views: Mapping[str, tuple[Sequence[str], Callable[[], DataFrame | None]]]) -> list[str]:
+    """Write every view after the views it reads; returns the order used.
+
+    A view is what its function returns; one that keeps itself, such as ``refresh_trailing``, returns nothing.
+    """
     graph = {name: [i for i in inputs if i in views] for name, (inputs, _) in views.items()}
     order = list(TopologicalSorter(graph).static_order())
     for name in order:
-        replace(views[name][1](), name)
+        content = views[name][1]()
+        if content is not None:
+            replace(content, name)
     return order
 
 
+def _marks(source: DataFrame, day: str) -> DataFrame:
+    """(day, mark) of a partitioned table: a mark changes with the day's files. Reads no data, only which files there are."""
+    files = source.select(day, F.xxhash64("_metadata.file_path", "_metadata.file_modification_time", "_metadata.file_size").alias("f"))
+    return files.groupBy(F.col(day).alias("day")).agg(F.concat_ws("/", F.count("*"), F.sum(F.col("f").cast("decimal(38,0)"))).alias("mark"))
+
+
+def refresh_trailing(spark: SparkSession, view: str, table: str, keys: Sequence[str], rows: int, make: Callable[[DataFrame], DataFrame],
+                     day: str = "date") -> list[dt.date]:
+    """Bring a view with trailing windows of ``rows`` rows per key up to date; returns the days written anew.
+
+    ``make`` turns rows of the table into rows of the view, which has the table's days and is partitioned by
+    them. Beside the view a record keeps the days it was built from. Only days whose files differ from the record, and the
+    days of the rows after them that look back on them, are computed, from the rows those look back on.
+    """
+    source, record = current(spark, table), f"{view}_built"
+    marks = cut_lineage(_marks(source, day))        # a row a day
+    if not table_exists(spark, view) or not table_exists(spark, record):
+        content = make(source)
+        create_table(spark, view, content.schema, day)
+        replace(content, view, day)
+        replace(marks, record)
+        return sorted(_days(marks, "day"))
+    built = current(spark, record).withColumnRenamed("mark", "was")
+    changed = [r["day"] for r in marks.join(built, "day", "full").where(~F.col("mark").eqNullSafe(F.col("was"))).select("day").collect()]
+    if not changed:
+        return []
+    # Rows from the first changed day on; a changed day that lost a key's row still counts for the rows after it.
+    days, keys = F.col(day).isin(changed), list(keys)
+    later = source.where(F.col(day) >= literal_day(min(changed))).select(*keys, day).withColumn("_real", F.lit(True))
+    gone = cut_lineage(current(spark, view).where(days).select(*keys, day).join(later.where(days), [*keys, day], "left_anti").withColumn("_real", F.lit(False)))
+    series = union_all(later, gone).withColumn("_hit", days.cast("int"))
+    back = Window.partitionBy(*keys).orderBy(day, "_real").rowsBetween(-(rows - 1 + len(_days(gone, day))), 0)      # a row a day
+    hit = cut_lineage(series.withColumn("_hit", F.max("_hit").over(back)).where("_hit = 1 and _real").select(*keys, day))
+    touched = sorted({*_days(hit, day), *changed})
+    # As far back as the first of them looks, for every key with a row on a day that is written anew.
+    there = source.where(F.col(day).isin(touched)).select(*keys).distinct()
+    before = source.where(F.col(day) < literal_day(touched[0])).select(*keys, day).join(there, keys, "left_semi")
+    newest = Window.partitionBy(*keys).orderBy(F.desc(day))
+    lowest = before.withColumn("_i", F.row_number().over(newest)).where(F.col("_i") < rows).agg(F.min(day)).first()[0]
+    needed = source.where(F.col(day).between(literal_day(lowest or touched[0]), literal_day(touched[-1])))
+    content = cut_lineage(make(needed).where(F.col(day).isin(touched)))
+    _overwrite_days(content, view)
+    _drop_days(spark, view, day, set(touched) - set(_days(content, day)))
+    replace(marks, record)
+    return touched
+
+
 def log_experiment(df: DataFrame, path: str) -> None:
     """Append experiment records; struct and array columns are stored as JSON text."""
     flat = [F.to_json(F.col(f"`{f.name}`")).alias(f.name) if f.dataType.typeName() in ("struct", "array", "map")

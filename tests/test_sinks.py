@@ -130,6 +130,37 @@ def test_refresh_follows_the_inputs(spark, db):
     assert spark.table(f"{db}.late").count() == 3
 
 
+def test_trailing_views_follow_changed_days(spark, rows, db):
+    """A late day, a corrected one and a day that goes: as many days written as look back, and the rows of a full rebuild."""
+    from canopy.plans.views import radolan_14d_agg
+    start = D(2024, 1, 1)
+    def series(days, tile):
+        return [(tile, float(d.toordinal() % 17), d) for d in days]
+    every = [start + dt.timedelta(days=i) for i in range(40)]
+    table, view = f"{db}.rain", f"{db}.trailing"
+    K.create_table(spark, table, "tile_id int, rainfall_mm double, date date", "date")
+
+    def load(data):
+        K.append(spark.createDataFrame(data, "tile_id int, rainfall_mm double, date date"), table)
+
+    def refresh():
+        done = K.refresh_trailing(spark, view, table, ["tile_id"], 14, radolan_14d_agg)
+        cols = ["tile_id", "date", "rainfall_mm_14d_sum"]
+        assert rows(K.current(spark, view), *cols) == rows(radolan_14d_agg(K.current(spark, table)), *cols)
+        return done
+
+    load(series([d for d in every if d != every[10]], 1) + series(every[::3], 2))
+    assert refresh() == [d for d in every if d != every[10]] and refresh() == []
+    load(series([every[10]], 1))
+    assert refresh() == every[10:24]
+    K.replace_range(spark.createDataFrame([(1, 99.0, every[30])], "tile_id int, rainfall_mm double, date date"), table, "date", every[30], every[31])
+    assert refresh()[0] == every[30]
+    K.replace_range(spark.createDataFrame([], "tile_id int, rainfall_mm double, date date"), table, "date", every[20], every[21])
+    assert refresh()[0] == every[20] and every[20] not in {r.date for r in spark.table(view).collect()}
+    load(series([every[-1] + dt.timedelta(days=1)], 2))
+    assert refresh() == [every[-1] + dt.timedelta(days=1)]
+
+
 def test_csv_and_pages(spark, tmp_path):
     K.write_csv(frame(spark, ("a", 1.0, D(2024, 1, 1))), str(tmp_path / "c"))
     assert spark.read.option("header", True).csv(str(tmp_path / "c")).first().tree_id == "a"
