@@ -310,16 +310,22 @@ def scalar_math(r: Roles) -> DataFrame:
 
 @query("json_ops", """
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, '{"event_type":"' || event_type || '"}' AS encoded,
- lower(upper(event_type)) AS low, TRY_CAST(event_type AS DOUBLE) AS number, 3 AS picked, CAST(NULL AS INTEGER) AS beyond,
+ lower(upper(event_type)) AS low, CASE WHEN event_id % 3 > 0 THEN round(value, 1) END AS number, CAST(event_id % 11 AS INTEGER) AS picked,
+ CASE WHEN event_id % 2 = 0 THEN CAST(user_id AS INTEGER) END AS beyond,
  CASE event_type WHEN 'view' THEN '30 cm' WHEN 'click' THEN '60 cm' WHEN 'purchase' THEN '90 cm' END AS label FROM events""")
 def json_ops(r: Roles) -> DataFrame:
+    """Lists of two or three numbers as text, numbers as text of which some are none."""
     from canopy.constants import DEPTH_LABELS
     from canopy.plans.standins import kind
-    ids = X.int_list(F.concat(F.lit("1, 2,"), F.lit("3")))
-    return r.events.select("event_id", X.decode_json("props", "k bigint")["k"].alias("k"),
-                           X.encode_json("event_type").alias("encoded"), X.lower_case(F.upper("event_type")).alias("low"),
-                           X.number_or_null("event_type").alias("number"), X.item(ids, 3).alias("picked"),
-                           X.item(ids, 4).alias("beyond"), X.label_of(kind(), DEPTH_LABELS).alias("label"))
+    i = F.col("event_id")
+    listed = F.concat_ws(", ", (i % 7).cast("string"), (i % 11).cast("string"), F.when(i % 2 == 0, F.col("user_id").cast("string")))
+    told = F.when(i % 3 > 0, F.round("value", 1).cast("string")).otherwise(F.col("event_type"))
+    df = r.events.select("*", listed.alias("listed"), told.alias("told"))
+    ids = X.int_list("listed")
+    return df.select("event_id", X.decode_json("props", "k bigint")["k"].alias("k"),
+                     X.encode_json("event_type").alias("encoded"), X.lower_case(F.upper("event_type")).alias("low"),
+                     X.number_or_null("told").alias("number"), X.item(ids, 2).alias("picked"),
+                     X.item(ids, 3).alias("beyond"), X.label_of(kind(), DEPTH_LABELS).alias("label"))
 
 
 # --- audits -----------------------------------------------------------------------------------

@@ -162,17 +162,29 @@ def _shape(geometry: Column, kind: str) -> Column:
 
 
 def read_geojson(spark: SparkSession, path: str, properties: str, kind: str = "point",
-                 lines: bool = False) -> DataFrame:
+                 lines: bool = False, separator: str | None = None) -> DataFrame:
     """Features with their properties and a ``geometry`` column.
 
     ``properties`` is their DDL. Kind ``multi`` takes Polygon and MultiPolygon side by side and gives
-    multi-polygons. With ``lines`` each text line is one feature, which lets a large file be read by many
-    tasks; one big document can only be read by one.
+    multi-polygons. With ``lines`` each text line is one feature. A document is read by one task, unless
+    ``separator`` tells the text that every feature begins with, such as ``{"type":"Feature"``: it then cuts the file, on
+    one line or many, at any place, and a file of a city's size is read by many tasks. What does not parse as a
+    feature, or a collection whose features begin otherwise, is an error.
     """
     shape = "struct<type: string, coordinates: string>"
     feature = f"properties struct<{properties}>, geometry {shape}"
     if lines:
         df = spark.read.schema(feature).json(path)
+    elif separator:
+        # The record before the first separator is the collection's head; after a feature's own object the
+        # rest of the record is the comma, the collection's end, or the head of the next one.
+        text = spark.read.option("lineSep", separator).text(path).where(F.trim("value") != "")
+        head = F.ltrim("value").startswith("{") | F.ltrim("value").startswith("\ufeff")
+        empty = F.regexp_like(F.split("value", F.lit('"features"')).getItem(1), F.lit(r"^\s*:\s*\[\s*(\]|$)"))
+        checked = F.when(~head, F.col("value")).when(~F.coalesce(empty, F.lit(False)), F.raise_error(F.lit("features do not begin with the separator")))
+        whole = F.concat(F.lit(separator), checked.alias("value"))
+        df = (text.select(whole.alias("value")).where(F.col("value").isNotNull())
+              .select(F.from_json("value", feature, {"mode": "FAILFAST"}).alias("f")).select("f.*"))
     else:
         inner = f"struct<properties: struct<{properties}>, geometry: {shape}>"
         df = (spark.read.schema(f"features array<{inner}>").option("multiLine", True).json(path)

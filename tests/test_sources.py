@@ -197,3 +197,39 @@ def test_documents_and_records_multiply_with_the_table(spark, monkeypatch):
     assert [tuple(x) for x in Q.experiment_log(r).collect()] == [("1-URGENT", 12499.5, 25_000, "forest")]
     assert sum(sizes["hours"]) == sum(sizes["folds"]) == 25_000
     assert max(sizes["hours"]) <= 10_000 and max(sizes["folds"]) <= 1000
+
+
+SEPARATOR = '{"type":"Feature"'
+
+
+def collection(n, start=SEPARATOR, sep=","):
+    each = [f'{start},"properties":{{"id":"t{i}","note":"a }}],{{ b"}},"geometry":{{"type":"Point","coordinates":[{i}.5,{i % 7}]}}}}' for i in range(n)]
+    return '{"type":"FeatureCollection","features":[' + sep.join(each) + '],"crs":{"type":"name"}}'
+
+
+def test_a_collection_on_one_line_is_read_by_many_tasks(spark, tmp_path):
+    path = tmp_path / "city.geojson"
+    path.write_text(collection(100_000))
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        df = S.read_geojson(spark, str(path), "id string, note string", separator=SEPARATOR)
+        per_task = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    assert len(per_task) > 5 and sum(per_task) == 100_000
+    assert df.agg(F.countDistinct("id"), F.sum("geometry.x")).first()[:] == (100_000, sum(i + 0.5 for i in range(100_000)))
+
+
+def test_separated_collections_of_other_layouts(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "pretty.json").write_text(collection(3, sep=",\n  "))
+    (tmp_path / "a" / "two.json").write_text(collection(2) + "\n" + collection(2))
+    (tmp_path / "a" / "none.json").write_text(collection(0))
+    assert S.read_geojson(spark, str(tmp_path / "a"), "id string", separator=SEPARATOR).count() == 7
+    (tmp_path / "b.json").write_text(collection(3, start='{ "type": "Feature"'))
+    with pytest.raises(Exception, match="separator"):
+        S.read_geojson(spark, str(tmp_path / "b.json"), "id string", separator=SEPARATOR).count()
+    (tmp_path / "c.json").write_text(collection(2).replace('"t1"', '"t1'))
+    with pytest.raises(Exception):
+        S.read_geojson(spark, str(tmp_path / "c.json"), "id string", separator=SEPARATOR).collect()
