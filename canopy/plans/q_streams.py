@@ -81,3 +81,40 @@ def stream_dedup(r: Roles) -> DataFrame:
     with _target(r, "readings", "tree_id string, type_id int, timestamp timestamp, value double", None) as (table, checkpoint):
         T.run_appends(T.sensor_stream(readings), table, checkpoint).awaitTermination()
         return cut_lineage(current(r.spark, table).select("tree_id", "type_id", F.to_date("timestamp").alias("day")))
+
+
+_PARTS = """parts AS (SELECT *, CAST(ts AS DATE) AS day, min(CAST(ts AS DATE)) OVER () AS first FROM events),
+delivered AS (SELECT *, CASE WHEN day - first <= 2 AND event_id % 5 = 0 THEN 3 WHEN day - first > 17 AND event_id % 7 = 0 THEN 3
+ WHEN day - first <= 19 THEN 1 ELSE 2 END AS run FROM parts)"""
+
+
+@query("stream_runs", f"""
+WITH {_PARTS}
+SELECT CAST(user_id AS VARCHAR) AS tree_id, day AS date, round(sum(value) + 1e-9, 4) AS amount_liters, 'daily' AS kind FROM delivered
+ WHERE NOT (run = 3 AND day - first <= 2) GROUP BY 1, 2
+UNION ALL SELECT CAST(user_id AS VARCHAR), day, round(value + 1e-9, 4), 'late' FROM delivered WHERE run = 3 AND day - first <= 2""")
+def stream_runs(r: Roles) -> DataFrame:
+    """Three runs that resume from their checkpoints, each finding new files; the last brings rows in time and rows too late.
+
+    The second run finds files it has read already beside the new ones and takes none of them twice.
+    """
+    events = r.events.withColumn("day", F.to_date("ts"))
+    age = F.datediff("day", F.lit(events.agg(F.min("day")).first()[0]))
+    late = ((age <= 2) & (F.col("event_id") % 5 == 0)) | ((age > 17) & (F.col("event_id") % 7 == 0))
+    runs = [~late & (age <= 19), ~late & (age > 19), late]
+    folder = new_folder(r.spark, "deliveries")
+    sums, side = "tree_id string, amount_liters double, date date", "tree_id string, ts timestamp, amount_liters double, newest timestamp, batch bigint"
+    try:
+        with _target(r, "daily", sums) as (table, checkpoint), _target(r, "late", side, "batch") as (late_table, late_checkpoint):
+            for i, part in enumerate(runs):
+                events.where(part).drop("day").withColumn("run", F.lit(i)).coalesce(1).write.mode("append").parquet(folder)
+                stream = T.file_stream(r.spark, folder, _EVENTS).withColumn("ts", F.col("ts").cast("timestamp"))
+                rows = stream.select(text("user_id").alias("tree_id"), "ts", F.col("value").alias("amount_liters"))
+                T.run_late(rows, late_table, late_checkpoint).awaitTermination()
+                T.run_upserts(T.watering_stream(rows), table, ["tree_id", "date"], checkpoint).awaitTermination()
+            daily = current(r.spark, table).select("tree_id", "date", "amount_liters", F.lit("daily").alias("kind"))
+            behind = current(r.spark, late_table).where("ts is not null").select(
+                "tree_id", F.to_date("ts").alias("date"), "amount_liters", F.lit("late").alias("kind"))
+            return rounded(cut_lineage(daily.union(behind)), "amount_liters")
+    finally:
+        drop_folder(r.spark, folder)

@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Daily tables are replaced day by day; set once, so that jobs of one session do not race for it.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # The state of a stream lives on disk, not in the executors' heap.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Rows with arrays of any length cross to Python in batches of bounded bytes.
     "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
 }

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from canopy.operators.aggregates import daily_rain_aggs, daily_weather_aggs
-from canopy.sources.sinks import upsert
+from canopy.operators.relational import union_all
+from canopy.sources.sinks import current, upsert
 
 LATENESS = "14 days"
 
@@ -69,6 +70,26 @@ def run_upserts(stream: DataFrame, table: str, keys: Sequence[str], checkpoint:
             .trigger(availableNow=True).foreachBatch(write).start())
 
 
+def run_late(events: DataFrame, table: str, checkpoint: str, lateness: str = LATENESS) -> StreamingQuery:
+    """Write the rows that a daily stream of the same batches and lateness no longer takes to a side table.
+
+    Such a stream drops a row whose day had ended, by more than the lateness, before the newest row of the batches
+    before. The side table, partitioned by ``batch``, has for each batch its late rows and one row without a time but
+    with the newest time so far; a replayed batch overwrites its own partition, so no row is there twice.
+    """
+    spark = events.sparkSession
+
+    def write(batch: DataFrame, number: int) -> None:
+        before = current(spark, table).where(F.col("batch") < number).agg(F.max("newest")).scalar()
+        day_end = F.date_trunc("day", "ts") + F.expr("INTERVAL 1 DAY")
+        late = batch.where(day_end <= before - F.expr(f"INTERVAL {lateness}")).withColumn("newest", F.lit(None).cast("timestamp"))
+        mark = batch.agg(F.max("ts").alias("newest"))
+        found = union_all(late, mark).withColumn("batch", F.lit(number).cast("bigint"))
+        found.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+
+    return (events.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start())
+
+
 def run_appends(stream: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
     return (stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).toTable(table))
