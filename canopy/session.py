@@ -21,7 +21,7 @@ SETTINGS = {
     # The state of a stream lives on disk, not in the executors' heap.
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Rows with arrays of any length cross to Python in batches of bounded bytes.
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
 }
 
 
