@@ -24,6 +24,7 @@ SEED = 20240229
 BUCKET = 64             # vectors expected in a bucket by chance; more vectors take more hashes a table
 MISSED = 0.002          # share of pairs at the threshold that no table may bring together
 SIMULATED = 4000        # pairs at the threshold that the number of tables is computed from
+LENGTHS = 50            # lengths of vectors whose pairs are found in one plan
 SKETCH = 128            # bits
 SKETCH_MARGIN = 5.5     # standard deviations allowed to a pair at the threshold
 
@@ -128,20 +129,23 @@ def dot(a: str, b: str) -> Column:
 def links(nodes: DataFrame, cosine: float) -> DataFrame:
     """(a, b) for pairs of different vectors of ``nodes`` (node, v: doubles) with at least that cosine, a < b.
 
-    Vectors of different lengths never link. Hash tables are made for each length that occurs; more than
-    a hundred raise an error.
+    Vectors of different lengths never link. Hash tables are made for each length that occurs, some lengths
+    at a time. Vectors are scaled by a power of two first, which is exact, so that no norm overflows or vanishes.
     """
-    lengths = nodes.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n")).orderBy("dim").limit(101).collect()
-    if len(lengths) > 100:
-        raise ValueError("vectors of more than 100 lengths")
+    lengths = nodes.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n")).orderBy("dim").toLocalIterator()
     found = None
-    for r in lengths:
+    for i, r in enumerate(lengths):
         hashing = plan(r["n"], r["dim"], cosine)
         pairs = candidates(nodes.where(F.size("v") == r["dim"]), hashing, cosine)
         found = pairs if found is None else found.union(pairs)
+        if i % LENGTHS == LENGTHS - 1:
+            found = cut_lineage(found)
     if found is None:
         return nodes.select(F.col("node").alias("a"), F.col("node").alias("b"))
-    sides = nodes.select("node", "v", F.sqrt(dot("v", "v")).alias("norm"))
+    largest = F.array_max(F.transform("v", F.abs))
+    scale = F.pow(F.lit(2.0), F.floor(F.log2(largest)))
+    scaled = nodes.withColumn("scale", scale).withColumn("v", F.transform("v", lambda x: x / F.col("scale")))
+    sides = scaled.select("node", "v", F.sqrt(dot("v", "v")).alias("norm"))
     both = (found.join(sides.select(F.col("node").alias("a"), F.col("v").alias("va"), F.col("norm").alias("na")), "a")
             .join(sides.select(F.col("node").alias("b"), F.col("v").alias("vb"), F.col("norm").alias("nb")), "b"))
     return both.where(dot("va", "vb") / (F.col("na") * F.col("nb")) >= cosine).select("a", "b")
@@ -181,7 +185,7 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     """
     rows = df.select(F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("v"))
     good = rows.where(usable(F.col("v")))
-    # One node per different vector, numbered by a hash of it; equal hashes of different vectors are told apart.
+    # One node per different vector; the numbers only tell them apart.
     classes = cut_lineage(good.groupBy("v").agg(F.min("key").alias("first"), F.count("*").alias("n"))
                           .withColumn("node", F.monotonically_increasing_id()))
     pairs = cut_lineage(links(classes.select("node", "v"), cosine))

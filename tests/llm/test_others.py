@@ -71,6 +71,25 @@ def test_vectors(spark):
     assert vectors.near_duplicates(df.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("size", [1e-310, 1e-200, 1e200, 1e307])
+def test_vectors_of_any_magnitude(spark, size):
+    """Norms that would overflow or vanish: as many links as at an ordinary size."""
+    rng = np.random.default_rng(5)
+    centre = rng.standard_normal(8) / 4
+    rows = [(i, (centre + (0.05 if i < 6 else 0.4) * rng.standard_normal(8)).tolist()) for i in range(12)]
+    want = brute_vectors(rows, 0.9)
+    df = spark.createDataFrame([(i, [x * size for x in v]) for i, v in rows], "vec_id bigint, embedding array<double>")
+    assert sorted(map(tuple, vectors.near_duplicates(df).select("vec_id", "n_links", "component_id", "kept").collect()), key=repr) == want
+    assert any(n for _, n, *_ in want) and any(not n for _, n, *_ in want)
+
+
+def test_vectors_of_very_many_lengths(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "LENGTHS", 7)
+    rows = [(2 * d + i, [1.0] * d) for d in range(1, 19) for i in (0, 1)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    assert all(r.n_links == 1 and r.component_id == r.vec_id // 2 * 2 for r in vectors.near_duplicates(df).collect())
+
+
 @pytest.mark.parametrize("n", [500, 60_000, 10_000_000])
 def test_recall_at_the_threshold(n):
     hashing = vectors.plan(n, 64, 0.9)
