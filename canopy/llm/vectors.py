@@ -144,7 +144,8 @@ def links(nodes: DataFrame, cosine: float) -> DataFrame:
         return nodes.select(F.col("node").alias("a"), F.col("node").alias("b"))
     largest = F.array_max(F.transform("v", F.abs))
     scale = F.pow(F.lit(2.0), F.floor(F.log2(largest)))
-    scaled = nodes.withColumn("scale", scale).withColumn("v", F.transform("v", lambda x: x / F.col("scale")))
+    # Bound as a variable, so that the scale is not worked out for every component anew.
+    scaled = nodes.withColumn("v", F.get(F.transform(F.array(scale), lambda s: F.transform("v", lambda x: x / s)), F.lit(0)))
     sides = scaled.select("node", "v", F.sqrt(dot("v", "v")).alias("norm"))
     both = (found.join(sides.select(F.col("node").alias("a"), F.col("v").alias("va"), F.col("norm").alias("na")), "a")
             .join(sides.select(F.col("node").alias("b"), F.col("v").alias("vb"), F.col("norm").alias("nb")), "b"))
