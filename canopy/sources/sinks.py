@@ -265,7 +265,10 @@ def refresh_trailing(spark: SparkSession, view: str, table: str, keys: Sequence[
     # Rows from the first changed day on; a changed day that lost a key's row still counts for the rows after it.
     days, keys = F.col(day).isin(changed), list(keys)
     later = source.where(F.col(day) >= literal_day(min(changed))).select(*keys, day).withColumn("_real", F.lit(True))
-    gone = cut_lineage(current(spark, view).where(days).select(*keys, day).join(later.where(days), [*keys, day], "left_anti").withColumn("_real", F.lit(False)))
+    old = current(spark, view).where(days)
+    if not set(keys) <= set(old.columns):       # a view of one key: any key may have lost a row on a changed day
+        old = later.select(*keys).distinct().withColumn(day, F.explode(F.array(*map(literal_day, sorted(changed)))))
+    gone = cut_lineage(old.select(*keys, day).join(later.where(days), [*keys, day], "left_anti").withColumn("_real", F.lit(False)))
     series = union_all(later, gone).withColumn("_hit", days.cast("int"))
     back = Window.partitionBy(*keys).orderBy(day, "_real").rowsBetween(-(rows - 1 + len(_days(gone, day))), 0)      # a row a day
     hit = cut_lineage(series.withColumn("_hit", F.max("_hit").over(back)).where("_hit = 1 and _real").select(*keys, day))
