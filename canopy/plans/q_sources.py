@@ -148,6 +148,19 @@ def read_mask(r: Roles) -> DataFrame:
         return cut_lineage(_summary(read).drop("k"))
 
 
+@query("read_geojson_cut", "SELECT c_name AS name, c_custkey AS k, c_custkey / 8 AS x, c_nationkey / 4 AS y FROM customer")
+def read_geojson_cut(r: Roles) -> DataFrame:
+    """Collections of a thousand features a line, cut at the features, so that any task may read any of them."""
+    begin = '{"type":"Feature"'
+    feature = F.concat(F.lit(begin), F.expr("""concat(',"properties":{"name":"', c_name, '","k":', c_custkey, '},"geometry":{"type":"Point","coordinates":[', c_custkey / 8, ',', c_nationkey / 4, ']}}')"""))
+    documents = r.customer.groupBy(F.floor(F.col("c_custkey") / 1000)).agg(F.concat(
+        F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.collect_list(feature), ","), F.lit("]}")).alias("value"))
+    with scratch(r, "collections") as folder:
+        documents.select("value").write.text(folder)
+        df = IO.read_geojson(r.spark, folder, "name string, k bigint", separator=begin)
+        return cut_lineage(df.select("name", "k", F.col("geometry.x").alias("x"), F.col("geometry.y").alias("y")))
+
+
 @query("read_features_points", "SELECT c_name AS name, c_custkey AS k, c_custkey / 8 AS x, c_nationkey / 4 AS y FROM customer")
 def read_features_points(r: Roles) -> DataFrame:
     line = F.expr("""concat('{"properties":{"name":"', c_name, '","k":', c_custkey, '},"geometry":{"type":"Point","coordinates":[', c_custkey / 8, ',', c_nationkey / 4, ']}}')""")
