@@ -4,7 +4,8 @@ A text is cut by the vocabulary's pattern and every piece is merged on its own:
 pairs whose bytes together are a token, the one of lowest rank merges first, the leftmost among equals.
 A segment tree over the piece's byte positions holds the rank of the pair that begins at each position;
 its root names the next merge, and a merge updates the leaves of the live neighbours, a logarithmic
-number of nodes each. Pieces not met before are merged side by side, one tree a row.
+number of nodes each. Pieces not met before are merged side by side, one tree a row; a few pieces, such
+as a very long one, each in a tree of their own.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import base64
 import bisect
 import functools
 import re
+from array import array
 
 import numpy as np
 import regex
@@ -32,6 +34,7 @@ PLAIN_PATTERN = (rf" ?[{LETTERS}]+|'(?:[stmd]|re|ve|ll)| ?[0-9]+| ?[^\s{LETTERS}
 HELD_CHARS = 1 << 20      # of texts whose pieces are held at once, or one text
 KNOWN_PIECES = 200_000    # pieces a Python process remembers; it forgets all when full
 TREES = 1 << 17           # bytes of pieces merged side by side
+FEW = 32                  # pieces for which a tree of their own is faster than trees side by side
 NONE = np.int64(1 << 40)  # above every rank
 EMPTY = np.iinfo(np.int64).max     # leaf without a merge: above rank * width + position at every width
 
@@ -54,6 +57,7 @@ class Vocabulary:
         pairs.sort()
         self.pairs = np.array([p for p, _ in pairs] + [np.iinfo(np.int64).max], np.int64)
         self.merged = np.array([r for _, r in pairs] + [0], np.int64)
+        self.rank_of = dict(pairs)
 
     def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of the token that two neighbours make together, NONE if they make none or one is missing."""
@@ -107,6 +111,48 @@ class Vocabulary:
         cuts = np.concatenate([[0], np.cumsum((ids >= 0).sum(1))]).tolist()
         return [",".join(live[a:b]) for a, b in zip(cuts, cuts[1:])]
 
+    def merge_one(self, piece: bytes) -> str:
+        """As ``merge`` for one piece: the same tree in flat arrays of machine words, one merge after the other."""
+        size = len(piece)
+        shift = max(size - 1, 1).bit_length()
+        width, rank_of = 1 << shift, self.rank_of.get
+        own = self.bytes[np.frombuffer(piece, np.uint8)]
+        ranks = self.pair_ranks(own[:-1], own[1:])
+        start = np.full(2 * width, EMPTY, np.int64)
+        start[width:width + size - 1] = np.where(ranks < NONE, (ranks << shift) + np.arange(size - 1), EMPTY)
+        for level in range(shift - 1, -1, -1):
+            a = 1 << level
+            start[a:2 * a] = np.minimum(start[2 * a:4 * a:2], start[2 * a + 1:4 * a:2])
+        tree, ids = array("q", start.tobytes()), array("q", own.tobytes())
+        del start
+        after, before = array("q", range(1, size + 1)), array("q", range(-1, size - 1))
+        empty = int(EMPTY)
+
+        def put(at: int, left: int, right: int) -> None:
+            rank = rank_of(left << 32 | right) if left >= 0 <= right else None
+            node = at + width
+            tree[node] = low = empty if rank is None else (rank << shift) + at
+            while node > 1:
+                other = tree[node ^ 1]
+                node >>= 1
+                low = other if other < low else low
+                if tree[node] == low:
+                    break
+                tree[node] = low
+
+        while (best := tree[1]) < empty:
+            left, rank = best & (width - 1), best >> shift
+            right = after[left]
+            after[left] = follow = after[right]
+            ids[left], ids[right] = rank, -1
+            if follow < size:
+                before[follow] = left
+            put(right, -1, -1)
+            put(left, rank, ids[follow] if follow < size else -1)
+            if (prior := before[left]) >= 0:
+                put(prior, ids[prior], rank)
+        return ",".join(self.decimal[i] for i in ids if i >= 0)
+
     def encode(self, pieces: list[bytes]) -> list[str]:
         """Ids of every piece. A piece that is a token is that token; the others are merged by size class."""
         out = [self.decimal[r] if (r := self.ranks.get(p)) is not None else None for p in pieces]
@@ -118,7 +164,8 @@ class Vocabulary:
             most = start + max(TREES // width, 1)
             stop = bisect.bisect_right(left, width, start, min(most, len(left)), key=lambda i: len(pieces[i]))
             part = left[start:stop]
-            for i, ids in zip(part, self.merge([pieces[i] for i in part])):
+            some = [pieces[i] for i in part]
+            for i, ids in zip(part, self.merge(some) if len(some) > FEW else map(self.merge_one, some)):
                 out[i] = ids
             start = stop
         return out
