@@ -49,5 +49,18 @@ def add_columns(df: DataFrame, schema: str, start: Callable[[], Columns]) -> Dat
     return df.mapInArrow(run, out)
 
 
+def quoted(name: str) -> str:
+    """A column's name as Spark reads it, also with dots in it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def texts(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(name).to_pylist()

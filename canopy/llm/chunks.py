@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, IntegralType, StructField, StructType
 
 from canopy.llm.batches import bound_batches
 
@@ -21,8 +21,11 @@ def id_bounds(df: DataFrame, key: str, text: str, chunk_bytes: int = CHUNK_BYTES
     """Largest id of every chunk but the last, rising. One entry a chunk is all the driver sees.
 
     Quantiles of the ids cut the documents into ranges of equal count; ranges in a row are joined until
-    they hold ``chunk_bytes`` of text. Equal ids always share a chunk.
+    they hold ``chunk_bytes`` of text. Equal ids always share a chunk. Ids of any type but whole numbers are an error.
     """
+    kind = df.schema[key].dataType
+    if not isinstance(kind, IntegralType):
+        raise TypeError(f"column {key} is {kind.simpleString()}, ids must be whole numbers")
     total, least, most = df.agg(F.sum(F.octet_length(text)), F.min(key), F.max(key)).first()
     ranges = FINER * -(-(total or 0) // chunk_bytes)
     if ranges <= FINER or least == most:

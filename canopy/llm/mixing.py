@@ -16,6 +16,7 @@ from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from canopy.llm.batches import quoted
 from canopy.session import cut_lineage
 
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -105,15 +106,18 @@ def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "s
 
 
 def take(df: DataFrame, key: str = "doc_id", text: str = "text", seed: str = "mix", **settings) -> DataFrame:
-    """The mix itself: every row as often as ``mix`` says, in all columns of ``df``; see there for settings.
+    """The mix itself: every row as often as ``mix`` says, in all columns of ``df``, whatever their names.
 
-    Rows are met by key, hash and their number among rows alike in both, so repeated rows and null keys get
-    their own copies.
+    See ``mix`` for the settings. Rows are met by key and hash. Rows alike in both share their copies as evenly
+    as whole numbers allow, so repeated rows and null keys get their own; only the number of copies of
+    alike rows is summed, no list of them. An empty table gives no rows.
     """
-    alike = Window.partitionBy("_key", "_tie").orderBy("_tie")
-    rows = df.withColumns({"_key": F.col(key), "_tie": hashed([F.col(key), F.col(text)], seed, 15)}).withColumn(
-        "_i", F.row_number().over(alike))
-    copies = (mix(df, key, text, seed=seed, **settings).select(F.col(key).alias("_key"), F.col("tie").alias("_tie"), "copies")
-              .withColumn("_i", F.row_number().over(alike)).where("copies > 0").withColumnRenamed("_key", "_k"))
-    return (rows.join(copies, (rows["_key"].eqNullSafe(copies["_k"])) & (rows["_tie"] == copies["_tie"]) & (rows["_i"] == copies["_i"]))
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*[df[c] for c in df.columns]))
+    shared = (mix(df, key, text, seed=seed, **settings).groupBy(F.struct(F.col(key).alias("key"), F.col("tie")).alias("at"))
+              .agg(F.sum("copies").alias("copies"), F.count("*").alias("n")).where("copies > 0")
+              .select("at", F.expr("copies div n").alias("each"), (F.col("copies") % F.col("n")).alias("more")))
+    tie = hashed([F.col(key), F.col(text)], seed, 15)
+    rows = df.select(F.struct(F.col(key).alias("key"), tie.alias("tie")).alias("at"), F.struct(*map(quoted, df.columns)).alias("row"))
+    alike = Window.partitionBy("at").orderBy("at")       # in the order of the join: texts are shuffled once
+    copies = F.col("each") + (F.row_number().over(alike) <= F.col("more")).cast("long")
+    return (rows.join(shared, "at").withColumn("copies", copies).where("copies > 0")
+            .select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*"))

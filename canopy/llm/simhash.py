@@ -14,7 +14,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from canopy.llm.batches import add_columns, texts
+from canopy.llm.batches import add_columns, quoted, texts
 from canopy.llm.components import components
 from canopy.session import cut_lineage
 
@@ -81,34 +81,39 @@ def links(prints: DataFrame, distance: int) -> DataFrame:
     return same.union(flipped)
 
 
+def labelled(df: DataFrame, key: str, text: str, shingle: int, distance: int) -> DataFrame:
+    """(key, told, f, component_id) a row; ``told`` is a digest of the text, an empty one for null, as both have one fingerprint."""
+    rows = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    prints = cut_lineage(fingerprints(rows.withColumn("told", F.md5("text")), "text", "f", shingle).drop("text"))
+    classes = prints.groupBy("f").agg(F.min("key").alias("first"))
+    parts = components(links(classes.select("f"), distance), "x", "y").withColumnRenamed("node", "f")
+    named = classes.join(parts, "f", "left").select("f", "first", F.coalesce("component", "f").alias("component"))
+    least = named.groupBy("component").agg(F.min("first").alias("component_id"))
+    return prints.join(named.join(least, "component").select("f", "component_id"), "f").select("key", "told", "f", "component_id")
+
+
 def groups(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 2) -> DataFrame:
     """(key, fingerprint, component_id): the smallest key reachable over links, one row per input row.
 
     Equal fingerprints are one node, so copies make no pairs; texts without words share the fingerprint 0
     and are linked like any other. A row with a null key takes part in the links but is never the
     smallest; ``component_id`` is null only where a whole group has null keys. Rows repeating a key are
-    rows of one document and each returned. An empty table gives no rows.
+    rows of one document and each returned. A text of any length is read whole, by one task. Other columns
+    are not looked at, whatever their names. An empty table gives no rows.
     """
-    prints = cut_lineage(fingerprints(df.select(F.col(key).alias("key"), F.col(text).alias("text")), "text", "f", shingle).drop("text"))
-    classes = prints.groupBy("f").agg(F.min("key").alias("first"))
-    parts = components(links(classes.select("f"), distance), "x", "y").withColumnRenamed("node", "f")
-    labelled = classes.join(parts, "f", "left").select("f", "first", F.coalesce("component", "f").alias("component"))
-    least = labelled.groupBy("component").agg(F.min("first").alias("component_id"))
-    return (prints.join(labelled.join(least, "component").select("f", "component_id"), "f")
-            .select(F.col("key").alias(key), F.col("f").alias("fingerprint"), "component_id"))
+    return labelled(df, key, text, shingle, distance).select(
+        F.col("key").alias(key), F.col("f").alias("fingerprint"), "component_id")
 
 
 def keep_first(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 2) -> DataFrame:
-    """One document of each group: the one with the smallest key, in all columns of ``df``.
+    """One document of each group: the one with the smallest key, in all columns of ``df``, whatever their names.
 
     Exact repeats of that row are the same document and stay; a row of that key with another text is judged
-    by its own group. Rows with a null key go if their group has a
-    key; in a group without any they cannot be told apart and stay.
+    by its own group. Rows with a null key go if their group has a key; in a group without any they cannot
+    be told apart and stay. Rows are met by key and a digest of the text, so no fingerprint is computed twice.
+    An empty table gives no rows.
     """
-    found = cut_lineage(groups(df, key, text, shingle, distance))
-    first = found.where(F.col(key) == F.col("component_id")).select(F.col(key).alias("_key"), F.col("fingerprint").alias("_first")).distinct()
-    printed = fingerprints(df.where(F.col(key).isNotNull()), text, "_print", shingle)
-    keyed = printed.join(first, (F.col(key) == F.col("_key")) & (F.col("_print") == F.col("_first")), "left_semi").select(df.columns)
-    lone = found.where("component_id is null").select(F.col("fingerprint").alias("_print")).distinct()
-    keyless = fingerprints(df.where(F.col(key).isNull()), text, "_print", shingle).join(lone, "_print", "left_semi")
-    return keyed.union(keyless.select(df.columns))
+    first = labelled(df, key, text, shingle, distance).where(F.col("key").eqNullSafe(F.col("component_id"))).select(
+        F.col("key").alias("k"), F.col("told").alias("t")).distinct()
+    rows = df.select(F.col(key).alias("key"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("told"), F.struct(*map(quoted, df.columns)).alias("row"))
+    return rows.join(first, F.col("key").eqNullSafe(F.col("k")) & (F.col("told") == F.col("t")), "left_semi").select("row.*")

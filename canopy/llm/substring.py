@@ -200,7 +200,9 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", windo
 
     Windows are judged on the input. A document with fewer words than a window keeps all. Rows that repeat
     a key are one document, so they remove nothing from each other. A row with a null key is neither
-    earlier nor later than any: it keeps all and removes nothing. An empty table gives no rows.
+    earlier nor later than any: it keeps all and removes nothing. A text of any length is one document of
+    one chunk, its windows hashed block by block. Keys are whole numbers, others an error. Only the columns
+    to carry along are kept. An empty table gives no rows.
     """
     docs = df.select(F.col(key).alias("key"), F.col(text).alias("text"), *([F.struct(*carry).alias("rest")] if carry else []))
     bounds = id_bounds(docs, "key", "text")

@@ -9,6 +9,8 @@ from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
+from canopy.llm.batches import quoted
+
 GRAMS = (3, 4)            # characters
 FEATURES = 1 << 14
 MOST_RULES = 1000
@@ -108,11 +110,16 @@ def filtered(df: DataFrame, rules: list[Rule], labelled: DataFrame | None = None
     """Append host, path, rule and verdict to every row; the rule's verdict, else the learned one.
 
     ``labelled`` (url, verdict) is the table to learn from; without one, the rows that a rule fits. A null
-    URL or one without ``://`` has empty host and path and is judged by them. Other columns stay.
+    URL or one without ``://`` has empty host and path and is judged by them; a URL of any length is read
+    whole. Other columns stay, whatever their names; same-named ones are replaced. Equal URLs are judged
+    alike. An empty table gives no rows.
     """
-    told = judged(df, rules, url)
+    made = ("host", "path", "rule", "verdict")
+    others = [quoted(c) for c in df.columns if c.lower() not in made]
+    told = judged(df.select(F.col(url).alias("url"), F.struct(*others).alias("row")), rules)
     if labelled is None:
         examples = told.select("host", "path", F.col("rule_verdict").alias("verdict"))
     else:
         examples = labelled.select(host(F.col("url")).alias("host"), path(F.col("url")).alias("path"), "verdict")
-    return fit(examples, rows)(told).withColumn("verdict", F.coalesce("rule_verdict", "learned")).drop("rule_verdict", "learned")
+    found = fit(examples, rows)(told).withColumn("verdict", F.coalesce("rule_verdict", "learned"))
+    return found.select("row.*", *made)

@@ -190,6 +190,54 @@ def test_urls(spark):
     assert {r.verdict for r in urls.filtered(df, []).collect()} == {"allow"}          # nothing to learn from
 
 
+def test_url_filter_leaves_columns_of_any_name(spark):
+    own = ("learned", "rule_verdict", "_features", "_grams", "_raw", "row", "a.b")
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(URLS)], "page_id bigint, url string").withColumns({c: F.lit(f"my {c}") for c in own})
+    rules = [urls.Rule("allow", "org/"), urls.Rule("block", "com/de/")]
+    got = urls.filtered(df.withColumns({"Host": F.lit(1), "verdict": F.lit(2)}), rules)
+    assert got.columns == [*df.columns, "host", "path", "rule", "verdict"]
+    assert all(r[c] == f"my {c}" for r in got.collect() for c in own)
+    only = urls.filtered(df.select("url"), rules).collect()
+    assert sorted(r.verdict for r in only) == sorted(r.verdict for r in got.collect())
+
+
+def plain_grams(host, path):
+    return [mark + told[i:i + n] for mark, name in (("h", host), ("p", path)) for n in urls.GRAMS
+            for told in [f"^{name}$"] for i in range(len(told) - n + 1)]
+
+
+def test_learned_verdicts_are_those_of_a_plain_regression(spark):
+    """Newton steps on the same penalised likelihood, in the space of the examples instead of the features."""
+    rng = random.Random(7)
+    rows = [(f"http://{rng.choice(['news', 'shop', 'blog', 'bets'])}{rng.randint(0, 9)}.{rng.choice(['casino.biz', 'library.edu', 'town.net'])}/{rng.randint(0, 999)}",) for _ in range(240)]
+    rows = sorted(set(rows))
+    verdicts = ["block" if ("casino" in u) != (rng.random() < 0.05) else "allow" for u, in rows]
+    labelled = spark.createDataFrame([(u, v) for (u,), v in zip(rows[::2], verdicts[::2])], "url string, verdict string")
+    got = {r.url: r.verdict for r in urls.filtered(spark.createDataFrame(rows, "url string"), [], labelled).collect()}
+
+    split = spark.createDataFrame(rows, "url string").select("url", urls.host(F.col("url")).alias("host"), urls.path(F.col("url")).alias("path"))
+    found = {r.url: r for r in urls.featured(split).collect()}
+    assert all(r._grams == plain_grams(r.host, r.path) for r in found.values())
+    x = np.array([found[u]._features.toArray() for u, in rows])
+    y = np.array([v == "block" for v in verdicts], float)[::2]
+    spread = x[::2].std(0, ddof=1)
+    z = np.divide(x, spread, out=np.zeros_like(x), where=spread > 0)       # the penalty is on features of equal spread
+    own = z[::2]
+    n, strength = len(own), 0.001
+    kernel, a, b = own @ own.T, np.zeros(n), 0.0
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-(kernel @ a + b)))
+        w = np.maximum(p * (1 - p), 1e-9)
+        left = np.block([[w[:, None] * kernel + n * strength * np.eye(n), w[:, None]], [w[None] @ kernel, w.sum()[None, None]]])
+        right = np.concatenate([w * (kernel @ a + b) + y - p, [w @ (kernel @ a + b) + (y - p).sum()]])
+        solved = np.linalg.solve(left, right)
+        a, b = solved[:-1], solved[-1]
+    said = z @ (own.T @ a) + b
+    clear = np.abs(said) > 0.05
+    assert clear.mean() > 0.95
+    assert all(got[u] == ("block" if v > 0 else "allow") for (u,), v, sure in zip(rows, said, clear) if sure)
+
+
 def test_url_model_on_held_out_urls(spark):
     rng = random.Random(6)
     rows = [(f"http://{rng.choice(['news', 'shop', 'blog'])}{rng.randint(0, 99)}.{t}/{rng.randint(0, 9999)}", v)

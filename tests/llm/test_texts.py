@@ -46,6 +46,21 @@ def test_long_pieces_and_a_full_memory(library, monkeypatch):
     assert encoder.encode(values) == [",".join(map(str, library.encode_ordinary(v or ""))) for v in values]
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text("aethrs", min_size=2, max_size=200))
+def test_a_piece_of_its_own_is_merged_as_beside_others(text):
+    known = bpe.vocabulary(bpe.read_vocabulary(PATH))
+    assert known.merge_one(text.encode()) == known.merge([text.encode()])[0] == known.merge([b"the", text.encode(), b"sea" * 50])[1]
+
+
+def test_a_letter_run_of_a_megabyte(library):
+    import random
+    text = "".join(random.Random(8).choices("abcdefghijklmnopqrstuvwxyz", k=1 << 20))
+    same = bpe.Encoder(bpe.read_vocabulary(PATH), bpe.PATTERN).encode([text, text + "a"]) == [
+        ",".join(map(str, library.encode_ordinary(t))) for t in (text, text + "a")]
+    assert same
+
+
 @pytest.mark.parametrize("size", [1 << 22, (1 << 22) + 1])      # trees of 2**22 and 2**23 leaves
 def test_pieces_of_megabytes(size):
     tokens = [bytes([i]) for i in range(256)] + [b"ab"]
@@ -108,6 +123,13 @@ def test_substring_dedup_keeps_separators_and_columns(spark):
     assert substring.remove_repeats(frame(spark, [])).count() == 0
 
 
+def test_ids_that_are_no_numbers_are_an_error(spark):
+    df = frame(spark).withColumn("doc_id", F.col("doc_id").cast("string"))
+    for operator in (substring.remove_repeats, lzprint.compare_edited):
+        with pytest.raises(TypeError, match="doc_id|key"):
+            operator(df)
+
+
 def test_interval_edges():
     assert substring.cut("a b\n\nc  d", [(1, 2)], False) == "a c  d"
     assert substring.cut("  a b c ", [(0, 1), (2, 3)], True) == "b"
@@ -175,6 +197,17 @@ def test_keep_first_tells_texts_of_one_key_apart(spark):
     assert listed(simhash.keep_first(frame(spark, rows)), "doc_id", "text") == sorted([(1, a), (2, b)], key=repr)
 
 
+OWN = ("_key", "_print", "_first", "k", "t", "told", "row", "component_id", "fingerprint", "a.b")
+
+
+def test_keep_first_leaves_columns_of_any_name(spark):
+    df = frame(spark).withColumns({c: F.lit(f"my {c}") for c in OWN})
+    got = simhash.keep_first(df)
+    assert got.columns == df.columns
+    assert all(r[c] == f"my {c}" for r in got.collect() for c in OWN)
+    assert listed(got, "doc_id", "text") == listed(simhash.keep_first(frame(spark)), "doc_id", "text")
+
+
 def test_a_small_language_keeps_its_words(spark):
     rows = [(i, f"big{i} big{i}x", "big", "s") for i in range(30)] * 5 + [(99, "wee", "small", "s")]
     df = spark.createDataFrame([(n, *r[1:]) for n, r in enumerate(rows)], SCHEMA)
@@ -304,6 +337,19 @@ def test_take_repeats_the_rows_of_the_mix(spark):
     assert Counter(r.doc_id for r in got.collect()) == +copies
 
 
+def test_take_shares_the_copies_of_alike_rows(spark):
+    rows = [(1, "one two", "en", "a")] * 7 + [(None, "one two", "en", "a")] * 5 + [(2, "x " * 9, "de", "b"), (3, None, None, None)]
+    own = ("_key", "_tie", "_i", "_copy", "at", "row", "copies", "each", "more", "a.b")
+    df = frame(spark, rows).withColumns({c: F.lit(f"my {c}") for c in own})
+    copies = Counter()
+    for r in mixing.mix(df).collect():
+        copies[r.doc_id] += r.copies
+    got = mixing.take(df)
+    assert got.columns == df.columns and all(r[c] == f"my {c}" for r in got.collect() for c in own)
+    assert Counter(r.doc_id for r in got.collect()) == +copies
+    assert mixing.take(frame(spark, [])).count() == 0
+
+
 def test_lengths(spark, library):
     df = frame(spark)
     found = lengths.limits(lengths.histogram(df, PATH)).cache()
