@@ -11,17 +11,25 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from canopy.llm import bpe, langid, mixing, simhash, substring  # noqa: E402
-from canopy.session import apply_settings, new_folder  # noqa: E402
+from canopy.llm.batches import free_name  # noqa: E402
+from canopy.session import apply_settings, drop_folder, new_folder  # noqa: E402
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language, short and ambiguous ones under their likeliest; those without letters go."""
+    """Documents with a language, short and ambiguous ones under their likeliest; those without letters go.
+
+    Where no document has a label there is no language to tell, and all documents stay.
+    """
     apply_settings(spark)
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
-    told = langid.predict(docs, langid.fit(docs, ~held_out), lang="_lang", score="_score")
-    return told.where(F.col("_lang") != langid.UNKNOWN).select(docs.columns)
+    model = langid.fit(docs, ~held_out)
+    if not model.languages:
+        return docs
+    lang, score = free_name(docs, "told"), free_name(docs, "told_score")
+    told = langid.predict(docs, model, lang=lang, score=score)
+    return told.where(F.col(lang) != langid.UNKNOWN).drop(lang, score)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,12 +73,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written to the shared folder and read as the next input."""
+    """All stages over ``documents``; each result is written to the shared folder and read as the next input.
+
+    A stage's folder goes once the next stage is written; the last one stays, as the result reads it.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    read = None
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             folder = new_folder(spark, f"stage-{i}")
             docs.write.parquet(folder)
             docs = spark.read.parquet(folder)
+            if read:
+                drop_folder(spark, read)
+            read = folder
     return docs
