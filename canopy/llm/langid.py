@@ -15,16 +15,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from canopy.llm.batches import add_columns, bound_batches, texts
 from canopy.llm.bpe import LETTERS, PLAIN
+from canopy.operators.ranking import ranked
 from canopy.session import cut_lineage
 
 WORD = re.compile(r"[^\W\d_]+").findall
 PLAIN_WORD = re.compile(f"[{LETTERS}]+").findall      # the same for the plain characters
 LONGEST = 4           # characters of the longest n-gram
 FLUSH = 30_000        # distinct words a task counts before it hands them and their n-grams on
+CELLS = 1 << 24       # scores of a model, about: rows times languages, 128 MB
 REMEMBERED = 150_000  # scores of unknown words a task keeps
 
 UNKNOWN = "und"
@@ -97,26 +99,33 @@ def counted(df: DataFrame, lang: str, text: str) -> DataFrame:
             .groupBy("lang", "n", "gram").agg(F.sum("count").alias("count")))
 
 
+def most_frequent(df: DataFrame, groups: list[str], count: str, most: int) -> DataFrame:
+    """(n, gram): the ``most`` rows of the largest count in each group, ties in code point order; no task sees a whole group."""
+    placed = ranked(df.select(*groups, "gram", count), [*groups, F.desc(count), "gram"], "at")
+    starts = placed.groupBy(*groups).agg(F.min("at").alias("start"))       # a row per length and language
+    return placed.join(F.broadcast(starts), groups).where(F.col("at") - F.col("start") < most).select("n", "gram")
+
+
 def fit(df: DataFrame, learn: Column, text: str = "text", lang: str = "lang", key: str = "doc_id",
-        per_language: int = 10_000, entries: int = 40_000, most_languages: int = 200) -> Model:
+        per_language: int = 10_000, entries: int = 40_000, most_languages: int = 1000) -> Model:
     """Learn from the rows where ``learn`` is true and neither text nor language is null.
 
     The sample is bounded by ``per_language`` rows a language, the model by ``entries`` words and as many
     n-grams of each length (the most frequent, ties in code point order), and as many again dealt evenly to
-    the languages (the most frequent of each, so a small one keeps its own). It fits a broadcast at any
-    size of the corpus. No labelled row: a model without languages, which calls everything ``und``.
+    the languages (the most frequent of each, so a small one keeps its own). Beyond CELLS scores there are
+    fewer entries, so the model fits a broadcast at any size of the corpus and number of languages; more than
+    ``most_languages`` are an error. Rows that repeat are counted as often as they are there. No labelled
+    row: a model without languages, which calls everything ``und``.
     """
     labelled = df.where(learn & F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
         F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     counts = cut_lineage(counted(sampled(labelled, "lang", "key", per_language, most_languages), "lang", "text"))
     by_gram = counts.groupBy("n", "gram").agg(
         F.sum("count").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "count"))).alias("by"))
-    each = max(entries // max(counts.select("lang").distinct().count(), 1), 1)
-    # A group limit keeps at most so many rows of each length (and language) and task before the shuffle.
-    best = Window.partitionBy("n").orderBy(F.desc("total"), "gram")
-    own = Window.partitionBy("n", "lang").orderBy(F.desc("count"), "gram")
-    wanted = (by_gram.withColumn("i", F.row_number().over(best)).where(F.col("i") <= entries).select("n", "gram")
-              .union(counts.withColumn("i", F.row_number().over(own)).where(F.col("i") <= each).select("n", "gram")).distinct())
+    languages = max(counts.select("lang").distinct().count(), 1)
+    entries = max(min(entries, CELLS // (2 * (LONGEST + 1) * languages)), 1)
+    wanted = (most_frequent(by_gram, ["n"], "total", entries)
+              .union(most_frequent(counts, ["n", "lang"], "count", max(entries // languages, 1))).distinct())
     kept = by_gram.join(wanted, ["n", "gram"], "left_semi").orderBy("n", "gram")
     rows = kept.select("n", "gram", "by").collect()
     languages = sorted({x for r in rows for x in r["by"]})
@@ -142,7 +151,9 @@ class Rows(dict):
     def __init__(self, model: Model):
         super().__init__(model.words)
         self.model, self.next = model, len(model.scores)
-        self.table = np.concatenate([model.scores, np.zeros((REMEMBERED, len(model.languages)))])
+        room = max(min(REMEMBERED, CELLS // max(len(model.languages), 1)), 1)
+        self.full = self.next + room
+        self.table = np.concatenate([model.scores, np.zeros((room, len(model.languages)))])
 
     def __missing__(self, word: str) -> int:
         if self.next == len(self.table):
@@ -170,7 +181,7 @@ class Scorer:
         found = words(text)
         if not found or not self.model.languages:
             return UNKNOWN, 0.0
-        if self.rows.next >= len(self.model.scores) + REMEMBERED:     # full: begin anew
+        if self.rows.next >= self.rows.full:     # begin anew
             self.rows = Rows(self.model)
         at = list(map(self.rows.__getitem__, found))
         total = self.rows.table.take(at, axis=0).sum(0)

@@ -216,6 +216,19 @@ def test_a_small_language_keeps_its_words(spark):
     assert inspect.signature(langid.fit).parameters["per_language"].default == 10_000
 
 
+def test_very_many_languages(spark, monkeypatch):
+    rows = [(i, f"own{w} taxi", f"x{w}", "s") for i in range(402) for w in ["".join(chr(97 + i % 201 // 26 ** k % 26) for k in range(2))]]
+    df = spark.createDataFrame(rows, SCHEMA)
+    model = langid.fit(df, F.lit(True))
+    assert len(model.languages) == 201
+    assert all(r.lang_pred == r.lang for r in langid.predict(df, model).collect())
+    monkeypatch.setattr(langid, "CELLS", 201 * 10 * 3)       # room for three entries a length, and one of each language
+    small = langid.fit(df, F.lit(True))
+    assert len(small.languages) == 201 and len(small.scores) <= 5 * (3 + 201) < len(model.scores)
+    with pytest.raises(ValueError):
+        langid.fit(df, F.lit(True), most_languages=200)
+
+
 def test_language(spark):
     import random
     rng = random.Random(5)
