@@ -183,7 +183,12 @@ def sample_nearest(points: DataFrame, cells: DataFrame, transform: DataFrame, ke
     maps = transform.agg(F.collect_list(F.struct(*transform.columns))).scalar()
 
     at = points.select(*keep, x.alias("_x"), y.alias("_y")).withColumn("_t", F.explode(maps)).select(*keep, *_cell_of("_t"))
-    return at.join(cells, ["raster_id", "row", "col"], "left").select(*keep, "raster_id", "value")
+    return at.join(_sorted(cells), ["raster_id", "row", "col"], "left").select(*keep, "raster_id", "value")
+
+
+def _sorted(cells: DataFrame) -> DataFrame:
+    """For a merge join: maps are taken to be a fraction of their size, as their rows unfold late, and a broadcast puts all cells into every task."""
+    return cells.hint("merge")
 
 
 def _cell_of(place: str) -> list[Column]:
@@ -220,7 +225,7 @@ def sample_tiles(points: DataFrame, cells: DataFrame, transform: DataFrame, keep
     inside = ((F.col("_x") >= F.col("_box.x0")) & (F.col("_x") < F.col("_box.x1")) & (F.col("_y") >= F.col("_box.y0")) & (F.col("_y") < F.col("_box.y1")))
     found = at.join(tiles, ["_level", "_bx", "_by"]).where(inside).select(*keep, "map", *_cell_of("_t"))
     known = cells.where(F.col("value").isNotNull()).select("raster_id", "row", "col", "value")
-    return (found.join(known, ["raster_id", "row", "col"], "left")
+    return (found.join(_sorted(known), ["raster_id", "row", "col"], "left")
             .groupBy(*keep, "map").agg(F.min_by("value", F.when(F.col("value").isNotNull(), F.col("raster_id"))).alias("value")))
 
 

@@ -1,12 +1,14 @@
 import math
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from canopy.functions import geo
 from canopy.operators import raster as RA, spatial as S
+from canopy.plans.catalog import QUERIES
 
 RING = [(0, 0), (4, 0), (4, 4), (2, 1), (0, 4), (0, 0)]     # concave
 GEOM = "array<struct<x:double,y:double>>"
@@ -265,3 +267,10 @@ def test_round_exact_is_the_scalar_rounding(spark):
     values = [0.165, 0.145, 2.675, 1.005, 0.125, 0.375, -0.165, -0.125, 1e-9, 0.0] + [rng.randint(0, 4000) / 1000 for _ in range(2000)]
     got = spark.createDataFrame([(v,) for v in values], "v double").select("v", round_exact("v").alias("r")).collect()
     assert [r.r for r in got] == [round(r.v, 2) for r in got]
+
+
+@pytest.mark.parametrize("name", ["nearest_cell", "shading_index", "tiled_cells"])
+def test_no_task_holds_all_cells_of_the_maps(spark, name):
+    """The cells are merged with the points; their rows unfold late, so a broadcast would be chosen by too small a size."""
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin \[raster_id#\d+, row", plan) and not re.search(r"BroadcastHashJoin \[raster_id#\d+, row", plan)
