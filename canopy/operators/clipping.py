@@ -146,10 +146,11 @@ def clipped(boxed: DataFrame, shape_id: str) -> DataFrame:
     return boxed.select(shape_id, "_edges").mapInArrow(run, schema)
 
 
-def inside_cell(corner: Column, edges: Column, level: Column, x: Column, y: Column) -> Column:
-    """Whether a point of a cell is strictly inside the shape, from the cell's corner and edges alone."""
-    sx, sy = sides(level)
-    xc, yc = F.floor(x / sx) * sx, F.floor(y / sy) * sy
+def inside_cell(corner: Column, edges: Column, xc: Column, yc: Column, x: Column, y: Column) -> Column:
+    """Whether a point of a cell is strictly inside the shape, from the cell's corner and edges alone.
+
+    The place of the corner must be a plain column: the edges' test would work out an expression again for every edge.
+    """
 
     def flip(inside: Column, e: Column) -> Column:
         up, right = e["y2"] > e["y1"], e["x2"] > e["x1"]

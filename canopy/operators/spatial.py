@@ -87,13 +87,14 @@ def join_contains(points: DataFrame, shapes: DataFrame, point_id: str, shape_id:
     p = (points.select(point_id, x.alias("_x"), y.alias("_y"))
          .withColumn("_level", F.explode(F.lit(sorted(levels)).cast("array<int>")))
          .withColumns({f"_b{c}": F.floor(F.col(f"_{c}") / side) for c, side in zip("xy", clipping.sides(F.col("_level")))}))
+    s = s.withColumns({f"_c{c}": F.col(f"_b{c}") * side for c, side in zip("xy", clipping.sides(F.col("_level")))})
     hot = _hot(p, task_points)
     p = _dealt(p, hot, lambda parts: F.pmod(F.xxhash64(point_id), parts))
     s = _dealt(s, hot, lambda parts: F.sequence(F.lit(0).cast("long"), parts.cast("long") - 1)).withColumn("_salt", F.explode("_salt"))
     p, s = p.alias("p"), s.alias("s")
     same = reduce(and_, [F.col(f"p.{c}") == F.col(f"s.{c}") for c in ("_level", "_bx", "_by", "_salt")])
     inside = (F.when(F.col("_corner").isNull(), geo.contains("_edges", "_x", "_y"))
-              .otherwise(clipping.inside_cell(F.col("_corner"), F.col("_edges"), F.col("s._level"), F.col("_x"), F.col("_y"))))
+              .otherwise(clipping.inside_cell(F.col("_corner"), F.col("_edges"), F.col("_cx"), F.col("_cy"), F.col("_x"), F.col("_y"))))
     return p.join(s, same & inside).select(f"p.{point_id}", f"s.{shape_id}")
 
 

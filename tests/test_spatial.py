@@ -274,3 +274,9 @@ def test_no_task_holds_all_cells_of_the_maps(spark, name):
     """The cells are merged with the points; their rows unfold late, so a broadcast would be chosen by too small a size."""
     plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"SortMergeJoin \[raster_id#\d+, row", plan) and not re.search(r"BroadcastHashJoin \[raster_id#\d+, row", plan)
+
+
+def test_the_test_of_a_point_works_nothing_out_again_for_every_edge(spark):
+    plan = QUERIES["skyline_join"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    tests = [line for line in plan.splitlines() if re.search(r"Join \[_level#", line) and "lambda" in line]
+    assert tests and not any("POWER" in line.upper() or "FLOOR" in line.upper() for line in tests)
