@@ -73,3 +73,16 @@ def test_train_does_not_call_the_librarys_forest(rows, monkeypatch):
     monkeypatch.setattr(RandomForestRegressor, "fit", None)
     assert M.train(rows, FEATURES, small()).getNumTrees == 6
     assert not G.can_grow(small(subsamplingRate=0.5))       # settings not followed are left to the library
+
+
+def test_a_fit_by_the_library_has_parts_by_its_rows(rows, monkeypatch):
+    """Boosting runs thousands of jobs; each would have as many tasks as the session shuffles into."""
+    class Parts:
+        copy = setFeaturesCol = setLabelCol = setPredictionCol = lambda self, *_: self
+
+        def fit(self, data):
+            return data.rdd.getNumPartitions(), data.count()
+
+    assert M.train(rows, FEATURES, Parts()) == (1, 3000)
+    monkeypatch.setattr(M, "FIT_ROWS", 1000)
+    assert M.train(rows, FEATURES, Parts()) == (3, 3000)
