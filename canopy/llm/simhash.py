@@ -72,7 +72,8 @@ def links(prints: DataFrame, distance: int) -> DataFrame:
     near = F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= distance
 
     def side(frame: DataFrame, name: str) -> DataFrame:
-        return frame.withColumnRenamed("f", name)
+        """Merged, never broadcast: the planner sizes the keys by the fingerprints, of which each has up to 64."""
+        return frame.withColumnRenamed("f", name).hint("merge")
 
     same = (side(exact, "x").join(side(exact, "y"), ["slot", "rest"])
             .where((F.col("x") < F.col("y")) & near).select("x", "y"))

@@ -180,6 +180,13 @@ def test_simhash_links_are_all_pairs_within_the_distance(spark, distance):
     assert {(min(r), max(r)) for r in map(tuple, got)} == want
 
 
+def test_simhash_keys_are_never_broadcast(spark):
+    """The planner sees the fingerprints' size, a 64th of that of their keys, and would collect the keys in the driver."""
+    links = simhash.links(spark.range(100).select(F.xxhash64("id").alias("f")), 2)
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and plan.count("SortMergeJoin") == 2
+
+
 def test_keep_first_leaves_one_of_each_group(spark):
     df = frame(spark)
     kept = simhash.keep_first(df)
