@@ -13,7 +13,7 @@ from compare import connect, differences
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from canopy.llm import bpe, langid, mixing
+from canopy.llm import bpe, langid, mixing, simhash
 from canopy.llm.queries import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -161,6 +161,15 @@ def test_stage_folders_go_but_the_last(spark):
     assert [x.split("-")[1] for x in left] == ["3"]
 
 
+def test_the_stage_of_near_copies_broadcasts_no_keys(spark, monkeypatch):
+    kept = {}
+    found = simhash.components
+    monkeypatch.setattr(simhash, "components", lambda links, *a: kept.setdefault("links", links) and found(links, *a))
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(50)
+    assert corpus_pipeline.near_copies(spark, docs, FOLDER).count()
+    assert "Broadcast" not in kept["links"]._jdf.queryExecution().executedPlan().toString()
+
+
 def test_pipeline_stage_by_stage(spark):
     from test_texts import brute_groups, brute_removed
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").cache()
