@@ -1,12 +1,14 @@
 """Forests grown level by level: every node of every tree from the rows themselves."""
 
+import pickle
+
 import numpy as np
 import pytest
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 from canopy.operators import growing as G, models as M
-from canopy.operators.forests import forest_nodes
+from canopy.operators.forests import Forest, forest_nodes
 
 FEATURES = ["a", "b", "c", "d"]
 
@@ -75,6 +77,27 @@ def test_train_does_not_call_the_librarys_forest(rows, monkeypatch):
     assert not G.can_grow(small(subsamplingRate=0.5))       # settings not followed are left to the library
 
 
+def test_a_grown_forest_is_scored_without_the_librarys_model(rows, monkeypatch):
+    """All nodes of the library's model are objects in the driver's heap; the arrays hold the same numbers."""
+    make = G._model
+    monkeypatch.setattr(G, "_model", None)
+    grown = M.train(rows, FEATURES, small())
+    flat = M.scorer(grown)
+    monkeypatch.setattr(G, "_model", make)
+    library = Forest.of(grown)
+    x = np.array([list(r) for r in rows.select(*FEATURES).collect()])
+    assert flat(x).tolist() == library(x).tolist() == pickle.loads(pickle.dumps(flat))(x).tolist()
+    for name in ("feature", "threshold", "value", "levels", "roots"):       # the library numbers the nodes of a tree anew
+        assert sorted(getattr(flat, name)) == sorted(getattr(library, name))
+    assert grown.numFeatures == 4 and not hasattr(grown, "__len__")
+
+
+def test_the_features_of_nodes_are_drawn_in_pieces(monkeypatch):
+    whole = G._picked(np.random.default_rng(3), 100, 7, 3)
+    monkeypatch.setattr(G, "PICKED_NODES", 9)
+    assert (G._picked(np.random.default_rng(3), 100, 7, 3) == whole).all()
+
+
 def test_a_fit_by_the_library_has_parts_by_its_rows(rows, monkeypatch):
     """Boosting runs thousands of jobs; each would have as many tasks as the session shuffles into."""
     class Parts:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from canopy.constants import FORECAST_FEATURES, LAG_FEATURES, NOWCAST_FEATURES
-from canopy.operators import features as E, models as M
+from canopy.operators import features as E, growing, models as M
 from canopy.operators.forests import Forest, forest_nodes, gain_importances
 from canopy.plans.catalog import QUERIES
 
@@ -138,6 +138,11 @@ def test_season_is_the_library_step_by_step(spark, readings):
     assert got == pytest.approx(want, abs=1e-9) and len(got) == 6 * 3 * 12 - 3
 
 
+def test_backtest_does_not_load_the_librarys_model(readings, monkeypatch):
+    monkeypatch.setattr(growing, "_model", None)
+    assert M.backtest(readings, [D(2023, 5, 20)], [D(2023, 5, 18)], SMALL, horizon=5, drop_days=9).count() == 6 * 3 * 5
+
+
 def test_registered_nowcast_is_the_walk_down_its_forests(spark, monkeypatch):
     """All predictions of the query, its forests cut to a few trees by the one setting."""
     kept = {}
