@@ -143,6 +143,12 @@ def test_backtest_does_not_load_the_librarys_model(readings, monkeypatch):
     assert M.backtest(readings, [D(2023, 5, 20)], [D(2023, 5, 18)], SMALL, horizon=5, drop_days=9).count() == 6 * 3 * 5
 
 
+def test_season_does_not_load_the_librarys_model(readings, monkeypatch):
+    monkeypatch.setattr(growing, "_model", None)
+    model = M.train_season(readings, D(2023, 5, 30), SMALL)
+    assert M.season_forecast(model, readings, D(2023, 5, 1), 12).count() == 6 * 3 * 12
+
+
 def test_registered_nowcast_is_the_walk_down_its_forests(spark, monkeypatch):
     """All predictions of the query, its forests cut to a few trees by the one setting."""
     kept = {}
