@@ -143,6 +143,20 @@ def test_backtest_does_not_load_the_librarys_model(readings, monkeypatch):
     assert M.backtest(readings, [D(2023, 5, 20)], [D(2023, 5, 18)], SMALL, horizon=5, drop_days=9).count() == 6 * 3 * 5
 
 
+def test_forecast_does_not_load_the_librarys_models(spark, readings, monkeypatch):
+    """And hands the tasks the forests of one depth at a time."""
+    monkeypatch.setattr(growing, "_model", None)
+    models, aux = M.train_forecast(readings, SMALL), M.train_auxiliary(readings, SMALL)
+    last, shared = D(2023, 5, 20), []
+    base = readings.where((F.col("timestamp") == F.lit(last).cast("timestamp")) & (F.col("type_id") == 1))
+    weather = {last + dt.timedelta(days=i): {c: 1.0 for c in M._WEATHER} for i in range(-3, 9)}
+    share = spark.sparkContext.broadcast
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda x: shared.append(x) or share(x))
+    out = M.forecast(models, aux, base, {1: 1.0, 2: 2.0, 3: 3.0}, weather, weather, last, dt.datetime(2023, 5, 21), horizon=8)
+    assert out.count() == 6 * 4 * 8
+    assert [len(x) for x in shared] == [2, 2, 2]
+
+
 def test_season_does_not_load_the_librarys_model(readings, monkeypatch):
     monkeypatch.setattr(growing, "_model", None)
     model = M.train_season(readings, D(2023, 5, 30), SMALL)
